@@ -35,11 +35,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanekit.functions.columns import (
-    SITE_SUFFIX_TOKENS, prorated, route_segments, safe_ratio, segment_fields, split_at, strip_tokens)
+    SITE_SUFFIX_TOKENS, STOP_SEP, literal_split, prorated, safe_ratio, segment_fields, split_at,
+    stop_pattern, strip_tokens)
 from lanekit.operators.aggregates import present_count, sum_or_zero
 from lanekit.operators.filters import OPEN_END, current_rows, half_open, has_prefix, in_list
 from lanekit.operators.generators import explode_values
-from lanekit.operators.joins import enrich, keep_matching
+from lanekit.operators.joins import enrich
 from lanekit.operators.windows import first_per_group
 
 # Vehicle type -> rated capacity (tonnes) and load volume
@@ -118,7 +119,16 @@ class MartParams:
     categories: Mapping[str, tuple] = field(default_factory=lambda: dict(DEFAULT_CATEGORIES))
     # capacity share of the vehicle used on one segment, from the load mode
     segment_factor: Callable[[Column], Column] = _one
+    # optional custom segment rule (load_mode, schedule) -> array<string> of
+    # ``mode*from-to*factor*ordinal`` values; None uses the built-in rule
+    # without a string round trip
+    segment_rule: Callable[[Column, Column], Column] | None = None
     stop_base: int = 1                        # ordinal of the first segment
+    # write the two intermediates that have two consumers each (lists with
+    # their measures, enriched segments) to the shared checkpoint folder so
+    # they are computed once and their lineage is cut; False keeps one fully
+    # lazy plan (Spark then computes each of them twice)
+    materialize: bool = True
     load_rate_scale: float = 1.0              # weight unit / capacity unit
 
 
@@ -147,9 +157,13 @@ def list_details(t: Mapping[str, DataFrame], p: MartParams) -> DataFrame:
         .where(F.col("out_piece") > 0).select("ewbs_list_no", "ewb_no", "out_piece")
 
 
-def lists(t: Mapping[str, DataFrame], p: MartParams, details: DataFrame) -> DataFrame:
+def lists(t: Mapping[str, DataFrame], p: MartParams, per_list: DataFrame) -> DataFrame:
     """Hand-over lists with origin/destination site code, cleaned name,
-    distribution centre and province; only lists that have detail lines."""
+    distribution centre and province, and the list's own measures.
+
+    Joining the per-list measures (one row per list that has detail lines)
+    both keeps only lists with detail lines (the original ``IN (select ...)``
+    test) and carries the measures, so the detail rows are read once."""
     head = current_rows(t["dwd_fact_lb_hs_ewbs_list_no"], "end_time", p.open_end) \
         .where(F.col("rd_status") == 1) \
         .select("task_no", "ewbs_list_no", "created_time",
@@ -170,7 +184,7 @@ def lists(t: Mapping[str, DataFrame], p: MartParams, details: DataFrame) -> Data
                      {"fith_lvl_org_brnch_nm": f"{role}_distribute_nm",
                       "thrd_lvl_org_brnch_nm": f"{role}_prov_nm"},
                      dim_filter=level_ok)
-    return keep_matching(out, details, ["ewbs_list_no"])
+    return out.join(per_list, "ewbs_list_no", "inner")
 
 
 def waybills(t: Mapping[str, DataFrame], p: MartParams) -> DataFrame:
@@ -223,18 +237,52 @@ def shipments(spark: SparkSession, t: Mapping[str, DataFrame], p: MartParams) ->
         F.col("attribute_date1").alias("plan_start_time"),
         F.col("schedule_note").alias("planned_schedule"),
         F.col("attribute5").alias("actual_schedule"),
-        route_segments(F.col("attribute5"), p.segment_factor(F.col("attribute15")),
-                       p.stop_base).alias("trans_rodes_total"),
+        F.col("attribute15").alias("__load_mode"),
     )
 
 
+_SHIP_COLS = ("stat_date", "shipment_gid", "order_id", "shipment_schedule_id", "car_id", "actual_cost",
+              "order_type", "line_type", "please_car_nature", "load_mode", "car_type",
+              "rated_capacity_total", "rated_vol_total", "transport_status", "overtime_reason",
+              "overtime_son_reason", "plan_start_time", "planned_schedule", "actual_schedule")
+
+
+def _segments_by_rule(ship: DataFrame, p: MartParams) -> DataFrame:
+    """Custom rule: explode its ``mode*from-to*factor*ordinal`` strings and
+    parse them (an index past the end gives null)."""
+    arr = ship.select(*_SHIP_COLS, p.segment_rule(F.col("__load_mode"), F.col("actual_schedule"))
+                      .alias("__segs"))
+    seg = explode_values(arr.where(F.col("__segs").isNotNull()), "__segs", "__segment")
+    fields = segment_fields("__segment")
+    return seg.select(*_SHIP_COLS, *[v.alias(k) for k, v in fields.items()])
+
+
+def _segments_builtin(ship: DataFrame, p: MartParams) -> DataFrame:
+    """Built-in rule, same values as exploding :func:`route_segments`: the
+    stop pattern is computed once per shipment and the segments come from a
+    ``posexplode`` of the stop list, so no segment string is built and parsed
+    again. Null schedules and schedules with fewer than two stops give no
+    segment."""
+    stops = literal_split(F.col("actual_schedule"), STOP_SEP)
+    base = ship.select(*_SHIP_COLS, stops.alias("__stops"),
+                       p.segment_factor(F.col("__load_mode")).cast("double").cast("string")
+                       .alias("by_road_method"))
+    base = base.select("*", stop_pattern(F.col("__stops")).alias("trans_mode"))
+    n = F.size("__stops")
+    legs = base.select("*", F.posexplode(F.slice("__stops", 1, F.greatest(n - 1, F.lit(0))))
+                       .alias("__pos", "__from"))
+    return legs.select(
+        *_SHIP_COLS, "trans_mode",
+        F.concat(F.col("__from"), F.lit(STOP_SEP), F.get(F.col("__stops"), F.col("__pos") + 1))
+        .alias("trans_rodes"),
+        "by_road_method",
+        (F.col("__pos") + F.lit(p.stop_base)).cast("string").alias("by_road_num"))
+
+
 def segments(ship: DataFrame, p: MartParams) -> DataFrame:
-    """One row per route segment with its parsed fields, segment capacity and
+    """One row per route segment with its fields, segment capacity and
     cleaned origin/destination names."""
-    seg = explode_values(ship.where(F.col("trans_rodes_total").isNotNull()),
-                         "trans_rodes_total", "__segment").drop("trans_rodes_total")
-    fields = segment_fields("__segment")
-    seg = seg.select("*", *[v.alias(k) for k, v in fields.items()]).drop("__segment")
+    seg = _segments_by_rule(ship, p) if p.segment_rule is not None else _segments_builtin(ship, p)
     factor = F.col("by_road_method").try_cast("double")
     return seg.select(
         "*",
@@ -282,27 +330,29 @@ def _category_value(kind: str) -> Column:
     raise ValueError(f"unknown category measure kind {kind!r}")
 
 
-def measures_by_key(all_lists: DataFrame, details: DataFrame, ewb: DataFrame, p: MartParams) -> DataFrame:
-    """Measures per (task_no, first_site_name, next_site_name), pre-aggregated
-    per list first. A detail line whose waybill is missing still counts as a
-    piece and a waybill and adds null to the weights."""
+def measures_per_list(details: DataFrame, ewb: DataFrame, p: MartParams) -> DataFrame:
+    """Measures per hand-over list (partial aggregation before the shuffle).
+    A detail line whose waybill is missing still counts as a piece and a
+    waybill and adds null to the weights."""
     lines = enrich(details, ewb, {"ewb_no": "ewb_no"},
                    {"calc_weight": "calc_weight", "operate_weight": "operate_weight",
                     "vol": "vol", "piece": "piece", "product_name": "product_name"})
-    cats = dict(p.categories)
-    per_list = lines.groupBy("ewbs_list_no").agg(
+    return lines.groupBy("ewbs_list_no").agg(
         sum_or_zero("out_piece").alias("road_out_piece_num"),
         present_count("ewb_no").alias("ewb_num"),
         F.sum(prorated("calc_weight", "piece", "out_piece")).alias("road_calc_weight"),
         F.sum(prorated("operate_weight", "piece", "out_piece")).alias("road_operate_weight"),
         F.sum(prorated("vol", "piece", "out_piece")).alias("road_vol"),
         *[F.sum(F.when(F.col("product_name") == F.lit(prod), _category_value(kind))).alias(name)
-          for name, (prod, kind) in cats.items()],
+          for name, (prod, kind) in dict(p.categories).items()],
     )
-    keyed = all_lists.select("ewbs_list_no", "task_no", "first_site_name", "next_site_name") \
-        .join(per_list, "ewbs_list_no", "inner")
-    names = list(MEASURES) + list(cats)
-    return keyed.groupBy("task_no", "first_site_name", "next_site_name") \
+
+
+def measures_by_key(all_lists: DataFrame, p: MartParams) -> DataFrame:
+    """Measures per (task_no, first_site_name, next_site_name): sums of the
+    per-list measures (sums of sums are exact, nulls included)."""
+    names = list(MEASURES) + list(p.categories)
+    return all_lists.groupBy("task_no", "first_site_name", "next_site_name") \
         .agg(*[F.sum(n).alias(n) for n in names])
 
 
@@ -321,20 +371,27 @@ def measures_by_segment(seg: DataFrame, by_key: DataFrame, p: MartParams) -> Dat
 
 # ---------------------------------------------------------------------- mart
 
+def _keep(df: DataFrame, p: MartParams, name: str) -> DataFrame:
+    """Materialize into the shared ``spark.checkpoint.dir`` folder."""
+    if not p.materialize:
+        return df
+    from lanekit.sources.scratch import materialize
+    return materialize(df, f"mart_{name}")
+
+
 def build(spark: SparkSession, tables: Mapping[str, DataFrame], params: MartParams | None = None,
           stages: dict | None = None) -> DataFrame:
     """The published mart (``MART_COLUMNS``). ``stages``, when given, receives
     the intermediate DataFrames by name (for inspection and tests)."""
     p = params or MartParams()
     t = tables
-    details = list_details(t, p)
-    all_lists = lists(t, p, details)
+    per_list = measures_per_list(list_details(t, p), waybills(t, p), p)
+    all_lists = _keep(lists(t, p, per_list), p, "lists")
     first_lists = first_per_group(all_lists, ["task_no", "first_site_id", "next_site_id"],
                                   ["created_time", "ewbs_list_no"])
-    ewb = waybills(t, p)
     seg = segments(shipments(spark, t, p), p)
-    seg4 = segments_enriched(seg, stops(t, p), first_lists, p)
-    by_key = measures_by_key(all_lists, details, ewb, p)
+    seg4 = _keep(segments_enriched(seg, stops(t, p), first_lists, p), p, "segments")
+    by_key = measures_by_key(all_lists, p)
     by_seg = measures_by_segment(seg4, by_key, p)
 
     names = list(MEASURES) + list(p.categories)
@@ -343,7 +400,7 @@ def build(spark: SparkSession, tables: Mapping[str, DataFrame], params: MartPara
     total = seg4.join(right, [F.col(k).eqNullSafe(F.col(a)) for k, a in key_alias.items()], "left") \
         .drop(*key_alias.values())
     if stages is not None:
-        stages.update(stops=stops(t, p), lists=all_lists, first_lists=first_lists, waybills=ewb,
+        stages.update(stops=stops(t, p), lists=all_lists, first_lists=first_lists, per_list=per_list,
                       segments=seg4, measures_by_key=by_key, measures=by_seg)
 
     out_cols = []

@@ -123,12 +123,17 @@ def standin_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     cn = named_nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_regionkey").alias("cn_region"),
                              F.col("full_name").alias("cn_name"))
     hub = named_nation.select(F.col("n_nationkey").alias("hub_key"), F.col("full_name").alias("hub_name"))
-    # customer -> (nation, hub): a dimension-sized frame, joined to orders once
-    cust_route = cust.join(cn, cust.c_nationkey == cn.cn_key, "inner") \
-        .join(hub, F.col("cn_region") == F.col("hub_key"), "inner") \
-        .select("c_custkey", "c_name", "c_mktsegment", "cn_key", "cn_region", "hub_key",
-                F.concat_ws("-", "hub_name", "cn_name", "hub_name").alias("route"))
-    ship = orders.join(cust_route, orders.o_custkey == cust_route.c_custkey, "inner")
+
+    def with_route(facts: DataFrame, cust_cols: list[str]) -> DataFrame:
+        """Fact rows (keyed by o_custkey) -> customer -> nation -> hub. Each
+        dimension is size-checked on its own scan, so the fact side streams."""
+        x = facts.join(broadcast_if_small(cust.select("c_custkey", *cust_cols)),
+                       F.col("o_custkey") == F.col("c_custkey"), "inner")
+        x = x.join(cn, F.col("c_nationkey") == F.col("cn_key"), "inner")
+        return x.join(hub, F.col("cn_region") == F.col("hub_key"), "inner") \
+            .withColumn("route", F.concat_ws("-", "hub_name", "cn_name", "hub_name"))
+
+    ship = with_route(orders, ["c_name", "c_nationkey", "c_mktsegment"])
     shipment = ship.select(
         F.concat(F.lit("PD/ANE"), F.col("o_orderkey").cast("string")).alias("shipment_gid"),
         F.col("o_orderkey").cast("string").alias("attribute1"),
@@ -151,8 +156,8 @@ def standin_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     list_no = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_returnflag"))
     # list header: one per (order, return flag), pre-aggregated from lineitem
     heads = li.groupBy("l_orderkey", "l_returnflag").agg(F.min("l_shipdate").alias("created"))
-    order_route = orders.select("o_orderkey", "o_custkey").join(
-        cust_route.select("c_custkey", "cn_key", "hub_key"), F.col("o_custkey") == F.col("c_custkey"), "inner")
+    order_route = with_route(orders.select("o_orderkey", "o_custkey"), ["c_nationkey"]) \
+        .select("o_orderkey", "cn_key", "hub_key")
     heads = heads.join(order_route, heads.l_orderkey == order_route.o_orderkey, "inner")
     outbound = F.col("l_returnflag") != F.lit("R")
     list_no_df = heads.select(

@@ -35,3 +35,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as parquet below the shared root and return a scan
+    of it: the result is computed a single time however often it is used
+    later, and its lineage is cut (a lost executor re-reads files instead of
+    recomputing the upstream joins). Unlike an uncached ``checkpoint()``,
+    the upstream plan runs once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

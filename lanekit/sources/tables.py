@@ -5,10 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give an under-split input at least ``min_partitions`` tasks
+    (default: the cluster's default parallelism).
+
+    A file scan gets one task per split, and a file holding a single row
+    group cannot be split, so a small table can reach the per-row work as one
+    task. Only inputs with *fewer* splits than the target are redistributed
+    (round-robin, so skew-free); a large input already has enough splits and
+    is returned unchanged, without an extra shuffle. Filters and column
+    pruning are still pushed below the repartition into the scan.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(target) if n < target else df
+
+
+def load(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
     """Parquet scan of ``{sf_dir}/{name}.parquet``; projection and filters
-    applied later are pushed into this scan by Catalyst."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    applied later are pushed into this scan by Catalyst. ``min_partitions``
+    opts into :func:`spread`."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, min_partitions) if min_partitions else df
 
 
 class Tables:
