@@ -14,9 +14,11 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
     """Optimizer's size estimate of ``df`` (file sizes scaled by projection
     and filter estimates). None when the estimate is not reachable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # e.g. Spark Connect: no JVM handle
         return None
+    # py4j returns a Scala BigInt either converted to int or as a JVM object
+    return int(size) if isinstance(size, int) else int(str(size.toString()))
 
 
 def broadcast_limit(df: DataFrame) -> int:

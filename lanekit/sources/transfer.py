@@ -141,7 +141,19 @@ def ensure_database(spark: SparkSession, table: str, location: str | None = None
 def save_table(df: DataFrame, table: str, mode: str = "overwrite", fmt: str = "parquet",
                partition_cols: Sequence[str] = (), dynamic: bool = False) -> None:
     """``saveAsTable`` with optional partitioning. ``dynamic=True`` with
-    overwrite replaces only the partitions present in ``df``."""
+    overwrite replaces only the partitions present in ``df`` (an insert into
+    the existing table; ``saveAsTable`` itself would replace the table)."""
+    spark = df.sparkSession
+    if dynamic and mode == "overwrite" and spark.catalog.tableExists(table):
+        cols = spark.table(table).columns
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            df.select(*cols).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(key, before)
+        return
     w = df.write.mode(mode).format(fmt)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
