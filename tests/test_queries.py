@@ -34,6 +34,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     text = plan_text(QUERIES["filter_conjunction"](spark, SF_SMALL))
     for f in ("EqualTo(l_returnflag,R)", "EqualTo(l_linestatus,F)", "GreaterThan(l_quantity,25.0)"):
         assert f in text.split("PushedFilters:")[1].split("]")[0]
