@@ -7,17 +7,61 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Groups above this many rows are numbered by the split (range-partitioned)
+# path of :func:`rank_rows`; the hot-key set is then at most rows / threshold.
+HOT_GROUP_ROWS = 1_000_000
+# Hot-key sets up to this many keys are broadcast; larger ones are joined
+# with a shuffle.
+MAX_BROADCAST_HOT_KEYS = 100_000
+
 
 def _order(cols: Sequence) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in cols]
 
 
-def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "rn") -> DataFrame:
+def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "rn",
+              skew_safe: bool = False, hot_threshold: int = HOT_GROUP_ROWS,
+              partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by order)``; ascending
     keys sort nulls first (Spark's default). Give a full tie-break in
-    ``order`` for a deterministic numbering."""
-    w = Window.partitionBy(*keys).orderBy(*_order(order))
-    return df.withColumn(out, F.row_number().over(w))
+    ``order`` for a deterministic numbering.
+
+    ``skew_safe=True`` never numbers a group in a single task: groups with
+    more than ``hot_threshold`` rows are range-partitioned on (keys, order)
+    across ``partitions`` tasks (default: shuffle partitions), numbered per
+    task, and shifted by the row counts of the preceding tasks of the same
+    key. Other groups take the ordinary window.
+    """
+    if not skew_safe:
+        w = Window.partitionBy(*keys).orderBy(*_order(order))
+        return df.withColumn(out, F.row_number().over(w))
+    spark = df.sparkSession
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.where(F.col("__n") > F.lit(hot_threshold)).select(*keys)
+    n_hot = hot.count()                          # at most rows / hot_threshold
+    if n_hot == 0:
+        return rank_rows(df, keys, order, out)
+    hot_side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
+    null_safe = [df[k].eqNullSafe(hot_side[k]) for k in keys]
+    cold = df.join(hot_side, null_safe, "left_anti")
+    hot_rows = df.join(hot_side, null_safe, "left_semi")
+
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = _order(order)
+    ranged = hot_rows.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *ordered) \
+        .withColumn("__pid", F.spark_partition_id())
+    local = ranged.withColumn(
+        "__local", F.row_number().over(Window.partitionBy("__pid", *keys).orderBy(*ordered)))
+    # rows per (task, key), then the rows of the same key in earlier tasks
+    per_task = local.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__c"))
+    offsets = per_task.withColumn(
+        "__off", F.coalesce(F.sum("__c").over(
+            Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
+        .drop("__c")
+    numbered = local.join(offsets, ["__pid", *keys], "inner") \
+        .withColumn(out, (F.col("__local") + F.col("__off")).cast("int")).drop("__pid", "__local", "__off")
+    cold_ranked = rank_rows(cold, keys, order, out)
+    return cold_ranked.unionByName(numbered.select(*cold_ranked.columns))
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence,
