@@ -26,7 +26,6 @@ from lanekit.session import get_session  # noqa: E402
 
 HEADLINE = (
     "route_load_mart",        # flagship: 12-input mart, single-pass pre-aggregated measures
-    "view_steps",             # the same mart as ordered SQL view steps
     "category_pivot_sum",
     "prorated_sum",
     "role_playing_join",
