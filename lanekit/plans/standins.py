@@ -40,7 +40,7 @@ from lanekit.functions.columns import SITE_SUFFIX_TOKENS
 from lanekit.operators.filters import OPEN_END
 from lanekit.operators.joins import broadcast_if_small
 from lanekit.plans.mart import MartParams
-from lanekit.sources.tables import Tables
+from lanekit.sources.tables import Tables, spread
 
 # Vehicle types of the stand-in data are order priorities; '5-LOW' is
 # deliberately missing from the vehicle table.
@@ -104,7 +104,9 @@ def standin_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.lit("2021-06-30").alias("end_time")))
 
     supp = broadcast_if_small(t.supplier.select("s_suppkey", "s_nationkey"))
-    li = t.lineitem
+    # fact inputs get at least default-parallelism tasks (a no-op for inputs
+    # that already have that many splits)
+    li = spread(t.lineitem)
     stops = li.join(supp, li.l_suppkey == supp.s_suppkey, "inner").select(
         F.concat(F.lit("PD/ANE"), F.col("l_orderkey").cast("string")).alias("shipment_gid"),
         F.col("l_linenumber").alias("stop_num"),
@@ -115,7 +117,7 @@ def standin_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     reason = region.select(F.col("r_regionkey").cast("string").alias("code_gid"),
                            F.col("r_name").alias("category"))
-    orders = t.orders
+    orders = spread(t.orders)
     equipment = orders.select(F.substring("o_orderpriority", 1, 1).alias("equipment_group_gid"),
                               F.col("o_orderpriority").alias("equipment_group_name")).distinct()
 
