@@ -154,6 +154,12 @@ def save_table(df: DataFrame, table: str, mode: str = "overwrite", fmt: str = "p
         finally:
             spark.conf.set(key, before)
         return
+    if partition_cols:
+        # cluster rows by partition value before a partitioned write so each
+        # task writes few partitions (not tasks x partitions small files);
+        # REBALANCE lets adaptive execution split a hot partition value over
+        # several writers and merge small ones
+        df = df.hint("rebalance", *partition_cols)
     w = df.write.mode(mode).format(fmt)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
