@@ -35,10 +35,13 @@ def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "r
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*_order(order))
         return df.withColumn(out, F.row_number().over(w))
+    from lanekit.sources.scratch import materialize
     spark = df.sparkSession
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.where(F.col("__n") > F.lit(hot_threshold)).select(*keys)
-    n_hot = hot.count()                          # at most rows / hot_threshold
+    # the hot-key set (at most rows / hot_threshold keys) is written once to
+    # the shared folder, so the counting pass is not repeated by the plan
+    hot = materialize(counts.where(F.col("__n") > F.lit(hot_threshold)).select(*keys), "hot_keys")
+    n_hot = hot.count()
     if n_hot == 0:
         return rank_rows(df, keys, order, out)
     hot_side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
