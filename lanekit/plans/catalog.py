@@ -75,7 +75,9 @@ def view_steps(spark, sf_dir):
     from lanekit.sources.tables import load
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
         load(spark, sf_dir, t).createOrReplaceTempView(t)
-    steps = [Step(n, s) for n, s in mart_sql.spark_steps()]
+    # steps read by several later steps are written once (see Step.materialize)
+    shared = {"m_detail", "m_lists_rn", "m_ewb", "m_seg4"}
+    steps = [Step(n, s, materialize=n in shared) for n, s in mart_sql.spark_steps()]
     steps.insert(3, Step("x_disabled", "SELECT * FROM no_such_table", enabled=False))
     steps.insert(5, Step("", "   ", description="blank step"))
     return last_view(run_views(spark, steps))

@@ -17,10 +17,16 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Step:
+    """One named step. ``materialize=True`` writes the step's result once to
+    the shared checkpoint folder and registers the view over those files: a
+    step read by many later steps is then computed once, and its lineage is
+    cut (a fault-tolerant counterpart of ``CACHE TABLE``)."""
+
     name: str
     sql: str | Callable[[SparkSession], DataFrame]
     enabled: bool = True
     description: str = ""
+    materialize: bool = False
 
     @property
     def blank(self) -> bool:
@@ -86,6 +92,9 @@ def run_views(spark: SparkSession, steps: Iterable[Step | tuple | Mapping],
         if not step.enabled or step.blank:
             continue
         df = step.sql(spark) if callable(step.sql) else spark.sql(step.sql)
+        if step.materialize:
+            from lanekit.sources.scratch import materialize
+            df = materialize(df, f"step_{step.name}")
         df.createOrReplaceTempView(step.name)
         out[step.name] = df
     return out
@@ -105,6 +114,6 @@ def _as_step(raw) -> Step:
         if isinstance(enabled, str):
             enabled = enabled.strip().lower() == "true"
         return Step(raw.get("name") or "", raw.get("sql", raw.get("value")) or "", bool(enabled),
-                    raw.get("description") or "")
+                    raw.get("description") or "", bool(raw.get("materialize", False)))
     name, sql, *rest = raw
     return Step(name or "", sql or "", bool(rest[0]) if rest else True)

@@ -37,3 +37,10 @@ def test_sql_route_segments_equals_column_rule(spark):
     sql = df.selectExpr("route_segments(s, f) AS r").collect()
     col = df.select(route_segments("s", F.col("f")).alias("r")).collect()
     assert sql == col
+
+
+def test_materialized_step_is_read_from_files(spark):
+    views = run_views(spark, [Step("m_base", "SELECT id, id * 3 AS y FROM range(5)", materialize=True),
+                              Step("m_use", "SELECT sum(y) AS s FROM m_base")])
+    assert views["m_use"].first()["s"] == 30
+    assert "FileScan parquet" in views["m_base"]._jdf.queryExecution().executedPlan().toString()
