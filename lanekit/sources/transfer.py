@@ -26,6 +26,7 @@ from lanekit.functions.columns import rewrite_text
 from lanekit.operators.filters import apply_conditions
 from lanekit.operators.projections import derive_month
 from lanekit.sources.scratch import scratch_path, unique_name
+from lanekit.sources.tables import spread
 
 # JSON codecs accepted by Spark's text-based writers.
 JSON_CODECS = ("none", "gzip", "snappy", "bzip2", "deflate", "lz4")
@@ -58,12 +59,15 @@ def partition_columns(spark: SparkSession, table: str | DataFrame) -> tuple[str,
 def export_table(spark: SparkSession, table: str | DataFrame, out_dir: str, name: str | None = None,
                  conditions: Mapping[str, Sequence[str]] | None = None, limit: int | None = None,
                  order_by: Sequence[str] | None = None, codec: str | None = None,
-                 columns: Sequence[str] | None = None) -> str:
+                 columns: Sequence[str] | None = None, min_files: int | None = None) -> str:
     """Export a table (or DataFrame) as JSON lines plus its definition.
 
     Conditions are applied first (``where`` then ``having``), then the
     optional ordering and row limit; the target directory is replaced.
-    Returns the export directory ``{out_dir}/{name}``.
+    Compressed JSON is not splittable, so the file count bounds how many
+    tasks can read the export back: an input with fewer splits than
+    ``min_files`` (default: the cluster's default parallelism) is spread to
+    that many writers first. Returns the export directory ``{out_dir}/{name}``.
     """
     if name is None:
         if not isinstance(table, str):
@@ -80,6 +84,8 @@ def export_table(spark: SparkSession, table: str | DataFrame, out_dir: str, name
         df = df.orderBy(*order_by)
     if limit is not None:
         df = df.limit(int(limit))
+    else:
+        df = spread(df, min_files)
     parts = [c for c in partition_columns(spark, table) if c in df.columns]
     target = f"{out_dir.rstrip('/')}/{name}"
     definition = spark.createDataFrame(

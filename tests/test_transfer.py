@@ -130,3 +130,13 @@ def test_describe_and_catalog(spark):
     assert [(r.col_name, r.data_type, r.is_partition, r.row_count) for r in rows] == \
         [("a", "int", False, 1), ("p", "string", True, 1)]
     assert "t" in [r.name for r in X.list_tables(spark, db).collect()]
+
+
+def test_under_split_export_writes_several_files(spark):
+    import glob
+    df = spark.range(0, 1000, numPartitions=1)
+    out = scratch_path(spark, "t_files")
+    src = X.export_table(spark, df, out, name="t", codec="gzip", min_files=4)
+    files = glob.glob(src.replace("file:", "") + "/json/part-*")
+    assert len(files) >= 4
+    assert X.read_export(spark, src).count() == 1000
