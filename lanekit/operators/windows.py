@@ -20,17 +20,18 @@ def _order(cols: Sequence) -> list[Column]:
 
 
 def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "rn",
-              skew_safe: bool = False, hot_threshold: int = HOT_GROUP_ROWS,
+              skew_safe: bool = True, hot_threshold: int = HOT_GROUP_ROWS,
               partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by order)``; ascending
     keys sort nulls first (Spark's default). Give a full tie-break in
     ``order`` for a deterministic numbering.
 
-    ``skew_safe=True`` never numbers a group in a single task: groups with
+    ``skew_safe=True`` (the default) never numbers a group in a single task: groups with
     more than ``hot_threshold`` rows are range-partitioned on (keys, order)
     across ``partitions`` tasks (default: shuffle partitions), numbered per
     task, and shifted by the row counts of the preceding tasks of the same
-    key. Other groups take the ordinary window.
+    key. Other groups take the ordinary window. It costs one extra counting
+    pass; ``skew_safe=False`` gives the plain window.
     """
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*_order(order))
@@ -43,7 +44,7 @@ def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "r
     hot = materialize(counts.where(F.col("__n") > F.lit(hot_threshold)).select(*keys), "hot_keys")
     n_hot = hot.count()
     if n_hot == 0:
-        return rank_rows(df, keys, order, out)
+        return rank_rows(df, keys, order, out, skew_safe=False)
     hot_side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
     null_safe = [df[k].eqNullSafe(hot_side[k]) for k in keys]
     cold = df.join(hot_side, null_safe, "left_anti")
@@ -63,7 +64,7 @@ def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "r
         .drop("__c")
     numbered = local.join(offsets, ["__pid", *keys], "inner") \
         .withColumn(out, (F.col("__local") + F.col("__off")).cast("int")).drop("__pid", "__local", "__off")
-    cold_ranked = rank_rows(cold, keys, order, out)
+    cold_ranked = rank_rows(cold, keys, order, out, skew_safe=False)
     return cold_ranked.unionByName(numbered.select(*cold_ranked.columns))
 
 
@@ -77,5 +78,5 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence,
     window as at most one row per input partition.
     """
     name = keep_rank or "__rn"
-    ranked = rank_rows(df, keys, order, name).where(F.col(name) == 1)
+    ranked = rank_rows(df, keys, order, name, skew_safe=False).where(F.col(name) == 1)
     return ranked if keep_rank else ranked.drop(name)
