@@ -84,8 +84,9 @@ def suffix_for(region_key: Column) -> Column:
     return expr
 
 
-def standin_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    t = Tables(spark, sf_dir)
+def standin_tables(spark: SparkSession, sf_dir: str,
+                   overrides: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    t = Tables(spark, sf_dir, overrides)
     nation = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     region = t.region.select("r_regionkey", "r_name")
     open_end = F.lit(OPEN_END)

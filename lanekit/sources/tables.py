@@ -33,16 +33,20 @@ def load(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None
 
 
 class Tables:
-    """Lazy accessor: ``Tables(spark, d).orders`` is the orders scan."""
+    """Lazy accessor: ``Tables(spark, d).orders`` is the orders scan;
+    ``overrides`` replaces chosen tables with given DataFrames."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, overrides: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.overrides = dict(overrides or {})
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return load(self.spark, self.sf_dir, name)
+        return self[name]
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name in self.overrides:
+            return self.overrides[name]
         return load(self.spark, self.sf_dir, name)
