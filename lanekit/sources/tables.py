@@ -40,6 +40,7 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
         self.overrides = dict(overrides or {})
+        self._scans: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -49,4 +50,6 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.overrides:
             return self.overrides[name]
-        return load(self.spark, self.sf_dir, name)
+        if name not in self._scans:          # one scan object per table
+            self._scans[name] = load(self.spark, self.sf_dir, name)
+        return self._scans[name]
