@@ -90,6 +90,13 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return load(spark, sf_dir, name)
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, spread when they arrive in fewer splits than cores: each
+    text explodes into many lines, so the per-line work needs the tasks."""
+    from lanekit.sources.tables import spread
+    return spread(_t(spark, sf_dir, "documents"))
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -329,7 +336,7 @@ def explode_segments(spark, sf_dir):
              unnest(range(0, len(string_split(text, chr(10))))) AS line_no
       FROM documents) t""")
 def flatmap_lines(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    d = _texts(spark, sf_dir).select("doc_id", "text")
     return G.flat_map_lines(d, "text", "line", with_position=True).select("doc_id", "line_no", "line")
 
 
@@ -339,7 +346,7 @@ def flatmap_lines(spark, sf_dir):
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                  unnest(range(0, len(string_split(text, chr(10))))) AS line_no FROM documents) t""")
 def line_tokens(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    d = _texts(spark, sf_dir).select("doc_id", "text")
     lines = G.flat_map_lines(d, "text", "line", with_position=True)
     return lines.select("doc_id", "line_no", C.clean_line("line").alias("clean"),
                         C.first_token("line").alias("first_tok"))
@@ -359,7 +366,7 @@ def rewrite_text_rules(spark, sf_dir):
     """Documents are written as a text dataset, read back line by line, the
     lines holding a literal are kept and ordered replacement rules applied."""
     path = scratch_path(spark, "text_lines")
-    _t(spark, sf_dir, "documents").select("text").write.mode("overwrite").option("lineSep", "\n").text(path)
+    _texts(spark, sf_dir).select("text").write.mode("overwrite").option("lineSep", "\n").text(path)
     lines = spark.read.option("lineSep", "\n").text(path)
     lines = lines.where(F.col("value").contains(LINE_FILTER))
     return lines.select(C.rewrite_text("value", REWRITE_RULES).alias("value"))
