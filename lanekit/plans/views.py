@@ -100,6 +100,26 @@ def run_views(spark: SparkSession, steps: Iterable[Step | tuple | Mapping],
     return out
 
 
+def steps_from_xml(source: str) -> list[Step]:
+    """Read SQL steps from an XML property file (path or text): each
+    ``<property>`` holds ``sql.name``, ``sql.value``, ``sql.enable`` and
+    ``sql.description``. Steps keep file order; blank and disabled ones are
+    skipped later by :func:`run_views`. This parses a small config file on
+    the driver; the steps themselves run on Spark."""
+    import os
+    import xml.etree.ElementTree as ET
+
+    text = open(source, encoding="utf-8").read() if os.path.exists(source) else source
+    steps = []
+    for prop in ET.fromstring(text).iter("property"):
+        def field(tag: str) -> str:
+            node = prop.find(tag)
+            return (node.text or "").strip() if node is not None else ""
+        enabled = field("sql.enable").lower() != "false"
+        steps.append(Step(field("sql.name"), field("sql.value"), enabled, field("sql.description")))
+    return steps
+
+
 def last_view(views: Mapping[str, DataFrame]) -> DataFrame:
     if not views:
         raise ValueError("no enabled step")

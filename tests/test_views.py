@@ -44,3 +44,20 @@ def test_materialized_step_is_read_from_files(spark):
                               Step("m_use", "SELECT sum(y) AS s FROM m_base")])
     assert views["m_use"].first()["s"] == 30
     assert "FileScan parquet" in views["m_base"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_steps_from_xml(spark):
+    from lanekit.plans.views import steps_from_xml
+    xml = """<configuration>
+      <property><sql.name>x_a</sql.name><sql.value>SELECT 1 AS v UNION ALL SELECT 2 AS v</sql.value>
+        <sql.enable>true</sql.enable><sql.description>first</sql.description></property>
+      <property><sql.name>x_off</sql.name><sql.value>SELECT * FROM nowhere</sql.value>
+        <sql.enable>false</sql.enable></property>
+      <property><sql.name></sql.name><sql.value></sql.value><sql.enable>true</sql.enable></property>
+      <property><sql.name>x_b</sql.name><sql.value>SELECT sum(v) AS s FROM x_a WHERE v &lt; 5</sql.value>
+        <sql.enable>true</sql.enable></property>
+    </configuration>"""
+    steps = steps_from_xml(xml)
+    assert [s.name for s in steps] == ["x_a", "x_off", "", "x_b"]
+    views = run_views(spark, steps)
+    assert list(views) == ["x_a", "x_b"] and views["x_b"].first()["s"] == 3
