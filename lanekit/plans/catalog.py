@@ -302,7 +302,7 @@ def _customer_routes(spark, sf_dir, null_segment: str | None = None) -> DataFram
 
 
 @register("route_segments", f"""
-    SELECT c_custkey, route, array_to_string(segs, '|') AS segments, len(segs) AS n_segments FROM (
+    SELECT c_custkey, route, array_to_string(segs, '|') AS segments, CAST(len(segs) AS INTEGER) AS n_segments FROM (
       SELECT c.c_custkey, {_ROUTE_SQL} AS route, {_duck_segments(_ROUTE_SQL)} AS segs
       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
       JOIN region r ON n.n_regionkey = r.r_regionkey) t""")
@@ -331,7 +331,7 @@ def explode_segments(spark, sf_dir):
 
 
 @register("flatmap_lines", """
-    SELECT doc_id, line_no, line FROM (
+    SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, line FROM (
       SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
              unnest(range(0, len(string_split(text, chr(10))))) AS line_no
       FROM documents) t""")
@@ -341,7 +341,7 @@ def flatmap_lines(spark, sf_dir):
 
 
 @register("line_tokens", """
-    SELECT doc_id, line_no, lower(trim(translate(line, '`''"', ''))) AS clean,
+    SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, lower(trim(translate(line, '`''"', ''))) AS clean,
            regexp_split_to_array(trim(line), '\\s+')[1] AS first_tok
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                  unnest(range(0, len(string_split(text, chr(10))))) AS line_no FROM documents) t""")
@@ -570,8 +570,8 @@ def having_filter(spark, sf_dir):
 
 @register("row_number_rank", """
     SELECT o_custkey, o_orderkey, o_orderdate,
-           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate ASC NULLS FIRST,
-                              o_orderkey ASC NULLS FIRST) AS rn
+           CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate ASC NULLS FIRST,
+                                   o_orderkey ASC NULLS FIRST) AS INTEGER) AS rn
     FROM orders""")
 def row_number_rank(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")

@@ -52,17 +52,28 @@ def digest(rows: list[tuple], cols: list[str]) -> str:
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
 def compare(spark_df, sql: str, con) -> dict:
     s_cols = spark_df.columns
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+               for f in spark_df.schema.fields}
     s_rows = [tuple(r) for r in spark_df.collect()]
     rel = con.sql(sql)
     d_cols = rel.columns
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     d_rows = rel.fetchall()
     res = {
         "rows_spark": len(s_rows), "rows_oracle": len(d_rows),
         "cols_match": sorted(s_cols) == sorted(d_cols),
         "hash_match": digest(s_rows, s_cols) == digest(d_rows, d_cols),
     }
+    res["types_match"] = s_types == d_types
+    if not res["types_match"]:
+        res["types"] = {c: (s_types.get(c), d_types.get(c)) for c in s_types if s_types.get(c) != d_types.get(c)}
     res["ok"] = res["cols_match"] and res["hash_match"] and len(s_rows) == len(d_rows)
     if not res["cols_match"]:
         res["cols"] = (sorted(s_cols), sorted(d_cols))

@@ -31,6 +31,7 @@ def test_entry_smoke(spark):
 def test_query_matches_oracle(spark, con, name):
     res = compare(QUERIES[name](spark, SF_SMALL), ORACLE[name], con)
     assert res["ok"], res
+    assert res["types_match"], res
 
 
 def test_filters_and_columns_reach_the_scan(spark):
