@@ -37,12 +37,30 @@ def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
+_MATERIALIZED: dict[str, list[str]] = {}
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` once as parquet below the shared root and return a scan
     of it: the result is computed a single time however often it is used
     later, and its lineage is cut (a lost executor re-reads files instead of
     recomputing the upstream joins). Unlike an uncached ``checkpoint()``,
-    the upstream plan runs once."""
-    path = scratch_path(df.sparkSession, name)
+    the upstream plan runs once. The path is remembered for
+    :func:`release_all`."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    _MATERIALIZED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.parquet(path)
+
+
+def release_all(spark: SparkSession) -> int:
+    """Delete every intermediate this application materialized (call it once
+    the results that read them are written). Returns how many were removed."""
+    paths = _MATERIALIZED.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    return len(paths)

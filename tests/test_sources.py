@@ -26,3 +26,12 @@ def test_spread_only_touches_under_split_inputs(spark):
     many = spark.range(0, 100, numPartitions=8)
     assert spread(many, 4) is many
     assert Tables(spark, SF_SMALL).region.count() == 5
+
+
+def test_release_all_removes_materialized_files(spark):
+    import os
+    m = scratch.materialize(spark.range(10), "rel")
+    path = m.inputFiles()[0].replace("file:", "")
+    assert os.path.exists(path)
+    assert scratch.release_all(spark) >= 1
+    assert not os.path.exists(path)
