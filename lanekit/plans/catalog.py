@@ -708,6 +708,21 @@ def partitioned_overwrite_roundtrip(spark, sf_dir):
     return spark.table(table)
 
 
+@register("dynamic_overwrite_roundtrip", """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+           o_orderstatus
+    FROM orders""")
+def dynamic_overwrite_roundtrip(spark, sf_dir):
+    """Partitioned table by status; a dynamic overwrite replaces only the
+    partitions present in the new rows ('P'), the others stay."""
+    db = X.scratch_database(spark, "lk_dyn")
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    X.save_table(o, f"{db}.orders", partition_cols=["o_orderstatus"])
+    changed = o.where(F.col("o_orderstatus") == "P").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    X.save_table(changed, f"{db}.orders", partition_cols=["o_orderstatus"], dynamic=True)
+    return spark.table(f"{db}.orders")
+
+
 @register("orc_append_roundtrip", """
     SELECT o_orderkey, o_custkey, o_totalprice,
            CASE WHEN o_orderstatus = 'F' THEN 20220123 ELSE 20220124 END AS dt
