@@ -140,3 +140,24 @@ def test_under_split_export_writes_several_files(spark):
     files = glob.glob(src.replace("file:", "") + "/json/part-*")
     assert len(files) >= 4
     assert X.read_export(spark, src).count() == 1000
+
+
+def test_transfer_errors_and_condition_order(spark):
+    df = spark.range(20).withColumnRenamed("id", "x")
+    with pytest.raises(ValueError):
+        X.export_table(spark, df, scratch_path(spark, "t_err"))          # DataFrame needs a name
+    with pytest.raises(Exception):
+        X.read_definition(spark, scratch_path(spark, "t_missing"))
+    out = scratch_path(spark, "t_cond")
+    # unknown clause names are applied after where/having, blank conditions are ignored
+    src = X.export_table(spark, df, out, name="t",
+                         conditions={"qualify": ["x % 2 = 0"], "where": ["x < 10", ""], "having": ["x > 3"]})
+    assert sorted(r[0] for r in X.read_export(spark, src).collect()) == [4, 6, 8]
+
+
+def test_export_all_and_restore_each(spark):
+    out = scratch_path(spark, "t_all")
+    db = X.scratch_database(spark, "t_all")
+    dirs = X.export_all(spark, [("a", spark.range(3)), ("b", spark.range(5))], out)
+    counts = {n: spark.table(X.restore_table(spark, d, target=f"{db}.{n}")).count() for n, d in dirs.items()}
+    assert counts == {"a": 3, "b": 5}
