@@ -22,7 +22,11 @@ Plan shape (what Catalyst receives):
   or a final aggregate as more than one row per map task;
 * the first list per (task, from site, to site) is taken with
   ``row_number() = 1``, which the optimizer turns into a partial
-  ``WindowGroupLimit`` before the shuffle.
+  ``WindowGroupLimit`` before the shuffle;
+* the two intermediates read by two consumers each (lists with their
+  measures, enriched segments) are written once to the shared checkpoint
+  folder (``MartParams.materialize``), so neither is computed twice and a
+  lost executor re-reads files instead of re-running the joins.
 """
 
 from __future__ import annotations
