@@ -160,3 +160,15 @@ def test_custom_segment_rule(spark):
     rows = M.build(spark, tables(spark), p).where("shipment_gid = 'PD/ANE001'").collect()
     assert {r["by_road_method"] for r in rows} == {"0.5"}
     assert len(rows) == 3
+
+
+def test_absent_category_is_null_while_group_exists(spark):
+    cats = dict(M.DEFAULT_CATEGORIES)
+    cats["dsd_calc_weight"] = ("NO_SUCH_PRODUCT", "calc_weight")
+    cats["jzld_piece_num"] = (BIG, "piece")
+    rows = M.build(spark, tables(spark), params(categories=cats)).where(
+        f"trans_rodes = 'HZ{T0[0]}-SH{T0[2]}'").collect()
+    r = rows[0]
+    assert r["road_calc_weight"] == pytest.approx(20.0)      # the group exists
+    assert r["dsd_calc_weight"] is None                       # category absent: null, not 0
+    assert r["jzld_piece_num"] == 2 + 1 + 1                    # pieces of product rows of that category
