@@ -91,9 +91,8 @@ def standin_tables(spark: SparkSession, sf_dir: str,
     region = t.region.select("r_regionkey", "r_name")
     open_end = F.lit(OPEN_END)
 
-    named_nation = broadcast_if_small(
-        nation.select("n_nationkey", "n_regionkey",
-                      F.concat(F.col("n_name"), suffix_for(F.col("n_regionkey"))).alias("full_name")))
+    named_nation = nation.select("n_nationkey", "n_regionkey",
+                                 F.concat(F.col("n_name"), suffix_for(F.col("n_regionkey"))).alias("full_name"))
 
     location = nation.select(
         F.col("n_nationkey").cast("string").alias("location_gid"),
@@ -132,8 +131,8 @@ def standin_tables(spark: SparkSession, sf_dir: str,
         dimension is size-checked on its own scan, so the fact side streams."""
         x = facts.join(broadcast_if_small(cust.select("c_custkey", *cust_cols)),
                        F.col("o_custkey") == F.col("c_custkey"), "inner")
-        x = x.join(cn, F.col("c_nationkey") == F.col("cn_key"), "inner")
-        return x.join(hub, F.col("cn_region") == F.col("hub_key"), "inner") \
+        x = x.join(broadcast_if_small(cn), F.col("c_nationkey") == F.col("cn_key"), "inner")
+        return x.join(broadcast_if_small(hub), F.col("cn_region") == F.col("hub_key"), "inner") \
             .withColumn("route", F.concat_ws("-", "hub_name", "cn_name", "hub_name"))
 
     ship = with_route(orders, ["c_name", "c_nationkey", "c_mktsegment"])
