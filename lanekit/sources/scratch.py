@@ -2,8 +2,8 @@
 
 Intermediate tables and round-trip exports go below the directory the cluster
 names in ``spark.checkpoint.dir`` (shared storage every executor can reach).
-A machine-local folder is only created when nothing is configured, which is
-the situation in unit tests on ``local[*]``.
+A machine-local folder is only created when nothing is configured and the
+master is local (unit tests); on a cluster the setting is required.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when the session has no shared folder at all (tests).
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lanekit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
