@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lanekit.llm import mixing
+from lanekit.llm import mixing, simhash
 from lanekit.llm.common import WORD, table
 
 QUERIES = {}
@@ -58,3 +58,8 @@ FROM placed
 @register("op8_mix_sources", MIX_SQL)
 def op8_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@register("op9_simhash_near_dedup")
+def op9_simhash_near_dedup(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
