@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from lanekit.llm import mixing, simhash
+from pyspark.sql import functions as F
+
+from lanekit.llm import mixing, quality, simhash
 from lanekit.llm.common import WORD, table
 
 QUERIES = {}
@@ -18,6 +20,14 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+@register("op1_quality_rules")
+def op1_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    q = quality.judged(docs, "q").drop("text")
+    return q.select("doc_id", *[f"q.{m}" for m in quality.MEASURES[:5]], "q.base_failed", "q.kept",
+                    F.col("q.good").alias("good_probability"))
+
+
 MIX_SQL = rf"""
 WITH rows AS (
   SELECT doc_id, source,
