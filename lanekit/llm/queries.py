@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lanekit.llm import mixing, quality, simhash
+from lanekit.llm import mixing, quality, simhash, substring
 from lanekit.llm.common import WORD, table
 
 QUERIES = {}
@@ -73,3 +73,9 @@ def op8_mix_sources(spark, sf_dir):
 @register("op9_simhash_near_dedup")
 def op9_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op10_substring_dedup")
+def op10_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.dedup(docs, "q").select("doc_id", "q.n_words", "q.n_removed", "q.kept_sha256")
