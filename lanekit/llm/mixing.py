@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lanekit.llm.common import n_words, stage
+from lanekit.llm.common import fresh, n_words, stage
 
 KEY_BITS = 60
 WEIGHTS = (5, 2, 1)
@@ -66,10 +66,10 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS,
                     F.least(F.col("cap"), F.col("weight") * F.col("lam")).alias("target")))
 
 
-def sized_documents(docs: DataFrame, seed: str) -> DataFrame:
+def sized_documents(docs: DataFrame, seed: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """The narrow rows the mix is computed on."""
     return docs.select("doc_id", "source", n_words(F.col("text")).alias("size"),
-                       random_key(F.col("doc_id"), seed).alias("key"))
+                       random_key(F.col("doc_id"), seed).alias("key"), *carry)
 
 
 def prefix_sums(rows: DataFrame) -> DataFrame:
@@ -104,9 +104,11 @@ def prefix_sums(rows: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS,
-        max_epochs: int = MAX_EPOCHS, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+        max_epochs: int = MAX_EPOCHS, rows_per_range: int = ROWS_PER_RANGE,
+        carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row of ``docs``
-    (columns doc_id, source, text; others are ignored).
+    (columns doc_id, source, text; others are ignored, but for the narrow ones
+    named in ``carry``, which come last).
 
     ``taken`` is a whole number of times the size: all full epochs of the
     budget, plus once more where the document's middle lies before the cut of
@@ -116,7 +118,8 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS,
     order; a null id counts as the empty string; rows that repeat an id are
     rows of their own, ordered by size among themselves. No rows in, none out.
     """
-    rows = stage(sized_documents(docs, seed), "mix-sizes")
+    extra = tuple(c for c in carry if c != "source")
+    rows = stage(sized_documents(docs, seed, extra), "mix-sizes")
     per_source = stage(source_targets(
         rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")),
         weights, max_epochs), "mix-sources")
@@ -125,10 +128,34 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS,
                              (F.lit(KEY_BITS) - bits).cast("int").alias("shift"))
     rows = (rows.join(plan, F.col("source").eqNullSafe(F.col("named")))
             .withColumn("range", F.call_function("shiftright", F.col("key"), F.col("shift")))
-            .select("source", "range", "key", "doc_id", "size", "source_size", "target"))
+            .select("source", "range", "key", "doc_id", "size", "source_size", "target", *extra))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
     once_more = (F.col("size") > 0) & (F.col("before") + F.col("size") / 2 <= rest)
     return (prefix_sums(rows).withColumn("epochs", epochs.cast("long"))
             .select("doc_id", "size", "source_size", "target",
-                    (F.col("size") * (F.col("epochs") + once_more.cast("long"))).alias("taken")))
+                    (F.col("size") * (F.col("epochs") + once_more.cast("long"))).alias("taken"), *carry))
+
+
+def mixed(docs: DataFrame, **settings) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with its
+    columns unchanged; a document that the mix does not take goes, one that
+    three epochs take comes three times. Rows equal in id, source and text are
+    copies of one another: as many rows come back as the mix takes of them
+    all. Texts move only if the decisions are too many to broadcast."""
+    text = fresh("text")
+    named = docs.withColumn(text, F.xxhash64("text"))
+    times = F.when(F.col("taken") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int")
+    chosen = (mix(named, carry=("source", text), **settings)
+              .groupBy("doc_id", "source", text).agg(F.sum(times).alias("times"), F.count("*").alias("n"))
+              .filter("times > 0"))
+    chosen = stage(chosen, "mix-chosen").select(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col(text).alias("__text"),
+        F.col("times").alias("__times"), F.col("n").alias("__n"))
+    same = (named["doc_id"].eqNullSafe(chosen["__id"]) & named["source"].eqNullSafe(chosen["__source"])
+            & (named[text] == chosen["__text"]))
+    rows = named.join(chosen, same)
+    once = rows.filter("__n = 1").unionByName(
+        rows.filter("__n > 1").dropDuplicates(["__id", "__source", "__text"]))
+    return (once.withColumn("__turn", F.explode(F.sequence(F.lit(1), "__times")))
+            .select(*docs.columns))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lanekit.llm import mixing, quality, simhash, substring
+from lanekit.llm import bpe, mixing, quality, simhash, substring
 from lanekit.llm.common import WORD, table
 
 QUERIES = {}
@@ -65,6 +65,8 @@ FROM placed
 """
 
 
+# ------------------------------------------------------------------ queries
+
 @register("op8_mix_sources", MIX_SQL)
 def op8_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -79,3 +81,8 @@ def op9_simhash_near_dedup(spark, sf_dir):
 def op10_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.dedup(docs, "q").select("doc_id", "q.n_words", "q.n_removed", "q.kept_sha256")
+
+
+@register("op7_bpe_round_trip")
+def op7_bpe_round_trip(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
