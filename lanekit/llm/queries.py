@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lanekit.llm import bpe, mixing, quality, simhash, substring
+from lanekit.llm import bpe, html, mixing, quality, simhash, substring
 from lanekit.llm.common import WORD, table
 
 QUERIES = {}
@@ -86,3 +86,8 @@ def op10_substring_dedup(spark, sf_dir):
 @register("op7_bpe_round_trip")
 def op7_bpe_round_trip(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@register("op3_html_main_text")
+def op3_html_main_text(spark, sf_dir):
+    return html.main_text(table(spark, sf_dir, "pages"))
