@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lanekit.llm import bpe, html, mixing, quality, simhash, substring
+from lanekit.llm import bpe, html, mixing, quality, simhash, substring, warc
 from lanekit.llm.common import WORD, table
 
 QUERIES = {}
@@ -91,3 +91,8 @@ def op7_bpe_round_trip(spark, sf_dir):
 @register("op3_html_main_text")
 def op3_html_main_text(spark, sf_dir):
     return html.main_text(table(spark, sf_dir, "pages"))
+
+
+@register("op4_warc_archive")
+def op4_warc_archive(spark, sf_dir):
+    return warc.archived(spark, table(spark, sf_dir, "pages"))
