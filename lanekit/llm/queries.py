@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lanekit.llm import bpe, html, mixing, quality, simhash, substring, warc
+from lanekit.llm import bpe, html, langid, mixing, quality, simhash, substring, warc
 from lanekit.llm.common import WORD, table
 
 QUERIES = {}
@@ -96,3 +96,8 @@ def op3_html_main_text(spark, sf_dir):
 @register("op4_warc_archive")
 def op4_warc_archive(spark, sf_dir):
     return warc.archived(spark, table(spark, sf_dir, "pages"))
+
+
+@register("op5_language_id")
+def op5_language_id(spark, sf_dir):
+    return langid.predictions(table(spark, sf_dir, "documents"))
