@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lanekit.llm import bpe, html, langid, mixing, quality, simhash, substring, warc
+from lanekit.llm import ann, bpe, html, langid, mixing, quality, simhash, substring, warc
 from lanekit.llm.common import WORD, table
 
 QUERIES = {}
@@ -101,3 +101,8 @@ def op4_warc_archive(spark, sf_dir):
 @register("op5_language_id")
 def op5_language_id(spark, sf_dir):
     return langid.predictions(table(spark, sf_dir, "documents"))
+
+
+@register("op6_nearest_neighbours")
+def op6_nearest_neighbours(spark, sf_dir):
+    return ann.nearest_in_table(table(spark, sf_dir, "embeddings"))
