@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lanekit.llm import ann, bpe, html, langid, mixing, quality, simhash, substring, warc
+from lanekit.llm import ann, bpe, html, langid, mixing, quality, simhash, substring, toxicity, warc
 from lanekit.llm.common import WORD, table
 
 QUERIES = {}
@@ -106,3 +106,8 @@ def op5_language_id(spark, sf_dir):
 @register("op6_nearest_neighbours")
 def op6_nearest_neighbours(spark, sf_dir):
     return ann.nearest_in_table(table(spark, sf_dir, "embeddings"))
+
+
+@register("op2_toxicity")
+def op2_toxicity(spark, sf_dir):
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
