@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lanekit.llm.common import held_out, learnable
+from lanekit.llm.common import fresh, held_out, learnable
 
 BUCKETS = 1 << 14
 TRAIN_PER_LANG = 400
@@ -162,8 +162,9 @@ def identify(docs: DataFrame, model: Model | None, batch: int = 256) -> DataFram
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.float64())],
                                           ["lang_pred", "score"])
 
-    return docs.withColumn("__lang", run("text")).withColumns(
-        {"lang_pred": F.col("__lang.lang_pred"), "score": F.col("__lang.score")}).drop("__lang")
+    found = fresh("lang")
+    return docs.withColumn(found, run("text")).withColumns(
+        {"lang_pred": F.col(found)["lang_pred"], "score": F.col(found)["score"]}).drop(found)
 
 
 def predictions(docs: DataFrame) -> DataFrame:

@@ -149,13 +149,12 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
     chosen = (mix(named, carry=("source", text), **settings)
               .groupBy("doc_id", "source", text).agg(F.sum(times).alias("times"), F.count("*").alias("n"))
               .filter("times > 0"))
+    id_, source, hash_, turns, n, turn = (fresh(c) for c in ("id", "source", "hash", "turns", "n", "turn"))
     chosen = stage(chosen, "mix-chosen").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col(text).alias("__text"),
-        F.col("times").alias("__times"), F.col("n").alias("__n"))
-    same = (named["doc_id"].eqNullSafe(chosen["__id"]) & named["source"].eqNullSafe(chosen["__source"])
-            & (named[text] == chosen["__text"]))
-    rows = named.join(chosen, same)
-    once = rows.filter("__n = 1").unionByName(
-        rows.filter("__n > 1").dropDuplicates(["__id", "__source", "__text"]))
-    return (once.withColumn("__turn", F.explode(F.sequence(F.lit(1), "__times")))
-            .select(*docs.columns))
+        F.col("doc_id").alias(id_), F.col("source").alias(source), F.col(text).alias(hash_),
+        F.col("times").alias(turns), F.col("n").alias(n))
+    rows = named.join(chosen, named["doc_id"].eqNullSafe(F.col(id_)) & named["source"].eqNullSafe(F.col(source))
+                      & (named[text] == F.col(hash_)))
+    once = rows.filter(F.col(n) == 1).unionByName(
+        rows.filter(F.col(n) > 1).dropDuplicates([id_, source, hash_]))
+    return once.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(turns).cast("int")))).select(*docs.columns)

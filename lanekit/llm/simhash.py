@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanekit.llm.common import stage
+from lanekit.llm.common import fresh, stage
 from lanekit.llm.graph import components
 
 SHINGLE = 3
@@ -67,17 +67,18 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for every row."""
+    """(doc_id, uid, fp) for every row; ``uid`` is a hash of its text."""
 
     def run(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], pa.int64())],
-                ["doc_id", "fp"])
+                [b.column(0), b.column(1),
+                 pa.array([fingerprint(t.as_py(), shingle) for t in b.column(2)], pa.int64())],
+                ["doc_id", "uid", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, fp bigint")
+    return (docs.select("doc_id", F.xxhash64("text").alias("uid"), F.col("text").cast("binary").alias("text"))
+            .mapInArrow(run, f"doc_id {kind}, uid bigint, fp bigint"))
 
 
 # ------------------------------------------------------------------ anchors
@@ -227,6 +228,22 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 # ----------------------------------------------------------------- operator
 
+def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """(doc_id, uid, fp, root, component_id) for every row; ``root`` is the
+    smallest fingerprint of its component."""
+    prints = stage(fingerprints(docs, shingle), "simhash-prints")
+    distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
+    roots = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
+    linked = stage(distinct.join(roots, "fp"), "simhash-linked")
+    smallest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    of_linked = linked.join(smallest, "root").select("fp", "root", "component_id")
+    classes = (distinct.join(of_linked, "fp", "left")
+               .select("fp", F.coalesce("root", "fp").alias("root"),
+                       F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id"))
+                       .alias("component_id")))
+    return prints.join(classes, "fp", "left")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint, component_id for every row of ``docs`` (columns
     doc_id, text; others are ignored).
@@ -238,28 +255,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     sequence. Rows that repeat an id are rows of their own (same result for
     equal texts). A null id never is a component's id unless all are null.
     """
-    prints = stage(fingerprints(docs, shingle), "simhash-prints")
-    distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    roots = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
-    linked = stage(distinct.join(roots, "fp"), "simhash-linked")
-    smallest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_linked = linked.join(smallest, "root").select("fp", "component_id")
-    classes = (distinct.join(of_linked, "fp", "left")
-               .select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
-    return (prints.join(classes, "fp", "left")
-            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+    return _grouped(docs, shingle, max_bits).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` that represent their group: the document whose id
-    names the component, with all its columns. Of rows that repeat that id
-    one stays. Texts move only if the list of survivors is too large for the
-    planner to broadcast."""
-    marked = near_duplicates(docs, shingle, max_bits)
-    keep = (marked.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("doc_id").agg(F.count("*").alias("n")))
-    keep = stage(keep, "simhash-keep").select(F.col("doc_id").alias("__kept_id"), F.col("n").alias("__kept_n"))
-    same = docs["doc_id"].eqNullSafe(F.col("__kept_id"))
-    once = docs.join(keep.filter("__kept_n = 1"), same, "left_semi")
-    repeated = docs.join(keep.filter("__kept_n > 1"), same, "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated)
+    """One row of ``docs`` per group, with all its columns: the one of the
+    smallest id (a null id only if there is no other), of rows that share it
+    the one whose text has the smallest hash, and of equal rows any one.
+    Texts move only if the list of survivors is too large for the planner to
+    broadcast."""
+    same = _grouped(docs, shingle, max_bits).groupBy("root", "doc_id", "uid").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid", "n")).alias("first")
+    id_, uid, n = fresh("id"), fresh("uid"), fresh("n")
+    keep = stage(same.groupBy("root").agg(first).select(
+        F.col("first.doc_id").alias(id_), F.col("first.uid").alias(uid), F.col("first.n").alias(n)), "simhash-keep")
+    match = docs["doc_id"].eqNullSafe(F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(uid))
+    once = docs.join(keep.filter(F.col(n) == 1), match, "left_semi")
+    repeated = docs.join(keep.filter(F.col(n) > 1), match)
+    return once.unionByName(repeated.dropDuplicates([id_, uid]).select(*[docs[c] for c in docs.columns]))
