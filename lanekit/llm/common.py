@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from lanekit.sources.scratch import materialize
 
@@ -45,3 +46,21 @@ def learnable(doc_id: Column) -> Column:
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def first_by_hash(rows: DataFrame, group: str, sizes: dict, n: int, salt: str) -> DataFrame:
+    """The ``n`` rows of each group that come first in an order by a hash of
+    ``doc_id``, numbered in column ``turn``. ``sizes`` has the rows per group.
+
+    Hashes are uniform, so about ``4 * n`` rows per group pass a threshold
+    that follows from its size, wherever they lie; only these are ranked.
+    (That fewer than ``n`` pass is beyond chance for ``n`` of some dozens.)
+    """
+    code = F.xxhash64(F.lit(salt), "doc_id")
+    share = F.pmod(code, F.lit(1 << 31)) / F.lit(float(1 << 31))
+    limit = F.lit(None).cast("double")
+    for value, size in sizes.items():
+        limit = F.when(F.col(group) == value, min(1.0, 4.0 * max(n, 100) / size)).otherwise(limit)
+    order = W.partitionBy(group).orderBy(code, "doc_id")
+    return (rows.filter(share < limit).withColumn("turn", F.row_number().over(order))
+            .filter(F.col("turn") <= n))

@@ -211,12 +211,11 @@ def deduce(rows: pd.DataFrame, n_pages: int) -> tuple[int, list[int]]:
     nested, elements = {0}, []
     notices = []
     for t in template.itertuples():
-        if t.token == 0 or t.parent in nested:
-            if t.kind:
-                nested.add(t.token)
-                elements.append(t)
-            else:
-                notices.append(int(t.token))
+        if not t.kind:                                   # a text, wherever it stands
+            notices.append(int(t.token))
+        elif t.token == 0 or t.parent in nested:
+            nested.add(t.token)
+            elements.append(t)
     if not elements:
         return 0, []
     whole = max(e.clean for e in elements)

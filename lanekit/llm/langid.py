@@ -24,9 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from lanekit.llm.common import fresh, held_out, learnable
+from lanekit.llm.common import first_by_hash, fresh, held_out, learnable
 
 BUCKETS = 1 << 14
 TRAIN_PER_LANG = 400
@@ -113,11 +112,9 @@ def train(docs: DataFrame, per_lang: int = TRAIN_PER_LANG, landmarks: int = LAND
     """Fits on rows that may be learned from (see ``learnable``); None if
     there is no such row with letters and a language."""
     labelled = docs.filter(learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    named = [r["lang"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-             .limit(MAX_LANGS).collect()]
-    order = W.partitionBy("lang").orderBy(F.xxhash64(F.lit("langid"), "doc_id"), "doc_id")
-    chosen = (labelled.filter(F.col("lang").isin(named)).select("doc_id", "lang")
-              .withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= per_lang)
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count()
+             .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+    chosen = (first_by_hash(labelled.select("doc_id", "lang"), "lang", sizes, per_lang, "langid")
               .groupBy("doc_id", "lang").agg(F.min("turn").alias("turn")))
 
     @F.arrow_udf("binary")

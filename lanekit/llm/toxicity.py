@@ -22,9 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from lanekit.llm.common import held_out, learnable
+from lanekit.llm.common import first_by_hash, held_out, learnable
 
 WINDOW = 32
 STRIDE = 16
@@ -305,9 +304,9 @@ def sample(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC,
     marked = (labels.filter(learnable(F.col("doc_id")) & F.col("toxic").isin(0, 1))
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     there = docs.filter(F.col("text").isNotNull()).select("doc_id").join(marked, "doc_id").distinct()
-    order = W.partitionBy("toxic").orderBy(F.xxhash64(F.lit("toxicity"), "doc_id"), "doc_id")
-    chosen = (there.withColumn("turn", F.row_number().over(order))
-              .filter(F.col("turn") <= F.when(F.col("toxic") == 1, toxic).otherwise(clean)))
+    sizes = {r["toxic"]: r["count"] for r in there.groupBy("toxic").count().collect()}
+    chosen = first_by_hash(there, "toxic", sizes, max(toxic, clean), "toxicity").filter(
+        F.col("turn") <= F.when(F.col("toxic") == 1, toxic).otherwise(clean))
     # at most toxic + clean ids
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
             .groupBy(F.xxhash64("text").alias("same")).agg(
