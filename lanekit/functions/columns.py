@@ -59,22 +59,37 @@ def rewrite_text(c, rules: Iterable[tuple[str, str]]) -> Column:
     return reduce(lambda acc, r: F.replace(acc, F.lit(r[0]), F.lit(r[1])), rules, _col(c))
 
 
+# The characters that trimming a line removes, U+0000 to U+0020.
+TRIMMED = "".join(map(chr, range(0x21)))
+
+
+def trim_line(c) -> Column:
+    """Without leading and trailing control characters and blanks."""
+    return F.btrim(_col(c), F.lit(TRIMMED))
+
+
 def first_token(c) -> Column:
     """First whitespace-separated token of a trimmed string ('' for blank)."""
-    return F.get(F.split(F.trim(_col(c)), "\\s+"), 0)
+    return F.get(F.split(trim_line(c), "\\s+"), 0)
 
 
 def clean_line(c) -> Column:
     """Trimmed, lower-cased line with quote characters removed."""
-    return F.lower(F.trim(F.translate(_col(c), "`'\"", "")))
+    return F.lower(trim_line(F.translate(_col(c), "`'\"", "")))
 
 
 def stop_pattern(stops: Column) -> Column:
-    """Letter pattern of a stop list: ['X','Y','X','Y'] -> 'A-B-A-B'."""
+    """Letter pattern of a stop list: ['X','Y','X','Y'] -> 'A-B-A-B'. The
+    27th distinct stop is 'A1', the 53rd 'A2': every stop keeps a name of its
+    own."""
     distinct = F.array_distinct(stops)
-    return F.array_join(
-        F.transform(stops, lambda s: F.chr(F.array_position(distinct, s) + F.lit(64))),
-        STOP_SEP)
+
+    def name(s):
+        at = (F.array_position(distinct, s) - 1).cast("int")
+        turn = F.floor(at / 26)
+        return F.concat(F.chr(at % 26 + F.lit(65)), F.when(turn > 0, turn.cast("string")).otherwise(F.lit("")))
+
+    return F.array_join(F.transform(stops, name), STOP_SEP)
 
 
 def route_segments(schedule, factor=1.0, base: int = 1) -> Column:

@@ -1,5 +1,5 @@
 """Joins: dimension enrichment (left joins, role-playing dims, right-side
-residual predicates), semi joins, and a size-checked broadcast."""
+residual predicates) and existence tests."""
 
 from __future__ import annotations
 
@@ -10,53 +10,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def estimated_size_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of ``df`` (file sizes scaled by projection
-    and filter estimates). None when the estimate is not reachable."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except Exception:  # e.g. Spark Connect: no JVM handle
-        return None
-    # py4j returns a Scala BigInt either converted to int or as a JVM object
-    return int(size) if isinstance(size, int) else int(str(size.toString()))
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")
-    raw = str(raw).strip().lower()
-    mult = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(mult, key=len, reverse=True):
-        if raw.endswith(suffix):
-            return int(float(raw[: -len(suffix)]) * mult[suffix])
-    return int(raw)
-
-
-def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
-    """Broadcast hint only when the estimated size is proven under the limit.
-
-    Beyond the limit (or without an estimate) no hint is given: the planner
-    uses a shuffle join and adaptive execution may still switch to a
-    broadcast once the real, runtime size of the side is known.
-    """
-    limit = broadcast_limit(df) if limit_bytes is None else limit_bytes
-    if limit <= 0:
-        return df
-    size = estimated_size_bytes(df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
-
-
 def enrich(df: DataFrame, dim: DataFrame, keys: Mapping[str, str], columns: Mapping[str, str],
            how: str = "left", dim_filter: Column | str | None = None,
-           broadcast: str | bool = "auto") -> DataFrame:
+           broadcast: bool = False) -> DataFrame:
     """Join ``dim`` to ``df`` on ``keys`` (left column -> dim column) and add
     ``columns`` (dim column -> output name).
 
     ``dim_filter`` is a predicate on the dim applied *before* the join, which
     is how an ON-clause residual such as ``d.level in (5, 7)`` keeps unmatched
-    left rows. Keys never match on null. ``broadcast``: "auto" (size-checked),
-    True (caller guarantees a bounded dim) or False.
+    left rows. Keys never match on null. ``broadcast=True`` is for dims that
+    are bounded by construction; otherwise the planner decides by size, and
+    adaptive execution again by the size it meets.
     """
     right = dim
     if dim_filter is not None:
@@ -64,9 +28,7 @@ def enrich(df: DataFrame, dim: DataFrame, keys: Mapping[str, str], columns: Mapp
     key_alias = {rk: f"__rk{i}_{rk}" for i, rk in enumerate(keys.values())}
     right = right.select(*[F.col(rk).alias(a) for rk, a in key_alias.items()],
                          *[F.col(src).alias(out) for src, out in columns.items()])
-    if broadcast == "auto":
-        right = broadcast_if_small(right)
-    elif broadcast is True:
+    if broadcast:
         right = F.broadcast(right)
     cond = reduce(lambda a, b: a & b,
                   [F.col(lk) == F.col(key_alias[rk]) for lk, rk in keys.items()])
@@ -78,13 +40,24 @@ def enrich_chain(df: DataFrame, specs: Sequence[dict]) -> DataFrame:
     return reduce(lambda acc, spec: enrich(acc, **spec), specs, df)
 
 
-def keep_matching(df: DataFrame, keys_df: DataFrame, on: Mapping[str, str] | Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``keys_df`` (left semi join). The
-    right side needs no prior de-duplication: a semi join emits each left row
-    at most once."""
+def _keys_of(keys_df: DataFrame, on: Mapping[str, str] | Sequence[str]) -> tuple[DataFrame, Column]:
+    """The distinct keys and the join condition. Distinct first: a key that
+    holds a large share of the right side leaves each map task as one row,
+    where a semi or anti join would send all its rows to one task (adaptive
+    execution splits hot partitions on the left side of these joins only)."""
     if not isinstance(on, Mapping):
         on = {k: k for k in on}
     alias = {rk: f"__sk{i}" for i, rk in enumerate(on.values())}
-    right = keys_df.select(*[F.col(rk).alias(a) for rk, a in alias.items()])
-    cond = reduce(lambda a, b: a & b, [F.col(lk) == F.col(alias[rk]) for lk, rk in on.items()])
-    return df.join(right, cond, "left_semi")
+    right = keys_df.select(*[F.col(rk).alias(a) for rk, a in alias.items()]).distinct()
+    return right, reduce(lambda a, b: a & b, [F.col(lk) == F.col(alias[rk]) for lk, rk in on.items()])
+
+
+def keep_matching(df: DataFrame, keys_df: DataFrame, on: Mapping[str, str] | Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key occurs in ``keys_df`` (left semi join)."""
+    return df.join(*_keys_of(keys_df, on), "left_semi")
+
+
+def keep_missing(df: DataFrame, keys_df: DataFrame, on: Mapping[str, str] | Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key does not occur in ``keys_df`` (left join, then
+    right key is null, as an anti join)."""
+    return df.join(*_keys_of(keys_df, on), "left_anti")

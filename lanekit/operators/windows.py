@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 # Groups above this many rows are numbered by the split (range-partitioned)
 # path of :func:`rank_rows`; the hot-key set is then at most rows / threshold.
 HOT_GROUP_ROWS = 1_000_000
-# Hot-key sets up to this many keys are broadcast; larger ones are joined
-# with a shuffle.
-MAX_BROADCAST_HOT_KEYS = 100_000
-
 
 def _order(cols: Sequence) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in cols]
@@ -30,8 +26,11 @@ def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "r
     more than ``hot_threshold`` rows are range-partitioned on (keys, order)
     across ``partitions`` tasks (default: shuffle partitions), numbered per
     task, and shifted by the row counts of the preceding tasks of the same
-    key. Other groups take the ordinary window. It costs one extra counting
-    pass; ``skew_safe=False`` gives the plain window.
+    key. The range-partitioned rows are written once, with the number of the
+    range they fell into, and both the numbering and the counts read that
+    table: range bounds are sampled, so planning them twice could cut the same
+    rows differently. Other groups take the ordinary window. It costs one
+    extra counting pass; ``skew_safe=False`` gives the plain window.
     """
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*_order(order))
@@ -42,28 +41,31 @@ def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "r
     # the hot-key set (at most rows / hot_threshold keys) is written once to
     # the shared folder, so the counting pass is not repeated by the plan
     hot = materialize(counts.where(F.col("__n") > F.lit(hot_threshold)).select(*keys), "hot_keys")
-    n_hot = hot.count()
-    if n_hot == 0:
+    if hot.isEmpty():
         return rank_rows(df, keys, order, out, skew_safe=False)
-    hot_side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
-    null_safe = [df[k].eqNullSafe(hot_side[k]) for k in keys]
-    cold = df.join(hot_side, null_safe, "left_anti")
-    hot_rows = df.join(hot_side, null_safe, "left_semi")
+    # the written key set has a known size: the planner broadcasts it or not
+    null_safe = [df[k].eqNullSafe(hot[k]) for k in keys]
+    cold = df.join(hot, null_safe, "left_anti")
+    hot_rows = df.join(hot, null_safe, "left_semi")
 
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = _order(order)
-    ranged = hot_rows.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *ordered) \
-        .withColumn("__pid", F.spark_partition_id())
+    ranged = materialize(
+        hot_rows.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *ordered)
+        .withColumn("__pid", F.spark_partition_id()), "hot_rows")
     local = ranged.withColumn(
         "__local", F.row_number().over(Window.partitionBy("__pid", *keys).orderBy(*ordered)))
     # rows per (task, key), then the rows of the same key in earlier tasks
-    per_task = local.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__c"))
+    per_task = ranged.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__c"))
     offsets = per_task.withColumn(
         "__off", F.coalesce(F.sum("__c").over(
             Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
         .drop("__c")
-    numbered = local.join(offsets, ["__pid", *keys], "inner") \
-        .withColumn(out, (F.col("__local") + F.col("__off")).cast("int")).drop("__pid", "__local", "__off")
+    of = {k: f"__of_{k}" for k in ("__pid", *keys)}
+    offsets = offsets.select(*[F.col(k).alias(a) for k, a in of.items()], "__off")
+    numbered = local.join(offsets, [F.col(k).eqNullSafe(F.col(a)) for k, a in of.items()], "inner") \
+        .withColumn(out, (F.col("__local") + F.col("__off")).cast("int")) \
+        .drop("__local", "__off", "__pid", *of.values())
     cold_ranked = rank_rows(cold, keys, order, out, skew_safe=False)
     return cold_ranked.unionByName(numbered.select(*cold_ranked.columns))
 

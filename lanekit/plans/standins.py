@@ -38,7 +38,6 @@ from pyspark.sql import functions as F
 
 from lanekit.functions.columns import SITE_SUFFIX_TOKENS
 from lanekit.operators.filters import OPEN_END
-from lanekit.operators.joins import broadcast_if_small
 from lanekit.plans.mart import MartParams
 from lanekit.sources.tables import Tables, spread
 
@@ -103,7 +102,7 @@ def standin_tables(spark: SparkSession, sf_dir: str,
         F.concat(F.col("n_name"), F.lit("_OLD")).alias("location_name"),
         F.lit("2021-06-30").alias("end_time")))
 
-    supp = broadcast_if_small(t.supplier.select("s_suppkey", "s_nationkey"))
+    supp = t.supplier.select("s_suppkey", "s_nationkey")
     # fact inputs get at least default-parallelism tasks (a no-op for inputs
     # that already have that many splits)
     li = spread(t.lineitem)
@@ -127,12 +126,11 @@ def standin_tables(spark: SparkSession, sf_dir: str,
     hub = named_nation.select(F.col("n_nationkey").alias("hub_key"), F.col("full_name").alias("hub_name"))
 
     def with_route(facts: DataFrame, cust_cols: list[str]) -> DataFrame:
-        """Fact rows (keyed by o_custkey) -> customer -> nation -> hub. Each
-        dimension is size-checked on its own scan, so the fact side streams."""
-        x = facts.join(broadcast_if_small(cust.select("c_custkey", *cust_cols)),
+        """Fact rows (keyed by o_custkey) -> customer -> nation -> hub."""
+        x = facts.join(cust.select("c_custkey", *cust_cols),
                        F.col("o_custkey") == F.col("c_custkey"), "inner")
-        x = x.join(broadcast_if_small(cn), F.col("c_nationkey") == F.col("cn_key"), "inner")
-        return x.join(broadcast_if_small(hub), F.col("cn_region") == F.col("hub_key"), "inner") \
+        x = x.join(cn, F.col("c_nationkey") == F.col("cn_key"), "inner")
+        return x.join(hub, F.col("cn_region") == F.col("hub_key"), "inner") \
             .withColumn("route", F.concat_ws("-", "hub_name", "cn_name", "hub_name"))
 
     ship = with_route(orders, ["c_name", "c_nationkey", "c_mktsegment"])
@@ -179,7 +177,7 @@ def standin_tables(spark: SparkSession, sf_dir: str,
                                F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("site_code"),
                                F.col("full_name").alias("site_name"),
                                open_end.alias("end_time"))
-    org = nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey, "inner").select(
+    org = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select(
         F.col("n_nationkey").cast("string").alias("svth_lvl_org_brnch_id"),
         F.col("r_name").alias("fith_lvl_org_brnch_nm"),
         F.col("n_name").alias("thrd_lvl_org_brnch_nm"),

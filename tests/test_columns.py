@@ -62,3 +62,12 @@ def test_line_helpers(spark):
     assert one(spark, C.first_token("s"), "  `Name` STRING ") == "`Name`"
     assert one(spark, C.clean_line("s"), "  `Name` 'STRING' ") == "name string"
     assert one(spark, C.first_token("s"), "") == ""
+    assert one(spark, C.first_token("s"), "\t\x00foo bar\r") == "foo"
+    assert one(spark, C.clean_line("s"), "\r\tFoo 'Bar'\t\r ") == "foo bar"
+    assert one(spark, C.clean_line("s"), "\u00a0x") == "\u00a0x"
+
+
+def test_stop_pattern_names_stay_apart(spark):
+    names = one(spark, C.stop_pattern(F.transform(F.sequence(F.lit(1), F.lit(600)), lambda i: i.cast("string")))).split("-")
+    assert names[:2] == ["A", "B"] and names[25:28] == ["Z", "A1", "B1"] and len(set(names)) == 600
+    assert one(spark, C.stop_pattern(F.array(*map(F.lit, "XYXY")))) == "A-B-A-B"

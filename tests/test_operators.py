@@ -58,17 +58,21 @@ def test_keep_matching_is_a_semi_join_without_duplicates(spark):
     assert "LeftSemi" in optimized_text(out)
 
 
-def test_broadcast_only_when_size_is_proven(spark, tmp_path):
-    path = str(tmp_path / "dim")
-    spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(path)
-    small = spark.read.parquet(path)
-    hinted = J.broadcast_if_small(small)
-    assert hinted is not small                                      # file stats prove it small
-    facts = spark.range(100).withColumnRenamed("id", "k")
-    assert "BroadcastHashJoin" in plan_text(facts.join(hinted, "k"))
-    assert J.broadcast_if_small(small, limit_bytes=10) is small      # above the limit: no hint
-    unknown = spark.createDataFrame([(1, "a")], "k int, v string")   # no statistics: no hint
-    assert J.broadcast_if_small(unknown) is unknown
+def test_existence_tests_reduce_a_hot_right_side(spark):
+    """With broadcasts off, a key that holds most of the right side reaches
+    the join as one row."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(10).withColumnRenamed("id", "k")
+        hot = spark.range(5000).select(F.when(F.col("id") < 4900, 3).otherwise(F.col("id") % 7).cast("long").alias("r"))
+        for join, kept in ((J.keep_matching, [0, 1, 2, 3, 4, 5, 6]), (J.keep_missing, [7, 8, 9])):
+            out = join(left, hot, {"k": "r"})
+            assert sorted(r[0] for r in out.collect()) == kept
+            text = plan_text(out)
+            assert "HashAggregate" in text.split("Join", 1)[1] and "Broadcast" not in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_first_per_group_uses_window_group_limit(spark):
@@ -112,11 +116,22 @@ def test_projections(spark):
 
 
 def test_skew_safe_rank_equals_window(spark):
-    # one hot key holding most rows, plus cold keys and a null key
-    rows = [("hot", i % 97, i) for i in range(3000)] + [("c1", 1, 1), ("c1", 0, 2), (None, 5, 3), (None, 4, 4)]
+    # one hot key holding most rows, plus cold keys and null keys
+    rows = [("hot", i % 97, i) for i in range(3000)] + [("c1", 1, 1), ("c1", 0, 2)] \
+        + [(None, i % 5, i) for i in range(300)] + [("c2", None, 3)]
     df = spark.createDataFrame(rows, "k string, t int, id int")
     plain = W.rank_rows(df, ["k"], ["t", "id"], skew_safe=False)
     split = W.rank_rows(df, ["k"], ["t", "id"], skew_safe=True, hot_threshold=100, partitions=7)
     key = lambda r: repr(tuple(r))
     assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)
-    assert "rangepartitioning" in plan_text(split).lower()
+
+
+def test_hot_group_of_400k_rows_with_payload(spark):
+    """All columns equal the plain window's."""
+    df = spark.range(420_000, numPartitions=5).select(
+        F.when(F.col("id") % 21 == 0, F.col("id") % 50).otherwise(-1).alias("k"),
+        (F.hash("id") % 1000).alias("t"), "id", F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    plain = W.rank_rows(df, ["k"], ["t", "id"], skew_safe=False)
+    split = W.rank_rows(df, ["k"], ["t", "id"], hot_threshold=1000, partitions=16)
+    assert split.columns == plain.columns and split.count() == 420_000
+    assert split.exceptAll(plain).isEmpty()
