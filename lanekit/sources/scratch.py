@@ -14,6 +14,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_MATERIALIZED: dict[str, list[str]] = {}
+_DATABASES: dict[str, list[str]] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -30,15 +34,19 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared root."""
-    return f"{shared_root(spark)}/lanekit/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path below the shared root, remembered for
+    :func:`release_all`."""
+    path = f"{shared_root(spark)}/lanekit/{name}-{uuid.uuid4().hex[:12]}"
+    _MATERIALIZED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
-def unique_name(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+def remember_database(spark: SparkSession, name: str) -> None:
+    _DATABASES.setdefault(spark.sparkContext.applicationId, []).append(name)
 
 
-_MATERIALIZED: dict[str, list[str]] = {}
+def unique_name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
 def materialize(df, name: str = "stage"):
@@ -46,19 +54,20 @@ def materialize(df, name: str = "stage"):
     of it: the result is computed a single time however often it is used
     later, and its lineage is cut (a lost executor re-reads files instead of
     recomputing the upstream joins). Unlike an uncached ``checkpoint()``,
-    the upstream plan runs once. The path is remembered for
-    :func:`release_all`."""
+    the upstream plan runs once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    _MATERIALIZED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
 def release_all(spark: SparkSession) -> int:
-    """Delete every intermediate this application materialized (call it once
-    the results that read them are written). Returns how many were removed."""
+    """Delete every scratch folder of this application and the databases in
+    it (call it once the results that read them are written). Returns how many
+    folders were removed."""
     paths = _MATERIALIZED.pop(spark.sparkContext.applicationId, [])
+    for name in _DATABASES.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:

@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Plan nodes behind which the partition count is only known by running jobs,
+# or behind which the order of rows matters.
+_NOT_A_SCAN = re.compile(r"\b(Join|Aggregate|Sort|Window|Repartition\w*|RebalancePartitions|GlobalLimit|Distinct|Generate)\b")
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give an under-split input at least ``min_partitions`` tasks
+    """Give an under-split scan at least ``min_partitions`` tasks
     (default: the cluster's default parallelism).
 
     A file scan gets one task per split, and a file holding a single row
     group cannot be split, so a small table can reach the per-row work as one
-    task. Only inputs with *fewer* splits than the target are redistributed
+    task. Only scans with *fewer* splits than the target are redistributed
     (round-robin, so skew-free); a large input already has enough splits and
-    is returned unchanged, without an extra shuffle. Filters and column
-    pruning are still pushed below the repartition into the scan.
+    is returned unchanged, without an extra shuffle. Anything but projections
+    and filters of a scan is returned unchanged too: its partitions are the
+    planner's, an order is kept, and nothing is executed to count them.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. Spark Connect): leave as is
+    if _NOT_A_SCAN.search(df._jdf.queryExecution().optimizedPlan().toString()):
         return df
-    return df.repartition(target) if n < target else df
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:

@@ -3,13 +3,17 @@
 Export layout (one directory per table)::
 
     {out}/{name}/json/   data as JSON lines (optionally compressed)
-    {out}/{name}/ddl/    one JSON record: table name, schema JSON, partition columns
+    {out}/{name}/ddl/    one JSON record: table name, schema JSON, partition columns,
+                         format, location, comment and the number of exported rows
 
 The saved schema replaces DDL text: restore reads the data *with* it, so
 decimal, date, timestamp, binary, map, struct and all-null columns come back
-with their exact types and in their original order. All data movement is done
-by Spark writers and readers (one task per input split); only the one-record
-definition is read on the driver.
+with their exact types and in their original order; timestamps keep their
+microseconds, and maps whose keys are no strings travel as lists of entries.
+Damaged lines fail the read, and a restore fails unless it has as many rows as
+were exported. All data movement is done by Spark writers and readers (one
+task per input split); only the one-record definition is read on the driver,
+and it is written after the data, so a failed export leaves none behind.
 """
 
 from __future__ import annotations
@@ -18,14 +22,14 @@ import json
 from dataclasses import dataclass
 from typing import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanekit.functions.columns import rewrite_text
 from lanekit.operators.filters import apply_conditions
 from lanekit.operators.projections import derive_month
-from lanekit.sources.scratch import scratch_path, unique_name
+from lanekit.sources.scratch import remember_database, scratch_path, unique_name
 from lanekit.sources.tables import spread
 
 # JSON codecs accepted by Spark's text-based writers.
@@ -35,14 +39,65 @@ DEFINITION_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("schema", T.StringType()),
     T.StructField("partition_cols", T.StringType()),
+    T.StructField("format", T.StringType()),
+    T.StructField("location", T.StringType()),
+    T.StructField("comment", T.StringType()),
+    T.StructField("row_count", T.LongType()),
 ])
 
+# Patterns with all six digits of a timestamp's fraction.
+TIMESTAMPS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+              "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 @dataclass(frozen=True)
 class Definition:
     table: str
     schema: T.StructType
     partition_cols: tuple[str, ...]
+    format: str | None = None
+    location: str | None = None
+    comment: str | None = None
+    row_count: int | None = None
+
+
+# ------------------------------------------------------ types JSON has no form for
+
+def _plain_type(kind: T.DataType) -> T.DataType:
+    """The type a value travels as: maps with keys other than strings are
+    lists of (key, value)."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _plain_type(f.dataType), f.nullable) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_plain_type(kind.elementType), kind.containsNull)
+    if isinstance(kind, T.MapType):
+        value = _plain_type(kind.valueType)
+        if isinstance(kind.keyType, T.StringType):
+            return T.MapType(kind.keyType, value, kind.valueContainsNull)
+        return T.ArrayType(T.StructType([T.StructField("key", _plain_type(kind.keyType), False),
+                                         T.StructField("value", value, kind.valueContainsNull)]))
+    return kind
+
+
+def _convert(c: Column, kind: T.DataType, back: bool) -> Column:
+    """A value of type ``kind`` to its plain form, or ``back``."""
+    if _plain_type(kind) == kind:
+        return c
+    if isinstance(kind, T.StructType):
+        fields = F.struct(*[_convert(c[f.name], f.dataType, back).alias(f.name) for f in kind.fields])
+        return F.when(c.isNotNull(), fields)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _convert(x, kind.elementType, back))
+    if isinstance(kind.keyType, T.StringType):
+        return F.transform_values(c, lambda k, v: _convert(v, kind.valueType, back))
+    entries = c if back else F.map_entries(c)
+    entries = F.transform(entries, lambda e: F.struct(
+        _convert(e["key"], kind.keyType, back).alias("key"), _convert(e["value"], kind.valueType, back).alias("value")))
+    return F.map_from_entries(entries) if back else entries
+
+
+def _converted(df: DataFrame, schema: T.StructType, back: bool) -> DataFrame:
+    return df.select(*[_convert(F.col(f"`{f.name}`"), f.dataType, back).alias(f.name) for f in schema.fields])
 
 
 def _frame(spark: SparkSession, table: str | DataFrame) -> DataFrame:
@@ -65,9 +120,10 @@ def export_table(spark: SparkSession, table: str | DataFrame, out_dir: str, name
     Conditions are applied first (``where`` then ``having``), then the
     optional ordering and row limit; the target directory is replaced.
     Compressed JSON is not splittable, so the file count bounds how many
-    tasks can read the export back: an input with fewer splits than
+    tasks can read the export back: a plain scan with fewer splits than
     ``min_files`` (default: the cluster's default parallelism) is spread to
-    that many writers first. Returns the export directory ``{out_dir}/{name}``.
+    that many writers first. An ordered export keeps its order: file by file,
+    and inside each. Returns the export directory ``{out_dir}/{name}``.
     """
     if name is None:
         if not isinstance(table, str):
@@ -84,50 +140,66 @@ def export_table(spark: SparkSession, table: str | DataFrame, out_dir: str, name
         df = df.orderBy(*order_by)
     if limit is not None:
         df = df.limit(int(limit))
-    else:
+    elif not order_by:
         df = spread(df, min_files)
     parts = [c for c in partition_columns(spark, table) if c in df.columns]
+    about = table_properties(spark, table)
     target = f"{out_dir.rstrip('/')}/{name}"
+    written = Observation()
+    # ignoreNullFields=false keeps all-null columns visible in the files too
+    _converted(df, df.schema, back=False).observe(written, F.count(F.lit(1)).alias("n")) \
+        .write.mode("overwrite").option("compression", codec).option("ignoreNullFields", "false") \
+        .options(**TIMESTAMPS).json(f"{target}/json")
     definition = spark.createDataFrame(
-        [(name, df.schema.json(), json.dumps(parts))], DEFINITION_SCHEMA)
+        [(name, df.schema.json(), json.dumps(parts), about.get("Provider"), about.get("Location"),
+          about.get("Comment"), written.get["n"])], DEFINITION_SCHEMA)
     definition.coalesce(1).write.mode("overwrite").json(f"{target}/ddl")
-    # ignoreNullFields=false keeps all-null columns visible in the files too
-    df.write.mode("overwrite").option("compression", codec).option("ignoreNullFields", "false") \
-        .json(f"{target}/json")
     return target
 
 
+def table_properties(spark: SparkSession, table: str | DataFrame) -> dict[str, str]:
+    """Format, location and comment of a catalog table (none for a DataFrame
+    or a view without them)."""
+    if not isinstance(table, str):
+        return {}
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    at = next((i for i, r in enumerate(rows) if r["col_name"].startswith("# Detailed")), len(rows))
+    return {r["col_name"]: r["data_type"] for r in rows[at:] if r["col_name"] in ("Provider", "Location", "Comment")}
+
+
 def export_all(spark: SparkSession, tables: Iterable[str | tuple[str, DataFrame]], out_dir: str,
-               **kwargs) -> dict[str, str]:
-    """Export several tables (one Spark job each); returns name -> directory."""
+               conditions: Mapping[str, Mapping[str, Sequence[str]]] | None = None, **kwargs) -> dict[str, str]:
+    """Export several tables (one Spark job each); returns name -> directory.
+    ``conditions`` has the conditions of each table by its name; a table
+    without an entry is exported whole."""
     out = {}
     for t in tables:
-        if isinstance(t, tuple):
-            name, df = t
-            out[name] = export_table(spark, df, out_dir, name=name, **kwargs)
-        else:
-            out[t] = export_table(spark, t, out_dir, **kwargs)
+        name, frame = t if isinstance(t, tuple) else (t, t)
+        out[name] = export_table(spark, frame, out_dir, name=name, conditions=(conditions or {}).get(name), **kwargs)
     return out
 
 
 def read_definition(spark: SparkSession, src: str,
                     rename_rules: Sequence[tuple[str, str]] = ()) -> Definition:
     """The saved definition; ``rename_rules`` (literal old -> new, each applied
-    once, in order) rewrite the table name."""
+    once, in order) rewrite the table name, the location and the comment."""
     d = spark.read.schema(DEFINITION_SCHEMA).json(f"{src.rstrip('/')}/ddl")
-    if rename_rules:
-        d = d.withColumn("table", rewrite_text("table", rename_rules))
+    for field in ("table", "location", "comment") if rename_rules else ():
+        d = d.withColumn(field, rewrite_text(field, rename_rules))
     row = d.first()
     if row is None:
         raise FileNotFoundError(f"no table definition under {src}/ddl")
     return Definition(row["table"], T.StructType.fromJson(json.loads(row["schema"])),
-                      tuple(json.loads(row["partition_cols"] or "[]")))
+                      tuple(json.loads(row["partition_cols"] or "[]")), row["format"], row["location"],
+                      row["comment"], row["row_count"])
 
 
 def read_export(spark: SparkSession, src: str, definition: Definition | None = None) -> DataFrame:
-    """Exported rows read with the saved schema (no inference pass)."""
+    """Exported rows read with the saved schema (no inference pass); a line
+    that does not parse is an error."""
     d = definition or read_definition(spark, src)
-    return spark.read.schema(d.schema).json(f"{src.rstrip('/')}/json")
+    rows = spark.read.schema(_plain_type(d.schema)).options(mode="FAILFAST", **TIMESTAMPS).json(f"{src.rstrip('/')}/json")
+    return _converted(rows, d.schema, back=True)
 
 
 def read_json_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -145,20 +217,19 @@ def ensure_database(spark: SparkSession, table: str, location: str | None = None
 
 
 def save_table(df: DataFrame, table: str, mode: str = "overwrite", fmt: str = "parquet",
-               partition_cols: Sequence[str] = (), dynamic: bool = False) -> None:
+               partition_cols: Sequence[str] = (), dynamic: bool = False, location: str | None = None) -> None:
     """``saveAsTable`` with optional partitioning. ``dynamic=True`` with
     overwrite replaces only the partitions present in ``df`` (an insert into
     the existing table; ``saveAsTable`` itself would replace the table)."""
     spark = df.sparkSession
     if dynamic and mode == "overwrite" and spark.catalog.tableExists(table):
-        cols = spark.table(table).columns
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")
-        try:
-            df.select(*cols).write.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set(key, before)
+        # inserts into tables know the mode as a session setting only, which
+        # would hold for others too; writers of files take it as an option
+        about, parts = table_properties(spark, table), partition_columns(spark, table)
+        df.select(*spark.table(table).columns).write.format(about["Provider"]).mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).save(about["Location"])
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(table)
         return
     if partition_cols:
         # cluster rows by partition value before a partitioned write so each
@@ -167,6 +238,8 @@ def save_table(df: DataFrame, table: str, mode: str = "overwrite", fmt: str = "p
         # several writers and merge small ones
         df = df.hint("rebalance", *partition_cols)
     w = df.write.mode(mode).format(fmt)
+    if location:
+        w = w.option("path", location)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     if dynamic:
@@ -176,31 +249,47 @@ def save_table(df: DataFrame, table: str, mode: str = "overwrite", fmt: str = "p
 
 def restore_table(spark: SparkSession, src: str, target: str | None = None,
                   rename_rules: Sequence[tuple[str, str]] = (), mode: str = "overwrite",
-                  fmt: str = "parquet", month_from: str | None = None, dynamic: bool = False,
-                  create_database: bool = True) -> str:
+                  fmt: str | None = None, month_from: str | None = None, dynamic: bool = False,
+                  create_database: bool = True, keep_location: bool = False) -> str:
     """Load an export into a table (partitioned like the source).
 
     The target name is ``target`` or the saved name rewritten by
-    ``rename_rules``. With ``month_from`` (e.g. ``"dt"``) a ``month`` column
-    ``substr(dt, 1, 6)`` is derived when that column exists; if ``month`` is
-    a partition column it is recomputed, not read. Returns the table name.
+    ``rename_rules``; the format is ``fmt``, the saved one or parquet. With
+    ``keep_location`` the table lies at the saved location, rewritten by the
+    same rules. With ``month_from`` (e.g. ``"dt"``) a ``month`` column of the
+    saved schema is recomputed as ``substr(dt, 1, 6)``; a table without one
+    gets none. Fails unless as many rows arrive as were exported. Returns the
+    table name.
     """
     d = read_definition(spark, src, rename_rules)
     name = target or d.table
     df = read_export(spark, src, d)
-    if month_from:
+    if month_from and "month" in d.schema.names:
         df = derive_month(df, month_from, "month")
     parts = list(d.partition_cols)
     if parts:
         df = df.select(*[c for c in df.columns if c not in parts], *parts)
     if create_database:
         ensure_database(spark, name)
-    save_table(df, name, mode=mode, fmt=fmt, partition_cols=parts, dynamic=dynamic)
+    arrived = Observation()
+    save_table(df.observe(arrived, F.count(F.lit(1)).alias("n")), name, mode=mode, fmt=fmt or d.format or "parquet",
+               partition_cols=parts, dynamic=dynamic, location=d.location if keep_location else None)
+    if d.row_count is not None and arrived.get["n"] != d.row_count:
+        raise ValueError(f"{src}: {d.row_count} rows were exported, {arrived.get['n']} arrived in {name}")
     return name
 
 
+def restore_all(spark: SparkSession, sources: Mapping[str, str] | Iterable[str],
+                targets: Mapping[str, str] | None = None, **kwargs) -> dict[str, str]:
+    """Restore several exports (one Spark job each): directories, or name ->
+    directory as :func:`export_all` returns; ``targets`` has target tables by
+    name. Returns name -> table."""
+    named = dict(sources) if isinstance(sources, Mapping) else {s.rstrip("/").rsplit("/", 1)[-1]: s for s in sources}
+    return {n: restore_table(spark, src, target=(targets or {}).get(n), **kwargs) for n, src in named.items()}
+
+
 def clone_definition(spark: SparkSession, schema: T.StructType, target: str,
-                     partition_cols: Sequence[str] = (), fmt: str = "parquet") -> bool:
+                     partition_cols: Sequence[str] = (), fmt: str = "parquet", location: str | None = None) -> bool:
     """Create an empty table with this schema unless it exists. Returns True
     when it was created."""
     if spark.catalog.tableExists(target):
@@ -208,10 +297,25 @@ def clone_definition(spark: SparkSession, schema: T.StructType, target: str,
     ensure_database(spark, target)
     empty = spark.createDataFrame([], schema)
     cols = [f.name for f in schema.fields if f.name not in partition_cols] + list(partition_cols)
-    save_table(empty.select(*cols), target, mode="ignore", fmt=fmt, partition_cols=partition_cols)
+    save_table(empty.select(*cols), target, mode="ignore", fmt=fmt, partition_cols=partition_cols, location=location)
     return True
 
 
+def create_from_export(spark: SparkSession, src: str, target: str | None = None,
+                       rename_rules: Sequence[tuple[str, str]] = (), keep_location: bool = False) -> tuple[str, bool]:
+    """Create the empty table that an export's saved definition describes
+    (columns, partitions, format, comment; with ``keep_location`` also the
+    rewritten location) unless it exists: (table name, created)."""
+    d = read_definition(spark, src, rename_rules)
+    name = target or d.table
+    created = clone_definition(spark, d.schema, name, d.partition_cols, d.format or "parquet",
+                               d.location if keep_location else None)
+    if created and d.comment:
+        text = d.comment.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"COMMENT ON TABLE {name} IS '{text}'")
+    return name, created
+
+
 def insert_rows(spark: SparkSession, df: DataFrame, target: str, overwrite: bool = False) -> None:
     """Insert by column *name*: the frame is reordered to the table's column
     order (partition columns last) before the positional ``insertInto``."""
@@ -243,20 +347,21 @@ def scratch_database(spark: SparkSession, prefix: str = "lanekit") -> str:
     """A new, uniquely named database located below the shared scratch root."""
     name = unique_name(prefix)
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    remember_database(spark, name)
     return name
 
 
-def current_database(spark: SparkSession) -> str:
-    return spark.catalog.currentDatabase()
+def use_database(spark: SparkSession, database: str) -> str:
+    """Make ``database`` current; returns the one that was."""
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(database)
+    return before
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """Catalog listing as a DataFrame (name, database, type, temporary)."""
+    """Catalog listing as a DataFrame: name, database, type and whether it is
+    a temp view, of ``database`` or the current one."""
     rows = [(t.name, t.database, t.tableType, t.isTemporary)
             for t in spark.catalog.listTables(database)]
     return spark.createDataFrame(rows, "name string, database string, table_type string, "
                                        "is_temporary boolean")
-
-
-def with_literal(df: DataFrame, name: str, value) -> DataFrame:
-    return df.withColumn(name, F.lit(value))

@@ -35,3 +35,50 @@ def test_release_all_removes_materialized_files(spark):
     assert os.path.exists(path)
     assert scratch.release_all(spark) >= 1
     assert not os.path.exists(path)
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    """Without spark.checkpoint.dir nothing is written to a machine's own disk
+    unless the master is local."""
+    import pytest
+
+    from lanekit.sources import scratch
+
+    class Context:
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        conf = {}
+
+        def __init__(self, master):
+            self.sparkContext = Context(master)
+
+    for master in ("yarn", "spark://host:7077", "k8s://https://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch.shared_root(Session(master))
+
+
+def test_release_drops_scratch_folders_and_databases(spark):
+    from lanekit.sources import scratch, transfer
+    db = transfer.scratch_database(spark, "t_release")
+    transfer.save_table(spark.range(3), f"{db}.t")
+    frame = scratch.materialize(spark.range(5), "t_release")
+    assert frame.count() == 5
+    mine = {k: list(v) for k, v in scratch._MATERIALIZED.items()}
+    assert scratch.release_all(spark) == sum(map(len, mine.values()))
+    assert not spark.catalog.databaseExists(db)
+
+
+def test_spread_runs_nothing_and_keeps_order(spark):
+    from lanekit.sources.tables import spread
+    grouped = spark.range(100).groupBy("id").count()
+    assert spread(grouped, 64) is grouped
+    ordered = spark.range(100).orderBy("id")
+    assert spread(ordered, 64) is ordered

@@ -161,3 +161,68 @@ def test_export_all_and_restore_each(spark):
     dirs = X.export_all(spark, [("a", spark.range(3)), ("b", spark.range(5))], out)
     counts = {n: spark.table(X.restore_table(spark, d, target=f"{db}.{n}")).count() for n, d in dirs.items()}
     assert counts == {"a": 3, "b": 5}
+
+
+def test_timestamps_keep_microseconds_and_maps_any_key(spark):
+    schema = ("ts timestamp, n timestamp_ntz, m map<int, struct<a: date, b: map<bigint, string>>>, "
+              "l array<map<date, double>>, s struct<m: map<timestamp, int>>, k map<string, map<int, int>>")
+    ts = dt.datetime(2022, 1, 23, 12, 0, 0, 123456)
+    rows = [(ts, ts, {1: (dt.date(2020, 1, 1), {2: "x", 3: None})}, [{dt.date(2020, 1, 2): 0.5}, None], ({ts: 1},),
+             {"a": {1: 2}}), (None,) * 6, (ts, None, {}, [], (None,), {})]
+    df = spark.createDataFrame(rows, schema)
+    src = X.export_table(spark, df, scratch_path(spark, "t_types"), name="t")
+    back = X.read_export(spark, src)
+    assert back.schema.simpleString() == df.schema.simpleString()
+    assert _same(back.collect(), df.collect())
+
+
+def test_damage_is_loud(spark):
+    out, db = scratch_path(spark, "t_damage"), X.scratch_database(spark, "t_damage")
+    src = X.export_table(spark, spark.range(20), out, name="t")
+    assert X.read_definition(spark, src).row_count == 20
+    spark.range(1).selectExpr("'{broken' AS value").write.mode("append").text(f"{src}/json")
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        X.read_export(spark, src).collect()
+    src = X.export_table(spark, spark.range(20), out, name="u")
+    spark.range(5).write.mode("append").json(f"{src}/json")
+    with pytest.raises(ValueError, match="20 rows were exported"):
+        X.restore_table(spark, src, target=f"{db}.u")
+
+
+def test_a_failed_export_leaves_no_definition(spark):
+    out = scratch_path(spark, "t_failed")
+    with pytest.raises(Exception):
+        X.export_table(spark, spark.range(5).selectExpr("raise_error('no') AS x"), out, name="t")
+    with pytest.raises(Exception):
+        X.read_definition(spark, f"{out}/t")
+
+
+def test_ordered_exports_stay_ordered(spark):
+    df = spark.range(2000).selectExpr("id", "(id * 7919) % 2003 AS k")
+    src = X.export_table(spark, df, scratch_path(spark, "t_order"), name="t", order_by=["k"], min_files=6)
+    found = [[r["k"] for r in spark.read.json(f).collect()] for f in sorted(spark.read.json(f"{src}/json").inputFiles())]
+    flat = [k for part in found for k in part]
+    assert flat == sorted(flat) and len(flat) == 2000
+
+
+def test_month_only_where_the_definition_has_it(spark):
+    db, out = X.scratch_database(spark, "t_month"), scratch_path(spark, "t_month")
+    src = X.export_table(spark, spark.createDataFrame([("20220123",)], "dt string"), out, name="a")
+    assert spark.table(X.restore_table(spark, src, target=f"{db}.a", month_from="dt")).columns == ["dt"]
+    src = X.export_table(spark, spark.createDataFrame([("20220123", "x")], "dt string, month string"), out, name="b")
+    assert spark.table(X.restore_table(spark, src, target=f"{db}.b", month_from="dt")).first()["month"] == "202201"
+
+
+def test_definition_carries_format_location_and_comment(spark):
+    db, out = X.scratch_database(spark, "t_def"), scratch_path(spark, "t_def")
+    X.save_table(spark.range(3), f"{db}.t", fmt="orc", location=scratch_path(spark, "old_host"))
+    spark.sql(f"COMMENT ON TABLE {db}.t IS 'kept on old_host'")
+    src = X.export_table(spark, f"{db}.t", out, name=f"{db}.t")
+    rules = [("old_host", "new_host"), (".t", ".u")]
+    d = X.read_definition(spark, src, rules)
+    assert d.format == "orc" and "new_host" in d.location and d.comment == "kept on new_host" and d.table == f"{db}.u"
+    name, created = X.create_from_export(spark, src, rename_rules=rules, keep_location=True)
+    about = X.table_properties(spark, name)
+    assert created and "new_host" in about["Location"] and about["Comment"] == "kept on new_host"
+    assert X.restore_all(spark, [src], rename_rules=[(".t", ".v")]) == {f"{db}.t": f"{db}.v"}
+    assert spark.table(f"{db}.v").count() == 3
