@@ -9,6 +9,7 @@ oracle, since float sums depend on the order of addition.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -215,9 +216,7 @@ def filter_in_list(spark, sf_dir):
     WHERE l.l_orderkey IS NULL""")
 def filter_nulls(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = _t(spark, sf_dir, "lineitem")
-    j = J.enrich(o, li, {"o_orderkey": "l_orderkey"}, {"l_orderkey": "l_orderkey"})
-    return j.where(F.col("l_orderkey").isNull()).select("o_orderkey", "o_custkey")
+    return J.keep_missing(o, _t(spark, sf_dir, "lineitem"), {"o_orderkey": "l_orderkey"})
 
 
 @register("filter_not_equal", """
@@ -244,14 +243,13 @@ def _vehicle_values_sql(extra_dup: bool = True) -> str:
 
 @register("inline_dim", f"""
     {_vehicle_values_sql()}
-    UNION SELECT o_orderpriority AS car_type, 0 AS capacity, 0 AS squares FROM orders
-    WHERE o_orderstatus = 'P'""")
+    UNION SELECT o_orderpriority AS car_type, 0 AS capacity, 0 AS squares FROM orders""")
 def inline_dim(spark, sf_dir):
     """UNION (distinct) of a literal table holding a duplicate row and rows
     derived from orders (many duplicates)."""
     from lanekit.plans.standins import STANDIN_VEHICLES
     lit = M.vehicle_dim(spark, tuple(STANDIN_VEHICLES) + (STANDIN_VEHICLES[0],))
-    derived = _t(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P").select(
+    derived = _t(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("car_type"), F.lit(0).alias("capacity"), F.lit(0).alias("squares"))
     return lit.unionByName(derived).distinct()
 
@@ -323,6 +321,7 @@ _NULL_ROUTE_SQL = f"CASE WHEN c.c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE {_ROU
       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
       JOIN region r ON n.n_regionkey = r.r_regionkey) t WHERE segs IS NOT NULL) u""")
 def explode_segments(spark, sf_dir):
+    """One market segment's routes are null, to meet the null test."""
     cr = _customer_routes(spark, sf_dir, null_segment="AUTOMOBILE").withColumn("segs", C.route_segments("route"))
     ex = G.explode_values(cr.where(F.col("segs").isNotNull()), "segs", "segment")
     f = C.segment_fields("segment")
@@ -340,13 +339,19 @@ def flatmap_lines(spark, sf_dir):
     return G.flat_map_lines(d, "text", "line", with_position=True).select("doc_id", "line_no", "line")
 
 
-@register("line_tokens", """
-    SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, lower(trim(translate(line, '`''"', ''))) AS clean,
-           regexp_split_to_array(trim(line), '\\s+')[1] AS first_tok
+@register("line_tokens", r"""
+    SELECT doc_id, CAST(line_no AS INTEGER) AS line_no,
+           lower(regexp_replace(translate(line, '`''"', ''), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')) AS clean,
+           regexp_split_to_array(regexp_replace(line, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g'), '\s+')[1] AS first_tok
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-                 unnest(range(0, len(string_split(text, chr(10))))) AS line_no FROM documents) t""")
+                 unnest(range(0, len(string_split(text, chr(10))))) AS line_no
+          FROM (SELECT doc_id, text FROM documents UNION ALL
+                SELECT -doc_id, chr(9) || ' ' || replace(text, ' ', chr(9)) || chr(13) || ' ' FROM documents) d) t""")
 def line_tokens(spark, sf_dir):
+    """Each text also in a form with tabs and carriage returns."""
     d = _texts(spark, sf_dir).select("doc_id", "text")
+    d = d.union(d.select(-F.col("doc_id"), F.concat(
+        F.lit("\t "), F.translate("text", " ", "\t"), F.lit("\r "))))
     lines = G.flat_map_lines(d, "text", "line", with_position=True)
     return lines.select("doc_id", "line_no", C.clean_line("line").alias("clean"),
                         C.first_token("line").alias("first_tok"))
@@ -378,6 +383,7 @@ def rewrite_text_rules(spark, sf_dir):
     SELECT o.o_orderkey, c.c_name, c.c_mktsegment
     FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON c.c_custkey = o.o_custkey""")
 def left_join_single(spark, sf_dir):
+    """The right side is filtered so that some orders find no match."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = _t(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0)
     return J.enrich(o, c, {"o_custkey": "c_custkey"}, {"c_name": "c_name", "c_mktsegment": "c_mktsegment"}) \
@@ -391,6 +397,7 @@ def left_join_single(spark, sf_dir):
       FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_orderkey, l_linenumber, l_returnflag) k
     ON k.k1 = l.l_orderkey AND k.k2 = l.l_linenumber AND k.k3 = l.l_returnflag""")
 def left_join_composite(spark, sf_dir):
+    """Keys of closed lines only, so that some lines find no match."""
     li = _t(spark, sf_dir, "lineitem")
     keys = li.where(F.col("l_linestatus") == "F").groupBy("l_orderkey", "l_linenumber", "l_returnflag") \
         .agg(F.count(F.lit(1)).alias("dup_count"))
@@ -500,9 +507,10 @@ def group_sum(spark, sf_dir):
     FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey""")
 def conditional_count(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select("o_orderkey")
-    li = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("lk"))
-    j = o.join(li, F.col("o_orderkey") == F.col("lk"), "left")
-    return j.groupBy("o_orderkey").agg(A.present_count("lk").alias("line_count"))
+    # lines are counted per order first: a hot order is one row per map task
+    per_order = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(A.present_count("l_orderkey").alias("n"))
+    j = J.enrich(o, per_order, {"o_orderkey": "l_orderkey"}, {"n": "n"})
+    return j.groupBy("o_orderkey").agg(A.sum_or_zero("n").alias("line_count"))
 
 
 _PRORATE_SQL = "coalesce(p.p_retailprice, 0) / nullif(coalesce(p.p_size - 1, 0), 0) * coalesce(l.l_quantity, 0)"
@@ -579,6 +587,22 @@ def row_number_rank(spark, sf_dir):
     return W.rank_rows(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "rn", skew_safe=True)
 
 
+_SKEWED = "CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END"
+
+
+@register("row_number_hot", f"""
+    SELECT cust, o_orderkey, o_orderdate, o_totalprice, o_orderpriority,
+           CAST(row_number() OVER (PARTITION BY cust ORDER BY o_orderdate ASC NULLS FIRST,
+                                   o_orderkey ASC NULLS FIRST) AS INTEGER) AS rn
+    FROM (SELECT {_SKEWED} AS cust, * FROM orders) t""")
+def row_number_hot(spark, sf_dir):
+    """A third of all orders under one key, with payload columns: groups of
+    over 100 rows go the way of hot groups, the others the ordinary one."""
+    o = _t(spark, sf_dir, "orders").select(
+        F.expr(_SKEWED).alias("cust"), "o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority")
+    return W.rank_rows(o, ["cust"], ["o_orderdate", "o_orderkey"], "rn", hot_threshold=100)
+
+
 @register("first_per_group", """
     SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
       SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate ASC NULLS FIRST,
@@ -623,7 +647,8 @@ def json_inferred_scan(spark, sf_dir):
 def json_roundtrip(spark, sf_dir):
     out = scratch_path(spark, "json_rt")
     o = _t(spark, sf_dir, "orders")
-    X.export_table(spark, o.limit(10), out, name="orders")   # replaced by the next export
+    # a whole but altered copy, which the next export replaces
+    X.export_table(spark, o.withColumn("o_totalprice", -F.col("o_totalprice")), out, name="orders")
     src = X.export_table(spark, o, out, name="orders")
     return X.read_export(spark, src)
 
@@ -646,23 +671,52 @@ def export_filtered(spark, sf_dir):
     return X.read_export(spark, src)
 
 
-@register("export_all_roundtrip", """
-    SELECT 'region' AS table_name, count(*) AS row_count FROM region
-    UNION ALL SELECT 'nation', count(*) FROM nation
-    UNION ALL SELECT 'supplier', count(*) FROM supplier""")
+# What each table's rows are compared by, after the round trip: their number
+# and the sums of a number and of a text length per table.
+EXPORTED = {
+    "region": ("r_regionkey", "r_name"), "nation": ("n_regionkey", "n_name"), "customer": ("c_custkey", "c_name"),
+    "supplier": ("s_suppkey", "s_name"), "part": ("p_partkey", "p_name"), "orders": ("o_custkey", "o_orderpriority"),
+    "lineitem": ("l_partkey", "l_returnflag"), "events": ("user_id", "event_type"), "documents": ("n_chars", "text"),
+    "embeddings": ("label", None), "pages": ("page_id", "html"), "benchmark": ("item_id", "text"),
+    "labels": ("quality", None), "conversations": ("turn", "text"),
+}
+# Conditions of single tables in the batch; the others are exported whole.
+EXPORT_CONDITIONS = {"orders": {"where": ["o_orderstatus = 'O'"]}, "lineitem": {"where": ["l_quantity > 10", "l_tax > 0"]}}
+
+
+def _table_sums_sql(name: str) -> str:
+    number, text = EXPORTED[name]
+    where = " AND ".join(EXPORT_CONDITIONS.get(name, {}).get("where", ["true"]))
+    return (f"SELECT {_q(name)} AS table_name, count(*) AS row_count, cast(sum({number}) AS BIGINT) AS number_sum, "
+            f"cast(sum({f'length({text})' if text else '0'}) AS BIGINT) AS text_length FROM {name} WHERE {where}")
+
+
+@register("export_all_roundtrip", " UNION ALL ".join(map(_table_sums_sql, EXPORTED)))
 def export_all_roundtrip(spark, sf_dir):
+    """All tables exported in one batch, two of them with conditions of their
+    own, and restored in one batch."""
     out = scratch_path(spark, "export_all")
     db = X.scratch_database(spark, "lk_all")
-    dirs = X.export_all(spark, [(t, _t(spark, sf_dir, t)) for t in ("region", "nation", "supplier")], out)
-    frames = []
-    for name, src in dirs.items():
-        table = X.restore_table(spark, src, target=f"{db}.{name}")
-        frames.append(spark.table(table).groupBy().agg(F.count(F.lit(1)).alias("row_count"))
-                      .select(F.lit(name).alias("table_name"), "row_count"))
-    res = frames[0]
-    for f in frames[1:]:
-        res = res.unionByName(f)
-    return res
+    dirs = X.export_all(spark, [(t, _t(spark, sf_dir, t)) for t in EXPORTED], out, conditions=EXPORT_CONDITIONS)
+    tables = X.restore_all(spark, dirs, targets={t: f"{db}.{t}" for t in EXPORTED})
+    sums = []
+    for name, table in tables.items():
+        number, text = EXPORTED[name]
+        length = F.length(text) if text else F.lit(0)
+        sums.append(spark.table(table).agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum(number).cast("long").alias("number_sum"),
+            F.sum(length).cast("long").alias("text_length"))
+            .select(F.lit(name).alias("table_name"), "row_count", "number_sum", "text_length"))
+    return reduce(DataFrame.unionByName, sums)
+
+
+@register("export_all_values", "SELECT event_type, user_id, ts, value, props FROM events")
+def export_all_values(spark, sf_dir):
+    """Values of the restored events, timestamps to the microsecond."""
+    out, db = scratch_path(spark, "export_values"), X.scratch_database(spark, "lk_val")
+    dirs = X.export_all(spark, [("events", _t(spark, sf_dir, "events").select(
+        "event_type", "user_id", "ts", "value", "props"))], out, codec="gzip")
+    return spark.table(X.restore_all(spark, dirs, targets={"events": f"{db}.events"})["events"])
 
 
 @register("restore_renamed", "SELECT * FROM customer")
@@ -678,20 +732,50 @@ def restore_renamed(spark, sf_dir):
 
 @register("clone_definition", "SELECT * FROM part")
 def clone_definition(spark, sf_dir):
-    db = X.scratch_database(spark, "lk_clone")
+    """A table created empty from an export's saved definition (its name and
+    location rewritten by rules, its format kept) and filled by name."""
+    db, out = X.scratch_database(spark, "lk_clone"), scratch_path(spark, "clone_export")
     p = _t(spark, sf_dir, "part")
-    target = f"{db}.part_copy"
-    X.clone_definition(spark, p.schema, target)
-    X.clone_definition(spark, p.schema, target)      # exists: no-op
+    X.save_table(p, f"{db}.part", fmt="orc", location=scratch_path(spark, "clone_part"))
+    src = X.export_table(spark, f"{db}.part", out, name=f"{db}.part")
+    rules = [(".part", ".part_copy"), ("clone_part", "clone_copy")]
+    target, created = X.create_from_export(spark, src, rename_rules=rules, keep_location=True)
+    again = X.create_from_export(spark, src, rename_rules=rules, keep_location=True)
+    about = X.table_properties(spark, target)
+    if (created, again) != (True, (target, False)) or about["Provider"] != "orc" or "clone_copy" not in about["Location"]:
+        raise AssertionError((created, again, about))
     X.insert_rows(spark, p.select(*reversed(p.columns)), target)
     return spark.table(target)
 
 
+@register("catalog_listing", """
+    SELECT t.name, 'MANAGED' AS table_type, false AS is_temporary, t.name = 'orders' AS in_use, n.row_count
+    FROM (VALUES ('customer'), ('orders')) t(name)
+    JOIN (SELECT 'customer' AS name, count(*) AS row_count FROM customer
+          UNION ALL SELECT 'orders', count(*) FROM orders) n ON n.name = t.name""")
+def catalog_listing(spark, sf_dir):
+    """Tables of the current database after switching to it, with row counts
+    of tables reached by their bare names."""
+    db = X.scratch_database(spark, "lk_use")
+    for t in ("customer", "orders"):
+        X.save_table(_t(spark, sf_dir, t), f"{db}.{t}")
+    before = X.use_database(spark, db)
+    try:
+        listed = X.list_tables(spark).where(~F.col("is_temporary"))
+        counts = reduce(DataFrame.unionByName, [
+            spark.table(t).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("counted"), "row_count")
+            for t in ("customer", "orders")])
+    finally:
+        X.use_database(spark, before)
+    return J.enrich(listed, counts, {"name": "counted"}, {"row_count": "row_count"}).select(
+        "name", "table_type", "is_temporary", (F.col("name") == "orders").alias("in_use"), "row_count")
+
+
 @register("table_overwrite_roundtrip", "SELECT * FROM supplier")
 def table_overwrite_roundtrip(spark, sf_dir):
     db = X.scratch_database(spark, "lk_ow")
     s = _t(spark, sf_dir, "supplier")
-    X.save_table(s.limit(3), f"{db}.supplier")
+    X.save_table(s.withColumn("s_suppkey", -F.col("s_suppkey")), f"{db}.supplier")
     X.save_table(s, f"{db}.supplier")                # overwrite replaces all rows
     return spark.table(f"{db}.supplier")
 

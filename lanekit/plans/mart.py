@@ -11,9 +11,9 @@ Plan shape (what Catalyst receives):
 
 * every dimension is filtered to its current rows and projected before any
   join, so both predicates and column lists reach the scans;
-* small dimensions are broadcast only behind a size check
-  (:func:`lanekit.operators.joins.broadcast_if_small`); the 4-row vehicle
-  table is bounded by construction;
+* small dimensions are broadcast by the planner's size check (and adaptive
+  execution's); only the 4-row vehicle table, bounded by construction, carries
+  a hint;
 * the three measure steps of the original job (all waybills, and two product
   categories), which each repeated the same four-way join, are computed in one
   pass, and the pass is *pre-aggregated*: detail lines are reduced per list,

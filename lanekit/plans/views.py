@@ -48,7 +48,10 @@ RETURN CASE
     sequence(1, size({_STOPS}) - 1),
     k -> concat_ws('*',
            array_join(transform({_STOPS},
-             s -> chr(array_position(array_distinct({_STOPS}), s) + 64)), '-'),
+             s -> concat(chr((array_position(array_distinct({_STOPS}), s) - 1) % 26 + 65),
+                         CASE WHEN array_position(array_distinct({_STOPS}), s) > 26
+                              THEN CAST((array_position(array_distinct({_STOPS}), s) - 1) DIV 26 AS STRING)
+                              ELSE '' END)), '-'),
            concat(get({_STOPS}, k - 1), '-', get({_STOPS}, k)),
            CAST(CAST(factor AS DOUBLE) AS STRING),
            CAST(k AS STRING)))
@@ -81,7 +84,7 @@ def run_views(spark: SparkSession, steps: Iterable[Step | tuple | Mapping],
     """Register every enabled, non-blank step as a temp view, in order.
 
     Steps may be :class:`Step`, ``(name, sql)`` / ``(name, sql, enabled)``
-    tuples or mappings with ``name``, ``sql``/``value``, ``enabled`` and
+    tuples or mappings with ``name``, ``sql``, ``enabled`` and
     ``description``. Returns the step DataFrames by name (in order).
     """
     register_sql_functions(spark)
@@ -100,6 +103,11 @@ def run_views(spark: SparkSession, steps: Iterable[Step | tuple | Mapping],
     return out
 
 
+# The element names of a step file.
+STEP_TAGS = {"step": "property", "name": "sql.name", "sql": "sql.value", "enabled": "sql.enable",
+             "description": "sql.description"}
+
+
 def steps_from_xml(source: str) -> list[Step]:
     """Read SQL steps from an XML property file (path or text): each
     ``<property>`` holds ``sql.name``, ``sql.value``, ``sql.enable`` and
@@ -111,12 +119,12 @@ def steps_from_xml(source: str) -> list[Step]:
 
     text = open(source, encoding="utf-8").read() if os.path.exists(source) else source
     steps = []
-    for prop in ET.fromstring(text).iter("property"):
+    for prop in ET.fromstring(text).iter(STEP_TAGS["step"]):
         def field(tag: str) -> str:
-            node = prop.find(tag)
+            node = prop.find(STEP_TAGS[tag])
             return (node.text or "").strip() if node is not None else ""
-        enabled = field("sql.enable").lower() != "false"
-        steps.append(Step(field("sql.name"), field("sql.value"), enabled, field("sql.description")))
+        enabled = field("enabled").lower() != "false"
+        steps.append(Step(field("name"), field("sql"), enabled, field("description")))
     return steps
 
 
@@ -130,10 +138,10 @@ def _as_step(raw) -> Step:
     if isinstance(raw, Step):
         return raw
     if isinstance(raw, Mapping):
-        enabled = raw.get("enabled", raw.get("isSqlEnable", True))
+        enabled = raw.get("enabled", True)
         if isinstance(enabled, str):
             enabled = enabled.strip().lower() == "true"
-        return Step(raw.get("name") or "", raw.get("sql", raw.get("value")) or "", bool(enabled),
+        return Step(raw.get("name") or "", raw.get("sql") or "", bool(enabled),
                     raw.get("description") or "", bool(raw.get("materialize", False)))
     name, sql, *rest = raw
     return Step(name or "", sql or "", bool(rest[0]) if rest else True)

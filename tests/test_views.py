@@ -12,8 +12,8 @@ def test_steps_skip_disabled_and_blank(spark):
         Step("v_off", "SELECT * FROM missing_table", enabled=False),
         Step("", ""),
         ("v_blank", "   "),
-        {"name": "v_b", "value": "SELECT x * 10 AS y FROM v_a", "isSqlEnable": "true"},
-        {"name": "v_c", "value": "SELECT * FROM missing", "isSqlEnable": "false"},
+        {"name": "v_b", "sql": "SELECT x * 10 AS y FROM v_a", "enabled": "true"},
+        {"name": "v_c", "sql": "SELECT * FROM missing", "enabled": "false"},
     ])
     assert list(views) == ["v_a", "v_b"]
     assert sorted(r[0] for r in last_view(views).collect()) == [10, 20]
