@@ -11,8 +11,9 @@ whose upper bound does not reach the ``k``-th best lower bound are out; the
 others are reranked on the original vectors in double precision.
 
 The query set grows with the table, so it is dealt in blocks, and the table in
-chunks; each block meets each chunk once and sends on at most ``k`` vectors
-per query.
+chunks. Each block meets each chunk once; a task works through its share of the
+chunks and keeps at most ``k`` vectors per query, so what is left to merge does
+not grow with the number of chunks.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from lanekit.llm.common import shuffle_tasks, stage
 K = 20
 ERROR_UNITS = 4.0
 CHUNK_ROWS = 1024
-QUERY_ROWS = 1024
+QUERY_ROWS = 512
 CHUNKS_PER_TASK = 16
 SEED = 7
 
@@ -52,40 +53,56 @@ def signs(bits: np.ndarray, dims: int) -> np.ndarray:
     return np.unpackbits(bits, axis=1, count=dims).astype(np.float32) * 2 - 1
 
 
-def estimates(queries: np.ndarray, bits: np.ndarray, norm: np.ndarray, aligned: np.ndarray,
+def estimates(turned: np.ndarray, size: np.ndarray, bits: np.ndarray, norm: np.ndarray, aligned: np.ndarray,
               units: float = ERROR_UNITS) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products (queries x vectors) of rotated queries and the
-    half-width of their error bounds."""
-    dims = queries.shape[1]
-    code = signs(bits, dims) / np.float32(np.sqrt(dims))
-    found = (queries.astype(np.float32) @ code.T) * (norm / aligned).astype(np.float32)
-    miss = norm * np.sqrt(np.maximum(1 - aligned ** 2, 0)) / aligned
-    width = np.linalg.norm(queries, axis=1)[:, None] * miss * (units / np.sqrt(max(dims - 1, 1)))
+    """Estimated inner products (queries x vectors) of rotated queries of
+    norms ``size`` and the half-width of their error bounds."""
+    dims = turned.shape[1]
+    scale = (norm / (aligned * np.sqrt(dims))).astype(np.float32)
+    found = turned.astype(np.float32) @ (signs(bits, dims) * scale[:, None]).T
+    miss = norm * np.sqrt(np.maximum(1 - aligned ** 2, 0)) / aligned * (units / np.sqrt(max(dims - 1, 1)))
     # a slack for the single precision of the estimate itself
-    return found, (width + 1e-5 * np.linalg.norm(queries, axis=1)[:, None] * norm).astype(np.float32)
-
-
-def search_chunk(q_id: np.ndarray, q: np.ndarray, ids: np.ndarray, vectors: np.ndarray, bits: np.ndarray,
-                 norm: np.ndarray, aligned: np.ndarray, turn: np.ndarray, k: int = K,
-                 units: float = ERROR_UNITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vector, score) of at most ``k`` vectors per query of this
-    chunk, the queries' own rows left out."""
-    out = []
-    for i in range(0, len(q), 128):
-        part, own = q[i:i + 128], q_id[i:i + 128]
-        guess, width = estimates(part @ turn.T, bits, norm, aligned, units)
-        own_row = own[:, None] == ids[None, :]
-        low = np.where(own_row, -np.inf, guess - width)
-        high = np.where(own_row, -np.inf, guess + width)
-        least = np.partition(low, -k, axis=1)[:, -k, None] if len(ids) > k else np.full((len(part), 1), -np.inf)
-        row, col = np.nonzero((high >= least) & ~own_row)
-        score = np.einsum("ij,ij->i", part[row], vectors[col])
-        order = np.lexsort((ids[col], -score, row))
-        row, col, score = row[order], col[order], score[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row, "left")
-        kept = place < k
-        out.append((own[row[kept]], ids[col[kept]], score[kept]))
-    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+    return found, np.outer(size.astype(np.float32), (miss + 1e-5 * norm).astype(np.float32))
+
+
+class Block:
+    """A block of queries and the best vectors found for them so far."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, turn: np.ndarray, k: int = K):
+        self.ids, self.vectors, self.k = ids, vectors, k
+        self.turned, self.size = vectors @ turn.T, np.linalg.norm(vectors, axis=1)
+        self.row, self.found, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def least(self) -> np.ndarray:
+        """The k-th best score of each query so far; minus infinity with fewer."""
+        out = np.full(len(self.ids), -np.inf)
+        count = np.bincount(self.row, minlength=len(self.ids))
+        full = count == self.k
+        out[full] = self.score[np.cumsum(count)[full] - 1]
+        return out
+
+    def meet(self, ids: np.ndarray, vectors: np.ndarray, bits: np.ndarray, norm: np.ndarray, aligned: np.ndarray,
+             units: float = ERROR_UNITS) -> None:
+        """Takes in a chunk: only vectors whose upper bound reaches the k-th
+        best score, or the k-th best lower bound, are reranked."""
+        guess, width = estimates(self.turned, self.size, bits, norm, aligned, units)
+        least, k = self.least(), self.k
+        fresh = np.flatnonzero(least == -np.inf)
+        if len(fresh) and len(ids) > k + 1:            # one more: a query's own row does not count
+            least[fresh] = np.partition(guess[fresh] - width[fresh], -k - 1, axis=1)[:, -k - 1]
+        guess += width
+        row, col = np.nonzero(guess >= np.nextafter(least.astype(np.float32), np.float32(-np.inf))[:, None])
+        other = self.ids[row] != ids[col]
+        row, col = row[other], col[other]
+        if not len(row):
+            return
+        score = np.concatenate([np.einsum("ij,ij->i", self.vectors[row[i:i + 65_536]], vectors[col[i:i + 65_536]])
+                                for i in range(0, len(row), 65_536)])
+        row, found, score = (np.concatenate(x) for x in ((self.row, row), (self.found, ids[col]), (self.score, score)))
+        order = np.lexsort((found, -score, row))
+        row, found, score = row[order], found[order], score[order]
+        kept = np.arange(len(row)) - np.searchsorted(row, row, "left") < k
+        self.row, self.found, self.score = row[kept], found[kept], score[kept]
 
 
 # ------------------------------------------------------------------ operator
@@ -96,6 +113,12 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _narrow(rows: np.ndarray) -> np.ndarray:
+    """In single precision where that loses nothing."""
+    single = rows.astype(np.float32)
+    return single if (single == rows).all() else rows.astype(np.float64)
+
+
 def index(vectors: DataFrame, dims: int, chunk_rows: int = CHUNK_ROWS, seed: int = SEED) -> DataFrame:
     """(ids, vectors, bits, norm, aligned), one row per chunk of ``vectors``
     (vec_id, vector as array<double> of ``dims`` numbers): the table packed
@@ -110,7 +133,7 @@ def index(vectors: DataFrame, dims: int, chunk_rows: int = CHUNK_ROWS, seed: int
                 rows = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
                 bits, norm, aligned = encode(rows, turn)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes()], pa.binary()) for x in (ids, rows.astype(np.float64), bits, norm, aligned)],
+                    [pa.array([x.tobytes()], pa.binary()) for x in (ids, _narrow(rows), bits, norm, aligned)],
                     ["ids", "vectors", "bits", "norm", "aligned"])
 
     return vectors.select("vec_id", "vector").mapInArrow(
@@ -137,21 +160,24 @@ def nearest(vectors: DataFrame, queries: DataFrame, dims: int, k: int = K, units
              .withColumn("block", each(F.lit(blocks).cast("long")))
              .repartition(tasks, "block", "share")
              .join(packed.withColumn("share", each(shares)).repartition(tasks, "block", "share"), ["block", "share"])
-             .select("queries", "ids", "vectors", "bits", "norm", "aligned"))
+             .select("block", "queries", "ids", "vectors", "bits", "norm", "aligned"))
 
     def run(batches):
-        turn = rotation(dims, seed)
+        turn, held = rotation(dims, seed), {}
         for b in batches:
-            for queries, *packed in zip(*b.columns):
-                own = queries.values.field("q").to_numpy(zero_copy_only=False)
-                q = queries.values.field("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
-                ids, rows, bits, norm, aligned = (np.frombuffer(c.as_buffer(), kind) for c, kind in zip(
-                    packed, (np.int64, np.float64, np.uint8, np.float64, np.float64)))
-                n = len(ids)
-                found = search_chunk(own, q, ids, rows.reshape(n, dims), bits.reshape(n, -1), norm, aligned,
-                                     turn, k, units)
-                yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()),
-                                                  pa.array(found[2], pa.float64())], ["query_id", "vec_id", "score"])
+            for number, queries, *packed in zip(*b.columns):
+                if (block := held.get(number.as_py())) is None:
+                    block = held[number.as_py()] = Block(
+                        queries.values.field("q").to_numpy(zero_copy_only=False),
+                        queries.values.field("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims), turn, k)
+                ids, bits, norm, aligned = (np.frombuffer(packed[i].as_buffer(), kind) for i, kind in (
+                    (0, np.int64), (2, np.uint8), (3, np.float64), (4, np.float64)))
+                n, raw = len(ids), packed[1].as_buffer()
+                rows = np.frombuffer(raw, np.float32 if raw.size == 4 * n * dims else np.float64)
+                block.meet(ids, rows.reshape(n, dims).astype(np.float64), bits.reshape(n, -1), norm, aligned, units)
+        for block in held.values():
+            yield pa.RecordBatch.from_arrays([pa.array(block.ids[block.row], pa.int64()), pa.array(block.found, pa.int64()),
+                                              pa.array(block.score, pa.float64())], ["query_id", "vec_id", "score"])
 
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
@@ -173,5 +199,5 @@ def nearest_in_table(table: DataFrame, every: int = 20, k: int = K, **settings)
             .select("vec_id", F.col("embedding").cast("array<double>").alias("vector")))
     sizes = rows.groupBy(F.size("vector").alias("dims")).count().orderBy(F.desc("count"), F.desc("dims")).limit(1).collect()
     dims = sizes[0]["dims"] if sizes else 1
-    rows = rows.filter(F.size("vector") == dims)
+    rows = rows.filter(F.size("vector") == dims).dropDuplicates(["vec_id", "vector"])
     return nearest(rows, rows.filter(F.col("vec_id") % every == 0), dims, k, **settings)

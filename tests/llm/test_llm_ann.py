@@ -56,7 +56,7 @@ def test_bounds_hold():
         x, q = rng.standard_normal((500, dims)) * 3, rng.standard_normal((40, dims))
         turn = ann.rotation(dims)
         assert np.allclose(turn @ turn.T, np.eye(dims))
-        guess, width = ann.estimates(q @ turn.T, *ann.encode(x, turn))
+        guess, width = ann.estimates(q @ turn.T, np.linalg.norm(q, axis=1), *ann.encode(x, turn))
         assert (np.abs(guess - q @ x.T) <= width).mean() > 0.999
 
 
