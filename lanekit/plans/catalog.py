@@ -70,20 +70,27 @@ def route_load_mart(spark, sf_dir):
 
 @register("view_steps", mart_sql.duckdb_oracle(2))
 def view_steps(spark, sf_dir):
-    """The same mart as ordered SQL steps, with one disabled and one blank
-    step that must be skipped."""
+    """The same mart as ordered SQL steps over the input tables, with one
+    disabled and one blank step that must be skipped."""
     from lanekit.plans.views import Step
-    from lanekit.sources.tables import load
-    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
-        load(spark, sf_dir, t).createOrReplaceTempView(t)
-    # steps read by several later steps are written once (see Step.materialize)
-    shared = {"m_detail", "m_lists_rn", "m_ewb", "m_seg4"}
-    steps = [Step(n, s, materialize=n in shared) for n, s in mart_sql.spark_steps()]
+    for name, df in standin_tables(spark, sf_dir).items():
+        df.createOrReplaceTempView(name)
+    # a step that two later ones read is written once (see Step.materialize)
+    steps = [Step(n, s, materialize=n == "leg_list") for n, s in mart_sql.spark_steps()]
     steps.insert(3, Step("x_disabled", "SELECT * FROM no_such_table", enabled=False))
     steps.insert(5, Step("", "   ", description="blank step"))
     return last_view(run_views(spark, steps))
 
 
+@register("mart_publish", mart_sql.duckdb_oracle(2))
+def mart_publish(spark, sf_dir):
+    """From steps to the published table: the mart's SQL steps, its columns
+    appended as ORC to a table partitioned by ``dt``, and read back."""
+    db = X.scratch_database(spark, "lk_mart")
+    X.publish(view_steps(spark, sf_dir), f"{db}.mart")
+    return spark.table(f"{db}.mart").select(*M.MART_COLUMNS)
+
+
 # ---------------------------------------------------------------- helpers
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -284,7 +291,7 @@ _ROUTE_SQL = "concat_ws('-', c.c_mktsegment, n.n_name, r.r_name)"
 
 
 def _duck_segments(sched: str, factor: str = "1.0") -> str:
-    return mart_sql._Dialect("duckdb").segments(sched, factor)
+    return mart_sql.duckdb_segments(sched, factor)
 
 
 def _customer_routes(spark, sf_dir, null_segment: str | None = None) -> DataFrame:

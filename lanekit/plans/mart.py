@@ -14,19 +14,16 @@ Plan shape (what Catalyst receives):
 * small dimensions are broadcast by the planner's size check (and adaptive
   execution's); only the 4-row vehicle table, bounded by construction, carries
   a hint;
-* the three measure steps of the original job (all waybills, and two product
-  categories), which each repeated the same four-way join, are computed in one
-  pass, and the pass is *pre-aggregated*: detail lines are reduced per list,
-  lists per (task, from, to) key, and only then joined to the segments. A key
-  that holds a large share of the detail rows therefore never reaches a join
-  or a final aggregate as more than one row per map task;
-* the first list per (task, from site, to site) is taken with
-  ``row_number() = 1``, which the optimizer turns into a partial
-  ``WindowGroupLimit`` before the shuffle;
-* the two intermediates read by two consumers each (lists with their
-  measures, enriched segments) are written once to the shared checkpoint
-  folder (``MartParams.materialize``), so neither is computed twice and a
-  lost executor re-reads files instead of re-running the joins.
+* measures of all waybills and of the product categories come out of one
+  pass, reduced step by step before anything wide is touched: detail lines per
+  (list, waybill) - the measures are linear in the pieces -, then per list,
+  then per leg (task, origin, destination). A key with a large share of the
+  detail rows never reaches a join as more than one row per map task;
+* a leg's totals and the organisations of its first lists arrive at the
+  segments in one join. All segments of one (order, ordinal, route) lie on the
+  same leg, so a segment's measure is the leg's total times the number of such
+  rows: no second copy of the segments is aggregated and joined back;
+* the whole mart is one lazy plan without intermediate tables.
 """
 
 from __future__ import annotations
@@ -34,18 +31,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanekit.functions.columns import (
     SITE_SUFFIX_TOKENS, STOP_SEP, literal_split, prorated, safe_ratio, segment_fields, split_at,
     stop_pattern, strip_tokens)
-from lanekit.operators.aggregates import present_count, sum_or_zero
+from lanekit.operators.aggregates import sum_or_zero
 from lanekit.operators.filters import OPEN_END, current_rows, half_open, has_prefix, in_list
 from lanekit.operators.generators import explode_values
 from lanekit.operators.joins import enrich
-from lanekit.operators.windows import first_per_group
 
 # Vehicle type -> rated capacity (tonnes) and load volume
 # (cubic metres).
@@ -89,6 +85,7 @@ MART_COLUMNS = (
     "jzld_calc_weight", "phd_piece_num", "phd_calc_weight", "load_rate",
 )
 
+# The warehouse tables the mart reads.
 TABLES = (
     "dwd_fact_tms_shipment", "dwd_fact_tms_shipment_stop", "dwd_fact_tms_location",
     "dim_tms_ane_lw_type", "dim_tms_equipment_group", "dwd_fact_lb_hs_ewbs_list_no",
@@ -103,12 +100,14 @@ def _one(_load_mode: Column) -> Column:
 
 @dataclass
 class MartParams:
-    """Everything the original job hard-coded, as parameters."""
-
-    dt: int | str = 20220123
-    stat_date: str = "2022-01-23 12:00:00"
-    window_start: str | None = None          # plan start >= window_start
-    window_end: str | None = None            # plan start <  window_end
+    """Everything the original job hard-coded, as parameters. The partition
+    date, the statistics date and the window have no defaults: a caller who
+    forgets them must not publish all history into one partition."""
+
+    dt: int | str
+    stat_date: str
+    window_start: str | None                  # plan start >= window_start; None: open
+    window_end: str | None                    # plan start <  window_end; None: open
     shipment_prefix: str | None = SHIPMENT_PREFIX
     statuses: tuple | None = KEPT_STATUSES
     cancelled_status: str = CANCELLED_STATUS
@@ -128,11 +127,6 @@ class MartParams:
     # without a string round trip
     segment_rule: Callable[[Column, Column], Column] | None = None
     stop_base: int = 1                        # ordinal of the first segment
-    # write the two intermediates that have two consumers each (lists with
-    # their measures, enriched segments) to the shared checkpoint folder so
-    # they are computed once and their lineage is cut; False keeps one fully
-    # lazy plan (Spark then computes each of them twice)
-    materialize: bool = True
     load_rate_scale: float = 1.0              # weight unit / capacity unit
 
 
@@ -297,24 +291,19 @@ def segments(ship: DataFrame, p: MartParams) -> DataFrame:
     )
 
 
-def segments_enriched(seg: DataFrame, stop: DataFrame, first_lists: DataFrame, p: MartParams) -> DataFrame:
-    """Add planned/actual departure of the segment's origin stop and the
-    origin/destination organisation of the first list on that leg."""
+def segments_timed(seg: DataFrame, stop: DataFrame, p: MartParams) -> DataFrame:
+    """Segments of kept modes with the planned and actual departure of their
+    origin stop (a stop recorded several times gives several rows)."""
+    if p.excluded_mode is not None:
+        # standard SQL: a null mode is dropped as well
+        seg = seg.where(F.col("trans_mode") != p.excluded_mode)
     seg = seg.withColumn("__road_no", F.col("by_road_num").try_cast("int"))
     stop = stop.select("shipment_gid", "stop_num", "location_name",
                        "planned_departure", "actual_departure")
-    out = enrich(seg, stop,
-                 {"shipment_gid": "shipment_gid", "__road_no": "stop_num", "first_rodes": "location_name"},
-                 {"planned_departure": "road_planned_schedule", "actual_departure": "road_actual_schedule"})
-    out = enrich(out, first_lists,
-                 {"order_id": "task_no", "first_rodes": "first_site_name", "next_rodes": "next_site_name"},
-                 {"first_distribute_nm": "first_distribute_nm", "first_prov_nm": "first_prov_nm",
-                  "next_distribute_nm": "next_distribute_nm", "next_prov_nm": "next_prov_nm"})
-    out = out.drop("__road_no")
-    if p.excluded_mode is not None:
-        # standard SQL: a null mode is dropped as well
-        out = out.where(F.col("trans_mode") != p.excluded_mode)
-    return out
+    return enrich(seg, stop,
+                  {"shipment_gid": "shipment_gid", "__road_no": "stop_num", "first_rodes": "location_name"},
+                  {"planned_departure": "road_planned_schedule", "actual_departure": "road_actual_schedule"}) \
+        .drop("__road_no")
 
 
 # ------------------------------------------------------------------- measures
@@ -324,88 +313,81 @@ MEASURES = ("road_out_piece_num", "ewb_num", "road_calc_weight", "road_operate_w
 
 def _category_value(kind: str) -> Column:
     if kind == "piece":
-        return F.col("out_piece")
-    if kind == "calc_weight":
-        return prorated("calc_weight", "piece", "out_piece")
-    if kind == "operate_weight":
-        return prorated("operate_weight", "piece", "out_piece")
-    if kind == "vol":
-        return prorated("vol", "piece", "out_piece")
+        return F.col("pieces")
+    if kind in ("calc_weight", "operate_weight", "vol"):
+        return prorated(kind, "piece", "pieces")
     raise ValueError(f"unknown category measure kind {kind!r}")
 
 
 def measures_per_list(details: DataFrame, ewb: DataFrame, p: MartParams) -> DataFrame:
-    """Measures per hand-over list (partial aggregation before the shuffle).
-    A detail line whose waybill is missing still counts as a piece and a
-    waybill and adds null to the weights."""
-    lines = enrich(details, ewb, {"ewb_no": "ewb_no"},
+    """Measures per hand-over list. Detail lines are summed per (list,
+    waybill) first, so a hot waybill or list meets the waybill join as one row
+    per list. A waybill that is missing still counts its pieces and lines and
+    adds null to the weights; one with several products counts once for each."""
+    loads = details.groupBy("ewbs_list_no", "ewb_no").agg(
+        F.sum("out_piece").alias("pieces"), F.count(F.lit(1)).alias("lines"))
+    loads = enrich(loads, ewb, {"ewb_no": "ewb_no"},
                    {"calc_weight": "calc_weight", "operate_weight": "operate_weight",
                     "vol": "vol", "piece": "piece", "product_name": "product_name"})
-    return lines.groupBy("ewbs_list_no").agg(
-        sum_or_zero("out_piece").alias("road_out_piece_num"),
-        present_count("ewb_no").alias("ewb_num"),
-        F.sum(prorated("calc_weight", "piece", "out_piece")).alias("road_calc_weight"),
-        F.sum(prorated("operate_weight", "piece", "out_piece")).alias("road_operate_weight"),
-        F.sum(prorated("vol", "piece", "out_piece")).alias("road_vol"),
+    return loads.groupBy("ewbs_list_no").agg(
+        sum_or_zero("pieces").alias("road_out_piece_num"),
+        F.sum(F.when(F.col("ewb_no").isNull(), 0).otherwise(F.col("lines"))).alias("ewb_num"),
+        *[F.sum(prorated(w, "piece", "pieces")).alias(out) for w, out in (
+            ("calc_weight", "road_calc_weight"), ("operate_weight", "road_operate_weight"), ("vol", "road_vol"))],
         *[F.sum(F.when(F.col("product_name") == F.lit(prod), _category_value(kind))).alias(name)
           for name, (prod, kind) in dict(p.categories).items()],
     )
 
 
-def measures_by_key(all_lists: DataFrame, p: MartParams) -> DataFrame:
-    """Measures per (task_no, first_site_name, next_site_name): sums of the
-    per-list measures (sums of sums are exact, nulls included)."""
-    names = list(MEASURES) + list(p.categories)
-    return all_lists.groupBy("task_no", "first_site_name", "next_site_name") \
-        .agg(*[F.sum(n).alias(n) for n in names])
+# What a leg takes from its first list.
+FIRST_LIST = ("first_distribute_nm", "first_prov_nm", "next_distribute_nm", "next_prov_nm")
 
 
-def measures_by_segment(seg: DataFrame, by_key: DataFrame, p: MartParams) -> DataFrame:
-    """Measures per (trans_rodes, order_id, by_road_num): every segment row
-    takes the totals of the lists on its (order, origin, destination)."""
+def legs(all_lists: DataFrame, p: MartParams) -> DataFrame:
+    """One row per (task, origin name, destination name): the sums of the
+    lists' measures, and in ``firsts`` the organisations of the earliest list
+    of every (task, origin id, destination id) under these names. The earliest
+    list is a minimum over (time, list), so it is found by the same partial
+    aggregation as the sums."""
     names = list(MEASURES) + list(p.categories)
-    joined = seg.select("order_id", "by_road_num", "trans_rodes", "first_rodes", "next_rodes").join(
-        by_key,
-        (F.col("order_id") == F.col("task_no")) & (F.col("first_rodes") == F.col("first_site_name"))
-        & (F.col("next_rodes") == F.col("next_site_name")),
-        "inner")
-    return joined.groupBy("trans_rodes", "order_id", "by_road_num") \
-        .agg(*[F.sum(n).alias(n) for n in names])
+    ids, by_name = ["task_no", "first_site_id", "next_site_id"], ["task_no", "first_site_name", "next_site_name"]
+    pairs = all_lists.groupBy(*ids, *by_name[1:]).agg(
+        *[F.sum(n).alias(n) for n in names],
+        F.min(F.struct("created_time", "ewbs_list_no", *FIRST_LIST, *by_name[1:])).alias("first"))
+    # an id with several names keeps one first list
+    earliest = F.min("first").over(Window.partitionBy(*ids))
+    pairs = pairs.withColumn("first", F.when(F.col("first") == earliest, F.col("first")))
+    return pairs.groupBy(*by_name).agg(*[F.sum(n).alias(n) for n in names], F.collect_list("first").alias("firsts"))
+
+
+def with_leg_measures(seg: DataFrame, leg: DataFrame, p: MartParams) -> DataFrame:
+    """Segments with their leg's organisations (a row per first list) and
+    measures: the leg's totals, once for each row of the same order, ordinal
+    and route."""
+    names = list(MEASURES) + list(p.categories)
+    out = enrich(seg, leg, {"order_id": "task_no", "first_rodes": "first_site_name", "next_rodes": "next_site_name"},
+                 {c: c for c in (*names, "firsts")})
+    out = out.select("*", F.explode_outer("firsts").alias("__first")).drop("firsts")
+    out = out.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("order_id", "by_road_num", "trans_rodes")))
+    return out.withColumns({**{c: F.col("__first")[c] for c in FIRST_LIST},
+                            **{n: F.col(n) * F.col("__n") for n in names}}).drop("__first", "__n")
 
 
 # ---------------------------------------------------------------------- mart
 
-def _keep(df: DataFrame, p: MartParams, name: str) -> DataFrame:
-    """Materialize into the shared ``spark.checkpoint.dir`` folder."""
-    if not p.materialize:
-        return df
-    from lanekit.sources.scratch import materialize
-    return materialize(df, f"mart_{name}")
-
-
-def build(spark: SparkSession, tables: Mapping[str, DataFrame], params: MartParams | None = None,
+def build(spark: SparkSession, tables: Mapping[str, DataFrame], params: MartParams,
           stages: dict | None = None) -> DataFrame:
     """The published mart (``MART_COLUMNS``). ``stages``, when given, receives
     the intermediate DataFrames by name (for inspection and tests)."""
-    p = params or MartParams()
-    t = tables
+    p, t = params, tables
     per_list = measures_per_list(list_details(t, p), waybills(t, p), p)
-    all_lists = _keep(lists(t, p, per_list), p, "lists")
-    first_lists = first_per_group(all_lists, ["task_no", "first_site_id", "next_site_id"],
-                                  ["created_time", "ewbs_list_no"])
-    seg = segments(shipments(spark, t, p), p)
-    seg4 = _keep(segments_enriched(seg, stops(t, p), first_lists, p), p, "segments")
-    by_key = measures_by_key(all_lists, p)
-    by_seg = measures_by_segment(seg4, by_key, p)
-
-    names = list(MEASURES) + list(p.categories)
-    key_alias = {k: f"__m_{k}" for k in ("order_id", "by_road_num", "trans_rodes")}
-    right = by_seg.select(*[F.col(k).alias(a) for k, a in key_alias.items()], *names)
-    total = seg4.join(right, [F.col(k).eqNullSafe(F.col(a)) for k, a in key_alias.items()], "left") \
-        .drop(*key_alias.values())
+    all_lists = lists(t, p, per_list)
+    leg = legs(all_lists, p)
+    seg = segments_timed(segments(shipments(spark, t, p), p), stops(t, p), p)
+    total = with_leg_measures(seg, leg, p)
     if stages is not None:
-        stages.update(stops=stops(t, p), lists=all_lists, first_lists=first_lists, per_list=per_list,
-                      segments=seg4, measures_by_key=by_key, measures=by_seg)
+        stages.update(stops=stops(t, p), per_list=per_list, lists=all_lists, legs=leg, segments=seg,
+                      shipments=shipments(spark, t, p), details=list_details(t, p), waybills=waybills(t, p))
 
     out_cols = []
     for c in MART_COLUMNS:

@@ -1,331 +1,270 @@
-"""The stand-in load-rate mart written as ordered SQL steps.
+"""The load-rate mart in SQL, twice and in two shapes.
 
-Two uses:
-
-* ``dialect="spark"``: the steps a user hands to
-  :func:`lanekit.plans.views.run_views` (each becomes a temp view); the
-  segment rule is the SQL function registered by
-  :func:`lanekit.plans.views.register_sql_functions`.
-* ``dialect="duckdb"``: the same steps as one ``WITH`` query, the independent
-  oracle for the DataFrame mart. This text keeps the original job's structure
-  (three separate measure joins, a full row-number window) on purpose, so it
-  checks the single-pass, pre-aggregated DataFrame plan rather than repeating
-  it.
+* :func:`spark_steps`: steps for :func:`lanekit.plans.views.run_views` over the
+  mart's input tables (temp views under their warehouse names). Cargo is
+  reduced before it meets anything: lines per list and waybill, lists, legs;
+  one measure step computes all categories with filtered sums.
+* :func:`duckdb_oracle`: one query for DuckDB that derives the stand-in inputs
+  itself and computes the measures row by row: every segment row meets every
+  cargo line of its leg before anything is summed. The two texts share no
+  expression, so the oracle checks the logic of the other two mart plans.
 """
 
 from __future__ import annotations
 
 from lanekit.functions.columns import SITE_SUFFIX_TOKENS
-from lanekit.plans.mart import MART_COLUMNS
-from lanekit.plans.standins import STANDIN_CATEGORIES, STANDIN_VEHICLES
+from lanekit.plans.mart import MART_COLUMNS, ORG_LEVELS, PRODUCT_TYPE_CODE, ROUND_TRIP_MODE, SHIPMENT_PREFIX
+from lanekit.plans.standins import CLOSED, STANDIN_CATEGORIES, STANDIN_VEHICLES, WINDOW
+
+OPEN = "9999-12-31"
 
-_DOUBLE_COLS = {"actual_cost", "road_rated_capacity", "road_rated_vol", "road_calc_weight",
-                "road_operate_weight", "road_vol", "mini_big_clac_weight", "mini_small_clac_weight",
-                "dsd_calc_weight", "jzld_calc_weight", "phd_calc_weight", "load_rate"}
-_BIGINT_COLS = {"road_out_piece_num", "road_ewb_num", "jzld_piece_num", "phd_piece_num"}
+_ROUNDED = {"actual_cost", "road_rated_capacity", "road_rated_vol", "road_calc_weight",
+            "road_operate_weight", "road_vol", "mini_big_clac_weight", "mini_small_clac_weight",
+            "dsd_calc_weight", "jzld_calc_weight", "phd_calc_weight", "load_rate"}
 
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _suffix(col: str) -> str:
-    whens = " ".join(f"WHEN {i} THEN {_q(tok)}" for i, tok in enumerate(SITE_SUFFIX_TOKENS))
-    return f"CASE {col} {whens} ELSE '' END"
-
-
-def _strip(expr: str) -> str:
-    for tok in SITE_SUFFIX_TOKENS:
-        expr = f"replace({expr}, {_q(tok)}, '')"
-    return expr
-
-
-class _Dialect:
-    def __init__(self, name: str):
-        self.name = name
-
-    def at(self, x: str, sep: str, i: int) -> str:
-        """0-based element of a literal split, null past the end."""
-        if self.name == "spark":
-            return f"get(split({x}, '[{sep}]'), {i})"
-        return f"string_split({x}, {_q(sep)})[{i + 1}]"
-
-    def div(self, a: str, b: str) -> str:
-        return f"try_divide({a}, {b})" if self.name == "spark" else f"({a}) / nullif({b}, 0)"
+def _bare(name: str) -> str:
+    for token in SITE_SUFFIX_TOKENS:
+        name = f"replace({name}, {_q(token)}, '')"
+    return name
 
-    def explode(self, x: str) -> str:
-        return f"explode({x})" if self.name == "spark" else f"unnest({x})"
 
-    def nseq(self, a: str, b: str) -> str:
-        return f"{a} <=> {b}" if self.name == "spark" else f"{a} IS NOT DISTINCT FROM {b}"
+def _published(source: str, named: dict[str, str], ratio: str, dt: int = 20220123, digits: int = 2) -> str:
+    """The published columns; ``named`` has those that are expressions."""
+    out = []
+    for c in MART_COLUMNS:
+        e = str(dt) if c == "dt" else ratio if c == "load_rate" else named.get(c, c)
+        out.append(f"round(({e}) + 1e-7, {digits}) AS {c}" if c in _ROUNDED else f"{e} AS {c}")
+    return f"SELECT {', '.join(out)} FROM {source}"
 
-    def segments(self, sched: str, factor: str) -> str:
-        if self.name == "spark":
-            return f"route_segments({sched}, {factor})"
-        stops = f"string_split({sched}, '-')"
-        mode = (f"array_to_string(list_transform({stops}, lambda x: chr(cast(64 + "
-                f"len(list_distinct({stops}[1:list_position({stops}, x)])) AS INTEGER))), '-')")
-        body = (f"list_transform(range(1, len({stops})), lambda k: concat_ws('*', {mode}, "
-                f"{stops}[k] || '-' || {stops}[k + 1], cast(cast({factor} AS DOUBLE) AS VARCHAR), "
-                f"cast(k AS VARCHAR)))")
-        return (f"CASE WHEN {sched} IS NULL THEN NULL WHEN len({stops}) >= 2 THEN {body} "
-                f"ELSE CAST([] AS VARCHAR[]) END")
 
+# ------------------------------------------------------------------ Spark steps
 
-def standin_steps(d: _Dialect) -> list[tuple[str, str]]:
-    """Steps deriving the twelve mart inputs from the TPC-H-style tables."""
+def spark_steps() -> list[tuple[str, str]]:
+    vehicles = ", ".join(f"({_q(n)}, {tonnes}, {volume})" for n, tonnes, volume in STANDIN_VEHICLES)
+    totals = ["pieces", "waybill_lines", "calc", "operate", "vol", *STANDIN_CATEGORIES]
+    kinds = {"piece": "c.pieces", "calc_weight": "c.pieces * u.calc"}
+    by_category = ",\n            ".join(
+        f"sum({kinds[kind]}) FILTER (WHERE u.product = {_q(product)}) AS {name}"
+        for name, (product, kind) in STANDIN_CATEGORIES.items())
+    n_rows = "count(*) OVER (PARTITION BY order_id, by_road_num, trans_rodes)"
+    named = {"road_out_piece_num": "pieces * n_rows", "road_ewb_num": "waybill_lines * n_rows",
+             "road_calc_weight": "calc * n_rows", "road_operate_weight": "operate * n_rows", "road_vol": "vol * n_rows",
+             **{c: f"{c} * n_rows" for c in STANDIN_CATEGORIES}}
     return [
-        ("x_nation", f"""
-            SELECT n_nationkey, n_regionkey, n_name,
-                   n_name || {_suffix('n_regionkey')} AS full_name
-            FROM nation"""),
-        ("x_location", """
-            SELECT cast(n_nationkey AS string) AS location_gid, full_name AS location_name,
-                   '9999-12-31' AS end_time FROM x_nation
-            UNION ALL
-            SELECT cast(n_nationkey AS string), n_name || '_OLD', '2021-06-30' FROM x_nation"""),
-        ("x_stop", """
-            SELECT 'PD/ANE' || cast(l_orderkey AS string) AS shipment_gid, l_linenumber AS stop_num,
-                   cast(s_nationkey AS string) AS location_gid,
-                   cast(l_shipdate AS string) AS planned_departure,
-                   cast(l_shipdate + INTERVAL 1 DAY AS string) AS actual_departure,
-                   '9999-12-31' AS end_time
-            FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"""),
-        ("x_reason", """
-            SELECT cast(r_regionkey AS string) AS code_gid, r_name AS category FROM region"""),
-        ("x_equipment", """
-            SELECT DISTINCT substr(o_orderpriority, 1, 1) AS equipment_group_gid,
-                   o_orderpriority AS equipment_group_name FROM orders"""),
-        ("x_cust_route", """
-            SELECT c.c_custkey, c.c_name, c.c_mktsegment, cn.n_nationkey AS cn_key,
-                   cn.n_regionkey AS cn_region, hub.n_nationkey AS hub_key,
-                   concat_ws('-', hub.full_name, cn.full_name, hub.full_name) AS route
-            FROM customer c JOIN x_nation cn ON c.c_nationkey = cn.n_nationkey
-            JOIN x_nation hub ON cn.n_regionkey = hub.n_nationkey"""),
-        ("x_shipment", """
-            SELECT 'PD/ANE' || cast(o_orderkey AS string) AS shipment_gid,
-                   cast(o_orderkey AS string) AS attribute1, o_orderstatus AS attribute2,
-                   cast(o_custkey AS string) AS attribute4, route AS attribute5, c_name AS attribute7,
-                   substr(o_orderpriority, 1, 1) AS attribute8, o_orderstatus AS attribute13,
-                   c_mktsegment AS attribute14, c_mktsegment AS attribute15,
-                   o_orderpriority AS attribute19, cast(cn_region AS string) AS attribute29,
-                   o_totalprice AS attribute_number10, cast(o_orderdate AS string) AS attribute_date1,
-                   route AS schedule_note, substr(o_orderpriority, 1, 1) AS reason_overtime,
-                   '9999-12-31' AS end_point
-            FROM orders JOIN x_cust_route ON o_custkey = c_custkey"""),
-        ("x_list_no", """
-            SELECT cast(h.l_orderkey AS string) AS task_no,
-                   cast(h.l_orderkey AS string) || '-' || h.l_returnflag AS ewbs_list_no,
-                   cast(h.created AS string) AS created_time,
-                   cast(CASE WHEN h.l_returnflag <> 'R' THEN r.hub_key ELSE r.cn_key END AS bigint) AS site_id,
-                   cast(CASE WHEN h.l_returnflag <> 'R' THEN r.cn_key ELSE r.hub_key END AS bigint)
-                       AS next_site_id,
-                   1 AS rd_status, '9999-12-31' AS end_time
-            FROM (SELECT l_orderkey, l_returnflag, min(l_shipdate) AS created
-                  FROM lineitem GROUP BY l_orderkey, l_returnflag) h
-            JOIN orders o ON h.l_orderkey = o.o_orderkey
-            JOIN x_cust_route r ON o.o_custkey = r.c_custkey"""),
-        ("x_list_detail", """
-            SELECT cast(l_orderkey AS string) || '-' || l_returnflag AS ewbs_list_no,
-                   cast(l_partkey AS string) AS ewb_no, cast(l_quantity AS int) AS out_piece,
-                   '9999-12-31' AS end_time
-            FROM lineitem"""),
-        ("x_site", """
-            SELECT cast(n_nationkey AS bigint) AS site_id, 'S' || cast(n_nationkey AS string) AS site_code,
-                   full_name AS site_name, '9999-12-31' AS end_time FROM x_nation"""),
-        ("x_org", """
-            SELECT cast(n_nationkey AS string) AS svth_lvl_org_brnch_id, r_name AS fith_lvl_org_brnch_nm,
-                   n_name AS thrd_lvl_org_brnch_nm, 7 AS org_brnch_lvl
-            FROM nation JOIN region ON n_regionkey = r_regionkey
-            UNION ALL
-            SELECT cast(r_regionkey AS string), r_name, r_name, 3 FROM region"""),
-        ("x_dict", """
-            SELECT dict_id, dict_name, 'services_type' AS type_code, '9999-12-31' AS end_time
-            FROM (SELECT DISTINCT p_type AS dict_id, p_type AS dict_name FROM part) t"""),
-        ("x_ewb", """
-            SELECT cast(p_partkey AS string) AS ewb_no, p_retailprice AS calc_weight,
-                   p_retailprice * 0.5 AS operate_weight, cast(p_size AS double) AS vol,
-                   p_size - 1 AS piece, '9999-12-31' AS end_time, 1 AS rd_status
-            FROM part"""),
-        ("x_ewb_detail", """
-            SELECT cast(p_partkey AS string) AS ewb_no, p_type AS services_type_id,
-                   '9999-12-31' AS end_time FROM part"""),
-    ]
-
-
-def mart_steps(d: _Dialect) -> list[tuple[str, str]]:
-    """The mart over the stand-in inputs, in the original step structure."""
-    vehicles = "\n            UNION\n".join(
-        f"            SELECT {_q(n)} AS car_type, {c} AS capacity, {s} AS squares"
-        for n, c, s in STANDIN_VEHICLES)
-    prorate = (lambda w: f"{d.div(f'coalesce(o.{w}, 0)', 'coalesce(o.piece, 0)')} "
-                         f"* coalesce(d.out_piece, 0)")
-    steps = [
-        ("m_location", f"""
-            SELECT location_gid, {_strip('location_name')} AS location_name
-            FROM x_location WHERE end_time = '9999-12-31'"""),
-        ("m_stop", """
-            SELECT s.shipment_gid, s.stop_num, s.location_gid, l.location_name,
-                   s.planned_departure, s.actual_departure
-            FROM (SELECT * FROM x_stop WHERE end_time = '9999-12-31') s
-            LEFT JOIN m_location l ON l.location_gid = s.location_gid"""),
-        ("m_car", vehicles),
-        ("m_detail", """
-            SELECT ewbs_list_no, ewb_no, out_piece FROM x_list_detail
-            WHERE end_time = '9999-12-31' AND out_piece > 0"""),
-        ("m_site", f"""
-            SELECT cast(site_id AS string) AS site_id, site_code, {_strip('site_name')} AS site_name
-            FROM x_site WHERE end_time = '9999-12-31'"""),
-        ("m_lists", """
-            SELECT h.task_no, h.ewbs_list_no, h.created_time,
-                   h.first_site_id, s.site_code AS first_site_code, s.site_name AS first_site_name,
-                   o1.fith_lvl_org_brnch_nm AS first_distribute_nm, o1.thrd_lvl_org_brnch_nm AS first_prov_nm,
-                   h.next_site_id, s1.site_code AS next_site_code, s1.site_name AS next_site_name,
-                   o2.fith_lvl_org_brnch_nm AS next_distribute_nm, o2.thrd_lvl_org_brnch_nm AS next_prov_nm
-            FROM (SELECT task_no, ewbs_list_no, created_time, cast(site_id AS string) AS first_site_id,
-                         cast(next_site_id AS string) AS next_site_id
-                  FROM x_list_no WHERE rd_status = 1 AND end_time = '9999-12-31') h
-            LEFT JOIN m_site s ON s.site_id = h.first_site_id
-            LEFT JOIN m_site s1 ON s1.site_id = h.next_site_id
-            LEFT JOIN x_org o1 ON o1.svth_lvl_org_brnch_id = h.first_site_id AND o1.org_brnch_lvl IN (5, 7)
-            LEFT JOIN x_org o2 ON o2.svth_lvl_org_brnch_id = h.next_site_id AND o2.org_brnch_lvl IN (5, 7)
-            WHERE h.ewbs_list_no IN (SELECT ewbs_list_no FROM m_detail GROUP BY ewbs_list_no)"""),
-        ("m_lists_rn", """
-            SELECT row_number() OVER (PARTITION BY task_no, first_site_id, next_site_id
-                                      ORDER BY created_time ASC NULLS FIRST,
-                                               ewbs_list_no ASC NULLS FIRST) AS rn, *
-            FROM m_lists"""),
-        ("m_ewb", """
-            SELECT t.ewb_no, t.calc_weight, t.operate_weight, t.vol, t.piece, c.dict_name AS product_name
-            FROM (SELECT * FROM x_ewb WHERE end_time = '9999-12-31' AND rd_status = 1) t
-            LEFT JOIN (SELECT * FROM x_ewb_detail WHERE end_time = '9999-12-31') p ON p.ewb_no = t.ewb_no
-            LEFT JOIN (SELECT * FROM x_dict WHERE end_time = '9999-12-31' AND type_code = 'services_type') c
-                   ON c.dict_id = p.services_type_id"""),
-        ("m_ship", f"""
-            SELECT '2022-01-23 12:00:00' AS stat_date, s.shipment_gid, s.attribute1 AS order_id,
-                   s.attribute4 AS shipment_schedule_id, s.attribute7 AS car_id,
-                   s.attribute_number10 AS actual_cost, s.attribute2 AS order_type, s.attribute19 AS line_type,
-                   s.attribute14 AS please_car_nature, s.attribute15 AS load_mode,
-                   e.equipment_group_name AS car_type,
-                   CASE WHEN s.attribute13 = 'P' THEN 0 ELSE c.capacity END AS rated_capacity_total,
-                   CASE WHEN s.attribute13 = 'P' THEN 0 ELSE c.squares END AS rated_vol_total,
-                   s.attribute13 AS transport_status, a.category AS overtime_reason,
-                   a1.category AS overtime_son_reason, s.attribute_date1 AS plan_start_time,
-                   s.schedule_note AS planned_schedule, s.attribute5 AS actual_schedule,
-                   {d.segments('s.attribute5',
-                               "CASE WHEN s.attribute15 = 'BUILDING' THEN 0.5 ELSE 1.0 END")} AS segs
-            FROM x_shipment s
-            LEFT JOIN x_equipment e ON e.equipment_group_gid = s.attribute8
-            LEFT JOIN m_car c ON c.car_type = e.equipment_group_name
-            LEFT JOIN x_reason a ON a.code_gid = s.attribute29
-            LEFT JOIN x_reason a1 ON a1.code_gid = s.reason_overtime
-            WHERE s.end_point = '9999-12-31'
-              AND s.attribute_date1 >= '1990-01-01' AND s.attribute_date1 < '2100-01-01'
-              AND substr(s.shipment_gid, 1, 6) = 'PD/ANE'
-              AND s.attribute13 IN ('F', 'O', 'P')"""),
-        ("m_seg1", f"""
-            SELECT *, {d.explode('segs')} AS seg FROM m_ship WHERE segs IS NOT NULL"""),
-        ("m_seg2", f"""
-            SELECT * EXCLUDE_SEGS,
-                   {d.at('seg', '*', 0)} AS trans_mode, {d.at('seg', '*', 1)} AS trans_rodes,
-                   {d.at('seg', '*', 2)} AS by_road_method, {d.at('seg', '*', 3)} AS by_road_num
-            FROM m_seg1"""),
-        ("m_seg3", f"""
-            SELECT *,
-                   rated_capacity_total * try_cast(by_road_method AS double) AS road_rated_capacity,
-                   rated_vol_total * try_cast(by_road_method AS double) AS road_rated_vol,
-                   {_strip(d.at('trans_rodes', '-', 0))} AS first_rodes,
-                   {_strip(d.at('trans_rodes', '-', 1))} AS next_rodes
-            FROM m_seg2"""),
-        ("m_seg4a", """
-            SELECT a.*, b.planned_departure AS road_planned_schedule, b.actual_departure AS road_actual_schedule
-            FROM m_seg3 a LEFT JOIN m_stop b
-              ON b.shipment_gid = a.shipment_gid AND b.stop_num = try_cast(a.by_road_num AS int)
-             AND b.location_name = a.first_rodes"""),
-        ("m_seg4", """
-            SELECT t.*, l.first_distribute_nm, l.first_prov_nm, l.next_distribute_nm, l.next_prov_nm
-            FROM m_seg4a t LEFT JOIN m_lists_rn l
-              ON l.task_no = t.order_id AND l.rn = 1 AND l.first_site_name = t.first_rodes
-             AND l.next_site_name = t.next_rodes
-            WHERE t.trans_mode != 'A-B-A-B'"""),
-        ("m_road", f"""
-            SELECT t.order_id, t.by_road_num, t.trans_rodes,
-                   cast(sum(coalesce(d.out_piece, 0)) AS bigint) AS road_out_piece_num,
-                   cast(sum(CASE WHEN d.ewb_no IS NULL THEN 0 ELSE 1 END) AS bigint) AS ewb_num,
-                   sum({prorate('calc_weight')}) AS road_calc_weight,
-                   sum({prorate('operate_weight')}) AS road_operate_weight,
-                   sum({prorate('vol')}) AS road_vol
-            FROM m_seg4 t
-            JOIN m_lists_rn l ON l.task_no = t.order_id AND l.first_site_name = t.first_rodes
-                             AND l.next_site_name = t.next_rodes
-            JOIN m_detail d ON d.ewbs_list_no = l.ewbs_list_no
-            LEFT JOIN m_ewb o ON o.ewb_no = d.ewb_no
-            GROUP BY t.trans_rodes, t.order_id, t.by_road_num"""),
+        ("unit_weight", f"""
+          SELECT w.ewb_no, product.dict_name AS product,
+                 try_divide(coalesce(w.calc_weight, 0), nullif(w.piece, 0)) AS calc,
+                 try_divide(coalesce(w.operate_weight, 0), nullif(w.piece, 0)) AS operate,
+                 try_divide(coalesce(w.vol, 0), nullif(w.piece, 0)) AS vol
+          FROM dwd_fact_hs_opt_ewb w
+          LEFT JOIN (SELECT i.ewb_no AS no, k.dict_name
+                     FROM dwd_fact_hs_opt_ewb_detail i
+                     LEFT JOIN dim_hs_basic_dict k ON k.dict_id = i.services_type_id
+                          AND k.type_code = {_q(PRODUCT_TYPE_CODE)} AND k.end_time = '{OPEN}'
+                     WHERE i.end_time = '{OPEN}') product ON product.no = w.ewb_no
+          WHERE w.rd_status = 1 AND w.end_time = '{OPEN}'"""),
+        ("cargo", f"""
+          SELECT ewbs_list_no, ewb_no, sum(out_piece) AS pieces, count(*) AS lines
+          FROM dwd_fact_lb_hs_ewbs_list_detail
+          WHERE out_piece > 0 AND end_time = '{OPEN}'
+          GROUP BY ewbs_list_no, ewb_no"""),
+        ("list_load", f"""
+          SELECT c.ewbs_list_no, sum(c.pieces) AS pieces,
+            sum(if(c.ewb_no IS NULL, 0, c.lines)) AS waybill_lines,
+            sum(c.pieces * u.calc) AS calc, sum(c.pieces * u.operate) AS operate, sum(c.pieces * u.vol) AS vol,
+            {by_category}
+          FROM cargo c LEFT JOIN unit_weight u ON u.ewb_no = c.ewb_no
+          GROUP BY c.ewbs_list_no"""),
+        ("place", f"""
+          SELECT coalesce(s.id, o.id) AS id, s.name, o.hub, o.province
+          FROM (SELECT CAST(site_id AS STRING) AS id, {_bare('site_name')} AS name
+                FROM dim_hs_basic_site WHERE end_time = '{OPEN}') s
+          FULL JOIN (SELECT svth_lvl_org_brnch_id AS id, fith_lvl_org_brnch_nm AS hub, thrd_lvl_org_brnch_nm AS province
+                     FROM dim_dm_pb_bizop_org_brnch WHERE org_brnch_lvl IN {ORG_LEVELS}) o ON o.id = s.id"""),
+        ("leg_list", f"""
+          SELECT h.task_no, h.site_id, h.next_site_id, h.created_time, h.ewbs_list_no,
+                 a.name AS from_name, a.hub AS from_hub, a.province AS from_province,
+                 b.name AS to_name, b.hub AS to_hub, b.province AS to_province, {', '.join(f'l.{t}' for t in totals)}
+          FROM dwd_fact_lb_hs_ewbs_list_no h JOIN list_load l ON l.ewbs_list_no = h.ewbs_list_no
+          LEFT JOIN place a ON a.id = CAST(h.site_id AS STRING)
+          LEFT JOIN place b ON b.id = CAST(h.next_site_id AS STRING)
+          WHERE h.rd_status = 1 AND h.end_time = '{OPEN}'"""),
+        ("leg_load", f"""
+          SELECT task_no, from_name, to_name, {', '.join(f'sum({t}) AS {t}' for t in totals)}
+          FROM leg_list GROUP BY task_no, from_name, to_name"""),
+        ("leg_opening", """
+          SELECT task_no, from_name, to_name, from_hub, from_province, to_hub, to_province
+          FROM (SELECT *, row_number() OVER (PARTITION BY task_no, site_id, next_site_id
+                                             ORDER BY created_time, ewbs_list_no) AS turn FROM leg_list)
+          WHERE turn = 1"""),
+        ("departure", f"""
+          SELECT s.shipment_gid AS gid, s.stop_num, {_bare('p.location_name')} AS stop_name,
+                 s.planned_departure, s.actual_departure
+          FROM dwd_fact_tms_shipment_stop s
+          JOIN dwd_fact_tms_location p ON p.location_gid = s.location_gid AND p.end_time = '{OPEN}'
+          WHERE s.end_time = '{OPEN}'"""),
+        ("voyage", f"""
+          SELECT '2022-01-23 12:00:00' AS stat_date, s.shipment_gid, s.attribute1 AS order_id,
+                 s.attribute4 AS shipment_schedule_id, s.attribute7 AS car_id, s.attribute_number10 AS actual_cost,
+                 s.attribute2 AS order_type, s.attribute19 AS line_type, s.attribute14 AS please_car_nature,
+                 s.attribute15 AS load_mode, g.equipment_group_name AS car_type,
+                 if(s.attribute13 = 'P', 0, v.tonnes) AS rated_capacity_total,
+                 if(s.attribute13 = 'P', 0, v.volume) AS rated_vol_total,
+                 s.attribute13 AS transport_status, late.category AS overtime_reason,
+                 later.category AS overtime_son_reason, s.attribute_date1 AS plan_start_time,
+                 s.schedule_note AS planned_schedule, s.attribute5 AS actual_schedule,
+                 route_segments(s.attribute5, if(s.attribute15 = 'BUILDING', 0.5D, 1.0D)) AS pieces_of_route
+          FROM dwd_fact_tms_shipment s
+          LEFT JOIN dim_tms_equipment_group g ON g.equipment_group_gid = s.attribute8
+          LEFT JOIN VALUES {vehicles} AS v(kind, tonnes, volume) ON v.kind = g.equipment_group_name
+          LEFT JOIN dim_tms_ane_lw_type late ON late.code_gid = s.attribute29
+          LEFT JOIN dim_tms_ane_lw_type later ON later.code_gid = s.reason_overtime
+          WHERE s.shipment_gid LIKE '{SHIPMENT_PREFIX}%' AND s.attribute13 IN ('F', 'O', 'P')
+            AND s.attribute_date1 >= '{WINDOW[0]}' AND s.attribute_date1 < '{WINDOW[1]}' AND s.end_point = '{OPEN}'"""),
+        ("segment", f"""
+          SELECT *, part[0] AS trans_mode, part[1] AS trans_rodes, part[2] AS by_road_method, part[3] AS by_road_num,
+                 {_bare("split_part(part[1], '-', 1)")} AS first_rodes,
+                 {_bare("split_part(part[1], '-', 2)")} AS next_rodes
+          FROM (SELECT v.*, split(value, '[*]') AS part FROM voyage v LATERAL VIEW explode(pieces_of_route) e AS value)"""),
+        ("segment_row", f"""
+          SELECT g.*, g.rated_capacity_total * CAST(g.by_road_method AS DOUBLE) AS road_rated_capacity,
+                 g.rated_vol_total * CAST(g.by_road_method AS DOUBLE) AS road_rated_vol,
+                 d.planned_departure AS road_planned_schedule, d.actual_departure AS road_actual_schedule,
+                 o.from_hub AS first_distribute_nm, o.from_province AS first_prov_nm,
+                 o.to_hub AS next_distribute_nm, o.to_province AS next_prov_nm
+          FROM segment g
+          LEFT JOIN departure d ON d.gid = g.shipment_gid AND d.stop_num = CAST(g.by_road_num AS INT)
+               AND d.stop_name = g.first_rodes
+          LEFT JOIN leg_opening o ON (o.task_no, o.from_name, o.to_name) = (g.order_id, g.first_rodes, g.next_rodes)
+          WHERE g.trans_mode <> '{ROUND_TRIP_MODE}'"""),
+        ("segment_load", f"""
+          SELECT r.*, {n_rows} AS n_rows, {', '.join(f'l.{t}' for t in totals)}
+          FROM segment_row r
+          LEFT JOIN leg_load l ON l.task_no = r.order_id AND l.from_name = r.first_rodes AND l.to_name = r.next_rodes"""),
+        ("mart_result", _published("segment_load", named, "try_divide(calc * n_rows, road_rated_capacity)")),
     ]
-    for name, (product, kind) in STANDIN_CATEGORIES.items():
-        value = ("CASE WHEN o.ewb_no IS NULL THEN NULL ELSE d.out_piece END"
-                 if kind == "piece" else prorate("calc_weight"))
-        agg = f"cast(sum({value}) AS bigint)" if kind == "piece" else f"sum({value})"
-        steps.append((f"m_cat_{name}", f"""
-            SELECT t.order_id, t.by_road_num, t.trans_rodes, {agg} AS {name}
-            FROM m_seg4 t
-            JOIN m_lists_rn l ON l.task_no = t.order_id AND l.first_site_name = t.first_rodes
-                             AND l.next_site_name = t.next_rodes
-            JOIN m_detail d ON d.ewbs_list_no = l.ewbs_list_no
-            LEFT JOIN m_ewb o ON o.ewb_no = d.ewb_no AND o.product_name = {_q(product)}
-            GROUP BY t.trans_rodes, t.order_id, t.by_road_num"""))
-    joins = "\n".join(
-        f"            LEFT JOIN m_cat_{n} c_{n} ON {d.nseq(f'c_{n}.order_id', 't.order_id')} "
-        f"AND {d.nseq(f'c_{n}.by_road_num', 't.by_road_num')} "
-        f"AND {d.nseq(f'c_{n}.trans_rodes', 't.trans_rodes')}"
-        for n in STANDIN_CATEGORIES)
-    cat_cols = ", ".join(f"c_{n}.{n}" for n in STANDIN_CATEGORIES)
-    steps.append(("m_total", f"""
-            SELECT t.*, r.road_out_piece_num, r.ewb_num, r.road_calc_weight, r.road_operate_weight,
-                   r.road_vol, {cat_cols}
-            FROM m_seg4 t
-            LEFT JOIN m_road r ON {d.nseq('r.order_id', 't.order_id')}
-                              AND {d.nseq('r.by_road_num', 't.by_road_num')}
-                              AND {d.nseq('r.trans_rodes', 't.trans_rodes')}
-{joins}"""))
-    return steps
-
 
-def final_select(d: _Dialect, round_digits: int | None = None) -> str:
-    cols = []
-    for c in MART_COLUMNS:
-        if c == "dt":
-            e = "20220123"
-        elif c == "road_ewb_num":
-            e = "ewb_num"
-        elif c == "load_rate":
-            e = d.div("road_calc_weight", "road_rated_capacity")
-        else:
-            e = c
-        if round_digits is not None and c in _DOUBLE_COLS:
-            e = f"round(({e}) + 1e-7, {round_digits})"
-        cols.append(f"{e} AS {c}")
-    return "SELECT " + ", ".join(cols) + " FROM m_total"
 
+# ---------------------------------------------------------------- DuckDB oracle
 
-def _fix(sql: str, d: _Dialect) -> str:
-    # ``* EXCLUDE (...)`` differs between engines: DuckDB has EXCLUDE, Spark
-    # needs the column list.
-    if d.name == "duckdb":
-        return sql.replace("* EXCLUDE_SEGS", "* EXCLUDE (segs, seg)")
-    keep = ("stat_date, shipment_gid, order_id, shipment_schedule_id, car_id, actual_cost, order_type, "
-            "line_type, please_car_nature, load_mode, car_type, rated_capacity_total, rated_vol_total, "
-            "transport_status, overtime_reason, overtime_son_reason, plan_start_time, planned_schedule, "
-            "actual_schedule")
-    return sql.replace("* EXCLUDE_SEGS", keep)
+def duckdb_segments(schedule: str, factor: str = "1.0") -> str:
+    """``mode*from-to*factor*ordinal`` values of a schedule."""
+    stops = f"string_split({schedule}, '-')"
+    number = f"(len(list_distinct({stops}[1:list_position({stops}, x)])) - 1)"
+    letters = f"list_transform({stops}, lambda x: chr((65 + {number} % 26)::INTEGER) || CASE WHEN {number} < 26 THEN '' ELSE ({number} // 26)::VARCHAR END)"
+    value = (f"concat_ws('*', array_to_string({letters}, '-'), {stops}[k] || '-' || {stops}[k + 1], "
+             f"({factor})::DOUBLE::VARCHAR, k::VARCHAR)")
+    return (f"CASE WHEN {schedule} IS NULL THEN NULL WHEN len({stops}) < 2 THEN []::VARCHAR[] "
+            f"ELSE list_transform(range(1, len({stops})), lambda k: {value}) END")
 
 
-def spark_steps() -> list[tuple[str, str]]:
-    d = _Dialect("spark")
-    return [(n, _fix(s, d)) for n, s in standin_steps(d) + mart_steps(d)] + [("m_result", final_select(d, 2))]
+def _standins() -> str:
+    """The stand-in inputs of :mod:`lanekit.plans.standins`, as CTEs."""
+    suffix = " ".join(f"WHEN {i} THEN {_q(t)}" for i, t in enumerate(SITE_SUFFIX_TOKENS))
+    return f"""
+    town AS (SELECT n_nationkey AS id, n_regionkey AS region, n_name AS plain,
+                    n_name || CASE n_regionkey {suffix} ELSE '' END AS name FROM nation),
+    trip AS (SELECT o.*, c_name, c_mktsegment, c.id AS town_id, c.region, h.id AS hub_id,
+                    CASE WHEN o_orderkey % 7 = 0 THEN concat_ws('-', h.name, c.name, h.name, c.name)
+                         ELSE concat_ws('-', h.name, c.name, h.name) END AS route
+             FROM orders o JOIN customer ON c_custkey = o_custkey
+             JOIN town c ON c.id = c_nationkey JOIN town h ON h.id = c.region),
+    s_shipment AS (
+      SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'XX/ANE' ELSE 'PD/ANE' END || o_orderkey AS gid, t.*,
+             CASE WHEN o_orderkey % 11 = 0 THEN 'X' ELSE o_orderstatus END AS status,
+             CASE WHEN o_orderkey % 19 = 0 THEN '{WINDOW[0]}' WHEN o_orderkey % 23 = 0 THEN '{WINDOW[1]}'
+                  ELSE o_orderdate::VARCHAR END AS planned, v.valid_to
+      FROM trip t JOIN (VALUES ('{OPEN}'), ('{CLOSED}')) v(valid_to)
+        ON v.valid_to = '{OPEN}' OR o_orderkey % 17 = 0),
+    s_stop AS (
+      SELECT 'PD/ANE' || l_orderkey AS gid, l_linenumber AS num, t.name, l_shipdate::VARCHAR AS planned,
+             (l_shipdate + INTERVAL 1 DAY)::VARCHAR AS actual
+      FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN town t ON t.id = s_nationkey
+      WHERE NOT (l_orderkey % 5 = 0 AND l_linenumber = 2)),
+    s_list AS (
+      SELECT l_orderkey, l_orderkey::VARCHAR AS task, l_orderkey || '-' || l_returnflag AS list, min(l_shipdate)::VARCHAR AS created,
+             l_returnflag = 'R' AS back
+      FROM lineitem GROUP BY l_orderkey, l_returnflag),
+    s_line AS (
+      SELECT l_orderkey || '-' || l_returnflag AS list,
+             CASE WHEN l_partkey % 29 = 0 THEN NULL WHEN l_partkey % 31 = 0 THEN 'none' || l_partkey
+                  ELSE l_partkey::VARCHAR END AS waybill,
+             l_quantity::INTEGER AS out_piece
+      FROM lineitem WHERE l_linenumber <> 7 AND l_quantity::INTEGER % 10 <> 0),
+    s_waybill AS (
+      SELECT p_partkey::VARCHAR AS waybill, p_retailprice AS calc, p_retailprice * 0.5 AS operate,
+             p_size::DOUBLE AS vol, p_size - 1 AS piece, product
+      FROM part, LATERAL (SELECT p_type AS product UNION ALL SELECT 'PROMO' WHERE p_partkey % 6 = 0)
+      WHERE p_partkey % 37 <> 0 AND p_partkey % 41 <> 0),
+    known AS (SELECT DISTINCT p_type FROM part)"""
 
 
-def duckdb_oracle(round_digits: int = 2) -> str:
-    d = _Dialect("duckdb")
-    ctes = ",\n".join(f"{n} AS ({_fix(s, d)})" for n, s in standin_steps(d) + mart_steps(d))
-    return f"WITH {ctes}\n{final_select(d, round_digits)}"
+def duckdb_oracle(digits: int = 2) -> str:
+    vehicles = ", ".join(f"({_q(n)}, {tonnes}, {volume})" for n, tonnes, volume in STANDIN_VEHICLES)
+    share = {w: f"w.{w} / nullif(w.piece, 0) * d.out_piece" for w in ("calc", "operate", "vol")}
+    by_category = ",\n             ".join(
+        (f"sum(d.out_piece) FILTER (w.product = {_q(product)})::BIGINT AS {name}" if kind == "piece"
+         else f"sum({share['calc']}) FILTER (w.product = {_q(product)}) AS {name}")
+        for name, (product, kind) in STANDIN_CATEGORIES.items())
+    named = {"road_ewb_num": "lines", "road_out_piece_num": "pieces", "road_calc_weight": "calc",
+             "road_operate_weight": "operate", "road_vol": "vol"}
+    return f"""
+    WITH {_standins()},
+    handed AS (
+      SELECT s.*, {_bare('a.name')} AS a, {_bare('b.name')} AS b, ra.r_name AS a_hub, a.plain AS a_province,
+             rb.r_name AS b_hub, b.plain AS b_province
+      FROM s_list s JOIN trip t ON t.o_orderkey = s.l_orderkey
+      JOIN town a ON a.id = CASE WHEN s.back THEN t.town_id ELSE t.hub_id END
+      JOIN town b ON b.id = CASE WHEN s.back THEN t.hub_id ELSE t.town_id END
+      JOIN region ra ON ra.r_regionkey = a.region JOIN region rb ON rb.r_regionkey = b.region
+      WHERE s.l_orderkey % 9 <> 4 AND s.l_orderkey % 10 <> 3 AND s.list IN (SELECT list FROM s_line)),
+    leg AS (
+      SELECT gid, o_orderkey, o_custkey, c_name, o_totalprice, o_orderstatus, o_orderpriority, c_mktsegment, region,
+             status, planned, route, string_split(unnest({duckdb_segments(
+                 'route', "CASE WHEN c_mktsegment = 'BUILDING' THEN 0.5 ELSE 1.0 END")}), '*') AS part
+      FROM s_shipment
+      WHERE starts_with(gid, '{SHIPMENT_PREFIX}') AND status IN ('F', 'O', 'P') AND valid_to = '{OPEN}'
+        AND planned >= '{WINDOW[0]}' AND planned < '{WINDOW[1]}'),
+    run AS (
+      SELECT '2022-01-23 12:00:00' AS stat_date, l.gid AS shipment_gid, l.o_orderkey::VARCHAR AS order_id,
+             l.o_custkey::VARCHAR AS shipment_schedule_id, l.c_name AS car_id, l.o_totalprice AS actual_cost,
+             l.o_orderstatus AS order_type, l.o_orderpriority AS line_type, l.c_mktsegment AS please_car_nature,
+             l.c_mktsegment AS load_mode, l.o_orderpriority AS car_type,
+             CASE WHEN l.status = 'P' THEN 0 ELSE v.tonnes END AS rated_capacity_total,
+             CASE WHEN l.status = 'P' THEN 0 ELSE v.volume END AS rated_vol_total,
+             l.status AS transport_status, r.r_name AS overtime_reason, rr.r_name AS overtime_son_reason,
+             l.planned AS plan_start_time, l.route AS planned_schedule, l.route AS actual_schedule,
+             l.part[2] AS trans_rodes, l.part[3] AS by_road_method, l.part[4] AS by_road_num,
+             {_bare("string_split(l.part[2], '-')[1]")} AS first_rodes,
+             {_bare("string_split(l.part[2], '-')[2]")} AS next_rodes
+      FROM leg l LEFT JOIN (VALUES {vehicles}) v(kind, tonnes, volume) ON v.kind = l.o_orderpriority
+      LEFT JOIN region r ON r.r_regionkey = l.region
+      LEFT JOIN region rr ON rr.r_regionkey::VARCHAR = left(l.o_orderpriority, 1)
+      WHERE l.part[1] <> '{ROUND_TRIP_MODE}'),
+    opening AS (
+      SELECT DISTINCT ON (task, a, b) task, a, b, a_hub, a_province, b_hub, b_province
+      FROM handed ORDER BY task, a, b, created NULLS FIRST, list),
+    timed AS (
+      SELECT run.*, rated_capacity_total * by_road_method::DOUBLE AS road_rated_capacity,
+             rated_vol_total * by_road_method::DOUBLE AS road_rated_vol,
+             s.planned AS road_planned_schedule, s.actual AS road_actual_schedule,
+             f.a_hub AS first_distribute_nm, f.a_province AS first_prov_nm,
+             f.b_hub AS next_distribute_nm, f.b_province AS next_prov_nm
+      FROM run LEFT JOIN s_stop s ON s.gid = shipment_gid AND s.num = by_road_num::INTEGER AND {_bare('s.name')} = first_rodes
+      LEFT JOIN opening f ON f.task = order_id AND f.a = first_rodes AND f.b = next_rodes),
+    load AS (
+      SELECT t.order_id, t.by_road_num, t.trans_rodes, sum(d.out_piece)::BIGINT AS pieces,
+             count(d.waybill)::BIGINT AS lines, sum({share['calc']}) AS calc, sum({share['operate']}) AS operate,
+             sum({share['vol']}) AS vol,
+             {by_category}
+      FROM timed t JOIN handed h ON h.task = t.order_id AND h.a = t.first_rodes AND h.b = t.next_rodes
+      JOIN s_line d ON d.list = h.list LEFT JOIN s_waybill w ON w.waybill = d.waybill
+      GROUP BY ALL),
+    total AS (SELECT t.*, l.* EXCLUDE (order_id, by_road_num, trans_rodes)
+              FROM timed t LEFT JOIN load l USING (order_id, by_road_num, trans_rodes))
+    {_published('total', named, 'calc / nullif(road_rated_capacity, 0)', digits=digits)}"""

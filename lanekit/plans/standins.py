@@ -29,6 +29,13 @@ dwd_fact_hs_opt_ewb_detail      part: product = p_type
 
 Names carry one of the site suffix tokens chosen by region (region 4: none),
 so names only match after :func:`strip_tokens`.
+
+Every predicate of the mart meets rows it drops. By the remainder of a key:
+closed versions in each versioned table (with other names or values, so that
+keeping one would show), lists and waybills of status 0, lines of 0 pieces,
+shipments of another status or id prefix or dated exactly at either end of the
+window, ``A-B-A-B`` routes, waybills with two products, and lines whose waybill
+is null or missing.
 """
 
 from __future__ import annotations
@@ -61,6 +68,16 @@ STANDIN_CATEGORIES = {
 }
 
 
+# Statistics window of the stand-ins: some orders lie before, some after it.
+WINDOW = ("1996-01-01 00:00:00", "2001-01-01 00:00:00")
+CLOSED = "2021-06-30"
+
+
+def every(column: str, n: int, rest: int = 0) -> Column:
+    """Rows whose key leaves ``rest`` when divided by ``n``."""
+    return F.col(column) % n == rest
+
+
 def standin_factor(load_mode: Column) -> Column:
     """Half the vehicle is booked on BUILDING-segment shipments."""
     return F.when(load_mode == F.lit("BUILDING"), F.lit(0.5)).otherwise(F.lit(1.0))
@@ -68,7 +85,7 @@ def standin_factor(load_mode: Column) -> Column:
 
 def standin_params(**overrides) -> MartParams:
     kw = dict(dt=20220123, stat_date="2022-01-23 12:00:00",
-              window_start="1990-01-01", window_end="2100-01-01",
+              window_start=WINDOW[0], window_end=WINDOW[1],
               shipment_prefix="PD/ANE", statuses=("F", "O", "P"), cancelled_status="P",
               vehicles=STANDIN_VEHICLES, categories=dict(STANDIN_CATEGORIES),
               segment_factor=standin_factor)
@@ -112,7 +129,8 @@ def standin_tables(spark: SparkSession, sf_dir: str,
         F.col("s_nationkey").cast("string").alias("location_gid"),
         F.col("l_shipdate").cast("string").alias("planned_departure"),
         (F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")).cast("string").alias("actual_departure"),
-        open_end.alias("end_time"))
+        F.when(every("l_orderkey", 5) & (F.col("l_linenumber") == 2), F.lit(CLOSED)).otherwise(open_end)
+        .alias("end_time"))
 
     reason = region.select(F.col("r_regionkey").cast("string").alias("code_gid"),
                            F.col("r_name").alias("category"))
@@ -131,27 +149,34 @@ def standin_tables(spark: SparkSession, sf_dir: str,
                        F.col("o_custkey") == F.col("c_custkey"), "inner")
         x = x.join(cn, F.col("c_nationkey") == F.col("cn_key"), "inner")
         return x.join(hub, F.col("cn_region") == F.col("hub_key"), "inner") \
-            .withColumn("route", F.concat_ws("-", "hub_name", "cn_name", "hub_name"))
+            .withColumn("route", F.when(every("o_orderkey", 7), F.concat_ws("-", "hub_name", "cn_name", "hub_name", "cn_name"))
+                        .otherwise(F.concat_ws("-", "hub_name", "cn_name", "hub_name")))
 
     ship = with_route(orders, ["c_name", "c_nationkey", "c_mktsegment"])
+    status = F.when(every("o_orderkey", 11), F.lit("X")).otherwise(F.col("o_orderstatus"))
+    planned = (F.when(every("o_orderkey", 19), F.lit(WINDOW[0])).when(every("o_orderkey", 23), F.lit(WINDOW[1]))
+               .otherwise(F.col("o_orderdate").cast("string")))
     shipment = ship.select(
-        F.concat(F.lit("PD/ANE"), F.col("o_orderkey").cast("string")).alias("shipment_gid"),
+        F.concat(F.when(every("o_orderkey", 13), F.lit("XX/ANE")).otherwise(F.lit("PD/ANE")),
+                 F.col("o_orderkey").cast("string")).alias("shipment_gid"),
         F.col("o_orderkey").cast("string").alias("attribute1"),
         F.col("o_orderstatus").alias("attribute2"),
         F.col("o_custkey").cast("string").alias("attribute4"),
         F.col("route").alias("attribute5"),
         F.col("c_name").alias("attribute7"),
         F.substring("o_orderpriority", 1, 1).alias("attribute8"),
-        F.col("o_orderstatus").alias("attribute13"),
+        status.alias("attribute13"),
         F.col("c_mktsegment").alias("attribute14"),
         F.col("c_mktsegment").alias("attribute15"),
         F.col("o_orderpriority").alias("attribute19"),
         F.col("cn_region").cast("string").alias("attribute29"),
         F.col("o_totalprice").alias("attribute_number10"),
-        F.col("o_orderdate").cast("string").alias("attribute_date1"),
+        planned.alias("attribute_date1"),
         F.col("route").alias("schedule_note"),
         F.substring("o_orderpriority", 1, 1).alias("reason_overtime"),
         open_end.alias("end_point"))
+    shipment = shipment.unionByName(
+        shipment.where(F.col("attribute1").cast("bigint") % 17 == 0).withColumn("end_point", F.lit(CLOSED)))
 
     list_no = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_returnflag"))
     # list header: one per (order, return flag), pre-aggregated from lineitem
@@ -166,17 +191,22 @@ def standin_tables(spark: SparkSession, sf_dir: str,
         F.col("created").cast("string").alias("created_time"),
         F.when(outbound, F.col("hub_key")).otherwise(F.col("cn_key")).cast("bigint").alias("site_id"),
         F.when(outbound, F.col("cn_key")).otherwise(F.col("hub_key")).cast("bigint").alias("next_site_id"),
-        F.lit(1).alias("rd_status"),
-        open_end.alias("end_time"))
-    detail = li.select(list_no.alias("ewbs_list_no"),
-                       F.col("l_partkey").cast("string").alias("ewb_no"),
-                       F.col("l_quantity").cast("int").alias("out_piece"),
-                       open_end.alias("end_time"))
+        F.when(every("l_orderkey", 9, 4), 0).otherwise(1).alias("rd_status"),
+        F.when(every("l_orderkey", 10, 3), F.lit(CLOSED)).otherwise(open_end).alias("end_time"))
+    waybill = (F.when(every("l_partkey", 29), F.lit(None).cast("string"))
+               .when(every("l_partkey", 31), F.concat(F.lit("none"), F.col("l_partkey").cast("string")))
+               .otherwise(F.col("l_partkey").cast("string")))
+    detail = li.select(list_no.alias("ewbs_list_no"), waybill.alias("ewb_no"),
+                       F.when(F.col("l_quantity").cast("int") % 10 == 0, 0).otherwise(F.col("l_quantity").cast("int"))
+                       .alias("out_piece"),
+                       F.when(F.col("l_linenumber") == 7, F.lit(CLOSED)).otherwise(open_end).alias("end_time"))
 
     site = named_nation.select(F.col("n_nationkey").cast("bigint").alias("site_id"),
                                F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("site_code"),
                                F.col("full_name").alias("site_name"),
                                open_end.alias("end_time"))
+    site = site.unionByName(site.select("site_id", "site_code", F.lit("OLD").alias("site_name"),
+                                        F.lit(CLOSED).alias("end_time")))
     org = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select(
         F.col("n_nationkey").cast("string").alias("svth_lvl_org_brnch_id"),
         F.col("r_name").alias("fith_lvl_org_brnch_nm"),
@@ -191,16 +221,22 @@ def standin_tables(spark: SparkSession, sf_dir: str,
     part = t.part
     dic = part.select(F.col("p_type").alias("dict_id"), F.col("p_type").alias("dict_name")).distinct() \
         .select("dict_id", "dict_name", F.lit("services_type").alias("type_code"), open_end.alias("end_time"))
+    dic = dic.unionByName(dic.withColumn("type_code", F.lit("other"))).unionByName(dic.withColumn("end_time", F.lit(CLOSED)))
     ewb = part.select(F.col("p_partkey").cast("string").alias("ewb_no"),
                       F.col("p_retailprice").alias("calc_weight"),
                       (F.col("p_retailprice") * F.lit(0.5)).alias("operate_weight"),
                       F.col("p_size").cast("double").alias("vol"),
                       (F.col("p_size") - F.lit(1)).alias("piece"),
-                      open_end.alias("end_time"),
-                      F.lit(1).alias("rd_status"))
+                      F.when(every("p_partkey", 41), F.lit(CLOSED)).otherwise(open_end).alias("end_time"),
+                      F.when(every("p_partkey", 37), 0).otherwise(1).alias("rd_status"))
     ewb_detail = part.select(F.col("p_partkey").cast("string").alias("ewb_no"),
                              F.col("p_type").alias("services_type_id"),
                              open_end.alias("end_time"))
+    # a second product, or the same one in a closed version
+    second = part.where(every("p_partkey", 6) | every("p_partkey", 6, 1)).select(
+        F.col("p_partkey").cast("string").alias("ewb_no"), F.lit("PROMO").alias("services_type_id"),
+        F.when(every("p_partkey", 6), open_end).otherwise(F.lit(CLOSED)).alias("end_time"))
+    ewb_detail = ewb_detail.unionByName(second)
     return {
         "dwd_fact_tms_shipment": shipment,
         "dwd_fact_tms_shipment_stop": stops,

@@ -48,9 +48,9 @@ def test_builtin_segment_path_equals_exploded_rule(spark, routes):
         if c not in ship.columns:
             ship = ship.withColumn(c, F.lit(None).cast("string"))
     ship = ship.withColumn("__load_mode", F.lit("x"))
-    p = M.MartParams()
+    p = M.MartParams(20220123, "2022-01-23 12:00:00", None, None)
     a = M._segments_builtin(ship, p).select("shipment_gid", "trans_mode", "trans_rodes", "by_road_method", "by_road_num")
-    p2 = M.MartParams(segment_rule=lambda mode, sched: C.route_segments(sched))
+    p2 = M.MartParams(20220123, "2022-01-23 12:00:00", None, None, segment_rule=lambda mode, sched: C.route_segments(sched))
     b = M._segments_by_rule(ship, p2).select("shipment_gid", "trans_mode", "trans_rodes", "by_road_method", "by_road_num")
     key = lambda r: tuple("" if v is None else v for v in r)
     assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)

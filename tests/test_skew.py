@@ -12,7 +12,7 @@ from lanekit.plans.standins import standin_params, standin_tables
 from lanekit.sources.tables import load
 from oracle_compare import compare, duck
 
-HOT_ORDER = 7
+HOT_ORDER = 1
 
 
 def test_mart_with_a_hot_order_matches_oracle(spark):
