@@ -11,7 +11,9 @@ range ``i`` of ``2**bits`` equal ones, about ``rows_per_range`` documents
 each, with ``bits`` from the source's own row count. A source that holds a
 third of all rows is therefore spread over as many ranges as it needs. Prefix
 sums go over three levels (blocks of ranges, ranges, documents), each with a
-small window.
+small window. The documents a source takes in its last epoch are those up to
+one place in its order, so what a document needs for its decision is its own
+key and one row of its source.
 """
 
 from __future__ import annotations
@@ -66,10 +68,10 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS,
                     F.least(F.col("cap"), F.col("weight") * F.col("lam")).alias("target")))
 
 
-def sized_documents(docs: DataFrame, seed: str, carry: tuple[str, ...] = ()) -> DataFrame:
+def sized_documents(docs: DataFrame, seed: str) -> DataFrame:
     """The narrow rows the mix is computed on."""
     return docs.select("doc_id", "source", n_words(F.col("text")).alias("size"),
-                       random_key(F.col("doc_id"), seed).alias("key"), *carry)
+                       random_key(F.col("doc_id"), seed).alias("key"))
 
 
 def prefix_sums(rows: DataFrame) -> DataFrame:
@@ -103,12 +105,47 @@ def prefix_sums(rows: DataFrame) -> DataFrame:
             .filter("key >= 0"))
 
 
+def source_cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
+                rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """(source, source_size, target, epochs, cut), one row per source of
+    ``rows`` (see :func:`sized_documents`): how often its whole size fits into
+    the target, and the last place (key, id, size) that the rest reaches, null
+    if it reaches none. A document is reached if its middle is."""
+    per_source = stage(source_targets(
+        rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")),
+        weights, max_epochs), "mix-sources")
+    bits = F.greatest(F.lit(0.0), F.ceil(F.log2(F.col("n_docs") / F.lit(float(rows_per_range)))))
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    plan = per_source.withColumn("epochs", epochs.cast("long"))
+    named = plan.select(F.col("source").alias("named"), (F.lit(KEY_BITS) - bits).cast("int").alias("shift"),
+                        (F.col("target") - F.col("epochs") * F.col("source_size")).alias("rest"))
+    placed = (rows.join(named, F.col("source").eqNullSafe(F.col("named")))
+              .withColumn("range", F.call_function("shiftright", F.col("key"), F.col("shift")))
+              .select("source", "range", "key", "doc_id", "size", "rest"))
+    reached = prefix_sums(placed).filter((F.col("size") > 0) & (F.col("before") + F.col("size") / 2 <= F.col("rest")))
+    cuts = reached.groupBy(F.col("source").alias("named")).agg(F.max(_place()).alias("cut"))
+    return (plan.join(cuts, F.col("source").eqNullSafe(F.col("named")), "left")
+            .select("source", "source_size", "target", "epochs", "cut"))
+
+
+def _place() -> Column:
+    """Where a document stands in its source."""
+    return F.struct("key", "doc_id", "size")
+
+
+def _times(cuts: DataFrame, alias: str) -> tuple[DataFrame, Column]:
+    """The cuts under column ``alias`` and the number of times a document
+    with key, id and size is taken by its source's."""
+    found = cuts.select(F.struct("source", "source_size", "target", "epochs", "cut").alias(alias))
+    c = F.col(alias)
+    once_more = (F.col("size") > 0) & F.coalesce(_place() <= c["cut"], F.lit(False))
+    return found, c["epochs"] + once_more.cast("long")
+
+
 def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS,
-        max_epochs: int = MAX_EPOCHS, rows_per_range: int = ROWS_PER_RANGE,
-        carry: tuple[str, ...] = ()) -> DataFrame:
+        max_epochs: int = MAX_EPOCHS, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row of ``docs``
-    (columns doc_id, source, text; others are ignored, but for the narrow ones
-    named in ``carry``, which come last).
+    (columns doc_id, source, text; others are ignored).
 
     ``taken`` is a whole number of times the size: all full epochs of the
     budget, plus once more where the document's middle lies before the cut of
@@ -116,45 +153,29 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS,
     document). Keys depend on id and seed only, so reruns agree. Null or
     empty texts have size 0 and take 0; null sources form one source, last in
     order; a null id counts as the empty string; rows that repeat an id are
-    rows of their own, ordered by size among themselves. No rows in, none out.
+    rows of their own, ordered by size among themselves, and such rows of one
+    source and size share a decision. No rows in, none out.
     """
-    extra = tuple(c for c in carry if c != "source")
-    rows = stage(sized_documents(docs, seed, extra), "mix-sizes")
-    per_source = stage(source_targets(
-        rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")),
-        weights, max_epochs), "mix-sources")
-    bits = F.greatest(F.lit(0.0), F.ceil(F.log2(F.col("n_docs") / F.lit(float(rows_per_range)))))
-    plan = per_source.select(F.col("source").alias("named"), "source_size", "target",
-                             (F.lit(KEY_BITS) - bits).cast("int").alias("shift"))
-    rows = (rows.join(plan, F.col("source").eqNullSafe(F.col("named")))
-            .withColumn("range", F.call_function("shiftright", F.col("key"), F.col("shift")))
-            .select("source", "range", "key", "doc_id", "size", "source_size", "target", *extra))
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    once_more = (F.col("size") > 0) & (F.col("before") + F.col("size") / 2 <= rest)
-    return (prefix_sums(rows).withColumn("epochs", epochs.cast("long"))
-            .select("doc_id", "size", "source_size", "target",
-                    (F.col("size") * (F.col("epochs") + once_more.cast("long"))).alias("taken"), *carry))
+    rows = stage(sized_documents(docs, seed), "mix-sizes")
+    cuts, times = _times(stage(source_cuts(rows, weights, max_epochs, rows_per_range), "mix-cuts"), "found")
+    return (rows.join(cuts, F.col("source").eqNullSafe(F.col("found")["source"]))
+            .select("doc_id", "size", F.col("found")["source_size"].alias("source_size"),
+                    F.col("found")["target"].alias("target"), (F.col("size") * times).alias("taken")))
 
 
-def mixed(docs: DataFrame, **settings) -> DataFrame:
+def mixed(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS,
+          max_epochs: int = MAX_EPOCHS, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, with its
     columns unchanged; a document that the mix does not take goes, one that
-    three epochs take comes three times. Rows equal in id, source and text are
-    copies of one another: as many rows come back as the mix takes of them
-    all. Texts move only if the decisions are too many to broadcast."""
-    text = fresh("text")
-    named = docs.withColumn(text, F.xxhash64("text"))
-    times = F.when(F.col("taken") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int")
-    chosen = (mix(named, carry=("source", text), **settings)
-              .groupBy("doc_id", "source", text).agg(F.sum(times).alias("times"), F.count("*").alias("n"))
-              .filter("times > 0"))
-    id_, source, hash_, turns, n, turn = (fresh(c) for c in ("id", "source", "hash", "turns", "n", "turn"))
-    chosen = stage(chosen, "mix-chosen").select(
-        F.col("doc_id").alias(id_), F.col("source").alias(source), F.col(text).alias(hash_),
-        F.col("times").alias(turns), F.col("n").alias(n))
-    rows = named.join(chosen, named["doc_id"].eqNullSafe(F.col(id_)) & named["source"].eqNullSafe(F.col(source))
-                      & (named[text] == F.col(hash_)))
-    once = rows.filter(F.col(n) == 1).unionByName(
-        rows.filter(F.col(n) > 1).dropDuplicates([id_, source, hash_]))
-    return once.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(turns).cast("int")))).select(*docs.columns)
+    three epochs take comes three times. A document's key and its source's cut
+    decide, so texts stay where they are."""
+    rows = stage(sized_documents(docs, seed), "mix-sizes")
+    cuts = stage(source_cuts(rows, weights, max_epochs, rows_per_range), "mix-cuts")
+    found, row, turn = fresh("found"), fresh("row"), fresh("turn")
+    cuts, times = _times(cuts, found)
+    wide = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias(row), "doc_id", "source",
+                       n_words(F.col("text")).alias("size"), random_key(F.col("doc_id"), seed).alias("key"))
+    return (wide.join(cuts, F.col("source").eqNullSafe(F.col(found)["source"]))
+            .withColumn("size", times * (F.col("size") > 0).cast("long")).filter("size > 0")
+            .withColumn(turn, F.explode(F.sequence(F.lit(1), F.col("size").cast("int"))))
+            .select(*[F.col(row)[c].alias(c) for c in docs.columns]))

@@ -23,7 +23,7 @@ def register(name: str, oracle: str | None = None):
 @register("op1_quality_rules")
 def op1_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    q = quality.judged(docs, "q").drop("text")
+    q = quality.judged(docs, "q")
     return q.select("doc_id", *[f"q.{m}" for m in quality.MEASURES[:5]], "q.base_failed", "q.kept",
                     F.col("q.good").alias("good_probability"))
 
@@ -53,14 +53,14 @@ targets AS (
          least(cap, weight * (SELECT arg_min(level, place) FROM levels WHERE level <= ratio)) AS target
   FROM levels),
 placed AS (
-  SELECT r.doc_id, r.size, t.source_size, t.target,
+  SELECT r.doc_id, r.source, r.key, r.size, t.source_size, t.target,
          coalesce(sum(r.size) OVER (PARTITION BY r.source ORDER BY r.key, r.doc_id, r.size
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
          CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END::BIGINT AS epochs
   FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
-       (size * (epochs + CASE WHEN size > 0 AND before + size / 2.0 <= target - epochs * source_size
-                              THEN 1 ELSE 0 END))::BIGINT AS taken
+       (size * (epochs + bool_or(size > 0 AND before + size / 2.0 <= target - epochs * source_size)
+                         OVER (PARTITION BY source, key, doc_id, size)::BIGINT))::BIGINT AS taken
 FROM placed
 """
 
