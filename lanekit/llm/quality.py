@@ -197,6 +197,18 @@ def base_failed(m: Column) -> Column:
     return (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
 
 
+def verdict(m: Column, model: Model, threshold: float = 0.5) -> Column:
+    """Measures, ``base_failed``, ``good`` (the posterior probability) and
+    ``kept`` of a struct of measures."""
+    failed, good = base_failed(m), posterior(m, model)
+    return F.struct(*[m[x].alias(x) for x in MEASURES], failed.alias("base_failed"), good.alias("good"),
+                    (~failed & (good >= threshold)).alias("kept"))
+
+
+def _votes(rows: DataFrame, name: str) -> DataFrame:
+    return rows.select(*[r.vote(F.col(name)).alias(r.name) for r in RULES])
+
+
 def judged(docs: DataFrame, name: str, threshold: float = 0.5) -> DataFrame:
     """``docs`` (column text; any others stay) with a struct column ``name``:
     the measures, ``base_failed``, ``good`` (the posterior probability) and
@@ -204,19 +216,18 @@ def judged(docs: DataFrame, name: str, threshold: float = 0.5) -> DataFrame:
 
     Null, empty and wordless texts have all measures 0, fail the base rules
     and get abstentions only. Repeated rows are judged alike. An empty table
-    gives an empty table. The measured rows are written once, then the votes
-    of all of them estimate the rules.
+    gives an empty table. The rows and their measures are written once; hand
+    over few columns beside the text.
     """
-    rows = stage(measured(docs, name), "quality")
-    m = F.col(name)
-    model = fit(rows.select(*[r.vote(m).alias(r.name) for r in RULES]))
-    good = posterior(m, model)
-    failed = base_failed(m)
-    return rows.withColumn(name, F.struct(*[m[x].alias(x) for x in MEASURES], failed.alias("base_failed"),
-                                          good.alias("good"), (~failed & (good >= threshold)).alias("kept")))
+    rows = stage(measured(docs, name).drop("text"), "quality")
+    return rows.withColumn(name, verdict(F.col(name), fit(_votes(rows, name)), threshold))
 
 
 def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that are kept, columns unchanged."""
+    """The rows of ``docs`` that are kept, columns unchanged. The votes of all
+    rows are counted in a first pass, and a second one measures each text
+    again and filters: a copy of all texts would cost more."""
     name = fresh("quality")
-    return judged(docs, name, threshold).filter(F.col(name)["kept"]).select(*docs.columns)
+    model = fit(_votes(measured(docs.select("text"), name), name))
+    return (measured(docs, name).withColumn(name, verdict(F.col(name), model, threshold))
+            .filter(F.col(name)["kept"]).select(*docs.columns))
