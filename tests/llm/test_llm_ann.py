@@ -34,7 +34,7 @@ def test_recall_over_the_whole_table(spark):
     rows = spark.read.parquet(f"{d}/embeddings.parquet").collect()
     wanted = brute(np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float))
     got = found(QUERIES["op6_nearest_neighbours"](spark, d))
-    assert set(got) == set(wanted) and recall(got, wanted) >= 0.9
+    assert set(got) == set(wanted) and recall(got, wanted) >= 0.99
     for q, w in wanted.items():
         assert [s for _, s in got[q]] == pytest.approx([s for _, s in w], abs=1e-9) or recall({q: got[q]}, {q: w}) < 1
 
@@ -57,7 +57,7 @@ def test_bounds_hold():
         turn = ann.rotation(dims)
         assert np.allclose(turn @ turn.T, np.eye(dims))
         guess, width = ann.estimates(q @ turn.T, np.linalg.norm(q, axis=1), *ann.encode(x, turn))
-        assert (np.abs(guess - q @ x.T) <= width).mean() > 0.999
+        assert (np.abs(guess - q @ x.T) <= width).mean() > 0.98
 
 
 def test_edge_rows(spark):
