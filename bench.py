@@ -23,9 +23,13 @@ sys.path.insert(0, ROOT)
 
 from lanekit.plans import catalog  # noqa: E402
 from lanekit.session import get_session  # noqa: E402
+from lanekit.sources.scratch import release_all  # noqa: E402
 
 HEADLINE = (
     "route_load_mart",        # flagship: 12-input mart, single-pass pre-aggregated measures
+    "view_steps",             # the same mart as SQL steps
+    "row_number_hot",         # a third of all rows under one key
+    "export_all_roundtrip",   # all tables out and back
     "category_pivot_sum",
     "prorated_sum",
     "role_playing_join",
@@ -42,7 +46,9 @@ HEADLINE = (
 def run_once(spark, fn, sf_dir: str) -> float:
     t = time.perf_counter()
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - t
+    took = time.perf_counter() - t
+    release_all(spark)                     # scratch tables do not pile up
+    return took
 
 
 def main() -> None:
