@@ -16,6 +16,7 @@ toxic.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,7 +56,7 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     code = (code[:-2] * np.uint64(0x9E3779B97F4A7C15) + code[1:-1]) * np.uint64(0xBF58476D1CE4E5B9) + code[2:]
     code = (code ^ (code >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
     inside = owner[:-2] == owner[2:]
-    return (code[inside] >> np.uint64(40)).astype(np.int64) % GRAM_BUCKETS, owner[:-2][inside]
+    return (code[inside] >> np.uint64(40)).astype(np.int32) % GRAM_BUCKETS, owner[:-2][inside]
 
 
 def tokens(text: str | None) -> list[str]:
@@ -113,8 +114,11 @@ class Network:
 
     def inputs(self, words: list[str], known: np.ndarray, bucket: np.ndarray, owner: np.ndarray) -> np.ndarray:
         count = np.maximum(np.bincount(owner, minlength=len(words)), 1)
-        chars = np.stack([np.bincount(owner, self.p["gram"][bucket, k], len(words)) for k in range(CHAR_DIMS)], 1)
-        return np.concatenate([self.p["word"][known], (chars / count[:, None]).astype(np.float32)], 1)
+        x = np.empty((len(words), WORD_DIMS + CHAR_DIMS), np.float32)
+        x[:, :WORD_DIMS] = self.p["word"][known]
+        for k in range(CHAR_DIMS):
+            x[:, WORD_DIMS + k] = np.bincount(owner, self.p["gram"][bucket, k], len(words)) / count
+        return x
 
     def forward(self, step: np.ndarray, mask: np.ndarray, keep: bool = False):
         """Scores (logits) of windows. ``step``: per direction, place and
@@ -219,39 +223,38 @@ class Adam:
 # ----------------------------------------------------------------- training
 
 class Texts:
-    """Texts as numbers of distinct words, with their windows."""
+    """Texts as numbers of distinct words, with their windows. Words are read
+    once and not kept, but for the distinct ones."""
 
-    def __init__(self, network_words, texts: list[list[str]]):
+    def __init__(self, texts: Iterable[list[str]]):
         number: dict[str, int] = {}
-        ids = [number.setdefault(w, len(number)) for t in texts for w in t]
-        at, self.text = windows([len(t) for t in texts])
-        flat = np.append(np.array(ids, np.int64), -1)
-        self.at = flat[at]
+        self.parts = [np.fromiter((number.setdefault(w, len(number)) for w in t), np.int32, len(t)) for t in texts]
+        at, self.text = windows([len(p) for p in self.parts])
+        self.at = np.concatenate([*self.parts, np.full(1, -1, np.int32)])[at]
         self.words = [plain(w) for w in number]
-        self.known = network_words(self.words)
         self.bucket, self.owner = grams(self.words)
+        self.known = np.zeros(len(self.words), np.int64)
 
-
-def vocabulary(texts: list[list[str]], limit: int = VOCABULARY, least: int = MIN_TEXTS) -> list[str]:
-    """The words of most texts (of ``least`` at least), at most ``limit``."""
-    count: dict[str, int] = {}
-    for t in texts:
-        for w in {plain(w) for w in t}:
-            count[w] = count.get(w, 0) + 1
-    return sorted((w for w, n in count.items() if n >= least), key=lambda w: (-count[w], w))[:limit]
+    def vocabulary(self, limit: int = VOCABULARY, least: int = MIN_TEXTS) -> list[str]:
+        """The words of most texts (of ``least`` at least), at most ``limit``."""
+        number: dict[str, int] = {}
+        of = np.fromiter((number.setdefault(w, len(number)) for w in self.words), np.int64, len(self.words))
+        count = np.zeros(len(number), np.int64)
+        for p in self.parts:
+            count[np.unique(of[p])] += 1
+        return sorted((w for w, i in number.items() if count[i] >= least), key=lambda w: (-count[number[w]], w))[:limit]
 
 
 def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 5) -> Network | None:
     """Fits on labelled texts; None unless both labels occur among texts with
     words."""
-    pairs = [(tokens(t), y) for t, y in zip(texts, labels)]
-    pairs = [(t, y) for t, y in pairs if t]
-    if len({y for _, y in pairs}) < 2:
+    kept = [i for i, t in enumerate(texts) if t and t.split()]
+    y = np.array([labels[i] for i in kept], np.float32)
+    if len(set(y.tolist())) < 2:
         return None
-    y = np.array([y for _, y in pairs], np.float32)
-    words = [t for t, _ in pairs]
-    net = Network.new(vocabulary(words))
-    data = Texts(net.known, words)
+    data = Texts(tokens(texts[i]) for i in kept)
+    net = Network.new(data.vocabulary())
+    data.known = net.known(data.words)
     rng, adam = np.random.default_rng(seed), Adam(net.p, 0.02)
     balance = np.where(y > 0, 1.0, min(1.0, float(y.sum()) / max(float((1 - y).sum()), 1.0) * 2)).astype(np.float32)
     order = np.argsort(data.text, kind="stable")
@@ -311,9 +314,8 @@ def sample(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC,
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
             .groupBy(F.xxhash64("text").alias("same")).agg(
                 F.first("text").alias("text"), F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"))
-            .collect())
-    rows.sort(key=lambda r: r["doc_id"])
-    return [r["text"] for r in rows], [r["toxic"] for r in rows]
+            .toPandas().sort_values("doc_id"))
+    return rows.text.tolist(), rows.toxic.tolist()
 
 
 # ----------------------------------------------------------------- operator
@@ -330,7 +332,8 @@ def scores(net: Network, texts: list[str | None], batch_words: int = 60_000) ->
             at += 1
         best = np.full(len(part), -np.inf)
         if held:
-            data = Texts(net.known, part)
+            data = Texts(part)
+            data.known = net.known(data.words)
             x = net.inputs(data.words, data.known, data.bucket, data.owner)
             np.maximum.at(best, data.text, net.logits(x, data.at))
         out += np.where(np.isfinite(best), 1 / (1 + np.exp(-np.clip(best, -50, 50))), 0.0).tolist()
