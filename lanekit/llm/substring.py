@@ -74,6 +74,23 @@ def run_hashes(word: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+HASH_WORDS = 250_000
+
+
+def windows_at(value: np.ndarray, ids: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    """Hashes of the windows of ``ids`` that begin at ``at`` (ascending);
+    ``value`` is the hash of each word number. Worked off in slices, so that
+    only the result is as long as ``at``."""
+    out = np.empty(len(at), np.uint64)
+    done = 0
+    while done < len(at):
+        to = int(np.searchsorted(at, at[done] + HASH_WORDS))
+        first = at[done]
+        out[done:to] = run_hashes(value[ids[first:at[to - 1] + window]], window)[at[done:to] - first]
+        done = to
+    return out
+
+
 def sliding_min(values: np.ndarray, length: int) -> np.ndarray:
     size, best = 1, values
     while 2 * size <= length:
@@ -113,18 +130,19 @@ def load(blobs: Iterable[bytes], wanted=None) -> Packs:
     number: dict[bytes, int] = {}
     columns: list[list[np.ndarray]] = [[] for _ in range(6)]
     for blob in blobs:
+        blob = memoryview(blob)
         raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True)
         words, codes, length, key, did, uid, start = pickle.loads(raw)
         names = words.split(b" ")
-        pack = Packs(names, codes.astype(np.int64), length.astype(np.int64), key, did, uid, start.astype(np.int64))
+        pack = Packs(names, codes, length.astype(np.int64), key, did, uid, start.astype(np.int64))
         if wanted is not None:
             pack = pack.take(np.flatnonzero(wanted(key)))
             if not len(pack.key):
                 continue
-        table = np.fromiter((number.setdefault(w, len(number)) for w in names), np.int64, len(names))
+        table = np.fromiter((number.setdefault(w, len(number)) for w in names), np.int32, len(names))
         for column, values in zip(columns, (table[pack.ids], pack.length, pack.key, pack.did, pack.uid, pack.start)):
             column.append(values)
-    kinds = (np.int64, np.int64, np.uint64, np.int64, np.int64, np.int64)
+    kinds = (np.int32, np.int64, np.uint64, np.int64, np.int64, np.int64)
     return Packs(list(number), *(np.concatenate(c) if c else np.zeros(0, k) for c, k in zip(columns, kinds)))
 
 
@@ -132,10 +150,14 @@ def _ship(packs: Packs, parts: int) -> Iterator[tuple]:
     """One row per bucket."""
     part = (packs.key % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    cut = np.flatnonzero(np.diff(part[order])) + 1
-    for rows in np.split(order, cut) if len(order) else ():
-        own = packs.take(rows)
-        yield int(part[rows[0]]), len(own.ids), own.dump(), None, None, None
+    packs, part = packs.take(order), part[order]
+    end = np.cumsum(packs.length)
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(part)]):
+        if a < b:
+            ids = packs.ids[end[a] - packs.length[a]:end[b - 1]]
+            own = Packs(packs.vocabulary, ids, *(x[a:b] for x in (packs.length, packs.key, packs.did, packs.uid, packs.start)))
+            yield int(part[a]), len(ids), own.dump(), None, None, None
 
 
 def _marks(did: np.ndarray, uid: np.ndarray, start: np.ndarray, length: np.ndarray, parts: int) -> Iterator[tuple]:
@@ -171,7 +193,7 @@ def pack(docs: list[tuple[int, int, bytes]], window: int) -> tuple[Packs, list[n
     ids, sizes = [], []
     for _, _, text in docs:
         words = text.split()
-        ids.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
+        ids.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
         sizes.append(len(words))
     vocabulary = list(number)
     size = np.array(sizes, np.int64)
@@ -179,12 +201,12 @@ def pack(docs: list[tuple[int, int, bytes]], window: int) -> tuple[Packs, list[n
     owner = np.repeat(np.arange(len(docs)), size)
     place = _spread(np.zeros(len(size), np.int64), size)
     windows = len(ids) - window + 1
-    empty = Packs(vocabulary, *(np.zeros(0, k) for k in (np.int64, np.int64, np.uint64) + (np.int64,) * 3))
+    empty = Packs(vocabulary, *(np.zeros(0, k) for k in (np.int32, np.int64, np.uint64) + (np.int64,) * 3))
     if windows < 1:
         return empty, []
-    word = np.fromiter((xxhash.xxh64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))[ids]
+    word = np.fromiter((xxhash.xxh64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))
     grain = min(MINIMISER, window)
-    least = sliding_min(run_hashes(word, grain), window - grain + 1)
+    least = sliding_min(windows_at(word, ids, np.arange(len(ids) - grain + 1), grain), window - grain + 1)
     valid = owner[:windows] == owner[window - 1:]
     new = valid.copy()
     new[1:] &= (least[1:] != least[:-1]) | ~valid[:-1] | (owner[1:windows] != owner[:windows - 1])
@@ -252,7 +274,7 @@ def repeats(packs: Packs, window: int) -> list[np.ndarray]:
     at = _spread(begin, count)
     if not len(at):
         return [np.zeros(0, np.int64)] * 3
-    code = run_hashes(salt[packs.ids], window)[at]
+    code = windows_at(salt, packs.ids, at, window)
     order = np.argsort(code, kind="stable")
     same = code[order][1:] == code[order][:-1]
     shared = np.zeros(len(order), bool)
@@ -328,12 +350,14 @@ def _solve_bucket(window: int, parts: int, pass_words: int, hot_words: int | Non
             through = batch.filter(pa.compute.is_null(batch.column(2)))
             if through.num_rows:
                 yield through
-            for row in batch.filter(pa.compute.is_valid(batch.column(2))).to_pylist():
-                if row["part"] != part:
+            for of, n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if not data.is_valid:
+                    continue
+                if of != part:
                     yield from solve(blobs, words)
-                    blobs, words, part = [], 0, row["part"]
-                blobs.append(row["data"])
-                words += row["words"]
+                    blobs, words, part = [], 0, of
+                blobs.append(data.as_buffer())                # no copy
+                words += n
         yield from solve(blobs, words)
 
     return run
