@@ -3,17 +3,17 @@
 The tokens of a page are its structural elements, told apart by their path of
 tags and class names, and its text blocks. Over the pages of one host every
 token has an occurrence vector: how often it occurs on each page. Tokens with
-equal vectors form an equivalence class. The class that occurs exactly once
-on every page, as far as it nests from the root down, is the host's template;
-classes with other vectors nest inside it as repeated parts. What remains
+equal vectors form an equivalence class. A class on at least ``SUPPORT`` of
+the host's pages is valid, so an error page or a second layout changes
+nothing; the valid classes, each nested in its parent's class from the root
+down, are the host's template. Pages without html do not count. What remains
 between template tokens are slots. The template element whose slots hold the
 text is the container of the main text; text blocks that are themselves
 template tokens are notices, and named boilerplate is left out.
 
 A vector enters the aggregation as the XOR of a hash per page and count, so
 classes come out of one partial aggregation over all pages, however many a
-host has. Only tokens on at least half of a host's pages can be template
-tokens; these are a bounded number per host. Hosts with fewer than
+host has. Only tokens of valid classes leave it; these are a bounded number per host. Hosts with fewer than
 ``FEW_PAGES`` pages have no vectors worth comparing; they are deduced as one
 pool.
 """
@@ -33,6 +33,8 @@ from lanekit.llm.common import stage
 
 FEW_PAGES = 3
 TEXT_SHARE = 0.8
+SUPPORT = 0.5
+NEARLY_ALL = 0.9
 
 #: Element names of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,6 +59,7 @@ _TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]++|\"[^\"]*+\"|'
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(^|\s)(hidden|aria-hidden\s*=\s*["']?true)(?=[\s"'/]|$)""", re.I)
 _LETTERS = re.compile(r"[a-z]+")
+_FILLED = r"[^\x00-\x20]"
 
 
 class Element:
@@ -172,20 +175,26 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
 
 
 def tokens(page: str) -> dict[int, list[int]]:
-    """token -> [times on the page, parent, depth, clean text below, kind];
-    kind 2: a main element, 1: another element, 0: a text block."""
+    """token -> [times on the page, parent, depth, clean text in it, the whole
+    page's clean text, kind]; kind 2: a main element, 1: another element, 0: a
+    text block. None for a blank page."""
     found: dict[int, list[int]] = {}
+    if not re.search(_FILLED, page):
+        return found
     elements, blocks = parse(page)
+    whole = elements[0].clean
     for e in elements:
         if e.boilerplate:
             continue
         kind = 2 if e.tag in MAIN_TAGS else 1
-        row = found.setdefault(e.path, [0, e.parent.path if e.parent else -1, e.depth, 0, kind])
+        row = found.setdefault(e.path, [0, e.parent.path if e.parent else -1, e.depth, 0, whole, kind])
         row[0] += 1
         row[3] += e.clean
-    for e, text, _ in blocks:
+    for e, text, link in blocks:
         if not e.boilerplate and not e.main:
-            found.setdefault(text_token(e, text), [0, e.path, e.depth + 1, 0, 0])[0] += 1
+            row = found.setdefault(text_token(e, text), [0, e.path, e.depth + 1, 0, whole, 0])
+            row[0] += 1
+            row[3] += 0 if link else len(text)
     return found
 
 
@@ -193,34 +202,36 @@ def text_token(e: Element, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{e.path}:{text}".encode()) >> 1
 
 
-def deduce(rows: pd.DataFrame, n_pages: int) -> tuple[int, list[int]]:
+def deduce(rows: pd.DataFrame, n_pages: int, few_pages: int = FEW_PAGES) -> tuple[int, list[int]]:
     """(container, notices) of one host from its tokens (token, parent, depth,
-    kind, clean, pages, times, vector).
-
-    The template is the equivalence class of the root, whose vector is one on
-    every page, cut to the tokens that hang together from the root. The
-    container is the deepest template element that holds at least
-    ``TEXT_SHARE`` of all clean text; notices are the template's text blocks.
+    kind, clean, pages, times, vector and whole, the clean text of all pages
+    with the token).
+
+    The template are the classes on at least ``SUPPORT`` of the pages, cut to
+    the elements that hang together from the root. The container is the deepest
+    template element that occurs once on its pages and holds at least
+    ``TEXT_SHARE`` of their clean text. Notices are the text blocks of valid
+    classes; a class on less than ``NEARLY_ALL`` pages that holds more than
+    half of their text is none, as these pages are copies of one another.
     """
-    by_class = {v: g for v, g in rows.groupby("vector")}
+    rows = rows[rows.pages >= SUPPORT * n_pages]
     root = rows[rows.token == 0]
-    if root.empty:
+    if root.empty or n_pages < few_pages:
         return 0, []
-    template = by_class[root.vector.iloc[0]].sort_values("depth", kind="stable")
-    template = template[(template.times == n_pages) & (template.pages == n_pages)]
+    if "whole" not in rows:
+        rows = rows.assign(whole=int(root.clean.iloc[0]))
     nested, elements = {0}, []
-    notices = []
-    for t in template.itertuples():
-        if not t.kind:                                   # a text, wherever it stands
-            notices.append(int(t.token))
-        elif t.token == 0 or t.parent in nested:
+    for t in rows[rows.kind > 0].sort_values("depth", kind="stable").itertuples():
+        if t.token == 0 or t.parent in nested:
             nested.add(t.token)
-            elements.append(t)
-    if not elements:
-        return 0, []
-    whole = max(e.clean for e in elements)
-    holding = [e for e in elements if e.clean >= TEXT_SHARE * whole]
-    return int(max(holding, key=lambda e: (e.depth, e.clean, -e.token)).token), sorted(notices)
+            if t.times == t.pages:
+                elements.append(t)
+    notices: list[int] = []
+    for _, texts in rows[rows.kind == 0].groupby("vector"):
+        if texts.pages.max() >= NEARLY_ALL * n_pages or 2 * texts.clean.sum() <= texts.whole.max():
+            notices += texts.token.astype(int).tolist()
+    holding = [e for e in elements if e.clean >= TEXT_SHARE * e.whole]
+    return int(max(holding, key=lambda e: (e.depth, e.clean, -e.token)).token) if holding else 0, sorted(notices)
 
 
 def extract(page: str | None, container: int | None, notices: frozenset[int]) -> str:
@@ -256,7 +267,8 @@ def _host(url) -> F.Column:
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """(host, page, token, times, parent, depth, clean, kind) of all pages."""
+    """(host, page, token, times, parent, depth, clean, whole, kind) of all
+    pages that are not blank."""
 
     def run(batches):
         for b in batches:
@@ -265,34 +277,39 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                 rows = [(h.as_py(), p.as_py(), t, *row) for h, p, text in
                         zip(host[i:i + 64], page[i:i + 64], b.column(2)[i:i + 64])
                         for t, row in tokens(text.as_py() or "").items()]
+                if not rows:
+                    continue
                 columns = zip(*rows)
-                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int8())
-                names = ["host", "page", "token", "times", "parent", "depth", "clean", "kind"]
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(),
+                         pa.int8())
+                names = ["host", "page", "token", "times", "parent", "depth", "clean", "whole", "kind"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     return (pages.select(_host(F.col("url")).alias("host"), F.xxhash64("page_id", "url", "html").alias("page"), "html")
             .mapInArrow(run, "host string, page bigint, token bigint, times bigint, parent bigint, depth int, "
-                             "clean bigint, kind tinyint"))
+                             "clean bigint, whole bigint, kind tinyint"))
 
 
 def templates(pages: DataFrame, few_pages: int = FEW_PAGES) -> DataFrame:
     """(host, container, notices) for every host with ``few_pages`` pages or
-    more; the row with a null host is the pool of all others."""
+    more that are not blank; the row with a null host is the pool of all others."""
     named = pages.select("page_id", "url", "html")
-    sizes = named.groupBy(_host(F.col("url")).alias("host")).agg(F.count("*").alias("n"))
+    sizes = named.groupBy(_host(F.col("url")).alias("host")).agg(
+        F.count_if(F.col("html").rlike(_FILLED)).alias("n"))
     groups = stage(sizes.withColumn("grp", F.when(F.col("n") >= few_pages, F.col("host"))), "html-hosts")
     counts = groups.groupBy("grp").agg(F.sum("n").alias("n_pages"))
     grouped = (page_tokens(named).join(groups.select("host", "grp"), "host")
                .groupBy("grp", "token").agg(
                    F.count("*").alias("pages"), F.sum("times").alias("times"), F.sum("clean").alias("clean"),
+                   F.sum("whole").alias("whole"),
                    F.min("parent").alias("parent"), F.min("depth").alias("depth"), F.max("kind").alias("kind"),
                    F.concat_ws(":", F.expr("bit_xor(xxhash64(page, times))"),
                                F.expr("bit_xor(xxhash64(times, page, 1))")).alias("vector")))
     frequent = (grouped.join(counts.select(F.col("grp").alias("g"), "n_pages"), F.col("grp").eqNullSafe(F.col("g")))
-                .drop("g").filter("2 * pages >= n_pages"))
+                .drop("g").filter(F.col("pages") >= SUPPORT * F.col("n_pages")))
 
     def run(key, rows):
-        container, notices = deduce(rows, int(rows.n_pages.iloc[0]))
+        container, notices = deduce(rows, int(rows.n_pages.iloc[0]), few_pages)
         return pd.DataFrame([[key[0], container, notices]], columns=["grp", "container", "notices"])
 
     found = frequent.groupBy("grp").applyInPandas(run, "grp string, container bigint, notices array<bigint>")

@@ -88,3 +88,20 @@ def test_vectors_make_the_classes():
          (12, 0, 1, 1, 5, 4, 4, "one"), (13, 10, 2, 0, 0, 4, 4, "one"), (14, 99, 3, 1, 99, 4, 4, "one")],
         columns=["token", "parent", "depth", "kind", "clean", "pages", "times", "vector"])
     assert html.deduce(rows, 4) == (10, [13])
+
+
+def test_template_survives_blank_and_odd_pages(spark):
+    """An error page, blank pages and a second layout leave the template."""
+    pages = [page(f"<div class=w><p>Read more on our site</p><p>Story {i} begins here and goes on for a while</p></div>")
+             for i in range(6)]
+    odd = [("https://a.example/e", None), ("https://a.example/f", " "), page("<h1>Not found</h1>"),
+           page("<section><p>Another layout altogether</p></section>")]
+    got = run(spark, pages + odd)
+    assert [got[i] for i in range(6)] == [f"Story {i} begins here and goes on for a while" for i in range(6)]
+    assert [got[i] for i in range(6, 10)] == ["", "", "Not found", "Another layout altogether"]
+
+
+def test_copies_are_no_notices(spark):
+    pages = [page("<p>The same page</p><p>under many addresses</p>") for _ in range(4)]
+    assert set(run(spark, pages + [page("<p>Another one</p>"), page("<p>One more</p>")]).values()) == {
+        "The same page\nunder many addresses", "Another one", "One more"}
