@@ -9,7 +9,10 @@ nothing; the valid classes, each nested in its parent's class from the root
 down, are the host's template. Pages without html do not count. What remains
 between template tokens are slots. The template element whose slots hold the
 text is the container of the main text; text blocks that are themselves
-template tokens are notices, and named boilerplate is left out.
+template tokens are notices, also below ``article`` and ``main``, and named
+boilerplate is left out. Below these two a repeated text is a notice only if
+what stands beside it changes from page to page, as an article that is
+published twice keeps its order.
 
 A vector enters the aggregation as the XOR of a hash per page and count, so
 classes come out of one partial aggregation over all pages, however many a
@@ -176,8 +179,10 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
 
 def tokens(page: str) -> dict[int, list[int]]:
     """token -> [times on the page, parent, depth, clean text in it, the whole
-    page's clean text, kind]; kind 2: a main element, 1: another element, 0: a
-    text block. None for a blank page."""
+    page's clean text, kind, the texts before and after]; kind 2: a main
+    element, 1: another element, 0: a text block, -1: a text block below a main
+    element, whose neighbours there are given (0: none). None for a blank
+    page."""
     found: dict[int, list[int]] = {}
     if not re.search(_FILLED, page):
         return found
@@ -187,14 +192,17 @@ def tokens(page: str) -> dict[int, list[int]]:
         if e.boilerplate:
             continue
         kind = 2 if e.tag in MAIN_TAGS else 1
-        row = found.setdefault(e.path, [0, e.parent.path if e.parent else -1, e.depth, 0, whole, kind])
+        row = found.setdefault(e.path, [0, e.parent.path if e.parent else -1, e.depth, 0, whole, kind, 0, 0])
         row[0] += 1
         row[3] += e.clean
-    for e, text, link in blocks:
-        if not e.boilerplate and not e.main:
-            row = found.setdefault(text_token(e, text), [0, e.path, e.depth + 1, 0, whole, 0])
-            row[0] += 1
-            row[3] += 0 if link else len(text)
+    texts = [(e, text_token(e, text), 0 if link else len(text)) for e, text, link in blocks if not e.boilerplate]
+    inner = [t for e, t, _ in texts if e.main]
+    beside = iter(zip([0, *inner], [*inner[1:], 0]))
+    for e, token, clean in texts:
+        around = next(beside) if e.main else (0, 0)
+        row = found.setdefault(token, [0, e.path, e.depth + 1, 0, whole, -1 if e.main else 0, *around])
+        row[0] += 1
+        row[3] += clean
     return found
 
 
@@ -204,15 +212,18 @@ def text_token(e: Element, text: str) -> int:
 
 def deduce(rows: pd.DataFrame, n_pages: int, few_pages: int = FEW_PAGES) -> tuple[int, list[int]]:
     """(container, notices) of one host from its tokens (token, parent, depth,
-    kind, clean, pages, times, vector and whole, the clean text of all pages
-    with the token).
+    kind, clean, pages, times, vector; whole, the clean text of all pages with
+    the token; varied, whether its neighbours differ between pages).
 
     The template are the classes on at least ``SUPPORT`` of the pages, cut to
     the elements that hang together from the root. The container is the deepest
     template element that occurs once on its pages and holds at least
     ``TEXT_SHARE`` of their clean text. Notices are the text blocks of valid
     classes; a class on less than ``NEARLY_ALL`` pages that holds more than
-    half of their text is none, as these pages are copies of one another.
+    half of their text is none, as these pages are copies of one another. Below
+    main elements a class with more than half of the text is never one, a block
+    of it must have neighbours that differ, and it must be on ``NEARLY_ALL``
+    pages with a main element: articles quote each other.
     """
     rows = rows[rows.pages >= SUPPORT * n_pages]
     root = rows[rows.token == 0]
@@ -227,8 +238,11 @@ def deduce(rows: pd.DataFrame, n_pages: int, few_pages: int = FEW_PAGES) -> tupl
             if t.times == t.pages:
                 elements.append(t)
     notices: list[int] = []
-    for _, texts in rows[rows.kind == 0].groupby("vector"):
-        if texts.pages.max() >= NEARLY_ALL * n_pages or 2 * texts.clean.sum() <= texts.whole.max():
+    mains = rows.pages[rows.kind == 2].max() if (rows.kind == 2).any() else n_pages
+    for (kind, _), texts in rows[rows.kind <= 0].groupby(["kind", "vector"]):
+        copied = 2 * texts.clean.sum() > texts.whole.max()
+        everywhere = texts.pages.max() >= NEARLY_ALL * (mains if kind else n_pages)
+        if everywhere and not copied and texts.varied.any() if kind else everywhere or not copied:
             notices += texts.token.astype(int).tolist()
     holding = [e for e in elements if e.clean >= TEXT_SHARE * e.whole]
     return int(max(holding, key=lambda e: (e.depth, e.clean, -e.token)).token) if holding else 0, sorted(notices)
@@ -249,7 +263,7 @@ def extract(page: str | None, container: int | None, notices: frozenset[int]) ->
     if mains and sum(e.clean for e in mains) >= TEXT_SHARE * clean:
         below = _below(elements, mains)
     return "\n".join(text for e, text, _ in blocks
-                     if id(e) in below and not e.boilerplate and (e.main or text_token(e, text) not in notices))
+                     if id(e) in below and not e.boilerplate and text_token(e, text) not in notices)
 
 
 def _below(elements: list[Element], tops: list[Element]) -> set[int]:
@@ -267,8 +281,8 @@ def _host(url) -> F.Column:
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """(host, page, token, times, parent, depth, clean, whole, kind) of all
-    pages that are not blank."""
+    """(host, page, token, times, parent, depth, clean, whole, kind, before,
+    after) of all pages that are not blank."""
 
     def run(batches):
         for b in batches:
@@ -281,13 +295,14 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                     continue
                 columns = zip(*rows)
                 kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(),
-                         pa.int8())
-                names = ["host", "page", "token", "times", "parent", "depth", "clean", "whole", "kind"]
+                         pa.int8(), pa.int64(), pa.int64())
+                names = ["host", "page", "token", "times", "parent", "depth", "clean", "whole", "kind",
+                         "before", "after"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     return (pages.select(_host(F.col("url")).alias("host"), F.xxhash64("page_id", "url", "html").alias("page"), "html")
             .mapInArrow(run, "host string, page bigint, token bigint, times bigint, parent bigint, depth int, "
-                             "clean bigint, whole bigint, kind tinyint"))
+                             "clean bigint, whole bigint, kind tinyint, before bigint, after bigint"))
 
 
 def templates(pages: DataFrame, few_pages: int = FEW_PAGES) -> DataFrame:
@@ -302,6 +317,7 @@ def templates(pages: DataFrame, few_pages: int = FEW_PAGES) -> DataFrame:
                .groupBy("grp", "token").agg(
                    F.count("*").alias("pages"), F.sum("times").alias("times"), F.sum("clean").alias("clean"),
                    F.sum("whole").alias("whole"),
+                   ((F.min("before") != F.max("before")) | (F.min("after") != F.max("after"))).alias("varied"),
                    F.min("parent").alias("parent"), F.min("depth").alias("depth"), F.max("kind").alias("kind"),
                    F.concat_ws(":", F.expr("bit_xor(xxhash64(page, times))"),
                                F.expr("bit_xor(xxhash64(times, page, 1))")).alias("vector")))

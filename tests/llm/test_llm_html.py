@@ -105,3 +105,17 @@ def test_copies_are_no_notices(spark):
     pages = [page("<p>The same page</p><p>under many addresses</p>") for _ in range(4)]
     assert set(run(spark, pages + [page("<p>Another one</p>"), page("<p>One more</p>")]).values()) == {
         "The same page\nunder many addresses", "Another one", "One more"}
+
+
+def test_repeated_blocks_inside_the_article(spark):
+    """Unnamed adverts and sign-up lines that change their neighbours go, also
+    two in a row; an article published on most pages stays whole."""
+    pages = [page(f"<article><h1>Head {i}</h1><p>Story {i} begins here and goes on for quite a while, as stories do</p>"
+                  f"<p>Our letter, every day</p><div><p>Buy it now</p></div><p>Its end {i}</p></article>") for i in range(5)]
+    got = run(spark, pages + [page("<p>Not found</p>")])
+    assert got.pop(5) == "Not found"
+    assert got == {i: f"Head {i}\nStory {i} begins here and goes on for quite a while, as stories do\nIts end {i}"
+                   for i in range(5)}
+    copies = [page(f"<article><h1>Same head</h1><p>The same long story on all of these pages</p><p>At {i}</p></article>",
+                   "b.example") for i in range(4)]
+    assert run(spark, copies) == {i: f"Same head\nThe same long story on all of these pages\nAt {i}" for i in range(4)}
