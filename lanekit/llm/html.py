@@ -10,7 +10,8 @@ down, are the host's template. Pages without html do not count. What remains
 between template tokens are slots. The template element whose slots hold the
 text is the container of the main text; text blocks that are themselves
 template tokens are notices, also below ``article`` and ``main``, and named
-boilerplate is left out. Below these two a repeated text is a notice only if
+boilerplate is left out, unless it holds the page's main elements or most of
+its text (see ``settle``). Below these two a repeated text is a notice only if
 what stands beside it changes from page to page, as an article that is
 published twice keeps its order.
 
@@ -36,6 +37,7 @@ from lanekit.llm.common import stage
 
 FEW_PAGES = 3
 TEXT_SHARE = 0.8
+LONG_TEXT = 200
 SUPPORT = 0.5
 NEARLY_ALL = 0.9
 
@@ -57,6 +59,8 @@ BOILERPLATE_NAMES = frozenset(
     "search copyright disclaimer".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 MAIN_TAGS = frozenset(("article", "main"))
+#: Below a main element these name its headline.
+HEADLINE_NAMES = frozenset(("header", "masthead"))
 
 _TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+)>|[!?][^>]*+>)")
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -66,13 +70,14 @@ _FILLED = r"[^\x00-\x20]"
 
 
 class Element:
-    """An open element: its path's hash, whether it is boilerplate, how much
-    clean text lies below it."""
+    """An open element: its path's hash, whether it is boilerplate by its tag
+    (or an ancestor's), whether its names say so, how much clean text lies below
+    it. ``settle`` decides on the names."""
 
-    __slots__ = ("tag", "path", "parent", "depth", "boilerplate", "main", "clean")
+    __slots__ = ("tag", "path", "parent", "depth", "boilerplate", "named", "main", "clean")
 
-    def __init__(self, tag, path, parent, boilerplate):
-        self.tag, self.path, self.parent = tag, path, parent
+    def __init__(self, tag, path, parent, boilerplate, named):
+        self.tag, self.path, self.parent, self.named = tag, path, parent, named
         self.depth = parent.depth + 1 if parent else 0
         self.boilerplate = boilerplate or bool(parent and parent.boilerplate)
         self.main = tag in MAIN_TAGS or bool(parent and parent.main)
@@ -88,10 +93,12 @@ def _element(tag: str, attributes: str, parent: Element) -> Element:
         else:
             names += words
     plain = tag in MAIN_TAGS or tag in ("html", "body")
-    boilerplate = tag in BOILERPLATE_TAGS or role in BOILERPLATE_ROLES or bool(_HIDDEN.search(attributes)) or (
-        not plain and not BOILERPLATE_NAMES.isdisjoint(names))
+    headline = parent.main and tag == "header"
+    boilerplate = (tag in BOILERPLATE_TAGS and not headline) or role in BOILERPLATE_ROLES or bool(
+        _HIDDEN.search(attributes))
+    hints = BOILERPLATE_NAMES.intersection(names) - (HEADLINE_NAMES if parent.main else frozenset())
     label = f"{parent.path}/{tag}" + ("" if plain else "." + ".".join(sorted(set(names))))
-    return Element(tag, xxhash.xxh64_intdigest(label.encode()) >> 1, parent, boilerplate)
+    return Element(tag, xxhash.xxh64_intdigest(label.encode()) >> 1, parent, boilerplate, bool(hints) and not plain)
 
 
 def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
@@ -99,7 +106,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
     and the text blocks as (element, text, mostly a link). Text is decoded,
     white space in a block is one space. Void and inline elements are no
     structure; missing end tags are supplied."""
-    root = Element("", 0, None, False)
+    root = Element("", 0, None, False, False)
     stack, elements = [root], [root]
     blocks: list[tuple[Element, str, bool]] = []
     held: list[str] = []
@@ -177,16 +184,58 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
     return elements, blocks
 
 
+def settle(elements: list[Element], blocks: list[tuple[Element, str, bool]], confirmed=frozenset(),
+           lifted=frozenset()) -> None:
+    """Marks what lies below named elements as boilerplate, and takes its text
+    out of ``clean``. A name is a hint: it does not count for an element that
+    holds all main elements of the page, or whose path is ``lifted`` (holds
+    most text of the host's pages), or that holds ``TEXT_SHARE`` of the page's
+    text and ``LONG_TEXT`` characters, unless the host has ``confirmed`` it."""
+    if not any(e.named for e in elements):
+        return
+    mains = [e for e in elements if e.tag in MAIN_TAGS and not e.boilerplate and not e.parent.main]
+    around: dict[int, int] = {}
+    for m in mains:
+        e = m.parent
+        while e is not None:
+            around[id(e)] = around.get(id(e), 0) + 1
+            e = e.parent
+    # several main elements may be comments: these must hold half of the text
+    enough = len(mains) == 1 or 2 * sum(m.clean for m in mains) >= elements[0].clean
+    whole = elements[0].clean
+    for e in elements[1:]:
+        if e.named and not e.boilerplate:
+            holds = bool(mains) and enough and around.get(id(e), 0) == len(mains)
+            large = e.clean >= max(TEXT_SHARE * whole, LONG_TEXT) and e.path not in confirmed
+            e.boilerplate = not (holds or large or e.path in lifted)
+        e.boilerplate |= e.parent.boilerplate
+    for e in elements:
+        e.clean = 0
+    for e, text, link in blocks:
+        if not e.boilerplate and not link:
+            e.clean += len(text)
+    for e in reversed(elements[1:]):                     # children come last
+        if not e.boilerplate:
+            e.parent.clean += e.clean
+
+
 def tokens(page: str) -> dict[int, list[int]]:
     """token -> [times on the page, parent, depth, clean text in it, the whole
     page's clean text, kind, the texts before and after]; kind 2: a main
     element, 1: another element, 0: a text block, -1: a text block below a main
-    element, whose neighbours there are given (0: none). None for a blank
-    page."""
+    element, whose neighbours there are given (0: none), 3: an element named
+    like boilerplate, whatever its name decides, with its text under another
+    token. None for a blank page."""
     found: dict[int, list[int]] = {}
     if not re.search(_FILLED, page):
         return found
     elements, blocks = parse(page)
+    for e in elements:
+        if e.named and not e.boilerplate:
+            row = found.setdefault(named_token(e.path), [0, e.path, e.depth, 0, elements[0].clean, 3, 0, 0])
+            row[0] += 1
+            row[3] += e.clean
+    settle(elements, blocks)
     whole = elements[0].clean
     for e in elements:
         if e.boilerplate:
@@ -206,6 +255,10 @@ def tokens(page: str) -> dict[int, list[int]]:
     return found
 
 
+def named_token(path: int) -> int:
+    return xxhash.xxh64_intdigest(f"named:{path}".encode()) >> 1
+
+
 def text_token(e: Element, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{e.path}:{text}".encode()) >> 1
 
@@ -232,7 +285,7 @@ def deduce(rows: pd.DataFrame, n_pages: int, few_pages: int = FEW_PAGES) -> tupl
     if "whole" not in rows:
         rows = rows.assign(whole=int(root.clean.iloc[0]))
     nested, elements = {0}, []
-    for t in rows[rows.kind > 0].sort_values("depth", kind="stable").itertuples():
+    for t in rows[rows.kind.isin((1, 2))].sort_values("depth", kind="stable").itertuples():
         if t.token == 0 or t.parent in nested:
             nested.add(t.token)
             if t.times == t.pages:
@@ -248,13 +301,25 @@ def deduce(rows: pd.DataFrame, n_pages: int, few_pages: int = FEW_PAGES) -> tupl
     return int(max(holding, key=lambda e: (e.depth, e.clean, -e.token)).token) if holding else 0, sorted(notices)
 
 
-def extract(page: str | None, container: int | None, notices: frozenset[int]) -> str:
+def named_paths(rows: pd.DataFrame, n_pages: int, few_pages: int = FEW_PAGES) -> tuple[list[int], list[int]]:
+    """(confirmed, lifted) paths of a host's elements named like boilerplate:
+    those of valid classes, by their share of the text of their pages."""
+    if n_pages < few_pages:
+        return [], []
+    valid = rows[(rows.kind == 3) & (rows.pages >= SUPPORT * n_pages)]
+    large = (valid.clean >= TEXT_SHARE * valid.whole) & (valid.clean > 0)
+    return sorted(valid.parent[~large].astype(int)), sorted(valid.parent[large].astype(int))
+
+
+def extract(page: str | None, container: int | None, notices: frozenset[int], confirmed: frozenset[int] = frozenset(),
+            lifted: frozenset[int] = frozenset()) -> str:
     """The main text: the clean blocks of the slots below the container, one
     line each. On a page that lacks the container, or has a main element that
     holds nearly all of its text, that element (or the whole page) counts."""
     if not page:
         return ""
     elements, blocks = parse(page)
+    settle(elements, blocks, confirmed, lifted)
     inside = [e for e in elements if e.path == container and not e.boilerplate] or elements[:1]
     clean = sum(e.clean for e in inside)
     below = _below(elements, inside)
@@ -306,7 +371,7 @@ def page_tokens(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame, few_pages: int = FEW_PAGES) -> DataFrame:
-    """(host, container, notices) for every host with ``few_pages`` pages or
+    """(host, container, notices, confirmed, lifted) for every host with ``few_pages`` pages or
     more that are not blank; the row with a null host is the pool of all others."""
     named = pages.select("page_id", "url", "html")
     sizes = named.groupBy(_host(F.col("url")).alias("host")).agg(
@@ -325,12 +390,14 @@ def templates(pages: DataFrame, few_pages: int = FEW_PAGES) -> DataFrame:
                 .drop("g").filter(F.col("pages") >= SUPPORT * F.col("n_pages")))
 
     def run(key, rows):
-        container, notices = deduce(rows, int(rows.n_pages.iloc[0]), few_pages)
-        return pd.DataFrame([[key[0], container, notices]], columns=["grp", "container", "notices"])
+        n_pages = int(rows.n_pages.iloc[0])
+        found = [key[0], *deduce(rows, n_pages, few_pages), *named_paths(rows, n_pages, few_pages)]
+        return pd.DataFrame([found], columns=["grp", "container", "notices", "confirmed", "lifted"])
 
-    found = frequent.groupBy("grp").applyInPandas(run, "grp string, container bigint, notices array<bigint>")
+    found = frequent.groupBy("grp").applyInPandas(run, "grp string, container bigint, notices array<bigint>, "
+                                                        "confirmed array<bigint>, lifted array<bigint>")
     return groups.join(found.withColumnRenamed("grp", "g"), F.col("grp").eqNullSafe(F.col("g"))).select(
-        "host", "container", "notices")
+        "host", "container", "notices", "confirmed", "lifted")
 
 
 def main_text(pages: DataFrame, few_pages: int = FEW_PAGES) -> DataFrame:
@@ -345,11 +412,11 @@ def main_text(pages: DataFrame, few_pages: int = FEW_PAGES) -> DataFrame:
     found = stage(templates(pages, few_pages), "html-templates").withColumnRenamed("host", "__host")
 
     @F.arrow_udf("string")
-    def run(html_: pa.Array, container: pa.Array, notices: pa.Array) -> pa.Array:
-        return pa.array([extract(h.as_py(), c.as_py(), frozenset(n.as_py() or ()))
-                         for h, c, n in zip(html_, container, notices)], pa.string())
+    def run(html_: pa.Array, container: pa.Array, *paths: pa.Array) -> pa.Array:
+        return pa.array([extract(h.as_py(), c.as_py(), *(frozenset(x.as_py() or ()) for x in found))
+                         for h, c, *found in zip(html_, container, *paths)], pa.string())
 
     return (pages.select("page_id", "url", "html")
             .join(found, _host(F.col("url")) == F.col("__host"), "left")
-            .select("page_id", "url", run("html", "container", "notices").alias("text"))
+            .select("page_id", "url", run("html", "container", "notices", "confirmed", "lifted").alias("text"))
             .withColumn("n_chars", F.char_length("text").cast("long")))

@@ -119,3 +119,30 @@ def test_repeated_blocks_inside_the_article(spark):
     copies = [page(f"<article><h1>Same head</h1><p>The same long story on all of these pages</p><p>At {i}</p></article>",
                    "b.example") for i in range(4)]
     assert run(spark, copies) == {i: f"Same head\nThe same long story on all of these pages\nAt {i}" for i in range(4)}
+
+
+LONG = "A long text that goes on and on, with many words, until nobody can doubt that it is the main text. " * 4
+
+
+@pytest.mark.parametrize("body, text", [
+    ("<div class='layout has-sidebar'><article><p>a</p></article><div class=sidebar>no</div></div>", "a"),
+    ("<div id=search-results-article><main><p>a</p></main></div><p class=footer>no</p>", "a"),
+    ("<article><header><h1>Head</h1></header><p>a</p></article><header>no</header>", "Head\na"),
+    ("<article><div class=article-header><h1>Head</h1></div><p>a</p></article><div class=page-header>no</div>", "Head\na"),
+    ("<div class=comments><article>no</article><article>no</article></div><p>The text itself, longer</p>",
+     "The text itself, longer"),
+    (f"<div class=social-policy><p>{LONG}</p></div><div class=footer>no</div>", LONG.strip())])
+def test_names_are_hints(body, text):
+    assert html.extract(page(body)[1], None, frozenset()) == text
+
+
+def test_host_decides_on_names(spark):
+    """Long comments of one page do not become its text; a short page of a
+    host whose texts stand in a named element keeps its text."""
+    story = [page(f"<div class=text><p>Story {i} begins here. {LONG}</p></div><div class=comments><p>Says {i} "
+                  f"{LONG * 9 * (i == 0)}</p></div>") for i in range(5)]
+    policy = [page(f"<div class=policy-notice><p>Rule {i} {LONG * (i > 0)}</p></div><p>Hint {i}</p>", "b.example")
+              for i in range(5)]
+    got = run(spark, story + policy)
+    assert [got[i] for i in range(5)] == [f"Story {i} begins here. {LONG}".strip() for i in range(5)]
+    assert got[5].startswith("Rule 0")
