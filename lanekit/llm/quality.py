@@ -28,7 +28,11 @@ SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "n_lines", "n_distinct_words", "n_short_words", "n_sentence_ends", "n_symbol_words")
+            "n_lines", "n_span_words", "n_span_distinct", "n_short_words", "n_sentence_ends", "n_symbol_words")
+
+#: Distinct words are counted in spans of so many words: their share in a whole
+#: text falls with its length.
+SPAN = 500
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(SYMBOLS)] = 1
@@ -53,11 +57,24 @@ def measures(text: bytes | None) -> tuple[int, ...]:
             seen.add(line)
     number: dict[bytes, int] = {}
     ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, n)
-    sizes = np.fromiter(map(len, words), np.int64, n)
+    short = sum(len(w) <= 3 or (len(w) <= 12 and not w.isascii() and len(w.decode("utf-8", "replace")) <= 3)
+                for w in words)
     enders = sum(w.endswith((b".", b"!", b"?")) for w in words)
     symbol_words = sum(w[-1] in SYMBOLS for w in words)
     return (n, len(text) - int(kinds[2]) - int(kinds[3]), int(kinds[1]), dup, repeated_words(ids),
-            n_lines, len(number), int((sizes <= 3).sum()), enders, symbol_words)
+            n_lines, *distinct_words(ids), short, enders, symbol_words)
+
+
+def distinct_words(ids: np.ndarray) -> tuple[int, int]:
+    """(words, distinct words) summed over spans that cover the whole text: one
+    after the other, the last ends with the text; a shorter text is one."""
+    if len(ids) <= SPAN:
+        return len(ids), len(np.unique(ids))
+    at = np.arange(0, len(ids) - SPAN + 1, SPAN)
+    if at[-1] + SPAN < len(ids):
+        at = np.append(at, len(ids) - SPAN)
+    spans = np.sort(ids[at[:, None] + np.arange(SPAN)], axis=1)
+    return spans.size, len(spans) + int((spans[:, 1:] != spans[:, :-1]).sum())
 
 
 def repeated_words(ids: np.ndarray) -> int:
@@ -116,12 +133,18 @@ def _per_word(name: str) -> Callable[[Column], Column]:
     return lambda m: m[name] / F.greatest(m["n_words"], F.lit(1))
 
 
+def _repeated(m: Column) -> Column:
+    """Repeated words per word, in units of what clean prose may have: twice as
+    much at 20,000 words as up to 2,000, and so on, as windows recur by chance."""
+    return _per_word("n_repeat_words")(m) / F.greatest(F.lit(1.0), 1 + F.log10(m["n_words"] / F.lit(2000.0)))
+
+
 RULES = (
     Rule("word_length", _per_word("word_chars"), (4.0, 6.5), (3.5, 7.5)),
     Rule("symbols", _per_word("n_symbols"), (0.0, 0.03), (0.0, 0.15)),
     Rule("symbol_words", _per_word("n_symbol_words"), (0.0, 0.03), (0.0, 0.2)),
-    Rule("repeated_windows", _per_word("n_repeat_words"), (0.0, 0.15), (0.0, 0.4)),
-    Rule("distinct_words", _per_word("n_distinct_words"), (0.5, 1.0), (0.25, 1.0)),
+    Rule("repeated_windows", _repeated, (0.0, 0.15), (0.0, 0.4)),
+    Rule("distinct_words", lambda m: m["n_span_distinct"] / F.greatest(m["n_span_words"], F.lit(1)), (0.5, 1.0), (0.25, 1.0)),
     Rule("short_words", _per_word("n_short_words"), (0.15, 0.42), (0.08, 0.48)),
     Rule("sentence_ends", _per_word("n_sentence_ends"), (0.02, 0.25), (0.01, 0.5),
          lambda m: m["n_words"] >= 50),

@@ -77,3 +77,28 @@ def test_edge_rows(spark):
 @pytest.mark.parametrize("ids, expected", [([], 0), ([1, 2, 3], 0), ([1, 1, 1, 1], 4), ([1, 2, 3, 9, 1, 2, 3], 6)])
 def test_repeated_words(ids, expected):
     assert quality.repeated_words(np.array(ids, np.int64)) == expected
+
+
+def test_rules_do_not_turn_against_long_texts(spark):
+    """Texts from one Zipf vocabulary get the same votes, whatever their length."""
+    rng = np.random.default_rng(1)
+    vocabulary = np.array(["".join(rng.choice(list("abcdefgh"), k)) for k in rng.integers(2, 9, 20_000)])
+    share = 1 / (np.arange(20_000) + 20.0)
+    words_of = [rng.choice(vocabulary, n, p=share / share.sum()) for n in (400, 5_000, 60_000)]
+    assert len(set(words_of[2])) / 60_000 < 0.25
+    rows = [quality.measures(" ".join(w).encode()) for w in words_of]
+    m = spark.createDataFrame(rows, ", ".join(f"{x} bigint" for x in quality.MEASURES))
+    rules = [r for r in quality.RULES if r.name in ("distinct_words", "repeated_windows")]
+    for r in m.select(*[x.vote(m).alias(x.name) for x in rules]).collect():
+        assert r.distinct_words == 1 and r.repeated_windows >= 0
+
+
+def test_distinct_words_over_the_whole_text():
+    ids = np.concatenate([np.arange(500), np.zeros(500, np.int64), np.arange(250)])
+    assert quality.distinct_words(ids) == (1500, 500 + 1 + 250)
+    assert quality.distinct_words(ids[:3]) == (3, 3) and quality.distinct_words(ids[:0]) == (0, 0)
+
+
+def test_short_words_are_counted_in_letters():
+    at = quality.MEASURES.index("n_short_words")
+    assert quality.measures("и на два слова the cats 日本語 日本語文".encode())[at] == 5
