@@ -3,7 +3,9 @@
 A step's input is a word: the embedding of the word itself, if training saw
 it often enough, beside the mean embedding of its character trigrams. Two
 gated recurrent units read a window of words in both directions, attention
-pools their states, and a logistic output scores the window. Windows of
+pools their states, and a logistic output scores the window. Words of more
+than ``LONG_WORD`` characters, as in scripts without spaces, are cut at their
+punctuation and into overlapping pieces, each a step. Windows of
 ``WINDOW`` words overlap by half, cover every whole text, and the highest
 window is the text's score.
 
@@ -16,6 +18,7 @@ toxic.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -28,6 +31,9 @@ from lanekit.llm.common import first_by_hash, held_out, learnable
 
 WINDOW = 32
 STRIDE = 16
+LONG_WORD = 24
+PIECE = 4
+PIECE_STRIDE = 2
 STATE = 8
 WORD_DIMS = 8
 CHAR_DIMS = 8
@@ -42,6 +48,10 @@ THRESHOLD = 0.7
 _EDGES = "".join(map(chr, [*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]))
 
 
+_JOINTS = re.escape(_EDGES) + "\u2010-\u2027\u3001-\u3003\u3008-\u3011\uff01\uff0c\uff0e\uff1a\uff1b\uff1f\u200b\u2060\ufeff"
+_PARTS = re.compile(f"[^{_JOINTS}]+[{_JOINTS}]*|[{_JOINTS}]+")
+
+
 # ------------------------------------------------------------------- inputs
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +70,24 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def tokens(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+    """Words in lower case; instead of a long one, its pieces."""
+    words = (text or "").lower().split()
+    if not words or max(map(len, words)) <= LONG_WORD:
+        return words
+    return [x for w in words for x in ((w,) if len(w) <= LONG_WORD else pieces(w))]
+
+
+def pieces(word: str) -> Iterable[str]:
+    """Every character of a long word, cut behind punctuation and invisible
+    joints; what is still longer than ``PIECE`` and no plain word, into pieces
+    that overlap by half."""
+    for part in _PARTS.findall(word):
+        if len(part) <= PIECE or (part.isascii() and len(part) <= LONG_WORD):
+            yield part
+            continue
+        for i in range(0, len(part) - PIECE, PIECE_STRIDE):
+            yield part[i:i + PIECE]
+        yield part[-PIECE:]
 
 
 def plain(word: str) -> str:

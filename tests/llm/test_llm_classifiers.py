@@ -144,3 +144,36 @@ def test_toxicity_edge_rows(spark):
     assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
     assert toxicity.predictions(empty_docs(spark), labels).count() == 0
     assert {r.score for r in toxicity.predictions(docs, labels.limit(0)).collect()} == {0.0}
+
+
+def test_long_words_are_cut_into_pieces():
+    assert toxicity.tokens("A short text") == ["a", "short", "text"]
+    joined = "one,two\u200bthree." + "x" * 30
+    parts = toxicity.tokens(joined)
+    assert parts[:3] == ["one,", "two\u200b", "three."] and set(map(len, parts[3:])) == {toxicity.PIECE}
+    text = "".join(map(chr, range(0x4E00, 0x4E00 + 1003)))
+    parts = toxicity.tokens(text)
+    assert parts[0] == text[:4] and parts[-1] == text[-4:]
+    assert all(any(text[i:i + 3] in p for p in parts[max(0, i // 2 - 2):i // 2 + 2]) for i in range(1000))
+
+
+def test_toxic_phrases_in_texts_without_spaces():
+    rng = np.random.default_rng(4)
+    vocabulary = ["".join(map(chr, rng.integers(0x4E00, 0x4F00, k))) for k in rng.integers(2, 4, 60)]
+    toxic = "\u6bd2\u6bd3\u6bd4\u6bd5"
+    texts, labels = [], []
+    for i in range(500):
+        text = "".join(rng.choice(vocabulary, rng.integers(30, 200)))
+        labels.append(int(i % 4 == 0))
+        for at in rng.integers(0, len(text), 3 * labels[-1]):
+            text = text[:at] + toxic + text[at:]
+        texts.append(text)
+    net = toxicity.train(texts, labels)
+    clean = "".join(rng.choice(vocabulary, 2_000))
+    *got, without = toxicity.scores(net, [*(clean[:k] + toxic + clean[k:] for k in range(2_001, 2_009)), clean])
+    assert min(got) > max(without, 0.7)
+    vocab = PROSE.split()
+    spaced = [" ".join([*rng.choice(vocab, 60), *(["zorgish", "blarg"] if i % 4 == 0 else [])]) for i in range(400)]
+    net = toxicity.train(spaced, [int(i % 4 == 0) for i in range(400)])
+    got = toxicity.scores(net, ["\u200b".join(vocab * 9 + ["zorgish", "blarg"] + vocab * 9), ".".join(vocab * 18)])
+    assert got[0] > 0.7 > got[1]
