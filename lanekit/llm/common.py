@@ -58,9 +58,10 @@ def first_by_hash(rows: DataFrame, group: str, sizes: dict, n: int, salt: str) -
     """
     code = F.xxhash64(F.lit(salt), "doc_id")
     share = F.pmod(code, F.lit(1 << 31)) / F.lit(float(1 << 31))
-    limit = F.lit(None).cast("double")
-    for value, size in sizes.items():
-        limit = F.when(F.col(group) == value, min(1.0, 4.0 * max(n, 100) / size)).otherwise(limit)
+    kind = rows.schema[group].dataType.simpleString()
+    limits = rows.sparkSession.createDataFrame(
+        [(value, min(1.0, 4.0 * max(n, 100) / size)) for value, size in sizes.items()], f"{group} {kind}, __limit double")
     order = W.partitionBy(group).orderBy(code, "doc_id")
-    return (rows.filter(share < limit).withColumn("turn", F.row_number().over(order))
-            .filter(F.col("turn") <= n))
+    # a number per group
+    return (rows.join(F.broadcast(limits), group).filter(share < F.col("__limit")).select(*rows.columns)
+            .withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= n))

@@ -10,9 +10,11 @@ kernel is linear in the presence vectors, so landmarks and weights of the
 fitted model multiply out to one matrix, and a batch of texts is scored by a
 product of its presence matrix with it.
 
-The classifier is fitted on a bounded sample: the ``TRAIN_PER_LANG`` labelled
-texts per language that come first in an order by hash, ``LANDMARKS_PER_LANG``
-of them as landmarks, for at most ``MAX_LANGS`` languages (the most frequent).
+The classifier is fitted on a bounded sample of every labelled language: the
+``TRAIN_PER_LANG`` texts that come first in an order by hash,
+``LANDMARKS_PER_LANG`` of them as landmarks, and fewer of each language where
+there are so many that the sum would pass ``TRAIN_TOTAL`` and
+``LANDMARKS_TOTAL``.
 Scoring takes every whole text.
 """
 
@@ -30,7 +32,8 @@ from lanekit.llm.common import first_by_hash, fresh, held_out, learnable
 BUCKETS = 1 << 14
 TRAIN_PER_LANG = 400
 LANDMARKS_PER_LANG = 60
-MAX_LANGS = 64
+TRAIN_TOTAL = 64 * TRAIN_PER_LANG
+LANDMARKS_TOTAL = 64 * LANDMARKS_PER_LANG
 RIDGE = 1e-2
 UNKNOWN = "und"
 
@@ -108,12 +111,15 @@ def fit(x: np.ndarray, langs: list[str], landmark: np.ndarray, ridge: float = RI
     return Model(names, (marks.T @ (root @ solved)).astype(np.float32), (share - middle @ solved).astype(np.float32))
 
 
-def train(docs: DataFrame, per_lang: int = TRAIN_PER_LANG, landmarks: int = LANDMARKS_PER_LANG) -> Model | None:
-    """Fits on rows that may be learned from (see ``learnable``); None if
-    there is no such row with letters and a language."""
+def train(docs: DataFrame, per_lang: int = TRAIN_PER_LANG, landmarks: int = LANDMARKS_PER_LANG,
+          total: int = TRAIN_TOTAL, total_landmarks: int = LANDMARKS_TOTAL) -> Model | None:
+    """Fits on rows that may be learned from (see ``learnable``), of every
+    language one at least; None if there is no such row with letters and a
+    language."""
     labelled = docs.filter(learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count()
-             .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}    # a number per language
+    per_lang = max(1, min(per_lang, total // max(len(sizes), 1)))
+    landmarks = max(1, min(landmarks, total_landmarks // max(len(sizes), 1)))
     chosen = (first_by_hash(labelled.select("doc_id", "lang"), "lang", sizes, per_lang, "langid")
               .groupBy("doc_id", "lang").agg(F.min("turn").alias("turn")))
 
@@ -121,7 +127,7 @@ def train(docs: DataFrame, per_lang: int = TRAIN_PER_LANG, landmarks: int = LAND
     def features(texts: pa.Array) -> pa.Array:
         return pa.array([presence(t).astype("<i4").tobytes() for t in texts.to_pylist()], pa.binary())
 
-    # at most MAX_LANGS * per_lang ids and as many presence rows
+    # at most ``total`` ids (or one per language) and as many presence rows
     rows = (labelled.join(F.broadcast(chosen), ["doc_id", "lang"])
             .select("lang", "turn", features("text").alias("at")).filter("octet_length(at) > 0").collect())
     if not rows:

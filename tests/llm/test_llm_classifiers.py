@@ -177,3 +177,16 @@ def test_toxic_phrases_in_texts_without_spaces():
     net = toxicity.train(spaced, [int(i % 4 == 0) for i in range(400)])
     got = toxicity.scores(net, ["\u200b".join(vocab * 9 + ["zorgish", "blarg"] + vocab * 9), ".".join(vocab * 18)])
     assert got[0] > 0.7 > got[1]
+
+
+def test_every_language_is_learned(spark):
+    """More languages than 64, each written with letters of its own."""
+    rows = [(100 * k + i, " ".join(chr(0x4E00 + 40 * k + ((i + 1) * j) % 37) * 2 for j in range(1, 12)), f"l{k}")
+            for k in range(80) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langid.predictions(docs).collect() if r.held_out}
+    wanted = {i: lang for i, _, lang in rows if i in got}
+    assert len(set(wanted.values())) > 70
+    assert sum(got[i] == wanted[i] for i in got) > 0.95 * len(got)
+    few = langid.train(docs, total=160, total_landmarks=80)
+    assert len(few.langs) == 80
