@@ -32,7 +32,7 @@ MIN_DOCS = 10
 TOP = 10
 UNIT = 1_000_000_000
 #: Sums a counting task holds before it hands them on.
-HELD_SUMS = 200_000
+HELD_SUMS = 400_000
 #: Counts in a block of terms (terms x sources), and sources whose pairs one
 #: task compares with all later ones.
 BLOCK_CELLS = 1 << 18
@@ -87,6 +87,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
     source are ''. Every group also has a row with a null term."""
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     sums = rows.mapInArrow(_sums, "lang string, source string, term string, n long, docs long")
+    # summed up before the shuffle already: a second partial sum would find little
+    sums = sums.repartition("lang", "source", "term")
     return sums.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -183,7 +185,7 @@ def _pair_sums(key: tuple, terms: pd.DataFrame, groups: pd.DataFrame) -> pd.Data
             left.append(a + 1)
             right.append(b + 1)
             values.append(int(((p - q) ** 2 // (p + q) * times).sum()))
-    return pd.DataFrame({"lang": [lang] * len(left), "a": np.array(left, np.int32), "b": np.array(right, np.int32),
+    return pd.DataFrame({"lang": np.array([lang] * len(left), object), "a": np.array(left, np.int32), "b": np.array(right, np.int32),
                          "value": np.array(values, np.int64)})
 
 
