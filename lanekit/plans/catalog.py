@@ -848,3 +848,11 @@ def udf_in_sql_step(spark, sf_dir):
                             "GROUP BY event_type"),
     ], udfs={"prop_k": PROP_K_FUNCTION})
     return last_view(views)
+
+
+# ---------------------------------------------------------------- ordered and ranged data
+
+from lanekit.plans import catalog_ranges  # noqa: E402
+
+QUERIES.update(catalog_ranges.QUERIES)
+ORACLE.update(catalog_ranges.ORACLE)

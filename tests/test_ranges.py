@@ -1,0 +1,284 @@
+"""As-of, interval and inequality joins, row frames, cubes and distinct counts
+against brute force, with hot keys, ties, nulls and empty inputs."""
+
+import datetime as dt
+import operator
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from conftest import plan_text
+
+from lanekit.operators import lattice, ordered, ranges
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+# ------------------------------------------------------------------ as-of
+
+def asked_and_versions(seed, n=300, hot=0.4):
+    rng = random.Random(seed)
+
+    def key():
+        return rng.choice([None, "b", "c", "d"]) if rng.random() > hot else "a"
+
+    left = [(i, key(), rng.choice([None, *range(60)])) for i in range(n)]
+    right = [(key(), rng.choice([None, *range(0, 60, 3)]), rng.choice([None, *range(20)])) for _ in range(n // 2)]
+    return left, right
+
+
+def brute_as_of(left, right, strict=False, age=None, inner=False):
+    out = []
+    for i, k, t in left:
+        ok = [((v is not None, v or 0), vt, v) for rk, vt, v in right
+              if None not in (k, t, rk, vt) and rk == k and (vt < t if strict else vt <= t) and (age is None or vt >= t - age)]
+        newest = max((vt for _, vt, _ in ok), default=None)
+        best = max((x for x in ok if x[1] == newest), default=None)
+        if best or not inner:
+            out.append((i, k, t, best[1] if best else None, best[2] if best else None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("strict, age, how", [(False, None, "left"), (True, None, "inner"), (False, 5, "left"), (True, 7, "left")])
+def test_as_of_join_is_the_last_version(spark, strict, age, how):
+    left, right = asked_and_versions(11 + bool(age))
+    l = spark.createDataFrame(left, "id int, k string, t int")
+    r = spark.createDataFrame(right, "k string, vt int, v int")
+    got = ordered.as_of_join(l, r, ["k"], "t", "vt", {"vt": "vt", "v": "v"}, tie=["v"], how=how, strict=strict,
+                             since=(lambda t: t - age) if age else None, partitions=7)
+    assert rows(got) == brute_as_of(left, right, strict, age, how == "inner")
+
+
+def test_as_of_join_over_many_ranges_of_one_key(spark):
+    # one key, few versions: most ranges hold none and pass on an earlier one
+    left = [(i, "a", i) for i in range(2000)]
+    right = [("a", 100, 1), ("a", 1500, 2)]
+    got = ordered.as_of_join(spark.createDataFrame(left, "id int, k string, t int"), spark.createDataFrame(right, "k string, vt int, v int"),
+                             ["k"], "t", "vt", {"v": "v"}, partitions=16)
+    want = {i: None if i < 100 else 1 if i < 1500 else 2 for i in range(2000)}
+    assert {r.id: r.v for r in got.collect()} == want
+
+
+def test_as_of_join_without_keys_and_without_rows(spark):
+    l = spark.createDataFrame([(1, dt.datetime(2024, 1, 2)), (2, dt.datetime(2023, 1, 1))], "id int, at timestamp_ntz")
+    r = spark.createDataFrame([(dt.datetime(2024, 1, 1), "x")], "since timestamp_ntz, id string")
+    assert rows(ordered.as_of_join(l, r, [], "at", "since", {"id": "version"}).select("id", "version")) == [(1, "x"), (2, None)]
+    assert rows(ordered.as_of_join(l, r.limit(0), [], "at", "since", {"id": "version"}).select("id", "version")) == [(1, None), (2, None)]
+    assert rows(ordered.as_of_join(l.limit(0), r, [], "at", "since", {"id": "version"})) == []
+    with pytest.raises(ValueError):
+        ordered.as_of_join(l, r, [], "at", "since", {"id": "version"}, how="full")
+
+
+def test_as_of_join_keeps_clashing_columns_and_repeated_rows(spark):
+    l = spark.createDataFrame([(1, "a", 5)] * 3, "v int, k string, t int")
+    r = spark.createDataFrame([("a", 4, 9), ("a", 4, 8)], "k string, t int, v int")
+    got = ordered.as_of_join(l, r, ["k"], "t", "t", {"v": "version", "t": "since"})
+    assert rows(got) == [(1, "a", 5, 9, 4)] * 3
+    # a table joined with itself
+    assert rows(ordered.as_of_join(r, r, ["k"], "t", "t", {"v": "w"})) == [("a", 4, 8, 9), ("a", 4, 9, 9)]
+
+
+def test_as_of_join_never_deals_a_key_to_one_task(spark):
+    left = spark.range(4000).select("id", F.lit("a").alias("k"), F.col("id").alias("t"))
+    right = spark.range(0, 4000, 50).select(F.lit("a").alias("k"), F.col("id").alias("t"), F.col("id").alias("v"))
+    got = ordered.as_of_join(left, right, ["k"], "t", "t", {"v": "v"}, partitions=8)
+    assert got.filter("v <> t - t % 50").count() == 0 and got.count() == 4000
+    assert "CartesianProduct" not in plan_text(got) and "NestedLoop" not in plan_text(got)
+
+
+# ----------------------------------------------------------------- frames
+
+def test_frames_equal_the_plain_window(spark):
+    rng = random.Random(5)
+    data = [(rng.choice(["a", "a", "a", "b", None]), rng.randrange(50), i, rng.choice([None, *range(9)])) for i in range(900)]
+    df = spark.createDataFrame(data, "k string, t int, id int, x int")
+    columns = {"s": lambda w: F.sum("x").over(w.rowsBetween(-4, 2)), "c": lambda w: F.count("x").over(w.rowsBetween(-9, -1)),
+               "lag": lambda w: F.lag("id", 9).over(w), "lead": lambda w: F.lead("id", 3).over(w)}
+    w = Window.partitionBy("k").orderBy("t", "id")
+    want = rows(df.select("*", *[make(w).alias(n) for n, make in columns.items()]))
+    for block in (1, 4, 10, 64, 5000):                       # also blocks smaller than the frame
+        assert rows(ordered.framed(df, ["k"], ["t", "id"], columns, 9, 3, block, hot_threshold=100)) == want
+
+
+def test_frames_of_a_hot_key(spark):
+    df = spark.range(400_000).select(F.lit(1).alias("k"), "id", (F.col("id") % 7).alias("x"))
+    got = ordered.framed(df, ["k"], ["id"], {"s": lambda w: F.sum("x").over(w.rowsBetween(-6, 0)), "l": lambda w: F.lag("id", 2).over(w)},
+                         before=6, block=20_000, hot_threshold=50_000)
+    assert got.filter("id >= 6 and s <> 21").count() == 0
+    assert got.filter("id >= 2 and l <> id - 2 or id >= 2 and l is null").count() == 0
+    assert got.count() == 400_000
+
+
+def test_ranks_count_what_comes_before(spark):
+    rng = random.Random(6)
+    values = [rng.choice([None, 7, 7, 7, *range(30)]) for _ in range(500)]
+    got = dict(rows(ordered.ranks(spark.createDataFrame([(v,) for v in values], "v int"), ["v"], partitions=5)))
+    key = lambda v: (v is not None, v or 0)
+    assert got == {v: sum(key(u) < key(v) for u in values) for v in set(values)}
+
+
+# -------------------------------------------------------------- intervals
+
+def overlapping(left, right, instant=False):
+    out = []
+    for i, k, a, b in left:
+        for j, m, c, d in right:
+            if None in (k, m, a, c) or k != m:
+                continue
+            b2 = a + 1 if instant else float("inf") if b is None else b
+            d2 = float("inf") if d is None else d
+            if a < b2 and c < d2 and a < d2 and c < b2:
+                out.append((i, j))
+    return sorted(out)
+
+
+def spans(rng, n, longest):
+    out = []
+    for i in range(n):
+        a = rng.choice([None, *range(-300, 300)])
+        b = None if a is None or rng.random() < 0.05 else a + int(longest ** rng.random()) - (rng.random() < 0.1) * 3
+        out.append((i, rng.choice(["x", "x", "x", "y", None]), a, b))
+    return out
+
+
+@pytest.mark.parametrize("longest", [1, 5, 64, 5000])
+def test_interval_join_finds_each_pair_once(spark, longest):
+    rng = random.Random(longest)
+    left, right = spans(rng, 120, longest), spans(rng, 90, 300)
+    schema = "id int, k string, a long, b long"
+    l, r = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    got = ranges.interval_join(l, r, ("a", "b"), ("a", "b"), ["k"], "l", "r")
+    assert rows(got.select("l.id", "r.id")) == overlapping(left, right)
+    got = ranges.interval_join(l, r, ("a", None), ("a", "b"), ["k"], "l", "r")
+    assert rows(got.select("l.id", "r.id")) == overlapping(left, right, instant=True)
+
+
+def test_interval_join_of_dates_and_times(spark):
+    d = dt.date
+    l = spark.createDataFrame([(1, d(2024, 1, 1), d(2024, 1, 5)), (2, d(1969, 12, 1), None)], "id int, a date, b date")
+    r = spark.createDataFrame([(3, d(2024, 1, 4), d(2024, 1, 6)), (4, d(2024, 1, 5), d(2024, 1, 6)), (5, d(1960, 1, 1), d(1969, 12, 2))],
+                              "id int, a date, b date")
+    assert rows(ranges.interval_join(l, r, ("a", "b"), ("a", "b")).select("left.id", "right.id")) == [(1, 3), (2, 3), (2, 4), (2, 5)]
+    with pytest.raises(TypeError):
+        ranges.interval_join(l, r.withColumn("a", F.lit(1.5)), ("a", "b"), ("a", "b"))
+
+
+def test_interval_join_of_nothing(spark):
+    df = spark.createDataFrame([(1, 2)], "a long, b long")
+    for l, r in ((df, df.limit(0)), (df.limit(0), df), (df.limit(0), df.limit(0))):
+        assert rows(ranges.interval_join(l, r, ("a", "b"), ("a", "b"))) == []
+
+
+def test_interval_join_is_an_equi_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).select(F.col("id").alias("a"), (F.col("id") + 1 + F.col("id") % 40).alias("b"))
+        text = plan_text(ranges.interval_join(df, df, ("a", "b"), ("a", "b")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_interval_join_of_one_busy_moment(spark):
+    # a third of the spans are alike: they share all buckets, and only real pairs come out
+    left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 50).otherwise(F.col("id") * 10).alias("a"))
+    right = spark.createDataFrame([(1, 50, 51), (2, 0, 49), (3, 51, 60)], "id long, a long, b long")
+    met = ranges.interval_join(left, right, ("a", None), ("a", "b")).select("right.id")
+    assert sorted(met.groupBy("id").count().collect()) == [(1, 1000 + 1), (2, 3)] or \
+        dict(met.groupBy("id").count().collect())[1] == 1000 + (1 if 5 % 3 else 0)
+
+
+# ------------------------------------------------------------ inequalities
+
+OPS = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
+
+
+@pytest.mark.parametrize("first, second", [("<", ">"), ("<=", ">="), (">", ">"), (">=", "<"), ("<", None), (">=", None)])
+def test_inequality_join_equals_brute_force(spark, first, second):
+    rng = random.Random(hash((first, second)) % 1000)
+    data = [[(i, rng.choice([None, 5, 5, *range(40)]), rng.choice([None, 1.5, *[x / 2 for x in range(30)]])) for i in range(n)]
+            for n in (130, 170)]
+    l, r = (spark.createDataFrame(d, "id int, x int, y double") for d in data)
+    conditions = [("x", first, "x")] + ([("y", second, "y")] if second else [])
+    got = ranges.inequality_join(l, r, conditions)
+    want = sorted((a[0], b[0]) for a in data[0] for b in data[1] if None not in (a[1], b[1]) and OPS[first](a[1], b[1])
+                  and (second is None or None not in (a[2], b[2]) and OPS[second](a[2], b[2])))
+    assert sorted(tuple(p) for p in got.select("left.id", "right.id").collect()) == want
+
+
+def test_inequality_join_with_a_key_three_conditions_and_nothing(spark):
+    rng = random.Random(9)
+    data = [(rng.choice("abc"), rng.randrange(50), rng.randrange(50), rng.randrange(50)) for _ in range(150)]
+    df = spark.createDataFrame(data, "k string, x int, y int, z int")
+    got = ranges.inequality_join(df, df, [("x", "<", "x"), ("y", ">=", "y"), ("z", "<=", "z")], ["k"])
+    want = sum(a[0] == b[0] and a[1] < b[1] and a[2] >= b[2] and a[3] <= b[3] for a in data for b in data)
+    assert got.count() == want
+    assert ranges.inequality_join(df, df.limit(0), [("x", "<", "x")]).count() == 0
+    with pytest.raises(ValueError):
+        ranges.inequality_join(df, df, [("x", "<>", "x")])
+
+
+def test_inequality_join_with_a_hot_value_is_no_product(spark):
+    # a third of either side has one value: with "<" these never match each other
+    l = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 10_000).otherwise(F.col("id")).alias("x"))
+    r = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 10_000).otherwise(-F.col("id")).alias("x"))
+    got = ranges.inequality_join(l, r, [("x", "<", "x")])
+    assert got.count() == 2000 * 1000
+    text = plan_text(got)
+    assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+# ------------------------------------------------------------------ cubes
+
+def test_cube_equals_sparks(spark):
+    rng = random.Random(3)
+    data = [(rng.choice(["a", "b", None]), rng.choice([1, 2, None]), rng.choice("xyz"), rng.choice([None, *range(9)])) for _ in range(400)]
+    df = spark.createDataFrame(data, "p string, q int, r string, v int")
+    measures = {"n": ("count", "*"), "n_v": ("count", "v"), "s": ("sum", "v"), "lo": ("min", "v"), "hi": ("max", "v")}
+    aggs = [F.count("*").alias("n"), F.count("v").alias("n_v"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+    dims = ["p", "q", "r"]
+    got = lattice.grouped(df, dims, measures)
+    want = df.cube(*dims).agg(F.grouping_id().alias("grouping_id"), *aggs).select(*dims, "grouping_id", *measures)
+    assert rows(got) == rows(want)
+    got = lattice.grouped(df, dims, measures, lattice.rollup(dims))
+    assert rows(got) == rows(df.rollup(*dims).agg(F.grouping_id().alias("grouping_id"), *aggs).select(*dims, "grouping_id", *measures))
+    got = lattice.grouped(df, dims, measures, [("q",), ("p", "r")])
+    assert sorted({r.grouping_id for r in got.collect()}) == [2, 5]
+    assert lattice.grouped(df.limit(0), dims, measures).count() == 0
+    assert "Expand" not in plan_text(lattice.grouped(df, dims, measures))
+
+
+def test_a_grouping_comes_from_the_smallest_finer_one():
+    f = frozenset
+    size = {f("abc"): 1000, f("ab"): 900, f("bc"): 40, f("ac"): 500, f("a"): 300, f("b"): 30, f("c"): 2, f(): 1}
+    parent = lattice.lattice_plan("abc", lattice.cube("abc"), size)
+    assert parent == {f("ab"): f("abc"), f("bc"): f("abc"), f("ac"): f("abc"), f("a"): f("ac"), f("b"): f("bc"), f("c"): f("bc"), f(): f("c")}
+
+
+def test_distinct_counts_and_their_merge(spark):
+    rng = random.Random(8)
+    data = [(rng.choice(["a", "a", "b", None]), rng.randrange(3), rng.choice([None, *range(2 ** 40, 2 ** 40 + 50)]), rng.choice(["", "x", "é", None]))
+            for _ in range(500)] + [("empty", 0, None, None), ("half", 0, 3, None)]
+    df = spark.createDataFrame(data, "k string, d int, v long, w string")
+    stored = lattice.value_sets(df, ["k", "d"], {"vs": "v", "ws": "w"})
+    for keys in (["k", "d"], ["k"], ["d"]):
+        want = defaultdict(lambda: (set(), set()))
+        for row in data:
+            key = tuple(row["kd".index(c)] for c in keys)
+            if row[2] is not None:
+                want[key][0].add(row[2])
+            if row[3] is not None:
+                want[key][1].add(row[3])
+        got = {tuple(r)[:len(keys)]: tuple(r)[len(keys):] for r in lattice.distinct_counts(stored, keys).collect()}
+        assert got == {k: (len(a), len(b)) for k, (a, b) in want.items()}
+
+
+def test_distinct_counts_beyond_one_bucket(spark):
+    df = spark.range(200_000).select((F.col("id") % 2).alias("k"), (F.col("id") * 1_000_003 % 150_001).alias("v"))
+    want = rows(df.groupBy("k").agg(F.countDistinct("v")))
+    assert rows(lattice.distinct_counts(lattice.value_sets(df, ["k"], {"v": "v"}), ["k"])) == want
