@@ -153,9 +153,9 @@ def test_interval_join_finds_each_pair_once(spark, longest):
     schema = "id int, k string, a long, b long"
     l, r = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
     got = ranges.interval_join(l, r, ("a", "b"), ("a", "b"), ["k"], "l", "r")
-    assert rows(got.select("l.id", "r.id")) == overlapping(left, right)
+    assert sorted(rows(got.select("l.id", "r.id"))) == overlapping(left, right)
     got = ranges.interval_join(l, r, ("a", None), ("a", "b"), ["k"], "l", "r")
-    assert rows(got.select("l.id", "r.id")) == overlapping(left, right, instant=True)
+    assert sorted(rows(got.select("l.id", "r.id"))) == overlapping(left, right, instant=True)
 
 
 def test_interval_join_of_dates_and_times(spark):
@@ -189,8 +189,7 @@ def test_interval_join_of_one_busy_moment(spark):
     left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 50).otherwise(F.col("id") * 10).alias("a"))
     right = spark.createDataFrame([(1, 50, 51), (2, 0, 49), (3, 51, 60)], "id long, a long, b long")
     met = ranges.interval_join(left, right, ("a", None), ("a", "b")).select("right.id")
-    assert sorted(met.groupBy("id").count().collect()) == [(1, 1000 + 1), (2, 3)] or \
-        dict(met.groupBy("id").count().collect())[1] == 1000 + (1 if 5 % 3 else 0)
+    assert rows(met.groupBy("id").count()) == [(1, 1001), (2, 3)]      # id 5 is at 50 as well
 
 
 # ------------------------------------------------------------ inequalities
