@@ -7,15 +7,22 @@ the minimiser's bucket as one packed string of words (a super-k-mer). There a
 sort brings equal windows together, their words are compared, and every
 window but the earliest marks its words for removal.
 
-* A packed string is word numbers plus the words they stand for, compressed,
-  one row per task batch and bucket. Nothing is decided by hash alone.
+* Texts are worked on as arrays of bytes: words are found, hashed and cut out
+  for a whole batch at once. A packed string is its words as they are, each
+  followed by one space; the strings of a batch for a bucket are one
+  compressed row.
+* Nothing is decided by hash alone: the words of windows that seem equal are
+  compared byte by byte, and if two words share a hash the bucket is done
+  again with words numbered one by one.
 * Before the shuffle a batch sends a string that it holds several times only
   once, for its earliest place; all other places are wholly repeated and are
   marked on the spot. Thousands of copies thus reach a bucket as one row per
   batch.
-* A bucket is worked off in passes over its minimisers, each of bounded size.
-  A single minimiser with too many different strings is dealt out again by
-  the hash of the window itself, in a second round.
+* A bucket has ``FINE`` parts by minimiser, and its rows are sorted by part,
+  so a task holds a few parts at a time and unpacks a row once. A part that is
+  too large is worked off in passes over its minimisers. A single minimiser
+  with too many different strings is dealt out again by the hash of the window
+  itself, in a second round, each window once per slice of the first.
 """
 
 from __future__ import annotations
@@ -36,12 +43,22 @@ from lanekit.llm.common import fresh, shuffle_tasks, stage
 WINDOW = 20
 MINIMISER = 3
 BATCH_BYTES = 8 << 20
-PASS_WORDS = 4_000_000
-HOT_WORDS = 2_000_000
+PASS_WORDS = 2_000_000
+HOT_WORDS = 1_000_000
+#: Parts of a bucket, and words of neighbouring parts that are solved together.
+FINE = 64
+GROUP_WORDS = 500_000
 
 _NO_ID = -(1 << 63)
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
-_SHIP = "part int, words bigint, data binary, did bigint, uid bigint, cuts binary"
+_SHIP = "part int, fine int, words bigint, data binary, did bigint, uid bigint, cuts binary"
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Words beyond this many bytes are hashed one by one; slices that are hashed
+#: or copied at once.
+LONG_WORD, SLICE_WORDS, SLICE_BYTES = 1024, 50_000, 1 << 20
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_POWERS = np.cumprod(np.full(LONG_WORD, _BASE))
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -77,16 +94,16 @@ def run_hashes(word: np.ndarray, length: int) -> np.ndarray:
 HASH_WORDS = 250_000
 
 
-def windows_at(value: np.ndarray, ids: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
-    """Hashes of the windows of ``ids`` that begin at ``at`` (ascending);
-    ``value`` is the hash of each word number. Worked off in slices, so that
-    only the result is as long as ``at``."""
+def windows_at(value: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    """Hashes of the windows that begin at the words ``at`` (ascending);
+    ``value`` is the hash of each word. Worked off in slices, so that only the
+    result is as long as ``at``."""
     out = np.empty(len(at), np.uint64)
     done = 0
     while done < len(at):
         to = int(np.searchsorted(at, at[done] + HASH_WORDS))
         first = at[done]
-        out[done:to] = run_hashes(value[ids[first:at[to - 1] + window]], window)[at[done:to] - first]
+        out[done:to] = run_hashes(value[first:at[to - 1] + window], window)[at[done:to] - first]
         done = to
     return out
 
@@ -100,64 +117,104 @@ def sliding_min(values: np.ndarray, length: int) -> np.ndarray:
     return np.minimum(best[:len(best) - rest], best[rest:]) if rest else best
 
 
+# ------------------------------------------------------------- words as bytes
+
+def word_hashes(text: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word text[first:after]: its bytes times the
+    powers of an odd number, with its length, mixed."""
+    out = np.empty(len(first), np.uint64)
+    size = after - first
+    short = np.minimum(size, LONG_WORD)
+    for a in range(0, len(first), SLICE_WORDS):
+        n = short[a:a + SLICE_WORDS]
+        ends = np.cumsum(n)
+        place = np.arange(int(ends[-1])) - np.repeat(ends - n, n)
+        terms = text[place + np.repeat(first[a:a + SLICE_WORDS], n)].astype(np.uint64) * _POWERS[place]
+        out[a:a + SLICE_WORDS] = np.add.reduceat(terms, ends - n)
+    out = _mix(out + size.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        out[i] = xxhash.xxh64_intdigest(text[first[i]:after[i]].tobytes())
+    return out
+
+
+def copied(text: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches text[at:at + size], one after the other."""
+    ends, done, out = np.cumsum(size), 0, []
+    while done < len(at):
+        to = max(done + 1, int(np.searchsorted(ends, ends[done] - size[done] + SLICE_BYTES)))
+        out.append(text[_spread(at[done:to], size[done:to])] if to > done + 1 else text[at[done]:at[done] + size[done]])
+        done = to
+    return np.concatenate(out) if out else np.zeros(0, np.uint8)
+
+
+def same_bytes(text: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> bool:
+    """Whether text[a:a + size] equals text[b:b + size] throughout."""
+    for i in range(0, len(a), SLICE_WORDS):
+        s = slice(i, i + SLICE_WORDS)
+        if not np.array_equal(copied(text, a[s], size[s]), copied(text, b[s], size[s])):
+            return False
+    return True
+
+
 # -------------------------------------------------------------- packed rows
 
 class Packs:
-    """Packed strings as flat arrays: ``ids`` of words, and per string its
-    length, key (minimiser), place (document ``did``, ``uid``; first word)."""
+    """Packed strings as flat arrays: where each lies in ``text`` (``at``,
+    ``size`` in bytes), its ``length`` in words, key (minimiser) and place
+    (document ``did``, ``uid``; first word ``start``)."""
 
-    def __init__(self, vocabulary, ids, length, key, did, uid, start):
-        self.vocabulary, self.ids, self.length, self.key = vocabulary, ids, length, key
-        self.did, self.uid, self.start = did, uid, start
+    FIELDS = ("at", "size", "length", "key", "did", "uid", "start")
+    KINDS = (np.int64, np.int64, np.int64, np.uint64, np.int64, np.int64, np.int64)
 
-    def take(self, rows: np.ndarray) -> "Packs":
-        first = np.cumsum(self.length) - self.length
-        return Packs(self.vocabulary, self.ids[_spread(first[rows], self.length[rows])], self.length[rows],
-                     self.key[rows], self.did[rows], self.uid[rows], self.start[rows])
+    def __init__(self, text: np.ndarray, *columns: np.ndarray):
+        self.text = text
+        for name, column, kind in zip(self.FIELDS, columns, self.KINDS):
+            setattr(self, name, column.astype(kind, copy=False))
+
+    def take(self, rows) -> "Packs":
+        return Packs(self.text, *[getattr(self, f)[rows] for f in self.FIELDS])
+
+    def compact(self) -> "Packs":
+        """The same strings, one after the other and nothing else in ``text``."""
+        own = self.take(slice(None))
+        own.text, own.at = copied(self.text, self.at, self.size), np.cumsum(self.size) - self.size
+        return own
 
     def dump(self) -> bytes:
-        used, codes = np.unique(self.ids, return_inverse=True)
-        codes = codes.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32)
-        words = b" ".join([self.vocabulary[i] for i in used.tolist()])
-        raw = pickle.dumps((words, codes, self.length.astype(np.uint32), self.key, self.did, self.uid,
-                            self.start.astype(np.uint32)), 5)
+        raw = pickle.dumps((copied(self.text, self.at, self.size), self.size.astype(np.uint32), self.length.astype(np.uint32),
+                            self.key, self.did, self.uid, self.start.astype(np.uint32)), 5)
         return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
 def load(blobs: Iterable[bytes], wanted=None) -> Packs:
-    """The packed strings of several rows under one word numbering; with
-    ``wanted`` only those whose key it picks."""
-    number: dict[bytes, int] = {}
-    columns: list[list[np.ndarray]] = [[] for _ in range(6)]
+    """The packed strings of several rows, compact; with ``wanted`` only those
+    whose key it picks."""
+    texts, columns = [], [[] for _ in Packs.FIELDS[1:]]
     for blob in blobs:
         blob = memoryview(blob)
         raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True)
-        words, codes, length, key, did, uid, start = pickle.loads(raw)
-        names = words.split(b" ")
-        pack = Packs(names, codes, length.astype(np.int64), key, did, uid, start.astype(np.int64))
+        text, size, *rest = pickle.loads(raw)
+        size = size.astype(np.int64)
+        packs = Packs(text, np.cumsum(size) - size, size, *rest)
         if wanted is not None:
-            pack = pack.take(np.flatnonzero(wanted(key)))
-            if not len(pack.key):
-                continue
-        table = np.fromiter((number.setdefault(w, len(number)) for w in names), np.int32, len(names))
-        for column, values in zip(columns, (table[pack.ids], pack.length, pack.key, pack.did, pack.uid, pack.start)):
-            column.append(values)
-    kinds = (np.int32, np.int64, np.uint64, np.int64, np.int64, np.int64)
-    return Packs(list(number), *(np.concatenate(c) if c else np.zeros(0, k) for c, k in zip(columns, kinds)))
+            packs = packs.take(np.flatnonzero(wanted(packs.key))).compact()
+        texts.append(packs.text)
+        for column, name in zip(columns, Packs.FIELDS[1:]):
+            column.append(getattr(packs, name))
+    size, *rest = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns)
+    return Packs(np.concatenate(texts) if texts else np.zeros(0, np.uint8), np.cumsum(size) - size, size, *rest)
 
 
 def _ship(packs: Packs, parts: int) -> Iterator[tuple]:
-    """One row per bucket."""
-    part = (packs.key % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    packs, part = packs.take(order), part[order]
-    end = np.cumsum(packs.length)
-    cuts = np.flatnonzero(np.diff(part)) + 1
-    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(part)]):
+    """One row per part of a bucket."""
+    fine = (packs.key % np.uint64(parts * FINE)).astype(np.int64)
+    order = np.argsort(fine, kind="stable")
+    fine = fine[order]
+    cuts = np.flatnonzero(np.diff(fine)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(fine)]):
         if a < b:
-            ids = packs.ids[end[a] - packs.length[a]:end[b - 1]]
-            own = Packs(packs.vocabulary, ids, *(x[a:b] for x in (packs.length, packs.key, packs.did, packs.uid, packs.start)))
-            yield int(part[a]), len(ids), own.dump(), None, None, None
+            own = packs.take(order[a:b])
+            yield int(fine[a]) // FINE, int(fine[a]), int(own.length.sum()), own.dump(), None, None, None
 
 
 def _marks(did: np.ndarray, uid: np.ndarray, start: np.ndarray, length: np.ndarray, parts: int) -> Iterator[tuple]:
@@ -172,78 +229,104 @@ def _marks(did: np.ndarray, uid: np.ndarray, start: np.ndarray, length: np.ndarr
         apart = np.append(True, start[a + 1:b] > reach[:-1])
         tail = np.append(np.flatnonzero(apart)[1:] - 1, b - a - 1)
         cuts = np.stack([start[a:b][apart], reach[tail]], 1).astype(np.uint32)
-        yield abs(int(did[a]) ^ int(uid[a])) % parts, 0, None, int(did[a]), int(uid[a]), cuts.tobytes()
+        yield abs(int(did[a]) ^ int(uid[a])) % parts, None, 0, None, int(did[a]), int(uid[a]), cuts.tobytes()
 
 
-def _batch(rows: list[tuple], size: int = 1024) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("part", pa.int32()), ("words", pa.int64()), ("data", pa.binary()), ("did", pa.int64()),
+def _batch(rows: Iterable[tuple], size: int = 256) -> Iterator[pa.RecordBatch]:
+    """Rows as they come, in record batches."""
+    schema = pa.schema([("part", pa.int32()), ("fine", pa.int32()), ("words", pa.int64()), ("data", pa.binary()), ("did", pa.int64()),
                         ("uid", pa.int64()), ("cuts", pa.binary())])
-    for i in range(0, len(rows), size):
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i:i + size]), schema)],
-                                         schema=schema)
+    held = []
+
+    def sent():
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+    for row in rows:
+        held.append(row)
+        if len(held) == size:
+            yield sent()
+            held = []
+    if held:
+        yield sent()
 
 
 # --------------------------------------------------------------- before the shuffle
 
-def pack(docs: list[tuple[int, int, bytes]], window: int) -> tuple[Packs, list[np.ndarray]]:
+def _words_of(docs: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all texts, each followed by one space, as bytes; where
+    each begins and ends there; and the number of the document it is from."""
+    raw = np.frombuffer(b"\n".join([d[2] for d in docs]) + b"\n", np.uint8)
+    space = _SPACE[raw]
+    after_space = np.append(True, space[:-1])
+    begins = np.flatnonzero(after_space & ~space)
+    text = np.where(space, np.uint8(32), raw)[~(space & after_space)]
+    after = np.flatnonzero(text == 32)
+    ends = np.cumsum(np.array([len(d[2]) + 1 for d in docs]))
+    return text, np.append(0, after[:-1] + 1)[:len(after)], after, np.searchsorted(ends, begins, side="right")
+
+
+def _repeated(code: np.ndarray, packs: Packs) -> np.ndarray:
+    """Strings that equal an earlier one, by code and then byte by byte."""
+    order = np.argsort(code, kind="stable")
+    new = np.append(True, code[order][1:] != code[order][:-1])
+    leader = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    out = np.zeros(len(code), bool)
+    whole = packs.text.tobytes()
+    at, size = packs.at, packs.size
+    for i, j in zip(order[~new].tolist(), leader[~new].tolist()):
+        out[i] = whole[at[i]:at[i] + size[i]] == whole[at[j]:at[j] + size[j]]
+    return out
+
+
+def pack(docs: list[tuple[int, int, bytes]], window: int) -> tuple[Packs | None, list[np.ndarray]]:
     """Super-k-mers of a batch of (did, uid, text), and the marks
     (did, uid, start, length) of strings the batch holds more than once."""
     docs = sorted(docs, key=lambda d: d[:2])
-    number: dict[bytes, int] = {}
-    ids, sizes = [], []
-    for _, _, text in docs:
-        words = text.split()
-        ids.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
-        sizes.append(len(words))
-    vocabulary = list(number)
-    size = np.array(sizes, np.int64)
-    ids = np.concatenate(ids)
-    owner = np.repeat(np.arange(len(docs)), size)
-    place = _spread(np.zeros(len(size), np.int64), size)
-    windows = len(ids) - window + 1
-    empty = Packs(vocabulary, *(np.zeros(0, k) for k in (np.int32, np.int64, np.uint64) + (np.int64,) * 3))
+    text, begin, after, owner = _words_of(docs)
+    windows = len(begin) - window + 1
     if windows < 1:
-        return empty, []
-    word = np.fromiter((xxhash.xxh64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))
+        return None, []
+    place = _spread(np.zeros(len(docs), np.int64), np.bincount(owner, minlength=len(docs)))
+    word = word_hashes(text, begin, after)
     grain = min(MINIMISER, window)
-    least = sliding_min(windows_at(word, ids, np.arange(len(ids) - grain + 1), grain), window - grain + 1)
+    least = sliding_min(run_hashes(word, grain), window - grain + 1)
     valid = owner[:windows] == owner[window - 1:]
     new = valid.copy()
     new[1:] &= (least[1:] != least[:-1]) | ~valid[:-1] | (owner[1:windows] != owner[:windows - 1])
     first = np.flatnonzero(new)
     if not len(first):
-        return empty, []
-    run = np.cumsum(new)[valid] - 1
-    length = np.bincount(run, minlength=len(first)) + window - 1
-    # a string's earliest place: documents and places come in order
-    seen: set[bytes] = set()
-    once = np.ones(len(first), bool)
-    for i, (a, n) in enumerate(zip(first.tolist(), length.tolist())):
-        text = ids[a:a + n].tobytes()
-        if text in seen:
-            once[i] = False
-        else:
-            seen.add(text)
+        return None, []
+    length = np.bincount(np.cumsum(new)[valid] - 1, minlength=len(first)) + window - 1
+    at = begin[first]
     did = np.array([d[0] for d in docs], np.int64)[owner[first]]
     uid = np.array([d[1] for d in docs], np.int64)[owner[first]]
-    rest = ~once
-    marks = [did[rest], uid[rest], place[first][rest], length[rest]]
-    # rows that repeat both id and text are one document: not a repetition
-    keep, first_text = np.flatnonzero(once), first[once]
-    packs = Packs(vocabulary, ids[_spread(first_text, length[once])], length[once], _mix(least[first_text]),
-                  did[keep], uid[keep], place[first_text])
-    return packs, marks
+    packs = Packs(text, at, after[first + length - 1] + 1 - at, length, _mix(least[first]), did, uid, place[first])
+    # a string's earliest place counts: documents and places come in order
+    sums = np.append(np.uint64(0), np.cumsum(word * _powers(len(word), _BASE)))
+    code = (sums[first + length] - sums[first]) * _powers(len(word), _INVERSE)[first] + length.astype(np.uint64)
+    again = _repeated(code, packs)
+    marks = [x[again] for x in (packs.did, packs.uid, packs.start, packs.length)]
+    return packs.take(np.flatnonzero(~again)), marks
+
+
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+
+def _powers(n: int, base: np.uint64) -> np.ndarray:
+    """1, base, base ** 2 ..., modulo 2 ** 64."""
+    out = np.full(n, base)
+    out[:1] = 1
+    return np.cumprod(out)
 
 
 def _pack_rows(window: int, parts: int, batch_bytes: int):
     def run(batches):
-        def ship(docs):
+        def rows(docs):
             # equal (id, text) rows are one document
             packs, marks = pack(list({d[:2]: d for d in docs}.values()), window)
-            rows = list(_ship(packs, parts))
-            if marks and len(marks[0]):
-                rows += _marks(*marks, parts)
-            return _batch(rows)
+            if packs is not None:
+                yield from _ship(packs, parts)
+                yield from _marks(*marks, parts)
 
         docs, held = [], 0
         for batch in batches:
@@ -254,46 +337,66 @@ def _pack_rows(window: int, parts: int, batch_bytes: int):
                     docs.append((d, u, t))
                     held += len(t)
                 if held >= batch_bytes:
-                    yield from ship(docs)
+                    yield from _batch(rows(docs))
                     docs, held = [], 0
         if docs:
-            yield from ship(docs)
+            yield from _batch(rows(docs))
 
     return run
 
 
 # ---------------------------------------------------------------- in a bucket
 
-def repeats(packs: Packs, window: int) -> list[np.ndarray]:
-    """(did, uid, start) of every window whose words also occur at an earlier
-    place among ``packs``."""
-    n = len(packs.ids)
+def _numbers(text: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """A value per word that only equal words share."""
+    number: dict[bytes, int] = {}
+    whole = text.tobytes()
+    words = (number.setdefault(whole[a:b], len(number) + 1) for a, b in zip(first.tolist(), after.tolist()))
+    return np.fromiter(words, np.uint64, len(first)) * np.uint64(0xA24BAED4963EE407)
+
+
+def windows_of(packs: Packs, window: int, hashes=word_hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
+    """All windows of compact ``packs``: their first words, their strings,
+    whether their words also occur at an earlier place among ``packs``; and
+    (first byte, byte after) of all words."""
+    after = np.flatnonzero(packs.text == 32)
+    first = np.append(0, after[:-1] + 1)[:len(after)]
     begin = np.cumsum(packs.length) - packs.length
-    salt = _mix(np.arange(1, len(packs.vocabulary) + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
     count = packs.length - window + 1
     at = _spread(begin, count)
+    string = np.repeat(np.arange(len(count)), count)
+    later = np.zeros(len(at), bool)
     if not len(at):
-        return [np.zeros(0, np.int64)] * 3
-    code = windows_at(salt, packs.ids, at, window)
+        return at, string, later, (first, after)
+    value = hashes(packs.text, first, after)
+    code = windows_at(value, at, window)
     order = np.argsort(code, kind="stable")
     same = code[order][1:] == code[order][:-1]
-    shared = np.zeros(len(order), bool)
-    shared[1:] |= same
-    shared[:-1] |= same
+    shared = np.append(False, same) | np.append(same, False)
     rows = order[shared]                                  # windows that share their hash
     if not len(rows):
-        return [np.zeros(0, np.int64)] * 3
+        return at, string, later, (first, after)
+    if hashes is not _numbers:
+        # words of these windows that share a hash must be equal
+        cover = np.cumsum(np.bincount(at[rows], minlength=len(first) + 1) - np.bincount(at[rows] + window, minlength=len(first) + 1))
+        word = np.flatnonzero(cover[:-1] > 0)
+        word = word[np.argsort(value[word], kind="stable")]
+        twin = np.flatnonzero(value[word][1:] == value[word][:-1])
+        a, b, size = word[twin], word[twin + 1], after - first
+        if (size[a] != size[b]).any() or not same_bytes(packs.text, first[a], first[b], size[a]):
+            return windows_of(packs, window, _numbers)
     group = np.cumsum(np.append(True, np.diff(code[rows]) != 0)) - 1
-    group = _by_words(packs.ids, at[rows], group, window)
-    string = np.repeat(np.arange(len(count)), count)[rows]
-    did, uid = packs.did[string], packs.uid[string]
-    start = packs.start[string] + at[rows] - begin[string]
+    group = _by_words(value, at[rows], group, window)
+    of = string[rows]
+    did, uid = packs.did[of], packs.uid[of]
+    start = packs.start[of] + at[rows] - begin[of]
     order = np.lexsort((start, uid, did, group))
     group, did, uid, start = group[order], did[order], uid[order], start[order]
     head = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     of = np.repeat(head, np.diff(np.append(head, len(group))))
-    later = (did != did[of]) | (uid != uid[of]) | (start != start[of])
-    return [did[later], uid[later], start[later]]
+    # rows that repeat both id and text are one document: not a repetition
+    later[rows[order]] = (did != did[of]) | (uid != uid[of]) | (start != start[of])
+    return at, string, later, (first, after)
 
 
 def _by_words(ids: np.ndarray, at: np.ndarray, group: np.ndarray, window: int) -> np.ndarray:
@@ -313,19 +416,25 @@ def _by_words(ids: np.ndarray, at: np.ndarray, group: np.ndarray, window: int) -
     return group
 
 
-def _split_hot(packs: Packs, window: int, parts: int) -> Iterator[tuple]:
-    """The windows of ``packs`` as strings of their own, dealt by window."""
+def _solved(packs: Packs, window: int, parts: int, deal_again: bool) -> Iterator[tuple]:
+    """Marks of the repeated windows; with ``deal_again`` the other windows as
+    strings of their own, dealt by window."""
+    at, string, later, (first, after) = windows_of(packs, window)
     begin = np.cumsum(packs.length) - packs.length
-    count = packs.length - window + 1
-    at = _spread(begin, count)
-    string = np.repeat(np.arange(len(count)), count)
-    word = np.fromiter((xxhash.xxh64_intdigest(w) for w in packs.vocabulary), np.uint64, len(packs.vocabulary))
-    for i in range(0, len(at), 50_000):
-        a, s = at[i:i + 50_000], string[i:i + 50_000]
-        size = np.full(len(a), window, np.int64)
-        ids = packs.ids[_spread(a, size)]
-        yield from _ship(Packs(packs.vocabulary, ids, size, run_hashes(word[ids], window)[::window],
-                               packs.did[s], packs.uid[s], packs.start[s] + a - begin[s]), parts)
+
+    def starts(rows):
+        return packs.start[string[rows]] + at[rows] - begin[string[rows]]
+
+    gone = np.flatnonzero(later)
+    yield from _marks(packs.did[string[gone]], packs.uid[string[gone]], starts(gone), np.full(len(gone), window, np.int64), parts)
+    if deal_again:
+        left = np.flatnonzero(~later)
+        code = windows_at(word_hashes(packs.text, first, after), at[left], window)
+        for i in range(0, len(left), 50_000):
+            rows = left[i:i + 50_000]
+            a, s = at[rows], string[rows]
+            yield from _ship(Packs(packs.text, first[a], after[a + window - 1] + 1 - first[a], np.full(len(a), window), code[i:i + 50_000],
+                                   packs.did[s], packs.uid[s], starts(rows)), parts)
 
 
 def _solve_bucket(window: int, parts: int, pass_words: int, hot_words: int | None):
@@ -334,31 +443,37 @@ def _solve_bucket(window: int, parts: int, pass_words: int, hot_words: int | Non
     def solve(blobs, words):
         passes = max(1, -(-words // pass_words))
         for p in range(passes):
-            packs = load(blobs, (lambda key: key // np.uint64(parts) % np.uint64(passes) == p) if passes > 1 else None)
-            if hot_words is not None and len(packs.ids) > hot_words:
+            packs = load(blobs, (lambda key: key // np.uint64(parts * FINE) % np.uint64(passes) == p) if passes > 1 else None)
+            if hot_words is not None and packs.length.sum() > hot_words:
                 keys, of = np.unique(packs.key, return_inverse=True)
                 hot = np.bincount(of, packs.length)[of] > hot_words
                 if hot.any():
-                    yield from _batch(list(_split_hot(packs.take(np.flatnonzero(hot)), window, parts)), 64)
-                    packs = packs.take(np.flatnonzero(~hot))
-            did, uid, start = repeats(packs, window)
-            yield from _batch(list(_marks(did, uid, start, np.full(len(start), window, np.int64), parts)))
+                    rows = np.flatnonzero(hot)
+                    slices = np.cumsum(packs.length[rows]) // hot_words
+                    for n in np.unique(slices):
+                        yield from _solved(packs.take(rows[slices == n]).compact(), window, parts, True)
+                    packs = packs.take(np.flatnonzero(~hot)).compact()
+            yield from _solved(packs, window, parts, False)
+
+    def solved(blobs, words):
+        return _batch(solve(blobs, words))
 
     def run(batches):
         blobs, words, part = [], 0, None
         for batch in batches:
-            through = batch.filter(pa.compute.is_null(batch.column(2)))
+            through = batch.filter(pa.compute.is_null(batch.column(3)))
             if through.num_rows:
                 yield through
-            for of, n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            for fine, n, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
                 if not data.is_valid:
                     continue
-                if of != part:
-                    yield from solve(blobs, words)
-                    blobs, words, part = [], 0, of
+                if fine != part and words >= GROUP_WORDS:
+                    yield from solved(blobs, words)
+                    blobs, words = [], 0
+                part = fine
                 blobs.append(data.as_buffer())                # no copy
                 words += n
-        yield from solve(blobs, words)
+        yield from solved(blobs, words)
 
     return run
 
@@ -374,7 +489,7 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, *, pass_words: int
     rows = docs.mapInArrow(_pack_rows(window, parts, batch_bytes), _SHIP)
     done, hot = [], hot_words
     while True:
-        solved = stage(rows.repartitionById(parts, F.col("part"))
+        solved = stage(rows.repartitionById(parts, F.col("part")).sortWithinPartitions("fine")
                        .mapInArrow(_solve_bucket(window, parts, pass_words, hot), _SHIP), "substring")
         done.append(solved.filter("data IS NULL"))
         again = solved.filter("data IS NOT NULL")

@@ -92,3 +92,45 @@ def test_run_hashes_and_sliding_min():
         assert len(hashes) == 201 - n
         assert (hashes[:31 - n] == hashes[100:131 - n]).all() and len(np.unique(hashes)) == 201 - n - (31 - n)
         assert substring.sliding_min(values, n).tolist() == [values[i:i + n].min() for i in range(201 - n)]
+
+
+def test_words_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    # a hash of the length alone: nearly all words collide, and the words are numbered instead
+    monkeypatch.setattr(substring, "word_hashes", lambda text, first, after: (after - first).astype(np.uint64) * np.uint64(977))
+    docs = [(1, 5, b"a b c d e f g"), (2, 5, b"x b c d e f y"), (3, 5, b"a b c d q q q"), (4, 5, b"p q r s t u v")]
+    packs, marks = substring.pack(docs, 3)
+    at, string, later, _ = substring.windows_of(packs.compact(), 3, substring.word_hashes)
+    begin = np.cumsum(packs.length) - packs.length
+    found = {(int(packs.did[s]), int(packs.start[s] + a - begin[s])) for a, s, gone in zip(at, string, later) if gone}
+    for did, start, length in zip(*[m.tolist() for m in (marks[0], marks[2], marks[3])]):
+        found |= {(did, start + i) for i in range(length - 2)}
+    assert found == {(2, 1), (2, 2), (2, 3), (3, 0), (3, 1)}
+
+
+def test_word_hashes_see_every_byte():
+    words = [b"a", b"b", b"ab", b"ba", b"x" * 5000, b"x" * 4999 + b"y", b"x" * 1024, b"\xc3\xa9", b"a"]
+    text, first, after, owner = substring._words_of([(0, 0, b" \t" + b" \n ".join(words)), (1, 0, b"  "), (2, 0, b"ab  ")])
+    assert [bytes(text[a:b]) for a, b in zip(first, after)] == [*words, b"ab"] and owner.tolist() == [0] * 9 + [2]
+    hashes = substring.word_hashes(text, first, after)
+    assert hashes[0] == hashes[8] and hashes[2] == hashes[9] and len(set(hashes.tolist())) == 8
+
+
+def test_a_window_in_every_batch_is_dealt_again_once_a_slice():
+    # one minimiser with very many copies: every slice hands on each of its windows once
+    text = b" ".join(b"w%d" % i for i in range(30))
+    blobs = []
+    for d in range(40):
+        packs, _ = substring.pack([(d, 0, text + b" end%d" % d)], 20)
+        blobs += [row[3] for row in substring._ship(packs, 1)]
+    words = int(substring.load(blobs).length.sum())
+    rows = [r for b in substring._solve_bucket(20, 1, 10 ** 9, 200)(iter(_record(blobs))) for r in b.to_pylist()]
+    again = substring.load([r["data"] for r in rows if r["data"] is not None])
+    assert (again.length == 20).all() and np.unique(again.key, return_counts=True)[1].max() <= words // 200 + 2 < 20
+
+
+def _record(blobs):
+    import pyarrow as pa
+    n = len(blobs)
+    return [pa.RecordBatch.from_pydict({"part": pa.array([0] * n, pa.int32()), "fine": pa.array([0] * n, pa.int32()),
+                                        "words": pa.array([1] * n, pa.int64()), "data": pa.array(blobs, pa.binary()),
+                                        "did": pa.nulls(n, pa.int64()), "uid": pa.nulls(n, pa.int64()), "cuts": pa.nulls(n, pa.binary())})]
