@@ -18,9 +18,10 @@ window but the earliest marks its words for removal.
   once, for its earliest place; all other places are wholly repeated and are
   marked on the spot. Thousands of copies thus reach a bucket as one row per
   batch.
-* A bucket has ``FINE`` parts by minimiser, and its rows are sorted by part,
-  so a task holds a few parts at a time and unpacks a row once. A part that is
-  too large is worked off in passes over its minimisers. A single minimiser
+* A bucket has ``FINE`` parts by minimiser. A large batch sends a row per part;
+  a bucket's rows are sorted by part, so a task holds a few parts at a time and
+  unpacks a row once. (A small batch sends one row per bucket.) Parts that are
+  too large are worked off in passes over their minimisers. A single minimiser
   with too many different strings is dealt out again by the hash of the window
   itself, in a second round, each window once per slice of the first.
 """
@@ -48,6 +49,8 @@ HOT_WORDS = 1_000_000
 #: Parts of a bucket, and words of neighbouring parts that are solved together.
 FINE = 64
 GROUP_WORDS = 500_000
+#: A batch sends rows per part if they hold this many words on average.
+ROW_WORDS = 64
 
 _NO_ID = -(1 << 63)
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -186,11 +189,11 @@ class Packs:
         return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def load(blobs: Iterable[bytes], wanted=None) -> Packs:
-    """The packed strings of several rows, compact; with ``wanted`` only those
-    whose key it picks."""
+def load(rows: Iterable[tuple]) -> Packs:
+    """The packed strings of several rows, compact; ``rows`` are pairs of a
+    blob and a function that picks keys (None: all)."""
     texts, columns = [], [[] for _ in Packs.FIELDS[1:]]
-    for blob in blobs:
+    for blob, wanted in rows:
         blob = memoryview(blob)
         raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True)
         text, size, *rest = pickle.loads(raw)
@@ -205,16 +208,24 @@ def load(blobs: Iterable[bytes], wanted=None) -> Packs:
     return Packs(np.concatenate(texts) if texts else np.zeros(0, np.uint8), np.cumsum(size) - size, size, *rest)
 
 
-def _ship(packs: Packs, parts: int) -> Iterator[tuple]:
-    """One row per part of a bucket."""
-    fine = (packs.key % np.uint64(parts * FINE)).astype(np.int64)
+def _part(key: np.ndarray, parts: int) -> np.ndarray:
+    """A key's part: bucket times ``FINE`` plus its part of the bucket."""
+    return (key % np.uint64(parts * FINE)).astype(np.int64)
+
+
+def _ship(packs: Packs, parts: int, row_words: float = ROW_WORDS) -> Iterator[tuple]:
+    """One row per part of a bucket, or per bucket where those were tiny."""
+    fine = _part(packs.key, parts)
+    rough = packs.length.sum() < row_words * parts * FINE
+    if rough:
+        fine //= FINE
     order = np.argsort(fine, kind="stable")
     fine = fine[order]
     cuts = np.flatnonzero(np.diff(fine)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(fine)]):
         if a < b:
-            own = packs.take(order[a:b])
-            yield int(fine[a]) // FINE, int(fine[a]), int(own.length.sum()), own.dump(), None, None, None
+            own, at = packs.take(order[a:b]), int(fine[a])
+            yield (*((at, None) if rough else (at // FINE, at)), int(own.length.sum()), own.dump(), None, None, None)
 
 
 def _marks(did: np.ndarray, uid: np.ndarray, start: np.ndarray, length: np.ndarray, parts: int) -> Iterator[tuple]:
@@ -319,13 +330,13 @@ def _powers(n: int, base: np.uint64) -> np.ndarray:
     return np.cumprod(out)
 
 
-def _pack_rows(window: int, parts: int, batch_bytes: int):
+def _pack_rows(window: int, parts: int, batch_bytes: int, row_words: float):
     def run(batches):
         def rows(docs):
             # equal (id, text) rows are one document
             packs, marks = pack(list({d[:2]: d for d in docs}.values()), window)
             if packs is not None:
-                yield from _ship(packs, parts)
+                yield from _ship(packs, parts, row_words)
                 yield from _marks(*marks, parts)
 
         docs, held = [], 0
@@ -437,13 +448,24 @@ def _solved(packs: Packs, window: int, parts: int, deal_again: bool) -> Iterator
                                    packs.did[s], packs.uid[s], starts(rows)), parts)
 
 
-def _solve_bucket(window: int, parts: int, pass_words: int, hot_words: int | None):
+def _solve_bucket(window: int, parts: int, pass_words: int, hot_words: int | None, group_words: int = GROUP_WORDS):
     """``hot_words`` None: no key is dealt out again."""
 
-    def solve(blobs, words):
-        passes = max(1, -(-words // pass_words))
+    def solve(blobs, rough, words, low, high):
+        """The parts low .. high - 1 of a bucket: their own rows and what the
+        rows of the whole bucket have for them."""
+        passes = max(1, -(-int(words) // pass_words))
         for p in range(passes):
-            packs = load(blobs, (lambda key: key // np.uint64(parts * FINE) % np.uint64(passes) == p) if passes > 1 else None)
+            def mine(key, p=p):
+                return key // np.uint64(parts * FINE) % np.uint64(passes) == p
+
+            def within(key, mine=mine):
+                part = _part(key, parts) % FINE
+                return (part >= low) & (part < high) & mine(key)
+
+            whole = passes == 1
+            packs = load([(b, None if whole else mine) for b in blobs]
+                         + [(b, None if whole and high - low == FINE else within) for b in rough])
             if hot_words is not None and packs.length.sum() > hot_words:
                 keys, of = np.unique(packs.key, return_inverse=True)
                 hot = np.bincount(of, packs.length)[of] > hot_words
@@ -455,11 +477,8 @@ def _solve_bucket(window: int, parts: int, pass_words: int, hot_words: int | Non
                     packs = packs.take(np.flatnonzero(~hot)).compact()
             yield from _solved(packs, window, parts, False)
 
-    def solved(blobs, words):
-        return _batch(solve(blobs, words))
-
     def run(batches):
-        blobs, words, part = [], 0, None
+        rough, rough_words, blobs, words, low, part = [], 0, [], 0, 0, 0
         for batch in batches:
             through = batch.filter(pa.compute.is_null(batch.column(3)))
             if through.num_rows:
@@ -467,13 +486,20 @@ def _solve_bucket(window: int, parts: int, pass_words: int, hot_words: int | Non
             for fine, n, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
                 if not data.is_valid:
                     continue
-                if fine != part and words >= GROUP_WORDS:
-                    yield from solved(blobs, words)
-                    blobs, words = [], 0
+                if fine is None:                              # sorted first
+                    rough.append(data.as_buffer())            # no copy
+                    rough_words += n
+                    continue
+                fine %= FINE
+                share = rough_words * (fine - low) / FINE
+                if fine != part and words + share >= group_words:
+                    yield from _batch(solve(blobs, rough, words + share, low, fine))
+                    blobs, words, low = [], 0, fine
                 part = fine
-                blobs.append(data.as_buffer())                # no copy
+                blobs.append(data.as_buffer())
                 words += n
-        yield from solved(blobs, words)
+        if blobs or rough:
+            yield from _batch(solve(blobs, rough, words + rough_words * (FINE - low) / FINE, low, FINE))
 
     return run
 
@@ -481,16 +507,17 @@ def _solve_bucket(window: int, parts: int, pass_words: int, hot_words: int | Non
 # ------------------------------------------------------------------ operator
 
 def repeated_stretches(docs: DataFrame, window: int = WINDOW, *, pass_words: int = PASS_WORDS,
-                       hot_words: int = HOT_WORDS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+                       hot_words: int = HOT_WORDS, batch_bytes: int = BATCH_BYTES,
+                       row_words: float = ROW_WORDS, group_words: int = GROUP_WORDS) -> DataFrame:
     """(did, uid, cuts): per document with repeated windows its stretches of
     words to remove, as pairs of unsigned 32-bit (first, after last). ``docs``
     has ``did``, ``uid`` and ``text`` (binary)."""
     parts = shuffle_tasks(docs.sparkSession)
-    rows = docs.mapInArrow(_pack_rows(window, parts, batch_bytes), _SHIP)
+    rows = docs.mapInArrow(_pack_rows(window, parts, batch_bytes, row_words), _SHIP)
     done, hot = [], hot_words
     while True:
         solved = stage(rows.repartitionById(parts, F.col("part")).sortWithinPartitions("fine")
-                       .mapInArrow(_solve_bucket(window, parts, pass_words, hot), _SHIP), "substring")
+                       .mapInArrow(_solve_bucket(window, parts, pass_words, hot, group_words), _SHIP), "substring")
         done.append(solved.filter("data IS NULL"))
         again = solved.filter("data IS NOT NULL")
         if hot is None or again.isEmpty():

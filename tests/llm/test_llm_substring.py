@@ -47,8 +47,10 @@ def test_query_matches_brute_force(spark):
 LIMITS = [{}, {"pass_words": 500, "batch_bytes": 4000}, {"hot_words": 100, "batch_bytes": 3000}]
 
 
-@pytest.mark.parametrize("limits", LIMITS)
+@pytest.mark.parametrize("limits", [*LIMITS, {"row_words": 0, "group_words": 300}, {"row_words": 0, "pass_words": 300, "hot_words": 100},
+                                    {"row_words": 0.6, "batch_bytes": 3000, "group_words": 200}])
 def test_shared_passages_and_copies(spark, limits):
+    # rows per bucket, per part, and both; parts solved together and one by one, in passes, dealt again
     rng = random.Random(4)
     vocab = [f"w{i}" for i in range(60)]
     passages = [" ".join(rng.choices(vocab, k=rng.randint(5, 60))) for _ in range(8)]
@@ -122,9 +124,9 @@ def test_a_window_in_every_batch_is_dealt_again_once_a_slice():
     for d in range(40):
         packs, _ = substring.pack([(d, 0, text + b" end%d" % d)], 20)
         blobs += [row[3] for row in substring._ship(packs, 1)]
-    words = int(substring.load(blobs).length.sum())
+    words = int(substring.load([(b, None) for b in blobs]).length.sum())
     rows = [r for b in substring._solve_bucket(20, 1, 10 ** 9, 200)(iter(_record(blobs))) for r in b.to_pylist()]
-    again = substring.load([r["data"] for r in rows if r["data"] is not None])
+    again = substring.load([(r["data"], None) for r in rows if r["data"] is not None])
     assert (again.length == 20).all() and np.unique(again.key, return_counts=True)[1].max() <= words // 200 + 2 < 20
 
 
