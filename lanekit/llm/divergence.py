@@ -159,7 +159,7 @@ def _smoothed_counts(counts: np.ndarray, total: int, terms: int) -> np.ndarray:
     return np.array([1 + UNIT * (int(c) + 2) // (total + 2 * terms) for c in counts], np.int64)
 
 
-def _pair_sums(key: tuple, terms: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
+def pair_sums(key: tuple, terms: pd.DataFrame, groups: pd.DataFrame, width: int = STRIPE) -> pd.DataFrame:
     """One block of terms of one language: for every source of the stripe and
     every later one the sum of the values, cell by cell. A cell is a pair of
     counts; its value is worked out once and taken as often as it occurs."""
@@ -175,7 +175,7 @@ def _pair_sums(key: tuple, terms: pd.DataFrame, groups: pd.DataFrame) -> pd.Data
         distinct, number = np.unique(row, return_inverse=True)
         cells.append((number, _smoothed_counts(distinct, int(total), int(v))))
     left, right, values = [], [], []
-    for a in range(int(stripe) * STRIPE, min((int(stripe) + 1) * STRIPE, n_groups)):
+    for a in range(int(stripe) * width, min((int(stripe) + 1) * width, n_groups)):
         number, p_of = cells[a]
         for b in range(a + 1, n_groups):
             other, q_of = cells[b]
@@ -189,7 +189,7 @@ def _pair_sums(key: tuple, terms: pd.DataFrame, groups: pd.DataFrame) -> pd.Data
                          "value": np.array(values, np.int64)})
 
 
-def source_gaps(used: DataFrame, groups: DataFrame) -> DataFrame:
+def source_gaps(used: DataFrame, groups: DataFrame, width: int = STRIPE) -> DataFrame:
     """Every ordered pair of sources of a language with the sum over its kept
     terms, ranked: lang, source, item, value, rank.
 
@@ -201,7 +201,7 @@ def source_gaps(used: DataFrame, groups: DataFrame) -> DataFrame:
     n_sources = F.count("*").over(W.partitionBy("lang"))
     sized = groups.withColumn("sources", n_sources).withColumn(
         "blocks", F.ceil((F.col("terms") * F.col("sources") + 1) / F.lit(BLOCK_CELLS))).withColumn(
-        "stripes", F.ceil(F.col("sources") / F.lit(STRIPE)))
+        "stripes", F.ceil(F.col("sources") / F.lit(width)))
     sized = sized.filter("sources > 1")
     blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     stripes = F.explode(F.sequence(F.lit(0).cast("long"), F.col("stripes") - 1))
@@ -213,7 +213,7 @@ def source_gaps(used: DataFrame, groups: DataFrame) -> DataFrame:
                        F.col("at.place").alias("places"), F.col("at.n").alias("counts")))
     key = ("lang", "block", "stripe")
     sums = (vectors.groupBy(*key).cogroup(right.groupBy(*key))
-            .applyInPandas(_pair_sums, "lang string, a int, b int, value long")
+            .applyInPandas(lambda key, terms, places: pair_sums(key, terms, places, width), "lang string, a int, b int, value long")
             .groupBy("lang", "a", "b").agg(F.sum("value").alias("value")))
     both = sums.select("lang", F.explode(F.array(F.struct(F.col("a").alias("of"), F.col("b").alias("to")),
                                                  F.struct(F.col("b").alias("of"), F.col("a").alias("to")))).alias("e"), "value")

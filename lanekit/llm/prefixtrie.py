@@ -126,7 +126,7 @@ def named_prefixes(convs: DataFrame, runs: list[DataFrame]) -> DataFrame:
 
 # --------------------------------------------------------------------- nodes
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunks(batches: Iterator[pa.RecordBatch], list_chars: int = LIST_CHARS) -> Iterator[pa.RecordBatch]:
     """Sorted (name, conv) -> (name, first conv, comma-joined ids)."""
     out: list[tuple] = []
     name, ids, chars = None, [], 0
@@ -143,7 +143,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for node, conv in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if node != name or chars > LIST_CHARS:
+            if node != name or chars > list_chars:
                 closed()
                 name, ids, chars = node, [], 0
             ids.append(conv)

@@ -8,6 +8,7 @@ import pytest
 from llm_helpers import edge_docs, empty_docs
 
 from lanekit.llm import divergence
+from lanekit.llm.common import stage
 
 COLUMNS = ["lang", "source", "part", "item", "value", "rank"]
 
@@ -98,11 +99,15 @@ def _batches(rows):
                                           "text": [r[0] for r in part]})
 
 
-def test_stripes_of_sources_cover_every_pair(spark, monkeypatch):
-    monkeypatch.setattr(divergence, "STRIPE", 2)
+def test_stripes_of_sources_cover_every_pair(spark):
     rows = [(f"one two {'three ' * (i % 3)}", "en", f"s{i}") for i in range(7)] * 2
     df = spark.createDataFrame(rows, "text string, lang string, source string")
-    assert run(df, min_docs=2) == brute(rows, 2)
+    counts = stage(divergence.term_counts(df), "test")
+    kept = stage(divergence.kept_terms(counts, 2), "test")
+    used = stage(counts.filter("term is not null").join(kept, ["lang", "term"]), "test")
+    groups = stage(divergence.group_sizes(counts, kept, used), "test")
+    pairs = [tuple(r) for r in divergence.source_gaps(used, groups, width=2).collect()]
+    assert sorted((a, s, "pair", i, v, n) for a, s, i, v, n in pairs) == sorted(r for r in brute(rows, 2) if r[2] == "pair")
 
 
 def test_awkward_rows(spark):

@@ -98,9 +98,20 @@ def test_turnless_conversations_end_at_the_root(spark):
     assert len(got) == 1 and got[0][4:6] == (0, 1)
 
 
-def test_lists_of_ids_are_joined_across_ranges(spark, monkeypatch):
-    # one conversation copied very often: its ids are joined in many ranges, then digested in order
-    monkeypatch.setattr(prefixtrie, "LIST_CHARS", 100)
+def test_lists_of_ids_are_cut_and_digested_in_order():
+    import pyarrow as pa
+    ids = {b"a": list(range(-5, 300)), b"b": [7], b"c": list(range(1000, 1100))}
+    rows = [(n, c) for n, cs in ids.items() for c in cs]
+    batches = [pa.RecordBatch.from_pydict({"name": [r[0] for r in rows[i:i + 50]], "conv": [r[1] for r in rows[i:i + 50]]})
+               for i in range(0, len(rows), 50)]
+    lists = list(prefixtrie._chunks(iter(batches), 100))
+    assert sum(b.num_rows for b in lists) > 20
+    found = [tuple(r.values()) for b in prefixtrie._digests(iter(lists)) for r in b.to_pylist()]
+    assert found == [(n, hashlib.sha256(",".join(map(str, cs)).encode()).hexdigest()) for n, cs in ids.items()]
+
+
+def test_copies_of_one_conversation(spark):
+    # its ids are joined in many ranges, then digested in order
     ids = sorted({20 * i for i in range(500)} | {-20 * i for i in range(1, 30)})
     df = spark.createDataFrame([(c, t, "user", f"t{t}") for c in ids for t in range(3)], SCHEMA)
     got = run(df)
