@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 BATCH_CHARS = 2_000_000
 CACHED_WORDS = 200_000
+ROWS_AT_ONCE = 1_000
 SHORT_WORD = 48
 KNOWN_PAIRS = 4_000_000
 
@@ -347,15 +348,23 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     null ids are rows like any other; no rows in, none out."""
     shared = broadcast_tokenizer(docs.sparkSession, path)
 
-    @F.arrow_udf("n_tokens: bigint, ids_sha256: string, decoded_sha256: string")
-    def run(texts: pa.Array) -> pa.Array:
+    def run(batches):
         bpe = loaded(shared.value)
-        ids = bpe.encode([t or "" for t in texts.to_pylist()])
-        return pa.StructArray.from_arrays(
-            [pa.array([len(i) // 4 for i in ids], pa.int64()),
-             pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
-             pa.array([hashlib.sha256(bpe.decode(i).encode()).hexdigest() for i in ids], pa.string())],
-            ["n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select("doc_id", run(F.col("text")).alias("r")).select(
-        "doc_id", "r.n_tokens", "r.ids_sha256", "r.decoded_sha256")
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    part = batch.slice(at, ROWS_AT_ONCE)
+                    ids = bpe.encode([t or "" for t in part.column(1).to_pylist()])
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()),
+                         pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
+                         pa.array([hashlib.sha256(bpe.decode(i).encode()).hexdigest() for i in ids], pa.string())],
+                        ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            # workers are used again by other stages: known words go with the task
+            bpe.ids_of, bpe.older = {}, {}
+            pa.default_memory_pool().release_unused()
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

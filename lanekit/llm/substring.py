@@ -352,6 +352,7 @@ def _pack_rows(window: int, parts: int, batch_bytes: int, row_words: float):
                     docs, held = [], 0
         if docs:
             yield from _batch(rows(docs))
+        pa.default_memory_pool().release_unused()             # workers are used again by other stages
 
     return run
 
@@ -500,6 +501,7 @@ def _solve_bucket(window: int, parts: int, pass_words: int, hot_words: int | Non
                 words += n
         if blobs or rough:
             yield from _batch(solve(blobs, rough, words + rough_words * (FINE - low) / FINE, low, FINE))
+        pa.default_memory_pool().release_unused()
 
     return run
 
