@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from lanekit.plans import mart as M
 from lanekit.plans import mart_sql
-from lanekit.plans.standins import standin_params, standin_tables
+from lanekit.plans.standins import standin_params, standin_warehouse
 from lanekit.plans.views import last_view, run_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +60,7 @@ def round_doubles(df: DataFrame, digits: int = 2) -> DataFrame:
 
 def load_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The load-rate mart over the stand-in inputs (unrounded)."""
-    return M.build(spark, standin_tables(spark, sf_dir), standin_params())
+    return M.build(spark, standin_warehouse(spark, sf_dir), standin_params())
 
 
 @register("route_load_mart", mart_sql.duckdb_oracle(2))
@@ -73,7 +73,7 @@ def view_steps(spark, sf_dir):
     """The same mart as ordered SQL steps over the input tables, with one
     disabled and one blank step that must be skipped."""
     from lanekit.plans.views import Step
-    for name, df in standin_tables(spark, sf_dir).items():
+    for name, df in standin_warehouse(spark, sf_dir).items():
         df.createOrReplaceTempView(name)
     # a step that two later ones read is written once (see Step.materialize)
     steps = [Step(n, s, materialize=n == "leg_list") for n, s in mart_sql.spark_steps()]

@@ -368,7 +368,9 @@ def with_leg_measures(seg: DataFrame, leg: DataFrame, p: MartParams) -> DataFram
     out = enrich(seg, leg, {"order_id": "task_no", "first_rodes": "first_site_name", "next_rodes": "next_site_name"},
                  {c: c for c in (*names, "firsts")})
     out = out.select("*", F.explode_outer("firsts").alias("__first")).drop("firsts")
-    out = out.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("order_id", "by_road_num", "trans_rodes")))
+    # the names follow from the route; with them the count finds the join's partitions
+    same = Window.partitionBy("order_id", "first_rodes", "next_rodes", "by_road_num", "trans_rodes")
+    out = out.withColumn("__n", F.count(F.lit(1)).over(same))
     return out.withColumns({**{c: F.col("__first")[c] for c in FIRST_LIST},
                             **{n: F.col(n) * F.col("__n") for n in names}}).drop("__first", "__n")
 

@@ -51,7 +51,7 @@ def spark_steps() -> list[tuple[str, str]]:
     by_category = ",\n            ".join(
         f"sum({kinds[kind]}) FILTER (WHERE u.product = {_q(product)}) AS {name}"
         for name, (product, kind) in STANDIN_CATEGORIES.items())
-    n_rows = "count(*) OVER (PARTITION BY order_id, by_road_num, trans_rodes)"
+    n_rows = "count(*) OVER (PARTITION BY order_id, first_rodes, next_rodes, by_road_num, trans_rodes)"
     named = {"road_out_piece_num": "pieces * n_rows", "road_ewb_num": "waybill_lines * n_rows",
              "road_calc_weight": "calc * n_rows", "road_operate_weight": "operate * n_rows", "road_vol": "vol * n_rows",
              **{c: f"{c} * n_rows" for c in STANDIN_CATEGORIES}}
@@ -167,36 +167,36 @@ def _standins() -> str:
     """The stand-in inputs of :mod:`lanekit.plans.standins`, as CTEs."""
     suffix = " ".join(f"WHEN {i} THEN {_q(t)}" for i, t in enumerate(SITE_SUFFIX_TOKENS))
     return f"""
-    town AS (SELECT n_nationkey AS id, n_regionkey AS region, n_name AS plain,
+    town AS MATERIALIZED (SELECT n_nationkey AS id, n_regionkey AS region, n_name AS plain,
                     n_name || CASE n_regionkey {suffix} ELSE '' END AS name FROM nation),
-    trip AS (SELECT o.*, c_name, c_mktsegment, c.id AS town_id, c.region, h.id AS hub_id,
+    trip AS MATERIALIZED (SELECT o.*, c_name, c_mktsegment, c.id AS town_id, c.region, h.id AS hub_id,
                     CASE WHEN o_orderkey % 7 = 0 THEN concat_ws('-', h.name, c.name, h.name, c.name)
                          ELSE concat_ws('-', h.name, c.name, h.name) END AS route
              FROM orders o JOIN customer ON c_custkey = o_custkey
              JOIN town c ON c.id = c_nationkey JOIN town h ON h.id = c.region),
-    s_shipment AS (
+    s_shipment AS MATERIALIZED (
       SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'XX/ANE' ELSE 'PD/ANE' END || o_orderkey AS gid, t.*,
              CASE WHEN o_orderkey % 11 = 0 THEN 'X' ELSE o_orderstatus END AS status,
              CASE WHEN o_orderkey % 19 = 0 THEN '{WINDOW[0]}' WHEN o_orderkey % 23 = 0 THEN '{WINDOW[1]}'
                   ELSE o_orderdate::VARCHAR END AS planned, v.valid_to
       FROM trip t JOIN (VALUES ('{OPEN}'), ('{CLOSED}')) v(valid_to)
         ON v.valid_to = '{OPEN}' OR o_orderkey % 17 = 0),
-    s_stop AS (
+    s_stop AS MATERIALIZED (
       SELECT 'PD/ANE' || l_orderkey AS gid, l_linenumber AS num, t.name, l_shipdate::VARCHAR AS planned,
              (l_shipdate + INTERVAL 1 DAY)::VARCHAR AS actual
       FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN town t ON t.id = s_nationkey
       WHERE NOT (l_orderkey % 5 = 0 AND l_linenumber = 2)),
-    s_list AS (
+    s_list AS MATERIALIZED (
       SELECT l_orderkey, l_orderkey::VARCHAR AS task, l_orderkey || '-' || l_returnflag AS list, min(l_shipdate)::VARCHAR AS created,
              l_returnflag = 'R' AS back
       FROM lineitem GROUP BY l_orderkey, l_returnflag),
-    s_line AS (
+    s_line AS MATERIALIZED (
       SELECT l_orderkey || '-' || l_returnflag AS list,
              CASE WHEN l_partkey % 29 = 0 THEN NULL WHEN l_partkey % 31 = 0 THEN 'none' || l_partkey
                   ELSE l_partkey::VARCHAR END AS waybill,
              l_quantity::INTEGER AS out_piece
       FROM lineitem WHERE l_linenumber <> 7 AND l_quantity::INTEGER % 10 <> 0),
-    s_waybill AS (
+    s_waybill AS MATERIALIZED (
       SELECT p_partkey::VARCHAR AS waybill, p_retailprice AS calc, p_retailprice * 0.5 AS operate,
              p_size::DOUBLE AS vol, p_size - 1 AS piece, product
       FROM part, LATERAL (SELECT p_type AS product UNION ALL SELECT 'PROMO' WHERE p_partkey % 6 = 0)
@@ -215,7 +215,7 @@ def duckdb_oracle(digits: int = 2) -> str:
              "road_operate_weight": "operate", "road_vol": "vol"}
     return f"""
     WITH {_standins()},
-    handed AS (
+    handed AS MATERIALIZED (
       SELECT s.*, {_bare('a.name')} AS a, {_bare('b.name')} AS b, ra.r_name AS a_hub, a.plain AS a_province,
              rb.r_name AS b_hub, b.plain AS b_province
       FROM s_list s JOIN trip t ON t.o_orderkey = s.l_orderkey
@@ -223,14 +223,14 @@ def duckdb_oracle(digits: int = 2) -> str:
       JOIN town b ON b.id = CASE WHEN s.back THEN t.hub_id ELSE t.town_id END
       JOIN region ra ON ra.r_regionkey = a.region JOIN region rb ON rb.r_regionkey = b.region
       WHERE s.l_orderkey % 9 <> 4 AND s.l_orderkey % 10 <> 3 AND s.list IN (SELECT list FROM s_line)),
-    leg AS (
+    leg AS MATERIALIZED (
       SELECT gid, o_orderkey, o_custkey, c_name, o_totalprice, o_orderstatus, o_orderpriority, c_mktsegment, region,
              status, planned, route, string_split(unnest({duckdb_segments(
                  'route', "CASE WHEN c_mktsegment = 'BUILDING' THEN 0.5 ELSE 1.0 END")}), '*') AS part
       FROM s_shipment
       WHERE starts_with(gid, '{SHIPMENT_PREFIX}') AND status IN ('F', 'O', 'P') AND valid_to = '{OPEN}'
         AND planned >= '{WINDOW[0]}' AND planned < '{WINDOW[1]}'),
-    run AS (
+    run AS MATERIALIZED (
       SELECT '2022-01-23 12:00:00' AS stat_date, l.gid AS shipment_gid, l.o_orderkey::VARCHAR AS order_id,
              l.o_custkey::VARCHAR AS shipment_schedule_id, l.c_name AS car_id, l.o_totalprice AS actual_cost,
              l.o_orderstatus AS order_type, l.o_orderpriority AS line_type, l.c_mktsegment AS please_car_nature,
@@ -249,7 +249,7 @@ def duckdb_oracle(digits: int = 2) -> str:
     opening AS (
       SELECT DISTINCT ON (task, a, b) task, a, b, a_hub, a_province, b_hub, b_province
       FROM handed ORDER BY task, a, b, created NULLS FIRST, list),
-    timed AS (
+    timed AS MATERIALIZED (
       SELECT run.*, rated_capacity_total * by_road_method::DOUBLE AS road_rated_capacity,
              rated_vol_total * by_road_method::DOUBLE AS road_rated_vol,
              s.planned AS road_planned_schedule, s.actual AS road_actual_schedule,
@@ -257,7 +257,7 @@ def duckdb_oracle(digits: int = 2) -> str:
              f.b_hub AS next_distribute_nm, f.b_province AS next_prov_nm
       FROM run LEFT JOIN s_stop s ON s.gid = shipment_gid AND s.num = by_road_num::INTEGER AND {_bare('s.name')} = first_rodes
       LEFT JOIN opening f ON f.task = order_id AND f.a = first_rodes AND f.b = next_rodes),
-    load AS (
+    load AS MATERIALIZED (
       SELECT t.order_id, t.by_road_num, t.trans_rodes, sum(d.out_piece)::BIGINT AS pieces,
              count(d.waybill)::BIGINT AS lines, sum({share['calc']}) AS calc, sum({share['operate']}) AS operate,
              sum({share['vol']}) AS vol,

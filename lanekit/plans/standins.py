@@ -40,12 +40,15 @@ is null or missing.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanekit.functions.columns import SITE_SUFFIX_TOKENS
 from lanekit.operators.filters import OPEN_END
 from lanekit.plans.mart import MartParams
+from lanekit.sources.scratch import is_kept, kept
 from lanekit.sources.tables import Tables, spread
 
 # Vehicle types of the stand-in data are order priorities; '5-LOW' is
@@ -251,3 +254,18 @@ def standin_tables(spark: SparkSession, sf_dir: str,
         "dwd_fact_hs_opt_ewb": ewb,
         "dwd_fact_hs_opt_ewb_detail": ewb_detail,
     }
+
+
+NAMES = ("dwd_fact_tms_shipment", "dwd_fact_tms_shipment_stop", "dwd_fact_tms_location", "dim_tms_ane_lw_type", "dim_tms_equipment_group",
+         "dwd_fact_lb_hs_ewbs_list_no", "dwd_fact_lb_hs_ewbs_list_detail", "dim_hs_basic_site", "dim_dm_pb_bizop_org_brnch",
+         "dim_hs_basic_dict", "dwd_fact_hs_opt_ewb", "dwd_fact_hs_opt_ewb_detail")
+
+
+def standin_warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The stand-in tables as a mart meets its inputs: written tables. The
+    first query of an application that asks for them derives and writes them,
+    side by side; later ones scan them."""
+    keys = {n: f"{sf_dir.rstrip('/')}:{n}" for n in NAMES}
+    derived = standin_tables(spark, sf_dir) if not is_kept(spark, keys.values()) else {}
+    with ThreadPoolExecutor(6) as pool:
+        return dict(zip(NAMES, pool.map(lambda n: kept(spark, keys[n], lambda: derived[n]), NAMES)))

@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 
 _MATERIALIZED: dict[str, list[str]] = {}
+_KEPT: dict[str, dict[str, str]] = {}
 _DATABASES: dict[str, list[str]] = {}
 
 
@@ -61,11 +62,30 @@ def materialize(df, name: str = "stage"):
     return spark.read.parquet(path)
 
 
-def release_all(spark: SparkSession) -> int:
+def kept(spark: SparkSession, name: str, make):
+    """``make()`` written once per application under ``name`` and scanned
+    back from then on, also after :func:`release_all` (unless that is told to
+    take everything). For inputs that many queries derive alike."""
+    paths = _KEPT.setdefault(spark.sparkContext.applicationId, {})
+    if name not in paths:
+        path = f"{shared_root(spark)}/lanekit/kept-{uuid.uuid4().hex[:12]}"
+        make().write.mode("overwrite").parquet(path)
+        paths[name] = path                     # only once it is whole
+    return spark.read.parquet(paths[name])
+
+
+def is_kept(spark: SparkSession, names) -> bool:
+    return set(names) <= set(_KEPT.get(spark.sparkContext.applicationId, {}))
+
+
+def release_all(spark: SparkSession, everything: bool = False) -> int:
     """Delete every scratch folder of this application and the databases in
-    it (call it once the results that read them are written). Returns how many
-    folders were removed."""
+    it (call it once the results that read them are written), with
+    ``everything`` also those of :func:`kept`. Returns how many folders were
+    removed."""
     paths = _MATERIALIZED.pop(spark.sparkContext.applicationId, [])
+    if everything:
+        paths += _KEPT.pop(spark.sparkContext.applicationId, {}).values()
     for name in _DATABASES.pop(spark.sparkContext.applicationId, []):
         spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     jvm = spark.sparkContext._jvm
