@@ -641,6 +641,16 @@ def describe_table(spark, sf_dir):
     return X.describe_table(spark, _t(spark, sf_dir, "orders"))
 
 
+@register("profile_preview", """
+    SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, n AS row_count
+    FROM orders, (SELECT count(*) AS n FROM orders) ORDER BY o_orderdate DESC, orders.o_orderkey LIMIT 20""")
+def profile_preview(spark, sf_dir):
+    """The latest 20 orders as a profile shows them, beside the row count."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    n = X.describe_table(spark, o).first()["row_count"]
+    return X.preview(spark, o, 20, [F.col("o_orderdate").desc(), F.col("o_orderkey")]).withColumn("row_count", F.lit(n))
+
+
 @register("json_inferred_scan", """
     SELECT c_acctbal, c_custkey, c_mktsegment, c_name, cast(c_nationkey AS BIGINT) AS c_nationkey
     FROM customer""")

@@ -11,16 +11,20 @@ decimal, date, timestamp, binary, map, struct and all-null columns come back
 with their exact types and in their original order; timestamps keep their
 microseconds, and maps whose keys are no strings travel as lists of entries.
 Damaged lines fail the read, and a restore fails unless it has as many rows as
-were exported. All data movement is done by Spark writers and readers (one
-task per input split); only the one-record definition is read on the driver,
-and it is written after the data, so a failed export leaves none behind.
+were exported; what it would replace or add to is only touched once all rows
+have arrived. All data movement is done by Spark writers and readers (one
+task per input split); only the one-record definition is read on the driver.
+An earlier definition is removed before the data is replaced and the new one
+written after it, so a failed export leaves none behind.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from typing import Iterable, Mapping, Sequence
+from typing import Iterable, Mapping, Sequence, TypeVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +33,7 @@ from pyspark.sql import types as T
 from lanekit.functions.columns import rewrite_text
 from lanekit.operators.filters import apply_conditions
 from lanekit.operators.projections import derive_month
-from lanekit.sources.scratch import remember_database, scratch_path, unique_name
+from lanekit.sources.scratch import materialize, remember_database, scratch_path, unique_name
 from lanekit.sources.tables import spread
 
 # JSON codecs accepted by Spark's text-based writers.
@@ -45,11 +49,17 @@ DEFINITION_SCHEMA = T.StructType([
     T.StructField("row_count", T.LongType()),
 ])
 
+# Tables of a batch that are moved at the same time.
+BATCH_JOBS = 4
+
 # Patterns with all six digits of a timestamp's fraction.
 TIMESTAMPS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
+A, B = TypeVar("A"), TypeVar("B")
+
+
 @dataclass(frozen=True)
 class Definition:
     table: str
@@ -146,6 +156,7 @@ def export_table(spark: SparkSession, table: str | DataFrame, out_dir: str, name
     about = table_properties(spark, table)
     target = f"{out_dir.rstrip('/')}/{name}"
     written = Observation()
+    delete_path(spark, f"{target}/ddl")
     # ignoreNullFields=false keeps all-null columns visible in the files too
     _converted(df, df.schema, back=False).observe(written, F.count(F.lit(1)).alias("n")) \
         .write.mode("overwrite").option("compression", codec).option("ignoreNullFields", "false") \
@@ -167,16 +178,36 @@ def table_properties(spark: SparkSession, table: str | DataFrame) -> dict[str, s
     return {r["col_name"]: r["data_type"] for r in rows[at:] if r["col_name"] in ("Provider", "Location", "Comment")}
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or directory of any file system, if it is there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def side_by_side(move: Callable[[A], B], items: Iterable[A], jobs: int = BATCH_JOBS) -> list[B]:
+    """``move`` of every item, ``jobs`` at a time, each with Spark jobs of its
+    own; the results in the items' order. An error is raised once the items
+    under way have ended; those not begun are left out."""
+    with ThreadPoolExecutor(max(1, jobs)) as pool:
+        running = [pool.submit(move, item) for item in items]
+        try:
+            return [r.result() for r in running]
+        except BaseException:
+            for r in running:
+                r.cancel()
+            raise
+
+
 def export_all(spark: SparkSession, tables: Iterable[str | tuple[str, DataFrame]], out_dir: str,
-               conditions: Mapping[str, Mapping[str, Sequence[str]]] | None = None, **kwargs) -> dict[str, str]:
-    """Export several tables (one Spark job each); returns name -> directory.
+               conditions: Mapping[str, Mapping[str, Sequence[str]]] | None = None, jobs: int = BATCH_JOBS,
+               **kwargs) -> dict[str, str]:
+    """Export several tables, ``jobs`` at a time; returns name -> directory.
     ``conditions`` has the conditions of each table by its name; a table
     without an entry is exported whole."""
-    out = {}
-    for t in tables:
-        name, frame = t if isinstance(t, tuple) else (t, t)
-        out[name] = export_table(spark, frame, out_dir, name=name, conditions=(conditions or {}).get(name), **kwargs)
-    return out
+    named = dict(t if isinstance(t, tuple) else (t, t) for t in tables)
+    found = side_by_side(lambda name: export_table(spark, named[name], out_dir, name=name,
+                                                   conditions=(conditions or {}).get(name), **kwargs), named, jobs)
+    return dict(zip(named, found))
 
 
 def read_definition(spark: SparkSession, src: str,
@@ -258,8 +289,13 @@ def restore_table(spark: SparkSession, src: str, target: str | None = None,
     ``keep_location`` the table lies at the saved location, rewritten by the
     same rules. With ``month_from`` (e.g. ``"dt"``) a ``month`` column of the
     saved schema is recomputed as ``substr(dt, 1, 6)``; a table without one
-    gets none. Fails unless as many rows arrive as were exported. Returns the
-    table name.
+    gets none. Returns the table name.
+
+    Fails if a line is damaged or unless as many rows arrive as were exported,
+    and then leaves the target as it was. A table that is replaced is written
+    beside and takes the name of the old one when it is whole. Rows for an
+    existing table (append, dynamic) or a location are written to the shared
+    folder first. A new table that turns out short is dropped.
     """
     d = read_definition(spark, src, rename_rules)
     name = target or d.table
@@ -272,20 +308,55 @@ def restore_table(spark: SparkSession, src: str, target: str | None = None,
     if create_database:
         ensure_database(spark, name)
     arrived = Observation()
-    save_table(df.observe(arrived, F.count(F.lit(1)).alias("n")), name, mode=mode, fmt=fmt or d.format or "parquet",
-               partition_cols=parts, dynamic=dynamic, location=d.location if keep_location else None)
-    if d.row_count is not None and arrived.get["n"] != d.row_count:
-        raise ValueError(f"{src}: {d.row_count} rows were exported, {arrived.get['n']} arrived in {name}")
+    df = df.observe(arrived, F.count(F.lit(1)).alias("n"))
+    how = dict(fmt=fmt or d.format or "parquet", partition_cols=parts)
+    location = d.location if keep_location else None
+
+    def check_count():
+        if d.row_count is not None and arrived.get["n"] != d.row_count:
+            raise ValueError(f"{src}: {d.row_count} rows were exported, {arrived.get['n']} arrived for {name}")
+
+    there = spark.catalog.tableExists(name)
+    if location or there and (mode != "overwrite" or dynamic or not is_managed(spark, name)):
+        whole = materialize(df, "restore")
+        check_count()
+        save_table(whole, name, mode=mode, dynamic=dynamic, location=location, **how)
+        return name
+    beside = unique_name(f"{name}__new") if there else name
+    try:
+        save_table(df, beside, mode="error" if there else mode, dynamic=dynamic and not there, **how)
+        check_count()
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        raise
+    if there:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
     return name
 
 
+def is_managed(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.getTable(table).tableType == "MANAGED"
+
+
 def restore_all(spark: SparkSession, sources: Mapping[str, str] | Iterable[str],
-                targets: Mapping[str, str] | None = None, **kwargs) -> dict[str, str]:
-    """Restore several exports (one Spark job each): directories, or name ->
+                targets: Mapping[str, str] | None = None, jobs: int = BATCH_JOBS, **kwargs) -> dict[str, str]:
+    """Restore several exports, ``jobs`` at a time: directories, or name ->
     directory as :func:`export_all` returns; ``targets`` has target tables by
     name. Returns name -> table."""
     named = dict(sources) if isinstance(sources, Mapping) else {s.rstrip("/").rsplit("/", 1)[-1]: s for s in sources}
-    return {n: restore_table(spark, src, target=(targets or {}).get(n), **kwargs) for n, src in named.items()}
+    found = side_by_side(lambda n: restore_table(spark, named[n], target=(targets or {}).get(n), **kwargs), named, jobs)
+    return dict(zip(named, found))
+
+
+def preview(spark: SparkSession, table: str | DataFrame, n: int = 20, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The first ``n`` rows of a table, by ``order_by`` if given (a distributed
+    top-n), with every value as text: what a person looks at beside
+    :func:`describe_table`."""
+    df = _frame(spark, table)
+    df = df.orderBy(*order_by) if order_by else df
+    return df.limit(int(n)).select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if not isinstance(
+        f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.to_json(f"`{f.name}`").alias(f.name) for f in df.schema.fields])
 
 
 def clone_definition(spark: SparkSession, schema: T.StructType, target: str,

@@ -226,3 +226,66 @@ def test_definition_carries_format_location_and_comment(spark):
     assert created and "new_host" in about["Location"] and about["Comment"] == "kept on new_host"
     assert X.restore_all(spark, [src], rename_rules=[(".t", ".v")]) == {f"{db}.t": f"{db}.v"}
     assert spark.table(f"{db}.v").count() == 3
+
+
+def _damaged_export(spark, out, how):
+    src = X.export_table(spark, spark.range(100).selectExpr("id", "id % 3 AS p"), out, name="t", min_files=1)
+    if how == "line":
+        spark.createDataFrame([('{"id": "no number", "p": 1}',)], "value string").coalesce(1).write.mode("append").text(f"{src}/json")
+    else:
+        spark.createDataFrame([('{"id": 7, "p": 1}',)], "value string").coalesce(1).write.mode("append").text(f"{src}/json")
+    return src
+
+
+@pytest.mark.parametrize("how", ["line", "count"])
+def test_a_failed_restore_leaves_its_target_as_it_was(spark, how):
+    db, out = X.scratch_database(spark, "t_keep"), scratch_path(spark, "t_keep")
+    src = _damaged_export(spark, out, how)
+    def old():
+        return spark.range(7).selectExpr("id", "id + 0 AS p")
+    X.save_table(old(), f"{db}.plain")
+    X.save_table(old(), f"{db}.elsewhere", location=scratch_path(spark, "t_elsewhere"))
+    for name, kw in (("plain", {}), ("plain", {"mode": "append"}), ("plain", {"dynamic": True}), ("elsewhere", {})):
+        with pytest.raises(Exception):
+            X.restore_table(spark, src, target=f"{db}.{name}", **kw)
+        spark.catalog.refreshTable(f"{db}.{name}")
+        assert sorted(r.id for r in spark.table(f"{db}.{name}").collect()) == list(range(7)), (name, kw)
+    with pytest.raises(Exception):
+        X.restore_table(spark, src, target=f"{db}.fresh")
+    assert sorted(t.name for t in spark.catalog.listTables(db)) == ["elsewhere", "plain"]
+
+
+def test_a_restore_replaces_and_adds_to_its_target(spark):
+    db, out = X.scratch_database(spark, "t_swap"), scratch_path(spark, "t_swap")
+    src = X.export_table(spark, spark.range(100).selectExpr("id", "id % 3 AS p"), out, name="t")
+    X.save_table(spark.range(7).selectExpr("id", "'x' AS other"), f"{db}.t")
+    X.restore_table(spark, src, target=f"{db}.t")
+    assert spark.table(f"{db}.t").columns == ["id", "p"] and spark.table(f"{db}.t").count() == 100
+    X.restore_table(spark, src, target=f"{db}.t", mode="append")
+    assert spark.table(f"{db}.t").count() == 200
+    assert [t.name for t in spark.catalog.listTables(db)] == ["t"]
+
+
+def test_a_failed_export_removes_the_earlier_definition(spark):
+    out = scratch_path(spark, "t_stale")
+    X.export_table(spark, spark.range(5), out, name="t")
+    with pytest.raises(Exception):
+        X.export_table(spark, spark.range(5).selectExpr("raise_error('no') AS x"), out, name="t")
+    with pytest.raises(Exception):
+        X.read_definition(spark, f"{out}/t")
+
+
+def test_a_batch_reports_a_failed_table(spark):
+    db, out = X.scratch_database(spark, "t_batch"), scratch_path(spark, "t_batch")
+    good = [(f"t{i}", spark.range(i + 1)) for i in range(6)]
+    dirs = X.export_all(spark, good, out, jobs=3)
+    assert list(dirs) == [n for n, _ in good]
+    assert X.restore_all(spark, dirs, targets={n: f"{db}.{n}" for n in dirs}, jobs=3) == {n: f"{db}.{n}" for n in dirs}
+    assert [spark.table(f"{db}.t{i}").count() for i in range(6)] == [1, 2, 3, 4, 5, 6]
+    with pytest.raises(Exception, match="no luck"):
+        X.export_all(spark, [*good, ("bad", spark.range(1).selectExpr("raise_error('no luck') AS x"))], out, jobs=2)
+
+
+def test_preview_shows_text(spark):
+    df = spark.sql("SELECT id, map('a', id) AS m, CAST(NULL AS DATE) AS d FROM range(50)")
+    assert [tuple(r) for r in X.preview(spark, df, 2, ["id"]).collect()] == [("0", '{"a":0}', None), ("1", '{"a":1}', None)]
