@@ -31,10 +31,11 @@ ROWS_PER_RANGE = 256
 RANGES_PER_BLOCK_BITS = 12
 
 
-def random_key(doc_id: Column, seed: str) -> Column:
-    """60 uniform bits of an MD5 of seed and id; a null id counts as ''."""
-    text = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, KEY_BITS // 4), 16, 10).cast("long")
+def random_key(doc_id: Column, text: Column, seed: str) -> Column:
+    """60 uniform bits of an MD5 of seed, id and text, so that rows without an
+    id, or of one id, have keys of their own; nulls count as ''."""
+    of = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit("")))
+    return F.conv(F.substring(F.md5(of), 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
 def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS,
@@ -71,7 +72,7 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS,
 def sized_documents(docs: DataFrame, seed: str) -> DataFrame:
     """The narrow rows the mix is computed on."""
     return docs.select("doc_id", "source", n_words(F.col("text")).alias("size"),
-                       random_key(F.col("doc_id"), seed).alias("key"))
+                       random_key(F.col("doc_id"), F.col("text"), seed).alias("key"))
 
 
 def prefix_sums(rows: DataFrame) -> DataFrame:
@@ -150,11 +151,11 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS,
     ``taken`` is a whole number of times the size: all full epochs of the
     budget, plus once more where the document's middle lies before the cut of
     the last, partial epoch (so a source misses its target by at most half a
-    document). Keys depend on id and seed only, so reruns agree. Null or
+    document). Keys depend on id, text and seed only, so reruns agree. Null or
     empty texts have size 0 and take 0; null sources form one source, last in
     order; a null id counts as the empty string; rows that repeat an id are
-    rows of their own, ordered by size among themselves, and such rows of one
-    source and size share a decision. No rows in, none out.
+    rows of their own, and only those that repeat id, text and source share a
+    decision. No rows in, none out.
     """
     rows = stage(sized_documents(docs, seed), "mix-sizes")
     cuts, times = _times(stage(source_cuts(rows, weights, max_epochs, rows_per_range), "mix-cuts"), "found")
@@ -174,7 +175,7 @@ def mixed(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS
     found, row, turn = fresh("found"), fresh("row"), fresh("turn")
     cuts, times = _times(cuts, found)
     wide = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias(row), "doc_id", "source",
-                       n_words(F.col("text")).alias("size"), random_key(F.col("doc_id"), seed).alias("key"))
+                       n_words(F.col("text")).alias("size"), random_key(F.col("doc_id"), F.col("text"), seed).alias("key"))
     return (wide.join(cuts, F.col("source").eqNullSafe(F.col(found)["source"]))
             .withColumn("size", times * (F.col("size") > 0).cast("long")).filter("size > 0")
             .withColumn(turn, F.explode(F.sequence(F.lit(1), F.col("size").cast("int"))))

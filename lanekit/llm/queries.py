@@ -33,7 +33,7 @@ MIX_SQL = rf"""
 WITH rows AS (
   SELECT doc_id, source,
          coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS key
   FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM rows GROUP BY source),

@@ -29,6 +29,7 @@ from lanekit.sources.scratch import scratch_path
 
 MIN_REVISIT_BYTES = 0
 ARCHIVE_BYTES = 1 << 30
+TASK_BYTES = 4 << 20
 READ_BYTES = 8 << 20
 GAP_BYTES = 64 << 10
 DATE = "2020-01-01T00:00:00Z"
@@ -174,7 +175,9 @@ def read(index: DataFrame, payload: bool = False, read_bytes: int = READ_BYTES,
     payload does not have the digest of its header, or an index row that
     points to no record, is an error."""
     schema = RECORDS + (", payload binary" if payload else "")
-    places = (index.select("file", "offset", "length").repartitionByRange("file", "offset")
+    # by the records' bytes: the index itself is far too small to tell the tasks' work
+    stored = index.agg(F.sum("length")).first()[0] or 0
+    places = (index.select("file", "offset", "length").repartitionByRange(-(-stored // TASK_BYTES) or 1, "file", "offset")
               .sortWithinPartitions("file", "offset"))
 
     def ranges(batches):
