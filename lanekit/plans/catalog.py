@@ -648,7 +648,7 @@ def profile_preview(spark, sf_dir):
     """The latest 20 orders as a profile shows them, beside the row count."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     n = X.describe_table(spark, o).first()["row_count"]
-    return X.preview(spark, o, 20, [F.col("o_orderdate").desc(), F.col("o_orderkey")]).withColumn("row_count", F.lit(n))
+    return X.preview(spark, o, 20, [F.col("o_orderdate").desc(), F.col("o_orderkey")]).withColumn("row_count", F.lit(n).cast("long"))
 
 
 @register("json_inferred_scan", """
