@@ -78,3 +78,13 @@ def test_rows_of_the_mix(spark):
 def test_no_python_in_the_plan(spark):
     plan = QUERIES["op8_mix_sources"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_source_without_ids_meets_its_target(spark):
+    # all ids of one source are null (and one id repeats throughout another): texts tell the rows apart
+    rows = [(None, " ".join([f"a{i}"] * 10), "a") for i in range(3000)] + [(7, " ".join([f"b{i}"] * 10), "b") for i in range(3000)] \
+        + [(i, "c " * 10, "c") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).join(spark.createDataFrame([(30_000,)], "source_size long"), "source_size")
+    sums = got.groupBy("target").agg(F.sum("taken").alias("taken")).collect()
+    assert len(sums) == 3 and all(abs(r.taken - r.target) <= 10 for r in sums)
