@@ -29,7 +29,7 @@ from lanekit.sources.scratch import scratch_path
 
 MIN_REVISIT_BYTES = 0
 ARCHIVE_BYTES = 1 << 30
-TASK_BYTES = 4 << 20
+TASK_BYTES = 16 << 20
 READ_BYTES = 8 << 20
 GAP_BYTES = 64 << 10
 DATE = "2020-01-01T00:00:00Z"
