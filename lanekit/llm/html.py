@@ -40,10 +40,15 @@ TEXT_SHARE = 0.8
 LONG_TEXT = 200
 SUPPORT = 0.5
 NEARLY_ALL = 0.9
+#: From this many tags on whose quotes are never closed, a page's quotes no
+#: longer hide a ">", so that reading stays linear in the page.
+OPEN_QUOTES = 8
 
 #: Element names of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
+#: Void elements that end a line; the others stand within one.
+BREAKS = frozenset(("br", "hr"))
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var".split())
 CLOSES_ITSELF = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
@@ -62,7 +67,8 @@ MAIN_TAGS = frozenset(("article", "main"))
 #: Below a main element these name its headline.
 HEADLINE_NAMES = frozenset(("header", "masthead"))
 
-_TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+)>|[!?][^>]*+>)")
+_OPEN = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)|[!?])")
+_ATTRIBUTES = re.compile(r"(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>")
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(^|\s)(hidden|aria-hidden\s*=\s*["']?true)(?=[\s"'/]|$)""", re.I)
 _LETTERS = re.compile(r"[a-z]+")
@@ -105,9 +111,12 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
     """All structural elements in page order (the first is an invisible root),
     and the text blocks as (element, text, mostly a link). Text is decoded,
     white space in a block is one space. Void and inline elements are no
-    structure; missing end tags are supplied."""
+    structure, and of them only ``BREAKS`` end a block; missing end tags are
+    supplied. A tag whose quotes are never closed ends at its first ">", and
+    what has no ">" behind it is text."""
     root = Element("", 0, None, False, False)
     stack, elements = [root], [root]
+    opened: dict[str, int] = {}                          # elements on the stack by tag
     blocks: list[tuple[Element, str, bool]] = []
     held: list[str] = []
     links = linked = 0
@@ -127,6 +136,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
 
     def pop():
         done = stack.pop()
+        opened[done.tag] -= 1
         if not done.boilerplate:
             stack[-1].clean += done.clean
 
@@ -136,9 +146,9 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
         if links:
             linked += len(text)
 
-    at, size = 0, len(page)
+    at, size, last, unclosed = 0, len(page), page.rfind(">"), 0
     while at < size:
-        m = _TAG.search(page, at)
+        m = _OPEN.search(page, at)
         if not m:
             add(page[at:])
             break
@@ -149,18 +159,28 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
             end = page.find("-->", at)
             at = size if end < 0 else end + 3
             continue
+        if at > last:
+            add(page[m.start():])
+            break
+        begin = at
         if not m[3]:
+            at = page.find(">", at) + 1
             continue
+        whole = _ATTRIBUTES.match(page, at) if unclosed < OPEN_QUOTES else None
+        unclosed += whole is None
+        at = whole.end() if whole else page.find(">", at) + 1
         tag, closing = m[3].lower(), bool(m[2])
         if tag in INLINE:
             if tag == "a":
                 links = max(0, links + (-1 if closing else 1))
             continue
-        flush()
         if tag in VOID:
+            if tag in BREAKS:
+                flush()
             continue
+        flush()
         if closing:
-            if any(e.tag == tag for e in reversed(stack)):
+            if opened.get(tag):
                 while stack[-1].tag != tag:
                     pop()
                 pop()
@@ -173,8 +193,9 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element, str, bool]]]:
                     pop()
             elif stack[depth].tag in SCOPE or depth < len(stack) - 3:
                 break
-        stack.append(_element(tag, m[4], stack[-1]))
+        stack.append(_element(tag, page[begin:at - 1], stack[-1]))
         elements.append(stack[-1])
+        opened[tag] = opened.get(tag, 0) + 1
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}", re.I).search(page, at)
             at = end.start() if end else size
@@ -194,12 +215,12 @@ def settle(elements: list[Element], blocks: list[tuple[Element, str, bool]], con
     if not any(e.named for e in elements):
         return
     mains = [e for e in elements if e.tag in MAIN_TAGS and not e.boilerplate and not e.parent.main]
-    around: dict[int, int] = {}
-    for m in mains:
-        e = m.parent
-        while e is not None:
-            around[id(e)] = around.get(id(e), 0) + 1
-            e = e.parent
+    tops = {id(m) for m in mains}
+    around: dict[int, int] = {}                          # main elements below each element
+    for e in reversed(elements[1:]):                     # children come last
+        below = around.get(id(e), 0) + (id(e) in tops)
+        if below:
+            around[id(e.parent)] = around.get(id(e.parent), 0) + below
     # several main elements may be comments: these must hold half of the text
     enough = len(mains) == 1 or 2 * sum(m.clean for m in mains) >= elements[0].clean
     whole = elements[0].clean
@@ -263,15 +284,32 @@ def text_token(e: Element, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{e.path}:{text}".encode()) >> 1
 
 
+def nest(rows: pd.DataFrame) -> list[list]:
+    """The template as its classes, outermost first, each a list of its
+    elements (rows of ``rows``). A class are the elements with one occurrence
+    vector. The root's class is the outermost; another class stands in the slots
+    of the class that its outermost elements' parents belong to, and if that is
+    in the template, so is it. An element whose parent is in no class of the
+    template is no part of its class: the same count on every page has put
+    together what does not stand together."""
+    classes: dict[str, list] = {}
+    of: dict[int, str] = {}
+    for t in rows[rows.kind.isin((1, 2))].sort_values(["depth", "token"], kind="stable").itertuples():
+        if t.token == 0 or t.parent in of:
+            classes.setdefault(t.vector, []).append(t)   # in the order of the nesting: parents come first
+            of[t.token] = t.vector
+    return list(classes.values())
+
+
 def deduce(rows: pd.DataFrame, n_pages: int, few_pages: int = FEW_PAGES) -> tuple[int, list[int]]:
     """(container, notices) of one host from its tokens (token, parent, depth,
     kind, clean, pages, times, vector; whole, the clean text of all pages with
     the token; varied, whether its neighbours differ between pages).
 
-    The template are the classes on at least ``SUPPORT`` of the pages, cut to
-    the elements that hang together from the root. The container is the deepest
-    template element that occurs once on its pages and holds at least
-    ``TEXT_SHARE`` of their clean text. Notices are the text blocks of valid
+    The template are the valid element classes, nested (see ``nest``): the
+    gaps between its elements are the slots. The container is the deepest
+    template element, of a class that occurs once on its pages, whose slots
+    hold at least ``TEXT_SHARE`` of their clean text. Notices are the text blocks of valid
     classes; a class on less than ``NEARLY_ALL`` pages that holds more than
     half of their text is none, as these pages are copies of one another. Below
     main elements a class with more than half of the text is never one, a block
@@ -284,12 +322,7 @@ def deduce(rows: pd.DataFrame, n_pages: int, few_pages: int = FEW_PAGES) -> tupl
         return 0, []
     if "whole" not in rows:
         rows = rows.assign(whole=int(root.clean.iloc[0]))
-    nested, elements = {0}, []
-    for t in rows[rows.kind.isin((1, 2))].sort_values("depth", kind="stable").itertuples():
-        if t.token == 0 or t.parent in nested:
-            nested.add(t.token)
-            if t.times == t.pages:
-                elements.append(t)
+    elements = [t for members in nest(rows) for t in members if t.times == t.pages]
     notices: list[int] = []
     mains = rows.pages[rows.kind == 2].max() if (rows.kind == 2).any() else n_pages
     for (kind, _), texts in rows[rows.kind <= 0].groupby(["kind", "vector"]):

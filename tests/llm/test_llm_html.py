@@ -1,3 +1,6 @@
+import random
+import time
+
 import pandas as pd
 import pytest
 
@@ -146,3 +149,81 @@ def test_host_decides_on_names(spark):
     got = run(spark, story + policy)
     assert [got[i] for i in range(5)] == [f"Story {i} begins here. {LONG}".strip() for i in range(5)]
     assert got[5].startswith("Rule 0")
+
+
+@pytest.mark.parametrize("body, text", [
+    ("<p>super<wbr>cali word and <img src='a>b'> more</p>", "supercali word and more"),
+    ("<p>a<br>b<hr>c<embed>d", "a\nb\ncd"),
+    ("<p title=\"never closed>x <i class='y'>t", "x t")])
+def test_void_elements_and_open_quotes(spark, body, text):
+    assert html.extract(f"<article>{body}</article>", None, frozenset()) == text
+
+
+def test_inline_void_elements_lose_no_text(spark):
+    """What stands before one is no block of its own, so no notice either."""
+    pages = [page(f"<article><h1>Head {i}</h1><p>extra<wbr>ordinary {i}</p><p>So <img src=x>it goes {i}</p></article>")
+             for i in range(5)]
+    assert run(spark, pages) == {i: f"Head {i}\nextraordinary {i}\nSo it goes {i}" for i in range(5)}
+
+
+@pytest.mark.parametrize("odd", [
+    "<a " * 300_000, "<a \"" * 250_000 + "'", "<a \"'>" * 150_000, "<a '\"> \" '>" * 80_000 + "'", "<" * 1_000_000,
+    "<div>" * 40_000 + "</p>" * 40_000, "<div class=x>" * 20_000 + "<article></article>" * 20_000, "<p class='" * 100_000])
+def test_odd_pages_take_linear_time(odd):
+    begin = time.process_time()
+    html.extract(odd, None, frozenset())
+    assert time.process_time() - begin < 10
+
+
+def explicit(pages):
+    """(container, notices) of one host from whole occurrence vectors."""
+    found = [t for t in map(html.tokens, pages) if t]
+    n = len(found)
+    vector = {t: tuple(f[t][0] if t in f else 0 for f in found) for t in {t for f in found for t in f}}
+    pages_of = {t: sum(map(bool, v)) for t, v in vector.items()}
+    valid = {t for t in vector if 2 * pages_of[t] >= n}
+    some = {t: next(f[t] for f in found if t in f) for t in valid}
+    total = {t: sum(f[t][3] for f in found if t in f) for t in valid}
+    whole = {t: sum(f[t][4] for f in found if t in f) for t in valid}
+    template, grown = {0}, True
+    while grown:
+        more = {t for t in valid - template if some[t][5] in (1, 2) and some[t][1] in template}
+        template, grown = template | more, bool(more)
+    once = [t for t in template if max(vector[t]) == 1 and total[t] >= 0.8 * whole[t]]
+    container = max(once, key=lambda t: (some[t][2], total[t], -t), default=0)
+    classes = {}
+    for t in valid:
+        if some[t][5] == 0:
+            classes.setdefault(vector[t], []).append(t)
+    notices = []
+    for v, members in classes.items():
+        if sum(map(bool, v)) >= 0.9 * n or 2 * sum(total[t] for t in members) <= max(whole[t] for t in members):
+            notices += members
+    return container, sorted(notices)
+
+
+def test_deduction_equals_explicit_vectors(spark):
+    """Random hosts of nested frames, optional parts, lists and notices."""
+    rng = random.Random(5)
+    sites = {}
+    for site in range(6):
+        words = lambda n: " ".join(rng.choice(LONG.split()) for _ in range(n))
+
+        def frame(depth):
+            tag = f"div class={rng.choice('pqrs')}{rng.randrange(3)}"
+            inner = [frame(depth - 1) for _ in range(rng.randint(1, 3))] if depth else []
+            return tag, rng.choice((1, 1, 1, 0.7, 0.3)), rng.choice(("", "", words(4))), rng.choice((0, 3, 30)), inner
+
+        def draw(part):
+            tag, chance, notice, length, inner = part
+            if rng.random() > chance:
+                return ""
+            lines = "".join(f"<p>{words(rng.randint(1, length))}</p>" for _ in range(rng.randint(1, 3))) if length else ""
+            return f"<{tag}>" + (f"<p>{notice}</p>" if notice else "") + "".join(map(draw, inner)) + lines + "</div>"
+
+        shape = frame(3)
+        sites[f"s{site}.example"] = [page(draw(shape))[1] for _ in range(rng.randint(4, 12))] + ["", " "]
+    rows = [(i, f"http://{host}/{i}", text) for host, texts in sites.items() for i, text in enumerate(texts)]
+    got = html.templates(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.host: (r.container, r.notices) for r in got} == {h: explicit(t) for h, t in sites.items()}
+    assert sum(r.container != 0 for r in got) >= 3 and any(r.notices for r in got)
