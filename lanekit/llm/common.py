@@ -48,20 +48,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def first_by_hash(rows: DataFrame, group: str, sizes: dict, n: int, salt: str) -> DataFrame:
+def first_by_hash(rows: DataFrame, group: str, sizes: dict, n: int, salt: str, key: str = "doc_id") -> DataFrame:
     """The ``n`` rows of each group that come first in an order by a hash of
-    ``doc_id``, numbered in column ``turn``. ``sizes`` has the rows per group.
+    ``key``, numbered in column ``turn``. ``sizes`` has the rows per group.
 
     Hashes are uniform, so about ``4 * n`` rows per group pass a threshold
     that follows from its size, wherever they lie; only these are ranked.
     (That fewer than ``n`` pass is beyond chance for ``n`` of some dozens.)
+    Rows must differ in the key within a group, or one hot key passes whole.
     """
-    code = F.xxhash64(F.lit(salt), "doc_id")
+    code = F.xxhash64(F.lit(salt), key)
     share = F.pmod(code, F.lit(1 << 31)) / F.lit(float(1 << 31))
     kind = rows.schema[group].dataType.simpleString()
     limits = rows.sparkSession.createDataFrame(
         [(value, min(1.0, 4.0 * max(n, 100) / size)) for value, size in sizes.items()], f"{group} {kind}, __limit double")
-    order = W.partitionBy(group).orderBy(code, "doc_id")
+    order = W.partitionBy(group).orderBy(code, key)
     # a number per group
     return (rows.join(F.broadcast(limits), group).filter(share < F.col("__limit")).select(*rows.columns)
             .withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= n))

@@ -14,7 +14,9 @@ The classifier is fitted on a bounded sample of every labelled language: the
 ``TRAIN_PER_LANG`` texts that come first in an order by hash,
 ``LANDMARKS_PER_LANG`` of them as landmarks, and fewer of each language where
 there are so many that the sum would pass ``TRAIN_TOTAL`` and
-``LANDMARKS_TOTAL``.
+``LANDMARKS_TOTAL``. Copies of a text count once. A text comes to the driver as
+``BUCKETS`` bits whatever its length, 52 MB for ``TRAIN_TOTAL`` texts, and is
+multiplied in blocks of ``FIT_ROWS``.
 Scoring takes every whole text.
 """
 
@@ -27,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanekit.llm.common import first_by_hash, fresh, held_out, learnable
+from lanekit.llm.common import first_by_hash, fresh, held_out, learnable, stage
 
 BUCKETS = 1 << 14
 TRAIN_PER_LANG = 400
 LANDMARKS_PER_LANG = 60
 TRAIN_TOTAL = 64 * TRAIN_PER_LANG
-LANDMARKS_TOTAL = 64 * LANDMARKS_PER_LANG
+LANDMARKS_TOTAL = 32 * LANDMARKS_PER_LANG
 RIDGE = 1e-2
+FIT_ROWS = 1024
 UNKNOWN = "und"
 
 
@@ -96,45 +99,76 @@ class Model:
         return np.clip(dense(rows) @ self.weights + self.offset, 0, 1)
 
 
-def fit(x: np.ndarray, langs: list[str], landmark: np.ndarray, ridge: float = RIDGE) -> Model:
-    """``x``: unit presence rows; ``landmark``: which of them are landmarks."""
-    names = sorted(set(langs))
-    y = (np.array(langs)[:, None] == np.array(names)).astype(np.float64)
-    marks = x[landmark].astype(np.float64)
-    value, vector = np.linalg.eigh(marks @ marks.T)
-    kept = value > 1e-8 * max(value.max(), 1e-12)
+def packed(at: np.ndarray) -> bytes:
+    """A presence row as one bit per bucket."""
+    row = np.zeros(BUCKETS, bool)
+    row[at] = True
+    return np.packbits(row).tobytes()
+
+
+def unit_rows(bits: np.ndarray) -> np.ndarray:
+    """Presence rows of unit length from rows of packed bits."""
+    rows = np.unpackbits(bits, axis=1, count=BUCKETS).astype(np.float32)
+    return rows / np.sqrt(np.maximum(rows.sum(axis=1, keepdims=True), 1))
+
+
+def fit(bits: np.ndarray, langs: list[str], landmark: np.ndarray, ridge: float = RIDGE,
+        block: int = FIT_ROWS) -> Model:
+    """``bits``: rows of packed presence bits; ``landmark``: which of them are
+    landmarks. Rows are unpacked a block at a time: what is held are the bits,
+    the landmarks and a few squares of their number."""
+    names, code = np.unique(np.array(langs), return_inverse=True)
+    marks = unit_rows(bits[landmark])
+    value, vector = np.linalg.eigh((marks @ marks.T).astype(np.float64))
+    kept = value > 1e-7 * max(value.max(), 1e-12)              # single precision's noise is below
     root = vector[:, kept] / np.sqrt(value[kept])              # the kernel's inverse square root
-    features = (x @ marks.T) @ root
-    middle, share = features.mean(axis=0), y.mean(axis=0)
-    centred = features - middle
-    solved = np.linalg.solve(centred.T @ centred + ridge * len(x) * np.eye(centred.shape[1]), centred.T @ (y - share))
-    return Model(names, (marks.T @ (root @ solved)).astype(np.float32), (share - middle @ solved).astype(np.float32))
-
-
-def train(docs: DataFrame, per_lang: int = TRAIN_PER_LANG, landmarks: int = LANDMARKS_PER_LANG,
-          total: int = TRAIN_TOTAL, total_landmarks: int = LANDMARKS_TOTAL) -> Model | None:
-    """Fits on rows that may be learned from (see ``learnable``), of every
-    language one at least; None if there is no such row with letters and a
-    language."""
-    labelled = docs.filter(learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}    # a number per language
+    size, n = root.shape[1], len(bits)
+    square, cross, total = np.zeros((size, size)), np.zeros((size, len(names))), np.zeros(size)
+    for i in range(0, n, block):
+        features = (unit_rows(bits[i:i + block]) @ marks.T).astype(np.float64) @ root
+        square += features.T @ features
+        total += features.sum(axis=0)
+        cross += features.T @ (code[i:i + block, None] == np.arange(len(names)))
+    middle, share = total / n, np.bincount(code, minlength=len(names)) / n
+    solved = np.linalg.solve(square - n * np.outer(middle, middle) + ridge * n * np.eye(size),
+                             cross - n * np.outer(middle, share))
+    return Model(names.tolist(), marks.T @ (root @ solved).astype(np.float32),
+                 (share - middle @ solved).astype(np.float32))
+
+
+def sample(docs: DataFrame, per_lang: int = TRAIN_PER_LANG, landmarks: int = LANDMARKS_PER_LANG,
+           total: int = TRAIN_TOTAL, total_landmarks: int = LANDMARKS_TOTAL) -> tuple[list, int]:
+    """Rows (lang, turn, at) of different texts that may be learned from (see
+    ``learnable``), of every language one at least, and how many of each
+    language are landmarks. Texts are told apart by a hash and chosen by it, so
+    neither a hot id nor a hot text adds rows."""
+    labelled = (docs.filter(learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+                .select("lang", "text", F.xxhash64("text").alias("same")))
+    texts = stage(labelled.select("lang", "same").distinct(), "langid-texts")
+    sizes = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().collect()}       # a number per language
     per_lang = max(1, min(per_lang, total // max(len(sizes), 1)))
     landmarks = max(1, min(landmarks, total_landmarks // max(len(sizes), 1)))
-    chosen = (first_by_hash(labelled.select("doc_id", "lang"), "lang", sizes, per_lang, "langid")
-              .groupBy("doc_id", "lang").agg(F.min("turn").alias("turn")))
+    chosen = first_by_hash(texts, "lang", sizes, per_lang, "langid", "same")
 
     @F.arrow_udf("binary")
     def features(texts: pa.Array) -> pa.Array:
-        return pa.array([presence(t).astype("<i4").tobytes() for t in texts.to_pylist()], pa.binary())
+        found = (presence(t) for t in texts.to_pylist())
+        return pa.array([packed(at) if len(at) else None for at in found], pa.binary())
+
+    # at most ``total`` hashes (or one per language) and as many rows of bits
+    rows = (labelled.join(F.broadcast(chosen), ["lang", "same"])
+            .groupBy("lang", "turn").agg(F.min("text").alias("text"))
+            .select("lang", "turn", features("text").alias("at")).filter("at IS NOT NULL").collect())
+    return sorted(rows, key=lambda r: (r["lang"], r["turn"])), landmarks
+
 
-    # at most ``total`` ids (or one per language) and as many presence rows
-    rows = (labelled.join(F.broadcast(chosen), ["doc_id", "lang"])
-            .select("lang", "turn", features("text").alias("at")).filter("octet_length(at) > 0").collect())
+def train(docs: DataFrame, *bounds: int, **settings: int) -> Model | None:
+    """Fits on ``sample(docs, ...)``; None if it is empty."""
+    rows, landmarks = sample(docs, *bounds, **settings)
     if not rows:
         return None
-    rows.sort(key=lambda r: (r["lang"], r["turn"], bytes(r["at"])))
-    return fit(dense([np.frombuffer(r["at"], "<i4") for r in rows]), [r["lang"] for r in rows],
-               np.array([r["turn"] <= landmarks for r in rows]))
+    return fit(np.frombuffer(b"".join(r["at"] for r in rows), np.uint8).reshape(len(rows), -1),
+               [r["lang"] for r in rows], np.array([r["turn"] <= landmarks for r in rows]))
 
 
 # ----------------------------------------------------------------- operator

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanekit.llm.common import first_by_hash, held_out, learnable
+from lanekit.llm.common import first_by_hash, held_out, learnable, stage
 
 WINDOW = 32
 STRIDE = 16
@@ -329,19 +329,23 @@ def _step(net: Network, data: Texts, at, y, weight, adam: Adam, rate: float, rng
 
 def sample(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC,
            clean: int = TRAIN_CLEAN) -> tuple[list[str], list[int]]:
-    """Labelled texts that may be learned from: ids are chosen first, on
-    narrow rows, then at most ``toxic + clean`` texts are fetched."""
+    """At most ``toxic + clean`` different labelled texts that may be learned
+    from. Texts are told apart by a hash and chosen by it on narrow rows before
+    any is fetched, so neither a hot id nor a hot text adds rows. Of
+    contradicting labels of one text the toxic one counts."""
     marked = (labels.filter(learnable(F.col("doc_id")) & F.col("toxic").isin(0, 1))
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    there = docs.filter(F.col("text").isNotNull()).select("doc_id").join(marked, "doc_id").distinct()
+    texts = docs.filter(learnable(F.col("doc_id")) & F.col("text").isNotNull()).select(
+        "doc_id", "text", F.xxhash64("text").alias("same"))
+    there = stage(texts.select("doc_id", "same").distinct().join(marked, "doc_id")
+                  .groupBy("same").agg(F.max("toxic").alias("toxic")), "toxicity-texts")
     sizes = {r["toxic"]: r["count"] for r in there.groupBy("toxic").count().collect()}
-    chosen = first_by_hash(there, "toxic", sizes, max(toxic, clean), "toxicity").filter(
+    chosen = first_by_hash(there, "toxic", sizes, max(toxic, clean), "toxicity", "same").filter(
         F.col("turn") <= F.when(F.col("toxic") == 1, toxic).otherwise(clean))
-    # at most toxic + clean ids
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-            .groupBy(F.xxhash64("text").alias("same")).agg(
-                F.first("text").alias("text"), F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"))
-            .toPandas().sort_values("doc_id"))
+    # at most toxic + clean hashes
+    rows = (texts.join(F.broadcast(chosen), "same")
+            .groupBy("same").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+            .toPandas().sort_values("same"))
     return rows.text.tolist(), rows.toxic.tolist()
 
 

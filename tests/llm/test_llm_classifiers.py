@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -36,10 +37,12 @@ def test_presence_matches_brute_force():
 def test_model_is_kernel_ridge_on_landmarks():
     """The folded matrix gives what the kernel form gives."""
     rng = np.random.default_rng(0)
-    x = langid.dense([np.sort(rng.choice(langid.BUCKETS, 40, replace=False)) for _ in range(60)])
+    at = [np.sort(rng.choice(langid.BUCKETS, 40, replace=False)) for _ in range(60)]
+    x, bits = langid.dense(at), np.array([np.frombuffer(langid.packed(a), np.uint8) for a in at])
+    assert np.allclose(langid.unit_rows(bits), x)
     langs = ["a" if i % 3 else "b" for i in range(60)]
     landmark = np.arange(60) < 20
-    model = langid.fit(x, langs, landmark, ridge=0.1)
+    model = langid.fit(bits, langs, landmark, ridge=0.1, block=17)
     marks = x[landmark].astype(float)
     kernel = x @ marks.T
     value, vector = np.linalg.eigh(marks @ marks.T)
@@ -190,3 +193,35 @@ def test_every_language_is_learned(spark):
     assert sum(got[i] == wanted[i] for i in got) > 0.95 * len(got)
     few = langid.train(docs, total=160, total_landmarks=80)
     assert len(few.langs) == 80
+
+
+def test_largest_fit_is_bounded():
+    """As many rows as the bounds allow, of 64 languages."""
+    rng = np.random.default_rng(1)
+    n, langs = langid.TRAIN_TOTAL, [f"l{i % 64}" for i in range(langid.TRAIN_TOTAL)]
+    bits = (rng.integers(0, 256, (n, langid.BUCKETS // 8), np.uint8) & rng.integers(0, 256, (n, langid.BUCKETS // 8), np.uint8))
+    own = np.arange(n) % 64
+    bits[np.arange(n), own] = 255                                # eight features of its own
+    bits[:, :64][np.arange(64) != own[:, None]] = 0
+    tracemalloc.start()
+    try:
+        model = langid.fit(bits, langs, np.arange(n) < langid.LANDMARKS_TOTAL)
+        assert tracemalloc.get_traced_memory()[1] < 600e6
+    finally:
+        tracemalloc.stop()
+    assert len(model.langs) == 64
+
+
+def test_hot_ids_and_hot_texts_add_no_rows(spark):
+    """A third of the rows has one id, another third one text."""
+    rng = np.random.default_rng(6)
+    vocab = PROSE.split()
+    rows = [(1 if i % 3 == 0 else 10 + i, PROSE if i % 3 == 1 else " ".join(rng.choice(vocab, 12)) + f" x{i}", "en" if i % 2 else "de")
+            for i in range(6_000)]
+    assert not held(1)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got, _ = langid.sample(docs, 50, 10)
+    assert len(got) == 100 and len({bytes(r["at"]) for r in got}) == 100
+    labels = docs.select("doc_id", (docs.doc_id % 2).cast("int").alias("toxic"))
+    texts, marks = toxicity.sample(docs, labels, 40, 60)
+    assert len(texts) == len(set(texts)) == 100 and sum(marks) == 40
