@@ -7,7 +7,7 @@ sign code gives an unbiased estimate of the inner product with a query, and
 the alignment bounds the estimate's error: what the code misses is orthogonal
 to it, and a random rotation spreads it evenly over all directions, so the
 error in units of ``1 / sqrt(dims - 1)`` is about standard normal and exceeds
-``ERROR_UNITS`` in one of some hundred cases. Vectors
+``ERROR_UNITS`` in one of some ten thousand cases. Vectors
 whose upper bound does not reach the ``k``-th best lower bound are out; the
 others are reranked on the original vectors in double precision.
 
@@ -28,7 +28,7 @@ from pyspark.sql.window import Window as W
 from lanekit.llm.common import shuffle_tasks, stage
 
 K = 20
-ERROR_UNITS = 2.5
+ERROR_UNITS = 4.0
 CHUNK_ROWS = 1024
 QUERY_ROWS = 512
 CHUNKS_PER_TASK = 16
