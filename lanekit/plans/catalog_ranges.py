@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanekit.operators import lattice, ordered, ranges
+from lanekit.operators import lattice, ordered, ranges, sketches
 from lanekit.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -238,3 +238,57 @@ def distinct_merged(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem")
     stored = lattice.value_sets(li, ["l_returnflag", "l_linestatus", "l_linenumber"], {"parts": "l_partkey", "days": "l_shipdate"})
     return lattice.distinct_counts(stored, ["l_returnflag"])
+
+
+# ------------------------------------------------------------------ sketches
+
+def _line_sketches(spark, sf_dir):
+    """Sketches per supplier, flag and status, with a third of the rows under
+    one supplier."""
+    li = load(spark, sf_dir, "lineitem").withColumn(
+        "supplier", F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_suppkey") % 5 + 1).cast("long"))
+    stored = sketches.sketched(li, ["supplier", "l_returnflag", "l_linestatus"], {"parts": "l_partkey", "days": "l_shipdate"},
+                               {"price": "l_extendedprice"})
+    return li, sketches.merged(stored, ["supplier"], ["parts", "days"], ["price"])
+
+
+@register("sketch_distinct", """
+  SELECT supplier, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_shipdate) AS days, TRUE AS parts_near, TRUE AS days_near
+  FROM (SELECT *, (CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_suppkey % 5 + 1 END)::BIGINT AS supplier FROM lineitem)
+  GROUP BY supplier""")
+def sketch_distinct(spark, sf_dir):
+    """Distinct counts of suppliers merged from stored sketches of a finer
+    grouping, held against the exact ones: ``_near`` says that the estimate is
+    within the documented error."""
+    li, coarse = _line_sketches(spark, sf_dir)
+    exact = lattice.distinct_counts(lattice.value_sets(li, ["supplier"], {"parts": "l_partkey", "days": "l_shipdate"}), ["supplier"])
+    found = coarse.select("supplier", *[sketches.distinct_estimate(c).alias(f"{c}_found") for c in ("parts", "days")])
+    near = [(F.abs(F.col(f"{c}_found") - F.col(c)) <= F.greatest(F.lit(1.0), sketches.distinct_error(deviations=5) * F.col(c)))
+            .alias(f"{c}_near") for c in ("parts", "days")]
+    return exact.join(found, "supplier").select("supplier", "parts", "days", *near)
+
+
+_RANKS = (0.1, 0.5, 0.99)
+
+
+@register("sketch_quantiles", """
+  SELECT supplier, count(l_extendedprice) AS n_lines, TRUE AS p10_near, TRUE AS p50_near, TRUE AS p99_near
+  FROM (SELECT *, (CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_suppkey % 5 + 1 END)::BIGINT AS supplier FROM lineitem)
+  GROUP BY supplier""")
+def sketch_quantiles(spark, sf_dir):
+    """Price quantiles of suppliers merged from stored sketches: the number of
+    values is exact, and ``_near`` says that the share of the supplier's rows
+    below each quantile is within twice the documented error."""
+    li, coarse = _line_sketches(spark, sf_dir)
+    found = coarse.select("supplier", sketches.n_values("price").alias("n_lines"),
+                          *[sketches.quantile("price", r).alias(f"p{round(100 * r)}") for r in _RANKS])
+    price = F.col("l_extendedprice").cast("double")
+    counts = [f(F.when(op, 1)) for r in _RANKS for f, op in (
+        (F.count, price < F.col(f"p{round(100 * r)}")), (F.count, price <= F.col(f"p{round(100 * r)}")))]
+    names = [f"{side}{round(100 * r)}" for r in _RANKS for side in ("below", "upto")]
+    # a row per supplier joins the lines, which are summed up before any shuffle
+    ranked = li.join(found, "supplier").groupBy("supplier", "n_lines").agg(*[c.alias(n) for c, n in zip(counts, names)])
+    slack = 2 * sketches.rank_error()
+    near = [((F.col(f"below{p}") <= (r + slack) * F.col("n_lines") + 1) & (F.col(f"upto{p}") >= (r - slack) * F.col("n_lines") - 1))
+            .alias(f"p{p}_near") for r in _RANKS for p in (round(100 * r),)]
+    return ranked.select("supplier", "n_lines", *near)
