@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanekit.operators import lattice, ordered, ranges, sketches
+from lanekit.sources.incremental import follow_export, read_followed
+from lanekit.sources.scratch import scratch_path
 from lanekit.sources.tables import load
+from lanekit.sources.transfer import export_table, read_definition
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -292,3 +295,19 @@ def sketch_quantiles(spark, sf_dir):
     near = [((F.col(f"below{p}") <= (r + slack) * F.col("n_lines") + 1) & (F.col(f"upto{p}") >= (r - slack) * F.col("n_lines") - 1))
             .alias(f"p{p}_near") for r in _RANKS for p in (round(100 * r),)]
     return ranked.select("supplier", "n_lines", *near)
+
+
+# ------------------------------------------------------- incremental restores
+
+@register("incremental_restore", "SELECT * FROM orders")
+def incremental_restore(spark, sf_dir):
+    """Orders exported in two parts and restored as they arrive, two files a
+    batch; a third run finds nothing new."""
+    out = scratch_path(spark, "incremental")
+    orders = load(spark, sf_dir, "orders")
+    parts = {"first": F.col("o_orderkey") % 3 == 0, "later": F.col("o_orderkey") % 3 != 0}
+    for name, part in parts.items():
+        src = export_table(spark, orders.filter(part), f"{out}/{name}", name="orders")
+        follow_export(spark, f"{out}/*/orders", f"{out}/restored", f"{out}/noted", read_definition(spark, src), files_per_batch=2)
+    follow_export(spark, f"{out}/*/orders", f"{out}/restored", f"{out}/noted", read_definition(spark, src), files_per_batch=2)
+    return read_followed(spark, f"{out}/restored").drop("batch_id")
