@@ -20,6 +20,7 @@ from lanekit.sources.incremental import follow_export, read_followed
 from lanekit.sources.scratch import scratch_path
 from lanekit.sources.tables import load
 from lanekit.sources.transfer import export_table, read_definition
+from lanekit.streaming import sessions as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -311,3 +312,68 @@ def incremental_restore(spark, sf_dir):
         follow_export(spark, f"{out}/*/orders", f"{out}/restored", f"{out}/noted", read_definition(spark, src), files_per_batch=2)
     follow_export(spark, f"{out}/*/orders", f"{out}/restored", f"{out}/noted", read_definition(spark, src), files_per_batch=2)
     return read_followed(spark, f"{out}/restored").drop("batch_id")
+
+
+# ------------------------------------------------------------------- sessions
+
+_ARRIVALS = 3
+_GAP, _LATE_BY = 20, 2 * 24 * 60          # minutes
+
+
+def _session_sql() -> str:
+    """The stream's rule, batch by batch: rows whose window ended by the
+    watermark are late, the others meet the sessions that are still open."""
+    parts = ["""
+  asked AS (
+    SELECT (CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END)::BIGINT AS cust, ts::TIMESTAMP AS ts, round(value * 100)::BIGINT AS cents,
+           least(3, (day(ts) - 1) // 10 + 1 + (CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END)) AS arrival
+    FROM events)""", """
+  open0 AS (SELECT 0::BIGINT AS cust, NULL::TIMESTAMP AS started, NULL::TIMESTAMP AS ended, 0::BIGINT AS n, 0::BIGINT AS cents WHERE false)"""]
+    mark = f"(SELECT max(ts) FROM asked WHERE arrival {{}} {{}}) - INTERVAL {_LATE_BY} MINUTE"
+    for i in range(1, _ARRIVALS + 1):
+        parts.append(f"""
+  timely{i} AS (
+    SELECT cust, ts AS started, ts + INTERVAL {_GAP} MINUTE AS ended, 1::BIGINT AS n, cents FROM asked
+    WHERE arrival = {i} AND ts + INTERVAL {_GAP} MINUTE > coalesce({mark.format('<', i)}, TIMESTAMP '1970-01-01')
+    UNION ALL SELECT * FROM open{i - 1}),
+  met{i} AS MATERIALIZED (
+    SELECT cust, min(started) AS started, max(ended) AS ended, sum(n)::BIGINT AS n, sum(cents)::BIGINT AS cents
+    FROM (SELECT *, sum(CASE WHEN started <= before THEN 0 ELSE 1 END) OVER (PARTITION BY cust ORDER BY started, ended, n, cents
+                                                                            ROWS UNBOUNDED PRECEDING) AS run
+          FROM (SELECT *, max(ended) OVER (PARTITION BY cust ORDER BY started, ended, n, cents
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM timely{i}))
+    GROUP BY cust, run),
+  closed{i} AS (SELECT * FROM met{i} WHERE ended <= {mark.format('<=', i)}),
+  open{i} AS (SELECT * FROM met{i} WHERE ended > {mark.format('<=', i)})""")
+    closed = " UNION ALL ".join(f"SELECT * FROM closed{i}" for i in range(1, _ARRIVALS + 1))
+    return f"""
+  WITH {','.join(parts)},
+  closed AS ({closed}),
+  counts AS (SELECT (SELECT count(*) FROM asked) AS arrived, (SELECT coalesce(sum(n), 0) FROM closed)::BIGINT AS ended,
+                    (SELECT coalesce(sum(n), 0) FROM open{_ARRIVALS})::BIGINT AS waiting)
+  SELECT 'closed' AS part, cust, started, ended, n AS n_events, cents FROM closed
+  UNION ALL SELECT 'open', NULL, NULL, NULL, waiting, NULL FROM counts
+  UNION ALL SELECT 'late', NULL, NULL, NULL, arrived - ended - waiting, NULL FROM counts"""
+
+
+@register("session_windows", _session_sql())
+def session_windows(spark, sf_dir):
+    """Sessions of events that arrive in three parts, a tenth of them one part
+    late: those that ended, and the numbers of rows that are in open sessions
+    or came too late. A third of the rows have one key."""
+    out = scratch_path(spark, "sessions")
+    events = (keyed_events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+              .withColumn("cents", F.round(F.col("value") * 100).cast("long")))
+    part = F.least(F.lit(_ARRIVALS), F.expr("(day(ts) - 1) div 10 + 1") + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0))
+    settings = dict(keys=["cust"], time="ts", gap=f"{_GAP} minutes", measures={"cents": F.sum("cents")})
+    columns = events.select("cust", "ts", "cents")
+    stream = spark.readStream.schema(columns.schema).parquet(f"{out}/arrived/*")
+    for i in range(1, _ARRIVALS + 1):
+        events.filter(part == i).select(*columns.columns).write.parquet(f"{out}/arrived/{i}")
+        S.follow_sessions(S.sessions(stream, late_by=f"{_LATE_BY} minutes", **settings), f"{out}/closed", f"{out}/noted")
+    closed = S.read_sessions(spark, f"{out}/closed", S.sessions(columns, **settings))
+    counts = S.late_rows(columns, closed, S.open_rows(spark, f"{out}/noted", 1), "ts")
+    number = lambda name: counts.select(F.lit(name).alias("part"), F.col(f"n_{name}").alias(S.ROWS))
+    plain = closed.select(F.lit("closed").alias("part"), "cust", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("started", "ended")],
+                          S.ROWS, "cents")
+    return plain.unionByName(number("open"), allowMissingColumns=True).unionByName(number("late"), allowMissingColumns=True)
