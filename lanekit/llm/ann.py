@@ -1,14 +1,15 @@
 """Nearest neighbours by inner product over randomly rotated one-bit codes.
 
-Every vector is turned by one random rotation, and the signs of its
-coordinates are packed into bits. With the vector's norm and the alignment of
+Every vector, padded with zeros to the length of the code, is turned by one
+random rotation, and the signs of its coordinates are packed into bits. With the vector's norm and the alignment of
 the rotated unit vector with its own sign vector as correction scalars, the
 sign code gives an unbiased estimate of the inner product with a query, and
 the alignment bounds the estimate's error: what the code misses is orthogonal
 to it, and a random rotation spreads it evenly over all directions, so the
-error in units of ``1 / sqrt(dims - 1)`` is about standard normal and exceeds
-``ERROR_UNITS`` in one of some ten thousand cases. Vectors
-whose upper bound does not reach the ``k``-th best lower bound are out; the
+error in units of ``1 / sqrt(bits - 1)`` is about standard normal and exceeds
+``ERROR_UNITS`` in one of some ten thousand cases. Codes have a multiple of
+``dims`` bits, ``CODE_BITS`` at least: the bounds of a code of 64 bits hardly
+tell vectors of 64 numbers apart. Vectors whose upper bound does not reach the ``k``-th best lower bound are out; the
 others are reranked on the original vectors in double precision.
 
 The query set grows with the table, so it is dealt in blocks, and the table in
@@ -29,15 +30,23 @@ from lanekit.llm.common import shuffle_tasks, stage
 
 K = 20
 ERROR_UNITS = 4.0
+CODE_BITS = 512
 CHUNK_ROWS = 1024
 QUERY_ROWS = 512
 CHUNKS_PER_TASK = 16
 SEED = 7
 
 
-def rotation(dims: int, seed: int = SEED) -> np.ndarray:
-    """A random orthogonal matrix."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dims, dims)))
+def code_length(dims: int, least: int = CODE_BITS) -> int:
+    """The smallest multiple of ``dims`` that is ``least`` or more."""
+    return dims * max(1, -(-least // dims))
+
+
+def rotation(dims: int, seed: int = SEED, bits: int | None = None) -> np.ndarray:
+    """The first ``dims`` columns of a random orthogonal matrix of ``bits``
+    (``dims``, if none are given) rows: what it does to vectors that are
+    padded with zeros."""
+    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((bits or dims, dims)))
     return q * np.sign(np.diag(r))
 
 
@@ -45,23 +54,23 @@ def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """(packed sign bits, norm, alignment) of each row."""
     turned = vectors @ turn.T
     norm = np.linalg.norm(vectors, axis=1)
-    aligned = np.abs(turned).sum(axis=1) / (np.sqrt(vectors.shape[1]) * norm)
+    aligned = np.abs(turned).sum(axis=1) / (np.sqrt(turned.shape[1]) * norm)
     return np.packbits(turned > 0, axis=1), norm, aligned
 
 
-def signs(bits: np.ndarray, dims: int) -> np.ndarray:
+def signs(bits: np.ndarray, length: int) -> np.ndarray:
     """+-1 per coordinate from packed bits."""
-    return np.unpackbits(bits, axis=1, count=dims).astype(np.float32) * 2 - 1
+    return np.unpackbits(bits, axis=1, count=length).astype(np.float32) * 2 - 1
 
 
 def estimates(turned: np.ndarray, size: np.ndarray, bits: np.ndarray, norm: np.ndarray, aligned: np.ndarray,
               units: float = ERROR_UNITS) -> tuple[np.ndarray, np.ndarray]:
     """Estimated inner products (queries x vectors) of rotated queries of
     norms ``size`` and the half-width of their error bounds."""
-    dims = turned.shape[1]
-    scale = (norm / (aligned * np.sqrt(dims))).astype(np.float32)
-    found = turned.astype(np.float32) @ (signs(bits, dims) * scale[:, None]).T
-    miss = norm * np.sqrt(np.maximum(1 - aligned ** 2, 0)) / aligned * (units / np.sqrt(max(dims - 1, 1)))
+    length = turned.shape[1]
+    scale = (norm / (aligned * np.sqrt(length))).astype(np.float32)
+    found = turned.astype(np.float32) @ (signs(bits, length) * scale[:, None]).T
+    miss = norm * np.sqrt(np.maximum(1 - aligned ** 2, 0)) / aligned * (units / np.sqrt(max(length - 1, 1)))
     # a slack for the single precision of the estimate itself
     return found, np.outer(size.astype(np.float32), (miss + 1e-5 * norm).astype(np.float32))
 
@@ -126,7 +135,7 @@ def index(vectors: DataFrame, dims: int, chunk_rows: int = CHUNK_ROWS, seed: int
     with its codes. Every row is indexed; nothing is fitted."""
 
     def run(batches):
-        turn = rotation(dims, seed)
+        turn = rotation(dims, seed, code_length(dims))
         for b in batches:
             for i in range(0, b.num_rows, chunk_rows):
                 part = b.slice(i, chunk_rows)
@@ -164,7 +173,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, dims: int, k: int = K, units
              .select("block", "queries", "ids", "vectors", "bits", "norm", "aligned"))
 
     def run(batches):
-        turn, held = rotation(dims, seed), {}
+        turn, held = rotation(dims, seed, code_length(dims)), {}
         for b in batches:
             for number, queries, *packed in zip(*b.columns):
                 if (block := held.get(number.as_py())) is None:

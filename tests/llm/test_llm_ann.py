@@ -72,3 +72,19 @@ def test_edge_rows(spark):
     assert set(by) == {0, 20} and set(by[0]) == {20, 7, 9} and by[0][0] == 7
     assert ann.nearest_in_table(df.limit(0)).count() == 0
     assert ann.nearest_in_table(df.filter("vec_id = 1")).count() == 0
+
+
+def test_longer_codes_bound_closer():
+    rng = np.random.default_rng(1)
+    assert [ann.code_length(d, 100) for d in (1, 30, 100, 101)] == [100, 120, 100, 101]
+    x, q = rng.standard_normal((800, 24)) * 3, rng.standard_normal((40, 24))
+    mean = []
+    for bits in (24, 96, 384):
+        turn = ann.rotation(24, bits=bits)
+        assert turn.shape == (bits, 24) and np.allclose(turn.T @ turn, np.eye(24))
+        packed = ann.encode(x, turn)
+        assert packed[0].shape == (800, bits // 8)
+        guess, width = ann.estimates(q @ turn.T, np.linalg.norm(q, axis=1), *packed)
+        assert (np.abs(guess - q @ x.T) <= width).mean() > 0.999
+        mean.append(width.mean())
+    assert mean[1] < 0.6 * mean[0] and mean[2] < 0.6 * mean[1]
