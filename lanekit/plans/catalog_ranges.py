@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanekit.operators import lattice, ordered, ranges, sketches
+from lanekit.plans.step_functions import Aggregate, call
+from lanekit.plans.views import last_view, run_views
 from lanekit.sources.incremental import follow_export, read_followed
 from lanekit.sources.scratch import scratch_path
 from lanekit.sources.tables import load
@@ -377,3 +379,61 @@ def session_windows(spark, sf_dir):
     plain = closed.select(F.lit("closed").alias("part"), "cust", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("started", "ended")],
                           S.ROWS, "cents")
     return plain.unionByName(number("open"), allowMissingColumns=True).unionByName(number("late"), allowMissingColumns=True)
+
+
+# ------------------------------------------------------ functions of SQL steps
+
+def three_dearest(key: str = "bigint") -> Aggregate:
+    """The three largest different numbers, largest first, joined by ``|``."""
+    first = lambda numbers: sorted(set(numbers), reverse=True)[:3]
+    return Aggregate(lambda state, v: first([*(state or []), *([] if v is None else [v])]), lambda a, b: first(a + b),
+                     lambda state: "|".join(map(str, state)), "string", key)
+
+
+@register("step_aggregate", """
+  WITH lines AS (SELECT (CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_suppkey END)::BIGINT AS key,
+                        round(l_extendedprice * 100)::BIGINT AS value FROM lineitem),
+  turns AS (SELECT key, value, row_number() OVER (PARTITION BY key ORDER BY value DESC) AS turn FROM (SELECT DISTINCT * FROM lines))
+  SELECT key AS supplier, string_agg(value::VARCHAR, '|' ORDER BY value DESC) AS dearest FROM turns WHERE turn <= 3 GROUP BY key""")
+def step_aggregate(spark, sf_dir):
+    """A Python aggregate in a SQL step, summed up in the tasks that read the
+    rows; a third of these have one key."""
+    load(spark, sf_dir, "lineitem").createOrReplaceTempView("step_lines")
+    rows = """SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0L ELSE CAST(l_suppkey AS BIGINT) END AS key,
+                     CAST(round(l_extendedprice * 100) AS BIGINT) AS value FROM step_lines"""
+    return last_view(run_views(spark, [
+        ("dearest_lines", call("three_dearest", rows)),
+        ("dearest_named", "SELECT key AS supplier, result AS dearest FROM dearest_lines")],
+        aggregates={"three_dearest": three_dearest()}))
+
+
+class FirstAlerts:
+    """Of a group's rows in order of time, those at least two hours after the
+    last that was taken."""
+
+    def __init__(self):
+        self.last = None
+
+    def eval(self, row):
+        if self.last is None or row["ts"] - self.last >= 2 * 3_600_000_000:
+            self.last = row["ts"]
+            yield row["event_id"], row["cust"], row["ts"]
+
+
+@register("step_table_function", """
+  WITH RECURSIVE asked AS (
+    SELECT event_id, (CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END)::BIGINT AS cust, epoch_us(ts) AS ts, ts::DATE AS day FROM events),
+  taken AS (
+    SELECT cust, day, min(ts) AS ts FROM asked GROUP BY cust, day
+    UNION ALL
+    SELECT t.cust, t.day, min(a.ts) FROM taken t JOIN asked a ON a.cust = t.cust AND a.day = t.day AND a.ts >= t.ts + 7200000000
+    GROUP BY t.cust, t.day)
+  SELECT min(event_id) AS event_id, cust, ts FROM taken JOIN asked USING (cust, day, ts) GROUP BY cust, ts""")
+def step_table_function(spark, sf_dir):
+    """A Python table function in a SQL step, called per customer and day on
+    rows in order: alerts with a pause of two hours or more."""
+    keyed_events(spark, sf_dir).createOrReplaceTempView("step_events")
+    return last_view(run_views(spark, [
+        ("alert_rows", "SELECT event_id, cust, unix_micros(CAST(ts AS TIMESTAMP)) AS ts, CAST(ts AS DATE) AS day FROM step_events"),
+        ("alerts", "SELECT * FROM first_alerts(TABLE(alert_rows) PARTITION BY (cust, day) ORDER BY (ts, event_id))")],
+        table_functions={"first_alerts": (FirstAlerts, "event_id: bigint, cust: bigint, ts: bigint")}))

@@ -14,6 +14,8 @@ from typing import Callable, Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lanekit.plans.step_functions import Aggregate, register_aggregates, register_table_functions
+
 
 @dataclass(frozen=True)
 class Step:
@@ -80,15 +82,20 @@ def register_udfs(spark: SparkSession, udfs: Mapping[str, object] | None) -> Non
 
 
 def run_views(spark: SparkSession, steps: Iterable[Step | tuple | Mapping],
-              udfs: Mapping[str, object] | None = None) -> dict[str, DataFrame]:
+              udfs: Mapping[str, object] | None = None, table_functions: Mapping[str, object] | None = None,
+              aggregates: Mapping[str, Aggregate] | None = None) -> dict[str, DataFrame]:
     """Register every enabled, non-blank step as a temp view, in order.
 
     Steps may be :class:`Step`, ``(name, sql)`` / ``(name, sql, enabled)``
     tuples or mappings with ``name``, ``sql``, ``enabled`` and
     ``description``. Returns the step DataFrames by name (in order).
+    ``table_functions`` and ``aggregates`` (see ``step_functions``) can be
+    called by name in the steps.
     """
     register_sql_functions(spark)
     register_udfs(spark, udfs)
+    register_table_functions(spark, table_functions)
+    register_aggregates(spark, aggregates)
     out: dict[str, DataFrame] = {}
     for raw in steps:
         step = _as_step(raw)
