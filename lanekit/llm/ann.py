@@ -32,8 +32,8 @@ K = 20
 ERROR_UNITS = 4.0
 CODE_BITS = 512
 CHUNK_ROWS = 1024
-QUERY_ROWS = 512
-CHUNKS_PER_TASK = 16
+QUERY_ROWS = 2048
+SHARE_CHUNKS = 8
 SEED = 7
 
 
@@ -161,36 +161,45 @@ def nearest(vectors: DataFrame, queries: DataFrame, dims: int, k: int = K, units
                            F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks).cast("long")).alias("block"))
     # a block holds about query_rows queries: one row
     packed = dealt.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("q", "vector"))).alias("queries"))
-    # every block meets every chunk once; with few blocks each is dealt to
-    # several tasks, so that about CHUNKS_PER_TASK pairs meet in one
-    tasks = max(shuffle_tasks(chunks.sparkSession), -(-blocks * chunks.count() // CHUNKS_PER_TASK))
-    shares = F.lit(-(-tasks // blocks)).cast("long")
+    # every block meets every chunk once; a block is dealt to several tasks, each
+    # of which meets SHARE_CHUNKS full chunks or as many rows in smaller ones, so
+    # that what is left to merge depends on the rows alone
+    n_rows = chunks.agg(F.sum(F.length("ids"))).first()[0] or 0
+    n_shares = max(1, -(-n_rows // (8 * chunk_rows * SHARE_CHUNKS)))
+    tasks, shares = max(shuffle_tasks(chunks.sparkSession), blocks * n_shares), F.lit(n_shares).cast("long")
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    pairs = (chunks.withColumn("share", F.pmod(F.xxhash64("ids"), shares))
-             .withColumn("block", each(F.lit(blocks).cast("long")))
-             .repartition(tasks, "block", "share")
-             .join(packed.withColumn("share", each(shares)).repartition(tasks, "block", "share"), ["block", "share"])
-             .select("block", "queries", "ids", "vectors", "bits", "norm", "aligned"))
+    # a block goes to a task once, before the chunks that it meets there
+    met = (chunks.withColumn("share", F.pmod(F.xxhash64("ids"), shares)).withColumn("block", each(F.lit(blocks).cast("long")))
+           .unionByName(packed.withColumn("share", each(shares)), allowMissingColumns=True)
+           .repartition(tasks, "block", "share").sortWithinPartitions("block", "share", F.col("queries").isNull())
+           .select("block", "queries", "ids", "vectors", "bits", "norm", "aligned"))
 
     def run(batches):
-        turn, held = rotation(dims, seed, code_length(dims)), {}
+        def best(block):
+            return pa.RecordBatch.from_arrays([pa.array(block.ids[block.row], pa.int64()), pa.array(block.found, pa.int64()),
+                                               pa.array(block.score, pa.float64())], ["query_id", "vec_id", "score"])
+
+        turn, number, block = rotation(dims, seed, code_length(dims)), None, None
         for b in batches:
-            for number, queries, *packed in zip(*b.columns):
-                if (block := held.get(number.as_py())) is None:
-                    block = held[number.as_py()] = Block(
-                        queries.values.field("q").to_numpy(zero_copy_only=False),
-                        queries.values.field("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims), turn, k)
+            for at, queries, *packed in zip(*b.columns):
+                if queries.is_valid:
+                    if block:
+                        yield best(block)
+                    number = at.as_py()
+                    block = Block(queries.values.field("q").to_numpy(zero_copy_only=False),
+                                  queries.values.field("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims), turn, k)
+                if queries.is_valid or at.as_py() != number:              # a block without queries meets nothing
+                    continue
                 ids, bits, norm, aligned = (np.frombuffer(packed[i].as_buffer(), kind) for i, kind in (
                     (0, np.int64), (2, np.uint8), (3, np.float64), (4, np.float64)))
                 n, raw = len(ids), packed[1].as_buffer()
                 rows = np.frombuffer(raw, np.float32 if raw.size == 4 * n * dims else np.float64)
                 block.meet(ids, rows.reshape(n, dims).astype(np.float64), bits.reshape(n, -1), norm, aligned, units)
-        for block in held.values():
-            yield pa.RecordBatch.from_arrays([pa.array(block.ids[block.row], pa.int64()), pa.array(block.found, pa.int64()),
-                                              pa.array(block.score, pa.float64())], ["query_id", "vec_id", "score"])
+        if block:
+            yield best(block)
 
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+    return (met.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
             .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
