@@ -386,8 +386,13 @@ def session_windows(spark, sf_dir):
 def three_dearest(key: str = "bigint") -> Aggregate:
     """The three largest different numbers, largest first, joined by ``|``."""
     first = lambda numbers: sorted(set(numbers), reverse=True)[:3]
-    return Aggregate(lambda state, v: first([*(state or []), *([] if v is None else [v])]), lambda a, b: first(a + b),
-                     lambda state: "|".join(map(str, state)), "string", key)
+
+    def add(state, v):
+        if state is None:
+            return [] if v is None else [v]
+        # most rows change nothing: nothing is sorted for them
+        return state if v is None or len(state) == 3 and v <= state[-1] else first([*state, v])
+    return Aggregate(add, lambda a, b: first(a + b), lambda state: "|".join(map(str, state)), "string", key)
 
 
 @register("step_aggregate", """

@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from conftest import SF_SMALL, plan_text
 
@@ -50,3 +52,13 @@ def test_table_function_sees_groups_in_order(spark):
         day = (r.cust, r.ts // 86_400_000_000)
         assert r.ts - last.get(day, r.ts - 7_200_000_000) >= 7_200_000_000
         last[day] = r.ts
+
+
+def test_rows_reach_an_aggregate_in_batches(spark):
+    """A row of its own costs tens of microseconds; a batch's values are as before: rows, naive times, nulls."""
+    rows = [(i % 3, (i, f"n{i}"), datetime(2024, 1, 1, 0, i % 60)) for i in range(300)] + [(None, None, None)]
+    latest = Aggregate(lambda s, v: max(s or (), (v.t, v.s.name) if v.t else ()), max, lambda s: f"{s[0]} {s[1]}" if s else None, "string")
+    df = applied(spark, [(k, (s, t)) for k, s, t in rows], "k bigint, v struct<s: struct<id: bigint, name: string>, t: timestamp>", latest)
+    wanted = {k: "{} {}".format(*max((t, s[1]) for j, s, t in rows if j == k)) for k in range(3)}
+    assert {r.key: r.result for r in df.collect()} == {**wanted, None: None}
+    assert "ArrowEvalPythonUDTF" in plan_text(df)
