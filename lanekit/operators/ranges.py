@@ -8,7 +8,7 @@ other; nothing is compared with everything.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -113,6 +113,10 @@ def _numbered(df: DataFrame, side: str) -> DataFrame:
                        f"inequality-{side}")
 
 
+#: How measures of pairs are merged: of a cell's rows, then of a row's cells.
+_MEASURE = {"count": (F.count, F.sum), "sum": (F.sum, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
+
+
 def _dyadic(block: Column, levels: int, wanted: int) -> Column:
     """Keys of a block: (level, prefix above it) for each level at which its
     bit is ``wanted``, and the block itself. Of two different blocks the lower
@@ -125,54 +129,87 @@ def _dyadic(block: Column, levels: int, wanted: int) -> Column:
 
 
 def inequality_join(left: DataFrame, right: DataFrame, conditions: Sequence[tuple[str, str, str]], on: Sequence[str] = (),
-                    left_name: str = "left", right_name: str = "right") -> DataFrame:
+                    left_name: str = "left", right_name: str = "right",
+                    measures: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
     """Pairs of rows that meet one or two (or more) inequalities, as two
     struct columns. ``conditions`` are (left column, ``<``, ``<=``, ``>`` or
     ``>=``, right column); ``on`` columns must be equal. Nulls match nothing.
 
-    For every condition the values of both sides are ranked together, such
-    that the condition is "left rank below right rank" (counted from the end
-    for ``>``; among equal values the side comes first that makes it so).
-    Ranks are cut into blocks of ``2 ** BLOCK_BITS``; two rows in different
-    blocks share exactly one key of :func:`_dyadic`, and sharing it proves the
-    condition. Rows of one block are compared. With two conditions a row has a
-    copy per pair of keys: about (log2 of the blocks / 2) squared, of three
-    numbers each; whole rows are fetched for the pairs found. The pairs that
-    are looked at and dropped are those within a block only, so the work goes
-    with the rows and the result, never with their product. A value with very
-    many rows is one rank: its rows share all their keys and join like those
-    of any other frequent key.
+    For every condition the values of both sides are ranked together within
+    their key, such that the condition is "left rank below right rank"
+    (counted from the end for ``>``; among equal values the side comes first
+    that makes it so). Ranks are cut into blocks of ``2 ** BLOCK_BITS``; two
+    rows in different blocks share exactly one key of :func:`_dyadic`, and
+    sharing it proves the condition. Rows of one block are compared. With two
+    conditions a row has a copy per pair of keys: about (log2 of the largest
+    key's blocks / 2) squared, with its columns, so that pairs are whole where
+    they are found and move no more. The pairs that are looked at and dropped
+    are those within a block only, so the work goes with the rows and the
+    result, never with their product. A value with very many rows is one rank:
+    its rows share all their keys and join like those of any other frequent
+    key.
+
+    With ``measures``, name -> (``count``, ``sum``, ``min`` or ``max``, right
+    column or ``*``), the result has a row per left row with a partner: its
+    struct and the measures of its partners. The right rows of a key are then
+    summed up before they meet the left ones, so that no pair between blocks
+    is made and the work does not go with their number; only rows of one block
+    are paired.
     """
+    for how, _ in (measures or {}).values():
+        if how not in _MEASURE:
+            raise ValueError(f"not a measure: {how!r}")
     sides = {"left": _numbered(left, "left"), "right": _numbered(right, "right")}
-    rows = {s: df.select("id", *[F.col(f"row.{c}").alias(f"k{i}") for i, c in enumerate(on)]) for s, df in sides.items()}
+    ks = [f"k{i}" for i in range(len(on))]
+    keyed = {s: df.select("id", "row", *[F.col("row")[c].alias(k) for c, k in zip(on, ks)]).dropna(subset=ks)
+             for s, df in sides.items()}
+    rows = dict(keyed)
     for i, (a, op, b) in enumerate(conditions):
         if op not in ("<", "<=", ">", ">="):
             raise ValueError(f"not an inequality: {op!r}")
         # equal values: the left side comes first where equal ones match going up, or do not match going down
         first = "left" if op in ("<=", ">") else "right"
-        values = {s: df.select("id", F.col("row")[c].alias("value"), F.lit(0 if s == first else 1).alias("side"))
-                  .filter("value is not null") for (s, df), c in zip(sides.items(), (a, b))}
-        ranked = ranks(values["left"].select("value", "side").unionByName(values["right"].select("value", "side")), ["value", "side"])
-        total = ranked.agg(F.max("rank")).first()[0] or 0
+        order = [*ks, "value", "side"]
+        values = {s: df.select("id", *ks, F.col("row")[c].alias("value"), F.lit(0 if s == first else 1).alias("side"))
+                  .filter("value is not null") for (s, df), c in zip(keyed.items(), (a, b))}
+        ranked = materialize(ranks(values["left"].select(*order).unionByName(values["right"].select(*order)), order), "inequality-ranks")
+        # a key's ranks are counted from its first one: few levels if no key has many rows
+        span = ranked.groupBy(*ks).agg(F.min("rank").alias("lowest"), F.max("rank").alias("highest"))
+        total = span.agg(F.max(F.col("highest") - F.col("lowest"))).first()[0] or 0
         levels = max(0, int(total).bit_length() - BLOCK_BITS)
-        ranked = materialize(ranked, "inequality-ranks")
+        ranked = ranked.join(span, ks) if ks else ranked.withColumns({"lowest": F.lit(0), "highest": F.lit(int(total))})
+        # for > from the end: the greater value is the lower rank
+        ranked = ranked.select(*order, (F.col("highest") - F.col("rank") if op.startswith(">") else F.col("rank") - F.col("lowest")).alias("rank"))
         for s in sides:
-            rank = F.col("rank")
-            if op.startswith(">"):
-                # count from the end: the greater value is the lower rank
-                rank = F.lit(int(total)) - rank
-            keys = _dyadic(F.shiftright(rank, BLOCK_BITS), levels, 0 if s == "left" else 1)
-            of = values[s].join(ranked, ["value", "side"]).select("id", rank.alias(f"r{i}"), keys.alias(f"d{i}"))
-            rows[s] = rows[s].join(of, "id")
-    def exploded(s):
-        df = rows[s]
-        for i in range(len(conditions)):
-            df = df.withColumn(f"d{i}", F.explode(f"d{i}"))
+            of = values[s].join(ranked, order).select("id", F.col("rank").alias(f"r{i}"))
+            keys = _dyadic(F.shiftright(f"r{i}", BLOCK_BITS), levels, 0 if s == "left" else 1)
+            rows[s] = rows[s].join(of, "id").withColumn(f"d{i}", keys)
+    n = range(len(conditions))
+    ds, rs = [f"d{i}" for i in n], [f"r{i}" for i in n]
+
+    def exploded(s, carried):
+        df = rows[s].select(*carried, *ks, *rs, *ds)
+        for d in ds:
+            df = df.withColumn(d, F.explode(d))
         return df.select(*[F.col(c).alias(f"{s}_{c}") for c in df.columns])
-    n, k = range(len(conditions)), range(len(on))
-    same = [F.col(f"left_{c}") == F.col(f"right_{c}") for c in [*[f"k{i}" for i in k], *[f"d{i}" for i in n]]]
-    below = [F.col(f"left_r{i}") < F.col(f"right_r{i}") for i in n]
-    pairs = exploded("left").join(exploded("right"), reduce(Column.__and__, same + below)).select("left_id", "right_id")
-    return (pairs.join(sides["left"].select(F.col("id").alias("left_id"), F.col("row").alias(left_name)), "left_id")
-            .join(sides["right"].select(F.col("id").alias("right_id"), F.col("row").alias(right_name)), "right_id")
-            .select(left_name, right_name))
+
+    same = [F.col(f"left_{c}") == F.col(f"right_{c}") for c in [*ks, *ds]]
+    if measures is None:
+        below = [F.col(f"left_{r}") < F.col(f"right_{r}") for r in rs]
+        return exploded("left", ["row"]).join(exploded("right", ["row"]), reduce(Column.__and__, same + below)).select(
+            F.col("left_row").alias(left_name), F.col("right_row").alias(right_name))
+
+    inputs = {m: (F.lit(1) if c == "*" else F.col("right_row")[c]) for m, (_, c) in measures.items()}
+    lefts = exploded("left", ["id"])
+    rights = exploded("right", ["row"]).select("*", *[c.alias(f"of_{m}") for m, c in inputs.items()]).drop("right_row")
+    # a condition whose key is a block of its own is still to be compared; others are met by all of a key's rows
+    cells = ["right_" + c for c in [*ks, *ds]]
+    for d, r in zip(ds, rs):
+        alone = F.col(f"right_{d}").bitwiseAND(63) == 63
+        rights = rights.withColumn(f"right_{r}", F.when(alone, F.col(f"right_{r}")))
+    rights = rights.groupBy(*cells, *[f"right_{r}" for r in rs]).agg(
+        *[_MEASURE[how][0](f"of_{m}").alias(f"of_{m}") for m, (how, _) in measures.items()])
+    below = [F.col(f"right_{r}").isNull() | (F.col(f"left_{r}") < F.col(f"right_{r}")) for r in rs]
+    found = lefts.join(rights, reduce(Column.__and__, same + below)).groupBy("left_id").agg(
+        *[_MEASURE[how][1](f"of_{m}").alias(m) for m, (how, _) in measures.items()])
+    return sides["left"].join(found, F.col("id") == F.col("left_id")).select(F.col("row").alias(left_name), *measures)

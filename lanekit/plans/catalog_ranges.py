@@ -168,9 +168,10 @@ def inequality_join(spark, sf_dir):
     customers = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
     suppliers = load(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")
     met = ranges.inequality_join(customers, suppliers, [("c_acctbal", "<", "s_acctbal"), ("c_nationkey", ">=", "s_nationkey")],
-                                 left_name="c", right_name="s")
-    return met.groupBy("c.c_custkey").agg(F.count("*").alias("n_suppliers"), F.min("s.s_suppkey").alias("first_supplier"),
-                                          F.max("s.s_acctbal").alias("best"))
+                                 left_name="c", right_name="s",
+                                 measures={"n_suppliers": ("count", "*"), "first_supplier": ("min", "s_suppkey"), "best": ("max", "s_acctbal")})
+    return met.groupBy("c.c_custkey").agg(F.sum("n_suppliers").alias("n_suppliers"), F.min("first_supplier").alias("first_supplier"),
+                                          F.max("best").alias("best"))
 
 
 @register("inequality_keyed", """

@@ -281,3 +281,25 @@ def test_distinct_counts_beyond_one_bucket(spark):
     df = spark.range(200_000).select((F.col("id") % 2).alias("k"), (F.col("id") * 1_000_003 % 150_001).alias("v"))
     want = rows(df.groupBy("k").agg(F.countDistinct("v")))
     assert rows(lattice.distinct_counts(lattice.value_sets(df, ["k"], {"v": "v"}), ["k"])) == want
+
+
+def test_inequality_measures_equal_those_of_the_pairs(spark):
+    rng = random.Random(7)
+    def table(n):
+        return spark.createDataFrame([(i, rng.choice([None, 1, 2]) if i % 9 == 0 else 1, rng.choice([None, *range(300)]), rng.randrange(25))
+                                      for i in range(n)], "id long, k int, x int, y int")
+    l, r = table(700), table(500).union(table(20))
+    measures = {"n": ("count", "*"), "seen": ("count", "x"), "total": ("sum", "id"), "low": ("min", "id"), "high": ("max", "x")}
+    for on, conditions in ((["k"], [("x", ">", "x"), ("y", "<=", "y")]), ([], [("x", "<", "x")]), ([], [("x", ">=", "x"), ("y", "<", "y")])):
+        pairs = ranges.inequality_join(l, r, conditions, on)
+        wanted = pairs.groupBy("left").agg(F.count("*"), F.count("right.x"), F.sum("right.id"), F.min("right.id"), F.max("right.x"))
+        got = ranges.inequality_join(l, r, conditions, on, measures=measures)
+        assert rows(got) == rows(wanted) and got.count() > 300
+
+
+def test_pairs_are_whole_where_they_are_found(spark):
+    df = spark.range(400).selectExpr("id", "id % 4 AS k", "id AS x", "-id AS y")
+    met = ranges.inequality_join(df, df, [("x", "<", "x"), ("y", ">", "y")], ["k"])
+    assert met.count() == 4 * 100 * 99 // 2
+    after = plan_text(met).split("Generate")[0]                      # above the copies of the rows
+    assert after.count("Join") == 1                                   # nothing is fetched for pairs
