@@ -94,12 +94,13 @@ def _dictionary(values: DataFrame, partitions: int | None = None) -> DataFrame:
 
 def value_sets(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
     """Per group of ``keys`` the exact set of values of each column, as
-    bitmaps: keys, ``of`` (the name in ``columns``), ``bucket``, ``bits``.
+    bits: keys, ``of`` (the name in ``columns``), ``bucket``, ``bits``.
 
     The pairs of key and value are reduced to distinct ones first, before and
     after a shuffle by both, so a frequent key is no hot group; values are
-    numbered densely; the numbers of a group become bitmaps of 32,768 bits, a
-    row for each bucket of numbers that the group has a value in.
+    numbered densely; the numbers of a group become words of 64 bits, a row for
+    each bucket of 64 numbers that the group has a value in. So a group takes no
+    more rows than it has values, however many values all groups have together.
     The sets can be stored and merged (see :func:`distinct_counts`). Null
     values belong to no set. Groups without any value have no rows.
     """
@@ -109,8 +110,8 @@ def value_sets(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -
         pairs = materialize(df.select(*keys, F.col(column).alias("value")).filter("value is not null").distinct(), "value-pairs")
         numbers = _dictionary(pairs.select("value"))
         numbered = pairs.join(numbers, "value").select(*keys, "number")
-        bucket = F.bitmap_bucket_number(F.col("number")).alias("bucket")
-        sets.append(numbered.groupBy(*keys, bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("number"))).alias("bits"))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("number").bitwiseAND(63).cast("int"))
+        sets.append(numbered.groupBy(*keys, F.shiftright("number", 6).alias("bucket")).agg(F.bit_or(bit).alias("bits"))
                     .select(*keys, F.lit(name).alias("of"), "bucket", "bits"))
     out = sets[0]
     for s in sets[1:]:
@@ -121,9 +122,9 @@ def value_sets(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -
 def distinct_counts(sets: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The number of distinct values per group of ``keys`` (some or all of the
     keys that ``sets`` were built with): a column per set, 0 where a group has
-    no value in it. Bitmaps of one bucket are merged, then their bits counted."""
+    no value in it. Words of one bucket are merged, then their bits counted."""
     names = [r[0] for r in sets.select("of").distinct().orderBy("of").collect()]
-    merged = sets.groupBy(*keys, "of", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    merged = sets.groupBy(*keys, "of", "bucket").agg(F.bit_or("bits").alias("bits"))
     def count(name: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("of") == name, F.bitmap_count("bits"))), F.lit(0)).cast("long").alias(name)
+        return F.coalesce(F.sum(F.when(F.col("of") == name, F.bit_count("bits"))), F.lit(0)).cast("long").alias(name)
     return merged.groupBy(*keys).agg(*[count(n) for n in names])

@@ -303,3 +303,15 @@ def test_pairs_are_whole_where_they_are_found(spark):
     assert met.count() == 4 * 100 * 99 // 2
     after = plan_text(met).split("Generate")[0]                      # above the copies of the rows
     assert after.count("Join") == 1                                   # nothing is fetched for pairs
+
+
+def test_sets_of_few_values_take_little_room(spark):
+    # 500 groups with 20 values each, spread over 100,000 numbers
+    df = spark.range(100_000).selectExpr("id % 500 AS k", "id AS v").filter("v DIV 500 % 10 = 0")
+    others = spark.range(100_000).selectExpr("500L AS k", "id AS v")
+    stored = lattice.value_sets(df.union(others), ["k"], {"v": "v"})
+    assert dict(stored.dtypes)["bits"] == "bigint"                    # 8 bytes a row
+    size = stored.groupBy("k").agg(F.count("*").alias("words"))
+    assert size.filter("k < 500").agg(F.max("words")).first()[0] <= 20
+    got = {r.k: r.v for r in lattice.distinct_counts(stored, ["k"]).collect()}
+    assert got == {**{k: 20 for k in range(500)}, 500: 100_000}
