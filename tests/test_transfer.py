@@ -289,3 +289,12 @@ def test_a_batch_reports_a_failed_table(spark):
 def test_preview_shows_text(spark):
     df = spark.sql("SELECT id, map('a', id) AS m, CAST(NULL AS DATE) AS d FROM range(50)")
     assert [tuple(r) for r in X.preview(spark, df, 2, ["id"]).collect()] == [("0", '{"a":0}', None), ("1", '{"a":1}', None)]
+
+
+def test_a_batch_is_compressed_unless_told_otherwise(spark):
+    out, df = scratch_path(spark, "t_batch_codec"), spark.range(2000).selectExpr("id", "'the same words' AS words")
+    plain = X.export_all(spark, [("a", df)], f"{out}/plain", codec="none")
+    packed = X.export_all(spark, [("a", df)], f"{out}/packed")
+    assert all(f.endswith(".json") for f in spark.read.text(f"{plain['a']}/json").inputFiles())
+    assert all(f.endswith(".json.gz") for f in spark.read.text(f"{packed['a']}/json").inputFiles())
+    assert sorted(X.read_export(spark, packed["a"]).collect()) == sorted(df.collect())
