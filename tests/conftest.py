@@ -20,6 +20,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left(spark):
+    """Temp views are listed in every database; a module finds those of no other."""
+    yield
+    for t in spark.catalog.listTables():
+        if t.isTemporary:
+            spark.catalog.dropTempView(t.name)
+
+
 def plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
