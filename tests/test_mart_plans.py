@@ -42,3 +42,13 @@ def test_repeated_shipments_and_stops_of_an_order(spark):
     assert {r.road_actual_schedule for r in rows} == {"08:10"}
     bare = [r for r in rows if r.order_id is None]
     assert len(bare) == 2 and {(r.road_out_piece_num, r.first_distribute_nm) for r in bare} == {(None, None)}
+
+
+def test_rows_of_one_partition_are_published_where_they_are(spark):
+    from lanekit.sources import transfer as X
+    db = X.scratch_database(spark, "t_publish")
+    df = spark.range(90, numPartitions=3).selectExpr("id", "20220123 AS dt")
+    X.publish(df, f"{db}.mart", cluster=False)
+    table = spark.table(f"{db}.mart")
+    assert table.where("dt = 20220123").count() == 90
+    assert len(table.inputFiles()) == 3                      # no shuffle gathered them
