@@ -198,7 +198,9 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         raise ValueError("the anchors are made for 0 to 3 differing bits")
     homes = _homes(prints).groupBy("anchor").agg(F.count("*").alias("n"))
     parts = F.ceil(F.col("n") / HOMES_PER_PART).cast("int")
-    met = (_replicas(prints, max_bits).join(homes, "anchor")
+    # the planner takes the replicas for as many rows as there are prints, and
+    # would broadcast them where the homes are known to be more than that
+    met = (_replicas(prints, max_bits).join(homes.hint("merge"), "anchor")
            .withColumn("parts", parts)
            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
            .withColumn("home", F.col("home") & (F.pmod(F.xxhash64("fp"), F.col("parts")) == F.col("part")))

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, plan_text
 from lanekit.llm import simhash
 from lanekit.llm.graph import components as graph_components
 from lanekit.llm.queries import QUERIES
@@ -82,6 +82,15 @@ def test_links_connect_like_all_pairs(spark, monkeypatch, limits):
     assert components(len(fp), [(number[r.a], number[r.b]) for r in got]) == components(len(fp), np.argwhere(near).tolist())
 
 
+def test_replicas_are_not_broadcast(spark, tmp_path):
+    """Some 60 rows per fingerprint, which the planner takes for one."""
+    fp = np.random.default_rng(3).integers(-2**62, 2**62, 3000)
+    spark.createDataFrame([(int(x),) for x in fp], "fp bigint").coalesce(1).write.parquet(f"{tmp_path}/prints")
+    got = simhash.links(spark.read.parquet(f"{tmp_path}/prints"))
+    got.collect()
+    assert "SortMergeJoin" in plan_text(got) and "Broadcast" not in plan_text(got)
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, 400)] + [(1000, 1001), (1001, 1002), (2000, 2000), (None, 5)]
     got = {r.node: r.root for r in graph_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
