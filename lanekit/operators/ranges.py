@@ -19,9 +19,29 @@ from lanekit.sources.scratch import materialize
 
 #: An interval without end goes on to here; no time reaches it.
 OPEN = 1 << 62
-#: Neighbouring ranks that are compared one by one in :func:`inequality_join`.
+#: Neighbouring ranks that are compared one by one in :func:`inequality_join`
+#: and in the measures of :func:`interval_join`.
 BLOCK_BITS = 6
 
+#: How measures of pairs are merged: of a cell's rows, then of a row's cells.
+_MEASURE = {"count": (F.count, F.sum), "sum": (F.sum, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
+
+
+def _checked(measures: Mapping[str, tuple[str, str]]) -> None:
+    for how, _ in measures.values():
+        if how not in _MEASURE:
+            raise ValueError(f"not a measure: {how!r}")
+
+
+def _of_rows(measures: Mapping[str, tuple[str, str]], row: str) -> list[Column]:
+    """Aggregates of right rows, as columns ``of_<measure>``."""
+    return [_MEASURE[how][0](F.lit(1) if c == "*" else F.col(row)[c]).alias(f"of_{m}") for m, (how, c) in measures.items()]
+
+
+def _merged(measures: Mapping[str, tuple[str, str]]) -> list[Column]:
+    """Aggregates of columns ``of_<measure>``, under the same names."""
+    return [_MEASURE[how][1](f"of_{m}").alias(f"of_{m}") for m, (how, _) in measures.items()]
+
 
 def as_units(df: DataFrame, column: str) -> Column:
     """Times as whole numbers: microseconds, days, or the number itself."""
@@ -78,8 +98,93 @@ def _copies(rows: DataFrame, side: str, own_levels: list[int], other_levels: lis
         *rows.columns, F.col("__at.role").alias(f"{side}_role"), F.col("__at.x").alias(f"{side}_x"), f"{side}_bucket")
 
 
+def _near(first: Column, end: Column) -> Column:
+    """What [first, end) of ranks takes of blocks that it does not fill, as
+    (node, low, high): one part of a block, or two."""
+    size, mask = 1 << BLOCK_BITS, (1 << BLOCK_BITS) - 1
+    a, b, low, high = F.shiftright(first, BLOCK_BITS), F.shiftright(end, BLOCK_BITS), first.bitwiseAND(mask), end.bitwiseAND(mask)
+
+    def part(met, node, low, high):
+        return F.when(met & (low < high), F.struct(node.alias("node"), low.alias("low"), high.alias("high")))
+    zero, whole = F.lit(0).cast("long"), F.lit(size).cast("long")
+    return F.explode(F.array_compact(F.array(
+        part(a == b, a, low, high), part((a < b) & (low > 0), a, low, whole), part(a < b, b, zero, high))))
+
+
+def _far(first: Column, end: Column, levels: int) -> Column:
+    """The blocks that [first, end) of ranks fills, as the fewest (level,
+    node): at most two per level, and a block lies in one of them."""
+    out = []
+    for x in range(levels):
+        low, high = (F.shiftright(c, BLOCK_BITS + x) for c in (first + ((1 << (BLOCK_BITS + x)) - 1), end))
+        for odd, node in ((low, low), (high, high - 1)):
+            out.append(F.when((low < high) & (odd.bitwiseAND(1) == 1), F.struct(F.lit(x).alias("level"), node.alias("node"))))
+    return F.explode(F.array_compact(F.array(*out)))
+
+
+def _above(block: Column, levels: int) -> Column:
+    """The (level, node) that a block lies in."""
+    return F.explode(F.array(*[F.struct(F.lit(x).alias("level"), F.shiftright(block, x).alias("node")) for x in range(levels)]))
+
+
+def _span_measures(a: DataFrame, b: DataFrame, ks: Sequence[str], measures: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """(keys, from, to) of the left spans with a partner, and their partners'
+    measures. Either the right span covers the left one's start, or it starts
+    within the left one behind its start: ranks in spans both times, so right
+    spans (or starts) are summed up per part of a block and per node of blocks
+    before they are met."""
+    def spans(df, side):
+        return df.select(*[F.col(f"{side}_{k}").alias(k) for k in ks], F.col(f"{side}_from").alias("from"), F.col(f"{side}_to").alias("to"),
+                         *[c for c in df.columns if c == "right_row"])
+
+    sides = {"left": materialize(spans(a, "left").distinct(), "interval-left"),
+             "right": materialize(spans(b, "right").groupBy(*ks, "from", "to").agg(*_of_rows(measures, "right_row")), "interval-right")}
+    ends = reduce(DataFrame.unionByName, [df.select(*ks, F.col(c).alias("value")) for df in sides.values() for c in ("from", "to")])
+    ranked = materialize(ranks(ends.distinct(), [*ks, "value"]), "interval-ranks")
+    levels = int((ranked.agg(F.max("rank")).first()[0] or 0) >> BLOCK_BITS).bit_length()
+    for s in sides:
+        for c, r in (("from", "first"), ("to", "end")):
+            sides[s] = sides[s].join(ranked.select(*ks, F.col("value").alias(c), F.col("rank").alias(r)), [*ks, c])
+        sides[s] = materialize(sides[s], f"interval-placed-{s}")
+    lefts, rights = sides.values()
+    block, place = F.shiftright("first", BLOCK_BITS).alias("node"), F.col("first").bitwiseAND((1 << BLOCK_BITS) - 1).alias("place")
+    of = [f"of_{m}" for m in measures]
+
+    def summed(df, *by):
+        return df.groupBy(*ks, *by).agg(*_merged(measures))
+
+    def meet(df, other, *by):
+        # exploded rows are more than the planner counts: it must not broadcast them
+        return df.join(other.hint("merge"), [*ks, *by])
+
+    def inline(df, made, *columns):
+        return df.select(*ks, *columns, made.alias("__at")).select(*ks, *columns, "__at.*")
+
+    inside = (F.col("low") <= F.col("place")) & (F.col("place") < F.col("high"))
+    first, end = F.col("first"), F.col("end")
+    # right spans that cover a left start; what fills its block is looked up once for the block
+    starts = lefts.select(*ks, "from", block, place).distinct()
+    near = summed(inline(rights, _near(first, end), *of), "node", "low", "high")
+    found = [meet(starts, near, "node").filter(inside).select(*ks, "from", *of)]
+    if levels:
+        far = summed(inline(rights, _far(first, end, levels), *of), "level", "node")
+        blocks = inline(starts.select(*ks, F.col("node").alias("block")).distinct(), _above(F.col("block"), levels), "block")
+        full = summed(meet(blocks, far, "level", "node"), "block").withColumnRenamed("block", "node")
+        found.append(meet(starts, full, "node").select(*ks, "from", *of))
+    covering = summed(reduce(DataFrame.unionByName, found), "from")
+    found = [lefts.select(*ks, "from", "to").join(covering, [*ks, "from"])]
+    # right spans that start within a left one
+    begun = summed(rights, "first").select(*ks, block, place, *of)
+    found.append(meet(inline(lefts, _near(first + 1, end), "from", "to"), begun, "node").filter(inside).select(*ks, "from", "to", *of))
+    if levels:
+        nodes = summed(inline(summed(begun, "node").withColumnRenamed("node", "block"), _above(F.col("block"), levels), *of), "level", "node")
+        found.append(meet(inline(lefts, _far(first + 1, end, levels), "from", "to"), nodes, "level", "node").select(*ks, "from", "to", *of))
+    return summed(reduce(DataFrame.unionByName, found), "from", "to")
+
+
 def interval_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str | None], right_span: tuple[str, str | None],
-                  on: Sequence[str] = (), left_name: str = "left", right_name: str = "right") -> DataFrame:
+                  on: Sequence[str] = (), left_name: str = "left", right_name: str = "right",
+                  measures: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
     """Pairs of rows with equal ``on`` columns whose spans overlap, as two
     struct columns ``left_name`` and ``right_name``.
 
@@ -93,8 +198,23 @@ def interval_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str |
     later of the two starts: exactly one. A row has at most two copies per
     level that the other side has (up to 63, counted beforehand), however long
     its span is.
+
+    With ``measures``, as in :func:`inequality_join`, the result has a row per
+    left row with a partner: its struct and the measures of its partners. No
+    pair is made then: starts and ends of both sides are ranked together, and
+    right spans are summed up per part of a block of ``2 ** BLOCK_BITS`` ranks
+    and per node of a binary tree of blocks. A span has two parts and two
+    nodes per level at most, so the work goes with the rows and the logarithm
+    of their number, not with the pairs; equal spans are one.
     """
     a, b = _spans(left, *left_span, on, "left"), _spans(right, *right_span, on, "right")
+    if measures is not None:
+        _checked(measures)
+        ks = [f"k{i}" for i in range(len(on))]
+        found = _span_measures(a, b, ks, measures)
+        same = [F.col(f"left_{c}") == found[c] for c in (*ks, "from", "to")]
+        return a.join(found, reduce(Column.__and__, same)).select(
+            F.col("left_row").alias(left_name), *[F.col(f"of_{m}").alias(m) for m in measures])
     levels = [[r[0] for r in s.select(c).distinct().collect()] for s, c in ((a, "left_level"), (b, "right_level"))]
     lefts, rights = _copies(a, "left", *levels), _copies(b, "right", *reversed(levels))
     later = F.greatest("left_from", "right_from")
@@ -113,10 +233,6 @@ def _numbered(df: DataFrame, side: str) -> DataFrame:
                        f"inequality-{side}")
 
 
-#: How measures of pairs are merged: of a cell's rows, then of a row's cells.
-_MEASURE = {"count": (F.count, F.sum), "sum": (F.sum, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
-
-
 def _dyadic(block: Column, levels: int, wanted: int) -> Column:
     """Keys of a block: (level, prefix above it) for each level at which its
     bit is ``wanted``, and the block itself. Of two different blocks the lower
@@ -156,9 +272,7 @@ def inequality_join(left: DataFrame, right: DataFrame, conditions: Sequence[tupl
     is made and the work does not go with their number; only rows of one block
     are paired.
     """
-    for how, _ in (measures or {}).values():
-        if how not in _MEASURE:
-            raise ValueError(f"not a measure: {how!r}")
+    _checked(measures or {})
     sides = {"left": _numbered(left, "left"), "right": _numbered(right, "right")}
     ks = [f"k{i}" for i in range(len(on))]
     keyed = {s: df.select("id", "row", *[F.col("row")[c].alias(k) for c, k in zip(on, ks)]).dropna(subset=ks)

@@ -151,9 +151,10 @@ def interval_overlap(spark, sf_dir):
     offers = order_versions(spark, sf_dir).select(
         "o_orderkey", "cents", "valid_from", F.timestamp_micros(F.unix_micros(F.col("valid_from").cast("timestamp")) + minutes * 60_000_000)
         .cast("timestamp_ntz").alias("ends"))
-    met = ranges.interval_join(stays, offers, ("ts", "until"), ("valid_from", "ends"), left_name="s", right_name="o")
-    return met.groupBy("s.event_id").agg(F.count("*").alias("n_offers"), F.sum("o.cents").alias("cents"),
-                                         F.min("o.o_orderkey").alias("first_offer"))
+    met = ranges.interval_join(stays, offers, ("ts", "until"), ("valid_from", "ends"), left_name="s", right_name="o",
+                               measures={"n_offers": ("count", "*"), "cents": ("sum", "cents"), "first_offer": ("min", "o_orderkey")})
+    return met.groupBy("s.event_id").agg(F.sum("n_offers").alias("n_offers"), F.sum("cents").alias("cents"),
+                                         F.min("first_offer").alias("first_offer"))
 
 
 # ---------------------------------------------------------- inequality joins

@@ -158,6 +158,41 @@ def test_interval_join_finds_each_pair_once(spark, longest):
     assert sorted(rows(got.select("l.id", "r.id"))) == overlapping(left, right, instant=True)
 
 
+@pytest.mark.parametrize("longest, block_bits, on, span", [
+    (5, 1, ["k"], ("a", None)), (64, 2, [], ("a", "b")), (300, 6, ["k"], ("a", "b")), (5000, 1, ["k"], ("a", "b"))])
+def test_interval_measures_equal_those_of_the_pairs(spark, monkeypatch, longest, block_bits, on, span):
+    monkeypatch.setattr(ranges, "BLOCK_BITS", block_bits)
+    rng = random.Random(longest)
+    left, right = spans(rng, 150, longest), spans(rng, 120, 300)
+    left, right = left + left[:20], right + [(i, k, left[i][2], left[i][3]) for i, k, *_ in right[:30]]
+    schema = "id int, k string, a long, b long"
+    l, r = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema).withColumn("x", F.expr("nullif(id % 7, 3)"))
+    aggs = [F.count("*").alias("n"), F.count("r.x").alias("seen"), F.sum("r.x").alias("total"), F.min("r.id").alias("low"), F.max("r.x").alias("high")]
+    measures = {"n": ("count", "*"), "seen": ("count", "x"), "total": ("sum", "x"), "low": ("min", "id"), "high": ("max", "x")}
+    # a row given twice has a row of its own each time
+    pairs = ranges.interval_join(l.distinct(), r, span, ("a", "b"), on, "l", "r")
+    want = [x for x in rows(pairs.groupBy("l").agg(*aggs)) for _ in range(1 + (x[0].id < 20))]
+    got = ranges.interval_join(l, r, span, ("a", "b"), on, "l", "r", measures)
+    assert want and rows(got) == sorted(want, key=repr)
+
+
+def test_interval_measures_of_nothing(spark):
+    l = spark.createDataFrame([(1, 5, 9)], "id int, a long, b long")
+    assert rows(ranges.interval_join(l.limit(0), l.limit(0), ("a", "b"), ("a", "b"), measures={"n": ("count", "*")})) == []
+    assert rows(ranges.interval_join(l, l.limit(0), ("a", "b"), ("a", "b"), measures={"n": ("count", "*")})) == []
+    with pytest.raises(ValueError):
+        ranges.interval_join(l, l, ("a", "b"), ("a", "b"), measures={"m": ("median", "id")})
+
+
+def test_interval_measures_make_no_pairs(spark):
+    # 400 million pairs: each left span meets each right one
+    n = 20_000
+    l = spark.range(n).select("id", (F.col("id") * 2).alias("a"), (F.col("id") + 10 * n).alias("b"))
+    r = spark.range(n).select("id", (-F.col("id")).alias("a"), (F.col("id") * 3 + 5 * n).alias("b"))
+    got = ranges.interval_join(l, r, ("a", "b"), ("a", "b"), measures={"n": ("count", "*"), "s": ("sum", "id"), "low": ("min", "id")})
+    assert rows(got.groupBy("n", "s", "low").count()) == [(n, n * (n - 1) // 2, 0, n)]
+
+
 def test_interval_join_of_dates_and_times(spark):
     d = dt.date
     l = spark.createDataFrame([(1, d(2024, 1, 1), d(2024, 1, 5)), (2, d(1969, 12, 1), None)], "id int, a date, b date")
